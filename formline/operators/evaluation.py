@@ -46,13 +46,18 @@ def stage_metrics(
 
 
 def average_ranks(
-    df: DataFrame, column: str, out: str = "rank", weight: str | None = None
+    df: DataFrame,
+    column: str,
+    out: str = "rank",
+    weight: str | None = None,
+    n_distinct: int | None = None,
 ) -> DataFrame:
     """(value, ``out``): the average rank of each distinct value of a numeric column.
 
-    Equal values are counted before anything is ordered. The distinct values are then cut into
-    ranges of similar size; a running count inside each range plus the total of the ranges below
-    gives the rank, so no task orders more than one range.
+    Equal values are counted before anything is ordered. More than RANK_ROWS distinct values are
+    cut into ranges of similar size; a running count inside each range plus the total of the
+    ranges below gives the rank, so no task orders more than one range. ``n_distinct`` is a rough
+    count, taken here unless the caller has one.
     """
     n = F.count(F.lit(1)) if weight is None else F.sum(weight)
     values = (
@@ -60,13 +65,18 @@ def average_ranks(
         .groupBy(F.col(column).cast("double").alias("value"))
         .agg(n.alias("_n"))
     )
-    borders = _range_borders(df, column)
-    if borders:
-        ranged = Bucketizer(
-            splits=[-math.inf, *borders, math.inf], inputCol="value", outputCol="_range"
-        ).transform(values)
-    else:
-        ranged = values.withColumn("_range", F.lit(0.0))
+    if n_distinct is None:
+        n_distinct = df.agg(F.approx_count_distinct(column).alias("n")).first()["n"]
+    borders = _range_borders(values, n_distinct)
+    running = (Window.unboundedPreceding, Window.currentRow)
+    average = -(F.col("_n") - 1) / 2
+    if not borders:
+        # Few distinct values: one ordered task of bounded size.
+        upto = F.sum("_n").over(Window.orderBy("value").rowsBetween(*running))
+        return values.select("value", (upto + average).alias(out))
+    ranged = Bucketizer(
+        splits=[-math.inf, *borders, math.inf], inputCol="value", outputCol="_range"
+    ).transform(values)
     below = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     # At most MAX_RANGES rows, hence the unpartitioned window and the broadcast.
     offsets = (
@@ -74,29 +84,20 @@ def average_ranks(
         .agg(F.sum("_n").alias("_total"))
         .select("_range", F.coalesce(F.sum("_total").over(below), F.lit(0)).alias("_below"))
     )
-    inside = (
-        Window.partitionBy("_range")
-        .orderBy("value")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    inside = Window.partitionBy("_range").orderBy("value").rowsBetween(*running)
     return (
         ranged.withColumn("_upto", F.sum("_n").over(inside))
         .join(F.broadcast(offsets), "_range")
-        .select(
-            "value",
-            (F.col("_below") + F.col("_upto") - (F.col("_n") - 1) / 2).alias(out),
-        )
+        .select("value", (F.col("_below") + F.col("_upto") + average).alias(out))
     )
 
 
-def _range_borders(df: DataFrame, column: str) -> list[float]:
-    """Borders that cut the distinct values of ``column`` into ranges of about RANK_ROWS."""
-    distinct = df.agg(F.approx_count_distinct(column).alias("n")).first()["n"]
-    n_ranges = min(math.ceil(distinct / RANK_ROWS), MAX_RANGES)
+def _range_borders(values: DataFrame, n_distinct: int) -> list[float]:
+    """Borders that cut distinct ``value``s into ranges of about RANK_ROWS."""
+    n_ranges = min(math.ceil(n_distinct / RANK_ROWS), MAX_RANGES)
     if n_ranges <= 1:
         return []
     shares = [i / n_ranges for i in range(1, n_ranges)]
-    values = df.select(F.col(column).cast("double").alias("value")).distinct()
     cuts = values.approxQuantile("value", shares, 0.1 / n_ranges)
     return sorted({c for c in cuts if math.isfinite(c)})
 
@@ -108,25 +109,28 @@ def spearman(df: DataFrame, label: str, prediction: str, out: str = "rho") -> Da
     table has one row per value, so only the pair side of those joins can be skewed, which Spark
     splits at run time.
     """
-    pairs = (
-        df.where(F.col(label).isNotNull() & F.col(prediction).isNotNull())
-        .groupBy(
-            F.col(label).cast("double").alias("_y"), F.col(prediction).cast("double").alias("_p")
+    rows = df.select(
+        F.col(label).cast("double").alias("_y"), F.col(prediction).cast("double").alias("_p")
+    ).where(F.col("_y").isNotNull() & F.col("_p").isNotNull())
+    size = rows.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.approx_count_distinct("_y").alias("y"),
+        F.approx_count_distinct("_p").alias("p"),
+    ).first()
+    pairs = rows.groupBy("_y", "_p").agg(F.count(F.lit(1)).alias("_c"))
+    y_rank = average_ranks(pairs, "_y", "_ry", "_c", size["y"]).withColumnRenamed("value", "_y")
+    p_rank = average_ranks(pairs, "_p", "_rp", "_c", size["p"]).withColumnRenamed("value", "_p")
+    # The mean of average ranks is (n + 1) / 2 whatever the ties.
+    dy, dp = F.col("_ry") - (size["n"] + 1) / 2, F.col("_rp") - (size["n"] + 1) / 2
+    return (
+        pairs.join(y_rank, "_y")
+        .join(p_rank, "_p")
+        .agg(
+            F.try_divide(
+                F.sum(F.col("_c") * dy * dp),
+                F.sqrt(F.sum(F.col("_c") * dy * dy) * F.sum(F.col("_c") * dp * dp)),
+            ).alias(out)
         )
-        .agg(F.count(F.lit(1)).alias("_c"))
-    )
-    y_rank = average_ranks(pairs, "_y", "_ry", weight="_c").withColumnRenamed("value", "_y")
-    p_rank = average_ranks(pairs, "_p", "_rp", weight="_c").withColumnRenamed("value", "_p")
-    ranked = pairs.join(y_rank, "_y").join(p_rank, "_p")
-    # The mean of average ranks is (n + 1) / 2 whatever the ties, so one more scan is saved.
-    total = pairs.agg(F.sum("_c").alias("_total"))
-    middle = (F.col("_total") + 1) / 2
-    dy, dp = F.col("_ry") - middle, F.col("_rp") - middle
-    return ranked.join(F.broadcast(total)).agg(
-        F.try_divide(
-            F.sum(F.col("_c") * dy * dp),
-            F.sqrt(F.sum(F.col("_c") * dy * dy) * F.sum(F.col("_c") * dp * dp)),
-        ).alias(out)
     )
 
 

@@ -41,24 +41,24 @@ def _hash_order(key: Sequence[str], seed: int) -> Column:
 def random_label(
     df: DataFrame,
     key: str | Sequence[str],
-    train_frac: float = 0.8,
+    val_frac: float = 0.2,
     seed: int = 42,
     out: str = "split",
 ) -> DataFrame:
-    """Add ``train`` or ``val`` per row; exactly ``ceil((1 - train_frac) * n)`` rows get ``val``.
+    """Add ``train`` or ``val`` per row; exactly ``ceil(val_frac * n)`` rows get ``val``.
 
     The rows with the lowest ``md5(seed:key)`` validate. The hash value of the last of them is
     found by counting hash prefixes and refining the one prefix that holds it, so rows are never
     sorted or moved and the label is a plain comparison. ``key`` must identify a row.
     """
     key = [key] if isinstance(key, str) else list(key)
-    if not 0.0 <= train_frac <= 1.0:
-        raise ValueError(f"train_frac must lie in [0, 1], not {train_frac}")
-    if train_frac == 1.0:
+    if not 0.0 <= val_frac <= 1.0:
+        raise ValueError(f"a share lies in [0, 1], not {val_frac}")
+    if val_frac == 0.0:
         return df.withColumn(out, F.lit("train"))
-    if train_frac == 0.0:
+    if val_frac == 1.0:
         return df.withColumn(out, F.lit("val"))
-    last = _last_hash(df.select(_hash_order(key, seed).alias("_hash")), 1.0 - train_frac)
+    last = _last_hash(df.select(_hash_order(key, seed).alias("_hash")), val_frac)
     if last is None:
         return df.withColumn(out, F.lit("train"))
     return df.withColumn(
@@ -99,19 +99,25 @@ def _last_hash(hashes: DataFrame, share: float) -> str | None:
             raise ValueError("the split key does not identify a row")
 
 
-def random_split(
-    df: DataFrame, key: str | Sequence[str], train_frac: float = 0.8, seed: int = 42
+def _halves(
+    df: DataFrame, key: str | Sequence[str], val_frac: float, seed: int
 ) -> tuple[DataFrame, DataFrame]:
-    """(train, val) with ``train_frac`` of the rows in train; 1 keeps all, 0 none."""
-    labelled = random_label(df, key, train_frac, seed, out="_split")
+    labelled = random_label(df, key, val_frac, seed, out="_split")
     return (
         labelled.where(F.col("_split") == "train").drop("_split"),
         labelled.where(F.col("_split") == "val").drop("_split"),
     )
 
 
+def random_split(
+    df: DataFrame, key: str | Sequence[str], train_frac: float = 0.8, seed: int = 42
+) -> tuple[DataFrame, DataFrame]:
+    """(train, val) with ``train_frac`` of the rows in train; 1 keeps all, 0 none."""
+    return _halves(df, key, 1.0 - train_frac, seed)
+
+
 def random_test_split(
     df: DataFrame, key: str | Sequence[str], test_frac: float, seed: int = 42
 ) -> tuple[DataFrame, DataFrame]:
     """(train, test) with ``test_frac`` of the rows in test; 1 tests on all, 0 on none."""
-    return random_split(df, key, 1.0 - test_frac, seed)
+    return _halves(df, key, test_frac, seed)

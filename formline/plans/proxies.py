@@ -175,7 +175,7 @@ def rosters(spark: SparkSession, sf_dir: str, by: str = "units") -> DataFrame:
 
 def supplier_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Points per supplier, running month and line status; two rows a month are two fixtures."""
-    sold = (
+    return (
         table(spark, sf_dir, "lineitem")
         .groupBy(
             F.col("l_suppkey").alias("name"),
@@ -184,7 +184,6 @@ def supplier_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .agg(F.sum("l_quantity").alias("points"))
     )
-    return sold
 
 
 def supplier_players(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -212,7 +211,9 @@ def supplier_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
 def supplier_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One trial row per supplier: the quantity model's scores on its lines."""
     scores = regression_metrics(regression_rows(spark, sf_dir), "y", "p", ["supplier"])
-    measures = [F.lit(x) if i == 0 else F.round(x, 4) for m in scores.columns[1:] for i, x in enumerate((f"val_{m}", m))]
+    measures = [
+        part for m in scores.columns[1:] for part in (F.lit(f"val_{m}"), F.round(m, 4))
+    ]
     return scores.select(
         F.concat(F.lit("run-"), F.col("supplier").cast("string")).alias("run_id"),
         F.lit("quantity").alias("experiment"),

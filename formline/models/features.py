@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Transformer
@@ -14,6 +15,7 @@ from pyspark.ml.param.shared import HasInputCols
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from formline.functions.columns import columns_with_prefix, quoted
 
@@ -114,24 +116,32 @@ class EncodeColumns(Estimator, HasInputCols, _Stored):
         )
 
     def _fit(self, df: DataFrame) -> EncodeColumnsModel:
-        most = self.getOrDefault(self.maxCategories)
-        categories = []
-        for c in self.getInputCols():
-            seen = [
-                r[0]
-                for r in df.select(F.col(quoted(c)).alias("c"))
-                .where(F.col("c").isNotNull())
-                .distinct()
-                .limit(most + 1)
-                .select(F.struct("c", F.col("c").cast("string").alias("text")))
-                .collect()
+        columns, most = self.getInputCols(), self.getOrDefault(self.maxCategories)
+        pairs = F.array(
+            *[
+                F.struct(F.lit(i).alias("i"), F.col(quoted(c)).cast("string").alias("text"))
+                for i, c in enumerate(columns)
             ]
-            if len(seen) > most:
+        )
+        # One scan for all columns; more rows than this mean that some column has too many.
+        seen = (
+            df.select(F.inline(pairs))
+            .where(F.col("text").isNotNull())
+            .distinct()
+            .limit(most * len(columns) + 1)
+            .collect()
+        )
+        found: list[list[str]] = [[] for _ in columns]
+        for row in seen:
+            found[row["i"]].append(row["text"])
+        for c, values in zip(columns, found, strict=True):
+            if len(values) > most:
                 raise ValueError(f"column {c} has more than {most} categories")
-            categories.append([r["text"] for r in sorted(seen, key=lambda r: r["c"])])
+            numeric = isinstance(df.schema[c].dataType, T.NumericType)
+            values.sort(key=Decimal if numeric else None)
         return EncodeColumnsModel(
-            inputCols=self.getInputCols(),
-            categories=json.dumps(categories),
+            inputCols=columns,
+            categories=json.dumps(found),
             dropSource=self.getOrDefault(self.dropSource),
         )
 

@@ -13,6 +13,7 @@ from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
+from formline.functions.columns import quoted
 from formline.models.svr import LinearSVR
 from formline.models.trials import trial_row
 from formline.operators.assemble import union_all
@@ -90,22 +91,24 @@ REGRESSORS: dict[str, Callable[..., Estimator]] = {
 def evaluate(model, frames: Mapping[str, DataFrame], rank: bool = True) -> DataFrame:
     """(stage, metric, value) of ``model`` on each named frame, one aggregation for all.
 
-    ``rank`` adds the rank correlation, which needs an ordering per stage.
+    ``rank`` adds the rank correlation. The scores are computed here, each row being predicted
+    once, and come back as a local table of a few rows.
     """
-    scored = {
-        stage: model.transform(df).select(F.lit(stage).alias("stage"), "label", "prediction")
-        for stage, df in frames.items()
-    }
-    rows = stage_metrics(union_all(list(scored.values())), "label", "prediction")
-    if not rank:
-        return rows
-    ranked = [
-        spearman(df, "label", "prediction", "value").select(
-            F.lit(stage).alias("stage"), F.lit(f"{stage}_spearman").alias("metric"), "value"
-        )
-        for stage, df in scored.items()
-    ]
-    return union_all([rows, *ranked])
+    scored = union_all(
+        [
+            model.transform(df).select(F.lit(stage).alias("stage"), "label", "prediction")
+            for stage, df in frames.items()
+        ]
+    ).persist()
+    try:
+        rows = stage_metrics(scored, "label", "prediction")
+        if rank:
+            rho = spearman(scored, "label", "prediction", "value", by=["stage"])
+            name = F.concat("stage", F.lit("_spearman")).alias("metric")
+            rows = rows.unionByName(rho.select("stage", name, "value"))
+        return scored.sparkSession.createDataFrame(rows.collect(), rows.schema)
+    finally:
+        scored.unpersist()
 
 
 def train_and_evaluate(
@@ -138,12 +141,10 @@ def chosen_metrics(metrics: Mapping[str, float], names: Sequence[str]) -> float
 def score_table(
     model: PipelineModel, df: DataFrame, out: str = "pred_total_points"
 ) -> DataFrame:
-    """``df`` with the model's prediction as ``out``."""
-    return (
-        model.transform(df)
-        .withColumnRenamed("prediction", out)
-        .select(*df.columns, out)
-    )
+    """``df`` as it was, whatever the stages scale or drop, with the prediction as ``out``."""
+    whole = F.struct(*[F.col(quoted(c)) for c in df.columns]).alias("_row")
+    scored = model.transform(df.select("*", whole))
+    return scored.select("_row.*", F.col("prediction").alias(out))
 
 
 def search_points(

@@ -51,8 +51,9 @@ def average_ranks(
     out: str = "rank",
     weight: str | None = None,
     n_distinct: int | None = None,
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """(value, ``out``): the average rank of each distinct value of a numeric column.
+    """(``by``, value, ``out``): the average rank of each distinct value of a numeric column.
 
     Equal values are counted before anything is ordered. More than RANK_ROWS distinct values are
     cut into ranges of similar size; a running count inside each range plus the total of the
@@ -62,7 +63,7 @@ def average_ranks(
     n = F.count(F.lit(1)) if weight is None else F.sum(weight)
     values = (
         df.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).cast("double").alias("value"))
+        .groupBy(*by, F.col(column).cast("double").alias("value"))
         .agg(n.alias("_n"))
     )
     if n_distinct is None:
@@ -71,24 +72,26 @@ def average_ranks(
     running = (Window.unboundedPreceding, Window.currentRow)
     average = -(F.col("_n") - 1) / 2
     if not borders:
-        # Few distinct values: one ordered task of bounded size.
-        upto = F.sum("_n").over(Window.orderBy("value").rowsBetween(*running))
-        return values.select("value", (upto + average).alias(out))
+        # Few distinct values: an ordered task of bounded size per group.
+        upto = F.sum("_n").over(Window.partitionBy(*by).orderBy("value").rowsBetween(*running))
+        return values.select(*by, "value", (upto + average).alias(out))
     ranged = Bucketizer(
         splits=[-math.inf, *borders, math.inf], inputCol="value", outputCol="_range"
     ).transform(values)
-    below = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    # At most MAX_RANGES rows, hence the unpartitioned window and the broadcast.
+    below = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    # At most MAX_RANGES rows per group.
     offsets = (
-        ranged.groupBy("_range")
+        ranged.groupBy(*by, "_range")
         .agg(F.sum("_n").alias("_total"))
-        .select("_range", F.coalesce(F.sum("_total").over(below), F.lit(0)).alias("_below"))
+        .select(
+            *by, "_range", F.coalesce(F.sum("_total").over(below), F.lit(0)).alias("_below")
+        )
     )
-    inside = Window.partitionBy("_range").orderBy("value").rowsBetween(*running)
+    inside = Window.partitionBy(*by, "_range").orderBy("value").rowsBetween(*running)
     return (
         ranged.withColumn("_upto", F.sum("_n").over(inside))
-        .join(F.broadcast(offsets), "_range")
-        .select("value", (F.col("_below") + F.col("_upto") + average).alias(out))
+        .join(offsets if by else F.broadcast(offsets), [*by, "_range"])
+        .select(*by, "value", (F.col("_below") + F.col("_upto") + average).alias(out))
     )
 
 
@@ -102,35 +105,43 @@ def _range_borders(values: DataFrame, n_distinct: int) -> list[float]:
     return sorted({c for c in cuts if math.isfinite(c)})
 
 
-def spearman(df: DataFrame, label: str, prediction: str, out: str = "rho") -> DataFrame:
-    """Spearman's rank correlation with ties averaged, as a one-row table.
+def spearman(
+    df: DataFrame, label: str, prediction: str, out: str = "rho", by: Sequence[str] = ()
+) -> DataFrame:
+    """Spearman's rank correlation with ties averaged, one row in all or per group of ``by``.
 
     Rows are first counted per (label, prediction) pair. Ranks meet the pairs by value; each rank
     table has one row per value, so only the pair side of those joins can be skewed, which Spark
     splits at run time.
     """
     rows = df.select(
-        F.col(label).cast("double").alias("_y"), F.col(prediction).cast("double").alias("_p")
+        *by,
+        F.col(label).cast("double").alias("_y"),
+        F.col(prediction).cast("double").alias("_p"),
     ).where(F.col("_y").isNotNull() & F.col("_p").isNotNull())
     size = rows.agg(
         F.count(F.lit(1)).alias("n"),
         F.approx_count_distinct("_y").alias("y"),
         F.approx_count_distinct("_p").alias("p"),
     ).first()
-    pairs = rows.groupBy("_y", "_p").agg(F.count(F.lit(1)).alias("_c"))
-    y_rank = average_ranks(pairs, "_y", "_ry", "_c", size["y"]).withColumnRenamed("value", "_y")
-    p_rank = average_ranks(pairs, "_p", "_rp", "_c", size["p"]).withColumnRenamed("value", "_p")
+    pairs = rows.groupBy(*by, "_y", "_p").agg(F.count(F.lit(1)).alias("_c"))
+    y_rank = average_ranks(pairs, "_y", "_ry", "_c", size["y"], by)
+    p_rank = average_ranks(pairs, "_p", "_rp", "_c", size["p"], by)
+    ranked = pairs.join(y_rank.withColumnRenamed("value", "_y"), [*by, "_y"]).join(
+        p_rank.withColumnRenamed("value", "_p"), [*by, "_p"]
+    )
     # The mean of average ranks is (n + 1) / 2 whatever the ties.
-    dy, dp = F.col("_ry") - (size["n"] + 1) / 2, F.col("_rp") - (size["n"] + 1) / 2
-    return (
-        pairs.join(y_rank, "_y")
-        .join(p_rank, "_p")
-        .agg(
-            F.try_divide(
-                F.sum(F.col("_c") * dy * dp),
-                F.sqrt(F.sum(F.col("_c") * dy * dy) * F.sum(F.col("_c") * dp * dp)),
-            ).alias(out)
-        )
+    if by:
+        ranked = ranked.join(rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_size")), [*by])
+        middle = (F.col("_size") + 1) / 2
+    else:
+        middle = F.lit((size["n"] + 1) / 2)
+    dy, dp = F.col("_ry") - middle, F.col("_rp") - middle
+    return ranked.groupBy(*by).agg(
+        F.try_divide(
+            F.sum(F.col("_c") * dy * dp),
+            F.sqrt(F.sum(F.col("_c") * dy * dy) * F.sum(F.col("_c") * dp * dp)),
+        ).alias(out)
     )
 
 

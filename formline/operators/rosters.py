@@ -514,6 +514,7 @@ def weekly_reward(
         earned = facts.groupBy(cols.name, step).agg(F.sum(cols.points).alias(cols.points))
     else:
         raise ValueError(f"mode must be 'first' or 'sum', not {mode!r}")
+    earned = broadcast_within(earned)
     if step in rosters.columns:
         scaffold = rosters.select(cols.team, step).distinct()
         scored = rosters.join(earned, [cols.name, step])

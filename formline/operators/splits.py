@@ -8,6 +8,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+HASH_DIGITS = 32
 PREFIX_STEP = 3
 CUT_ROWS = 20_000
 
@@ -67,36 +68,49 @@ def random_label(
 
 
 def _last_hash(hashes: DataFrame, share: float) -> str | None:
-    """The ``ceil(share * n)``-th lowest hash."""
-    wanted, prefix = None, ""
-    while True:
-        width = len(prefix) + PREFIX_STEP
-        counts = sorted(
-            (r["head"], r["n"])
-            for r in hashes.where(F.startswith("_hash", F.lit(prefix)))
-            .groupBy(F.left("_hash", F.lit(width)).alias("head"))
-            .agg(F.count(F.lit(1)).alias("n"))
-            .collect()
-        )
-        if wanted is None:
-            wanted = math.ceil(share * sum(n for _, n in counts))
-            if wanted == 0:
-                return None
-        for head, n in counts:
-            if wanted <= n:
-                break
-            wanted -= n
-        prefix = head
-        if n <= CUT_ROWS:
-            inside = sorted(
-                r["_hash"]
-                for r in hashes.where(F.startswith("_hash", F.lit(prefix))).collect()
-            )
-            if wanted < n and inside[wanted - 1] == inside[wanted]:
+    """The ``ceil(share * n)``-th lowest hash.
+
+    All hashes are read twice: to count their first digits, and to pick out those that begin like
+    the wanted one. That small part is kept while longer beginnings narrow it down.
+    """
+    counts = _prefix_counts(hashes, PREFIX_STEP)
+    wanted = math.ceil(share * sum(n for _, n in counts))
+    if wanted == 0:
+        return None
+    prefix, n, wanted = _pick(counts, wanted)
+    near = hashes.where(F.startswith("_hash", F.lit(prefix))).persist()
+    try:
+        rest = near
+        while n > CUT_ROWS:
+            if len(prefix) >= HASH_DIGITS:
                 raise ValueError("the split key does not identify a row")
-            return inside[wanted - 1]
-        if len(prefix) >= 32:
-            raise ValueError("the split key does not identify a row")
+            prefix, n, wanted = _pick(_prefix_counts(rest, len(prefix) + PREFIX_STEP), wanted)
+            rest = near.where(F.startswith("_hash", F.lit(prefix)))
+        inside = sorted(r["_hash"] for r in rest.collect())
+    finally:
+        near.unpersist()
+    if wanted < n and inside[wanted - 1] == inside[wanted]:
+        raise ValueError("the split key does not identify a row")
+    return inside[wanted - 1]
+
+
+def _prefix_counts(hashes: DataFrame, width: int) -> list[tuple[str, int]]:
+    """Rows per beginning of the hash, in order."""
+    found = (
+        hashes.groupBy(F.left("_hash", F.lit(width)).alias("head"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .collect()
+    )
+    return sorted((r["head"], r["n"]) for r in found)
+
+
+def _pick(counts: list[tuple[str, int]], wanted: int) -> tuple[str, int, int]:
+    """The beginning that holds the ``wanted``-th row, its rows, and the place among them."""
+    for head, n in counts:
+        if wanted <= n:
+            return head, n, wanted
+        wanted -= n
+    raise ValueError("fewer rows than counted before")
 
 
 def _halves(

@@ -72,7 +72,7 @@ active AS (
   WHERE entity NOT IN (SELECT entity FROM later GROUP BY entity
                        HAVING coalesce(sum(gw_avg_units), 0) = 0)),
 features AS (
-  SELECT entity, period, step AS month, value AS X_value, club AS X_club, step AS X_step,
+  SELECT entity, period, step, value AS X_value, club AS X_club, step AS X_step,
          previous_total AS X_previous_total,
          {", ".join(f"gw_avg_{s} AS X_gw_avg_{s}" for s in STATS)},
          {", ".join(f"rolling_mean_{w}_{s} AS X_rolling_mean_{w}_{s}"
@@ -257,7 +257,7 @@ EXCEPT SELECT entity, period FROM om WHERE pending > 0 OR period > 1996""",
     "drop_inactive": f"""WITH {ORDER_MONTHS}
 SELECT * FROM om
 WHERE entity NOT IN (SELECT entity FROM om GROUP BY entity HAVING sum(pending) = 0)""",
-    "feature_table": FEATURES + f"""SELECT entity, period, month AS step,
+    "feature_table": FEATURES + f"""SELECT entity, period, step,
   {", ".join(FEATURE_NAMES)}, label FROM features""",
     "temporal_split": f"""WITH {MONTHS}
 SELECT entity, period, step, CASE WHEN period IN (1998, 1999, 2000) THEN 'train'
@@ -308,7 +308,7 @@ FROM part""",
 SELECT p_partkey, round((p_size - ms) / ss, 6) AS p_size,
        round((p_retailprice - mr) / sr, 6) AS p_retailprice, 0.0::DOUBLE AS p_constant
 FROM part, m""",
-    "assemble_features": FEATURES + f"""SELECT entity, period, month AS step,
+    "assemble_features": FEATURES + f"""SELECT entity, period, step,
   CAST(unnest(range({len(FEATURE_NAMES)})) AS INTEGER) AS pos,
   unnest([{", ".join(f"CAST({c} AS DOUBLE)" for c in FEATURE_NAMES)}]) AS value
 FROM features""",
@@ -409,7 +409,7 @@ SELECT CAST(period AS VARCHAR) || '-' || lpad(CAST((period + 1) % 100 AS VARCHAR
        'Supplier_' || CAST(entity AS VARCHAR) AS player_name, units, label,
        CASE WHEN period >= 1998 THEN returned END AS returned
 FROM sm""",
-    "prepared_export": FEATURES + f"""SELECT entity, period, month AS step,
+    "prepared_export": FEATURES + f"""SELECT entity, period, step,
   {", ".join(FEATURE_NAMES)}, label,
   CASE WHEN period = 2001 THEN 'test' ELSE 'train' END AS split
 FROM features WHERE period >= 1998""",

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formline.functions.columns import add_prefix, columns_with_prefix
+from formline.functions.columns import columns_with_prefix
 from formline.operators.windows import (
     GROUP_ROWS,
     drop_inactive,
@@ -88,9 +88,16 @@ def feature_table(
     facts: DataFrame, plan: FeaturePlan, keep: Sequence[str] | None = None
 ) -> DataFrame:
     """Entity, prefixed features and label; ``keep`` names further columns to carry along."""
-    rows = featured_facts(facts, plan)
-    features = feature_columns(rows, plan)
-    carried = [c for c in (keep or []) if c not in features]
-    return add_prefix(
-        rows.select(plan.entity, *carried, *features, plan.label), features, plan.prefix
+    return prefixed_features(featured_facts(facts, plan), plan, keep)
+
+
+def prefixed_features(
+    featured: DataFrame, plan: FeaturePlan, keep: Sequence[str] | None = None
+) -> DataFrame:
+    """The feature table's columns out of :func:`featured_facts`."""
+    return featured.select(
+        plan.entity,
+        *(keep or []),
+        *[F.col(c).alias(plan.prefix + c) for c in feature_columns(featured, plan)],
+        plan.label,
     )

@@ -161,16 +161,15 @@ def customer_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def ranked_suppliers(spark: SparkSession, sf_dir: str, by: str = "units") -> DataFrame:
-    """A customer's suppliers, best first; groups hold each supplier once."""
-    best = Window.partitionBy("team").orderBy(F.col(by).desc(), "name")
-    return customer_suppliers(spark, sf_dir).withColumn("place", F.row_number().over(best))
-
-
 def rosters(spark: SparkSession, sf_dir: str, by: str = "units") -> DataFrame:
-    """The eight suppliers a customer buys most from."""
-    top = F.col("place") <= ROSTER_RULES.size
-    return ranked_suppliers(spark, sf_dir, by).where(top).select("team", "name")
+    """The eight suppliers a customer buys most from, a top-n taken before and after the shuffle."""
+    best = Window.partitionBy("team").orderBy(F.col(by).desc(), "name")
+    return (
+        customer_suppliers(spark, sf_dir)
+        .withColumn("place", F.row_number().over(best))
+        .where(F.col("place") <= ROSTER_RULES.size)
+        .select("team", "name")
+    )
 
 
 def supplier_facts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ from formline.models.features import PRESETS, EncodeColumns, FeatureRoles, Scale
 from formline.operators import assemble as assembly
 from formline.operators import evaluation, rosters, splits, windows
 from formline.plans import proxies as P
-from formline.plans.prepare import feature_columns, featured_facts
+from formline.plans.prepare import featured_facts, prefixed_features
 from formline.session import fresh_path
 from formline.sources import catalog, prepared
 
@@ -351,14 +351,9 @@ def team_legality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def open_clubs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Options: the suppliers a customer uses beyond its roster."""
-    ranked = P.ranked_suppliers(spark, sf_dir)
-    size = P.ROSTER_RULES.size
-    return rosters.open_clubs(
-        ranked.where(F.col("place") > size),
-        ranked.where(F.col("place") <= size),
-        P.supplier_pool(spark, sf_dir),
-        P.ROSTER_RULES,
-    )
+    teams = P.rosters(spark, sf_dir)
+    options = P.customer_suppliers(spark, sf_dir).join(teams, ["team", "name"], "left_anti")
+    return rosters.open_clubs(options, teams, P.supplier_pool(spark, sf_dir), P.ROSTER_RULES)
 
 
 @query
@@ -456,8 +451,9 @@ def _write_weeks(spark: SparkSession, sf_dir: str) -> str:
     }
     for era, (which, names) in headers.items():
         rows = months.where(which).select(*names, "season", "step")
+        # Rebalancing gathers a week in one file, but splits a week that outgrows a partition.
         prepared.write_table(
-            rows.repartition("season", "step"), f"{root}/{era}", "csv", ["season", "step"]
+            rows.hint("rebalance", "season", "step"), f"{root}/{era}", "csv", ["season", "step"]
         )
     return root
 
@@ -465,7 +461,8 @@ def _write_weeks(spark: SparkSession, sf_dir: str) -> str:
 @query
 def file_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _write_weeks(spark, sf_dir)
-    return catalog.file_catalog(spark, root, STEP_DIR, SEASON_DIR).select("season", "step")
+    files = catalog.file_catalog(spark, root, STEP_DIR, SEASON_DIR)
+    return files.select("season", "step").distinct()
 
 
 @query
@@ -482,12 +479,7 @@ def _export(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     plan = P.SUPPLIER_MONTH_PLAN
     facts = P.described_months(spark, sf_dir, plan.first_input_period)
     featured = featured_facts(facts, plan).persist()
-    features = feature_columns(featured, plan)
-    table = C.add_prefix(
-        featured.select("entity", "period", F.col("step").alias("month"), *features, "label"),
-        features,
-        plan.prefix,
-    )
+    table = prefixed_features(featured, plan, ["period", "step"])
     train, test = splits.temporal_split(table, "period", TRAIN_YEARS, TEST_YEARS)
     try:
         return prepared.export_prepared(
@@ -506,7 +498,7 @@ def prepared_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     test = prepared.load_stage(spark, "test", test_path=paths["test_data"]).withColumn(
         "split", F.lit("test")
     )
-    return train.unionByName(test).withColumnRenamed("month", "step")
+    return train.unionByName(test)
 
 
 # --- models --------------------------------------------------------------------------------
@@ -519,7 +511,7 @@ def _frames(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Dat
         spark,
         "fit",
         train_val_path=paths["train_val_data"],
-        splitter=lambda df: splits.random_split(df, ["entity", "period", "month"], 0.8),
+        splitter=lambda df: splits.random_split(df, ["entity", "period", "step"], 0.8),
     )
     test = prepared.load_stage(spark, "test", test_path=paths["test_data"])
     return train, val, test
@@ -562,7 +554,7 @@ def pipeline_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     training.save_pipeline(model, path)
     before = training.score_table(model, test, "before")
     return training.score_table(training.load_pipeline(path), before, "after").select(
-        "entity", "period", "month", "before", "after"
+        "entity", "period", "step", "before", "after"
     )
 
 

@@ -43,7 +43,11 @@ def file_catalog(
 
 
 def _files_by_header(spark: SparkSession, root: str, step_pattern: str) -> dict[str, list[str]]:
-    """Paths per header line. The driver sees one header and path per file, as in any listing."""
+    """Paths per header line. The driver sees one header and path per file, as in any listing.
+
+    The files are read once as text for this; raw weekly files are small and read only to be
+    turned into prepared tables.
+    """
     path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     lines = (
         spark.read.option("recursiveFileLookup", True)
@@ -58,7 +62,7 @@ def _files_by_header(spark: SparkSession, root: str, step_pattern: str) -> dict[
         .agg(F.min_by("value", "_line").alias("header"))
     )
     groups: dict[str, list[str]] = defaultdict(list)
-    for row in firsts.toLocalIterator():
+    for row in firsts.collect():
         groups[row["header"].lstrip("\ufeff").rstrip("\r")].append(row["path"])
         if len(groups) > MAX_HEADERS:
             raise ValueError(f"more than {MAX_HEADERS} different headers below {root}")

@@ -276,9 +276,8 @@ def _with_replacements(
     if small is not entering:
         return outgoing.join(small, same_position & condition)
     salted = outgoing.withColumn("_salt", F.pmod(F.xxhash64(cols.team, "out"), F.lit(SALTS)))
-    copied = entering.withColumn(
-        "_in_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long")
-    )
+    salts = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
+    copied = entering.withColumn("_in_salt", F.explode(salts))
     return salted.join(
         copied, same_position & (F.col("_salt") == F.col("_in_salt")) & condition
     ).drop("_salt", "_in_salt")

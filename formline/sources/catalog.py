@@ -25,7 +25,10 @@ def file_catalog(
     step_pattern: str = STEP_PATTERN,
     season_pattern: str = SEASON_PATTERN,
 ) -> DataFrame:
-    """(path, season, step, length) of the weekly files below ``root``; contents are not read."""
+    """(path, season, step, length) of the weekly files below ``root``; contents are not read.
+
+    Files of no bytes are left out, as Spark's file sources do.
+    """
     path = F.col("path")
     return (
         spark.read.format("binaryFile")

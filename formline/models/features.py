@@ -10,6 +10,7 @@ from decimal import Decimal
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -207,6 +208,15 @@ class AssembleFeatures(Transformer, _Stored):
         return out
 
 
+def shape_of(ready: DataFrame) -> tuple[int, int, int]:
+    """(rows, features, labels) of an assembled table, in one aggregation."""
+    labels = int("label" in ready.columns)
+    row = ready.agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.size(vector_to_array("features"))).alias("width")
+    ).first()
+    return row["n"], row["width"] or 0, labels
+
+
 @dataclass(frozen=True)
 class FeatureRoles:
     """What the presets do with the columns of a feature table."""
@@ -238,6 +248,7 @@ def _scaled(roles: FeatureRoles) -> list:
 
 
 PRESETS: dict[str, Callable[[FeatureRoles], list]] = {
+    "identity": lambda roles: [],
     "plain": _plain,
     "encoded": _encoded,
     "scaled": _scaled,

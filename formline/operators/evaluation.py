@@ -49,25 +49,29 @@ def average_ranks(
     df: DataFrame,
     column: str,
     out: str = "rank",
-    weight: str | None = None,
-    n_distinct: int | None = None,
     by: Sequence[str] = (),
+    n_distinct: int | None = None,
 ) -> DataFrame:
     """(``by``, value, ``out``): the average rank of each distinct value of a numeric column.
 
-    Equal values are counted before anything is ordered. More than RANK_ROWS distinct values are
-    cut into ranges of similar size; a running count inside each range plus the total of the
-    ranges below gives the rank, so no task orders more than one range. ``n_distinct`` is a rough
-    count, taken here unless the caller has one.
+    ``n_distinct`` is a rough count of the values, taken here unless the caller has one.
     """
-    n = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    values = (
-        df.where(F.col(column).isNotNull())
-        .groupBy(*by, F.col(column).cast("double").alias("value"))
-        .agg(n.alias("_n"))
-    )
     if n_distinct is None:
         n_distinct = df.agg(F.approx_count_distinct(column).alias("n")).first()["n"]
+    rows = df.select(*by, F.col(column).cast("double").alias("value"), F.lit(1).alias("_n"))
+    return _ranked_values(rows.where(F.col("value").isNotNull()), by, n_distinct, out)
+
+
+def _ranked_values(
+    rows: DataFrame, by: Sequence[str], n_distinct: int, out: str
+) -> DataFrame:
+    """Average ranks of ``value``, which occurs ``_n`` times per row.
+
+    Equal values are counted before anything is ordered. More than RANK_ROWS distinct values are
+    cut into ranges of similar size; a running count inside each range plus the total of the
+    ranges below gives the rank, so no task orders more than one range.
+    """
+    values = rows.groupBy(*by, "value").agg(F.sum("_n").alias("_n"))
     borders = _range_borders(values, n_distinct)
     running = (Window.unboundedPreceding, Window.currentRow)
     average = -(F.col("_n") - 1) / 2
@@ -110,9 +114,9 @@ def spearman(
 ) -> DataFrame:
     """Spearman's rank correlation with ties averaged, one row in all or per group of ``by``.
 
-    Rows are first counted per (label, prediction) pair. Ranks meet the pairs by value; each rank
-    table has one row per value, so only the pair side of those joins can be skewed, which Spark
-    splits at run time.
+    Rows are first counted per (label, prediction) pair, and both columns are ranked in one pass.
+    Ranks meet the pairs by value; the rank table has one row per value, so only the pair side of
+    those joins can be skewed, which Spark splits at run time.
     """
     rows = df.select(
         *by,
@@ -125,11 +129,18 @@ def spearman(
         F.approx_count_distinct("_p").alias("p"),
     ).first()
     pairs = rows.groupBy(*by, "_y", "_p").agg(F.count(F.lit(1)).alias("_c"))
-    y_rank = average_ranks(pairs, "_y", "_ry", "_c", size["y"], by)
-    p_rank = average_ranks(pairs, "_p", "_rp", "_c", size["p"], by)
-    ranked = pairs.join(y_rank.withColumnRenamed("value", "_y"), [*by, "_y"]).join(
-        p_rank.withColumnRenamed("value", "_p"), [*by, "_p"]
+    both = F.array(
+        F.struct(F.lit("y").alias("_of"), F.col("_y").alias("value")),
+        F.struct(F.lit("p").alias("_of"), F.col("_p").alias("value")),
     )
+    stacked = pairs.select(*by, F.col("_c").alias("_n"), F.inline(both))
+    ranks = _ranked_values(stacked, [*by, "_of"], size["y"] + size["p"], "_rank")
+    ranked = pairs
+    for of in ("y", "p"):
+        one = ranks.where(F.col("_of") == of).select(
+            *by, F.col("value").alias(f"_{of}"), F.col("_rank").alias(f"_r{of}")
+        )
+        ranked = ranked.join(one, [*by, f"_{of}"])
     # The mean of average ranks is (n + 1) / 2 whatever the ties.
     if by:
         ranked = ranked.join(rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_size")), [*by])

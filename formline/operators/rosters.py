@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from formline.session import broadcast_within, cut_lineage
+from formline.session import BROADCAST_ROWS, broadcast_within, cut_lineage, rows_within
 
 SALTS = 64
 
@@ -84,6 +84,12 @@ def first_per_name(
     return facts.groupBy(*keys).agg(F.min_by(points, F.struct(*order)).alias(points))
 
 
+def _small(df: DataFrame) -> tuple[DataFrame, bool]:
+    """``df`` as a broadcast side and True if a row count proves it small, else itself and False."""
+    local = rows_within(df, BROADCAST_ROWS)
+    return (df, False) if local is None else (F.broadcast(local), True)
+
+
 def _members(rosters: DataFrame, pool: DataFrame, cols: RosterColumns) -> DataFrame:
     return rosters.select(cols.team, cols.name).join(
         pool.select(*cols.player), cols.name, "left"
@@ -141,7 +147,10 @@ def team_legality(
 def _legality(
     rosters: DataFrame, pool: DataFrame, rules: RosterRules, cols: RosterColumns
 ) -> DataFrame:
-    totals = _totals(rosters, pool, rules, cols)
+    return _with_flags(_totals(rosters, pool, rules, cols), rules, cols)
+
+
+def _with_flags(totals: DataFrame, rules: RosterRules, cols: RosterColumns) -> DataFrame:
     counts = {p: F.col(f"n_{cols.position}_{p}") for p in rules.positions}
     positions = (F.col("n_players") == rules.size) & (
         sum(counts.values(), F.lit(0)) == rules.size
@@ -213,32 +222,60 @@ def _squads(
     cols: RosterColumns,
     which: Column,
 ) -> DataFrame:
-    """One row per team that satisfies ``which``: members, and the money left.
+    """One row per team of the right size and positions that satisfies ``which``.
 
-    ``which`` must imply ``positions_legal``, which bounds the array by ``rules.size``.
+    Holds the members and the money left. A team's rows beyond ``rules.size + 1`` are dropped
+    before the shuffle: such a team is too large to be legal however many members it has. One
+    shuffle by team then serves the limit, the totals and the array, whose length is bounded.
     """
-    chosen = (
-        _legality(rosters, pool, rules, cols)
-        .where(which & F.col("positions_legal"))
-        .select(cols.team, (F.lit(rules.max_value) - F.col("total_value")).alias("_spare"))
-    )
-    return (
+    by_name = Window.partitionBy(cols.team).orderBy(cols.name)
+    clubs = _member_clubs(cols)
+    counted = (
         _members(rosters, pool, cols)
-        .join(chosen, cols.team)
+        .withColumn("_nth", F.row_number().over(by_name))
+        .where(F.col("_nth") <= rules.size + 1)
         .groupBy(cols.team)
         .agg(
-            F.first("_spare").alias("_spare"),
+            F.count(F.lit(1)).alias("n_players"),
+            F.sum(cols.value).alias("total_value"),
+            *[
+                F.count_if(F.col(cols.position) == p).alias(f"n_{cols.position}_{p}")
+                for p in rules.positions
+            ],
             F.collect_list(F.struct(*cols.player)).alias("_members"),
         )
+        .withColumn(
+            "max_club",
+            F.coalesce(
+                F.array_max(
+                    F.transform(F.array_distinct(clubs), lambda c: _times_in(clubs, c))
+                ),
+                F.lit(0),
+            ),
+        )
+    )
+    return (
+        _with_flags(counted, rules, cols)
+        .where(which & F.col("positions_legal"))
+        .select(
+            cols.team, (F.lit(rules.max_value) - F.col("total_value")).alias("_spare"), "_members"
+        )
     )
 
 
+def _member_clubs(cols: RosterColumns) -> Column:
+    return F.transform("_members", lambda m: m[cols.club])
+
+
+def _times_in(values: Column, value: Column) -> Column:
+    return F.size(F.filter(values, lambda x: x == value))
+
+
 def _taken_clubs(rules: RosterRules, cols: RosterColumns) -> Column:
     """The clubs of ``_members`` without room."""
-    clubs = F.transform("_members", lambda m: m[cols.club])
+    clubs = _member_clubs(cols)
     return F.filter(
-        F.array_distinct(clubs),
-        lambda c: F.size(F.filter(clubs, lambda x: x == c)) >= rules.max_per_club,
+        F.array_distinct(clubs), lambda c: _times_in(clubs, c) >= rules.max_per_club
     )
 
 
@@ -263,18 +300,17 @@ def _outgoing(squads: DataFrame, rules: RosterRules, cols: RosterColumns) -> Dat
 
 
 def _with_replacements(
-    outgoing: DataFrame, pool: DataFrame, condition: Column, cols: RosterColumns
+    outgoing: DataFrame, pool: DataFrame, small: bool, condition: Column, cols: RosterColumns
 ) -> DataFrame:
     """Join on position under ``condition``, the pool's columns prefixed ``_in_``.
 
-    A pool that a row count proves small is broadcast, so teams stay where they are. A larger one
-    is copied to SALTS keys per position, which spreads each position's teams over as many tasks.
+    A ``small`` pool is broadcast, so teams stay where they are. A larger one is copied to SALTS
+    keys per position, which spreads each position's teams over as many tasks.
     """
     entering = pool.select(*[F.col(c).alias(f"_in_{c}") for c in pool.columns])
     same_position = F.col("_position") == F.col(f"_in_{cols.position}")
-    small = broadcast_within(entering)
-    if small is not entering:
-        return outgoing.join(small, same_position & condition)
+    if small:
+        return outgoing.join(F.broadcast(entering), same_position & condition)
     salted = outgoing.withColumn("_salt", F.pmod(F.xxhash64(cols.team, "out"), F.lit(SALTS)))
     salts = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
     copied = entering.withColumn("_in_salt", F.explode(salts))
@@ -304,9 +340,10 @@ def swap_candidates(
 
     The conditions are part of the join, so a pair that fails one is never a row.
     """
-    pool = broadcast_within(pool)
+    pool, small = _small(pool)
     outgoing = _outgoing(_squads(rosters, pool, rules, cols, F.col("legal")), rules, cols)
-    return _with_replacements(outgoing, pool.select(*cols.player), _fits(cols), cols).select(
+    players = pool.select(*cols.player)
+    return _with_replacements(outgoing, players, small, _fits(cols), cols).select(
         cols.team,
         "out",
         F.col(f"_in_{cols.name}").alias("in"),
@@ -338,7 +375,11 @@ def _contenders(pool: DataFrame, rules: RosterRules, cols: RosterColumns) -> Dat
 
 
 def _best_swaps(
-    squads: DataFrame, contenders: DataFrame, rules: RosterRules, cols: RosterColumns
+    squads: DataFrame,
+    contenders: DataFrame,
+    small: bool,
+    rules: RosterRules,
+    cols: RosterColumns,
 ) -> DataFrame:
     """(team, out, in, gain and the entering player), the best swap of each squad that has one.
 
@@ -347,7 +388,7 @@ def _best_swaps(
     """
     outgoing = _outgoing(squads, rules, cols)
     lowest = (
-        _with_replacements(outgoing, contenders, _fits(cols), cols)
+        _with_replacements(outgoing, contenders, small, _fits(cols), cols)
         .groupBy(cols.team, "out", "_position", "_out_points")
         .agg(F.min("_in_rank").alias("_rank"))
     )
@@ -356,7 +397,9 @@ def _best_swaps(
         F.col("rank").alias("_rank"),
         F.struct(*cols.player).alias("_in"),
     )
-    ranked = lowest.join(broadcast_within(entering), ["_position", "_rank"]).select(
+    if small:
+        entering = F.broadcast(entering)
+    ranked = lowest.join(entering, ["_position", "_rank"]).select(
         cols.team,
         F.struct(
             (F.col("_out_points") - F.col(f"_in.{cols.points}")).alias("loss"),
@@ -377,8 +420,8 @@ def best_swap(
     """The swap of highest gain per legal team; ties go to the smaller ``out``, then ``in``."""
     pool = broadcast_within(pool)
     squads = _squads(rosters, pool, rules, cols, F.col("legal"))
-    contenders = broadcast_within(_contenders(pool, rules, cols))
-    return _best_swaps(squads, contenders, rules, cols).select(
+    contenders, small = _small(_contenders(pool, rules, cols))
+    return _best_swaps(squads, contenders, small, rules, cols).select(
         cols.team,
         F.col("_swap.out").alias("out"),
         F.col("_swap.in").alias("in"),
@@ -413,10 +456,10 @@ def improve_rosters(
     checkpointed, and the loop ends early when no team improved.
     """
     pool = broadcast_within(pool)
-    contenders = broadcast_within(_contenders(pool, rules, cols))
+    contenders, small = _small(_contenders(pool, rules, cols))
     squads = _squads(rosters, pool, rules, cols, F.col("legal"))
     for left in range(n_steps - 1, -1, -1):
-        squads = _advance(squads, contenders, rules, cols)
+        squads = _advance(squads, contenders, small, rules, cols)
         if left == 0:
             break
         squads = cut_lineage(squads)
@@ -429,9 +472,13 @@ def improve_rosters(
 
 
 def _advance(
-    squads: DataFrame, contenders: DataFrame, rules: RosterRules, cols: RosterColumns
+    squads: DataFrame,
+    contenders: DataFrame,
+    small: bool,
+    rules: RosterRules,
+    cols: RosterColumns,
 ) -> DataFrame:
-    swaps = _best_swaps(squads, contenders, rules, cols)
+    swaps = _best_swaps(squads, contenders, small, rules, cols)
     moved = squads.join(swaps, cols.team, "left")
     leaving, entering = F.col("_swap.out"), F.col("_swap._in")
     changed = F.col("_swap").isNotNull()
@@ -546,7 +593,7 @@ def cheaper_options(
     Replacements share the position, cost strictly less, are not in the team and come from a club
     with room. Of equally dear members the smallest name goes.
     """
-    pool = broadcast_within(pool)
+    pool, small = _small(pool)
     over = F.col("clubs_legal") & ~F.col("value_legal")
     squads = _squads(rosters, pool, rules, cols, over)
     dearest = F.array_min(
@@ -577,6 +624,7 @@ def cheaper_options(
         & ~F.array_contains("_taken", F.col(f"_in_{cols.club}"))
         & ~F.array_contains("_names", F.col(f"_in_{cols.name}"))
     )
-    return _with_replacements(outgoing, pool.select(*cols.player), condition, cols).select(
+    players = pool.select(*cols.player)
+    return _with_replacements(outgoing, players, small, condition, cols).select(
         cols.team, "out", F.col(f"_in_{cols.name}").alias("in")
     )

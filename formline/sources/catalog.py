@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from formline.functions.columns import id_from_name, id_text, rename_present, text_of
+from formline.functions.columns import id_from_name, id_text, no_nan, rename_present, text_of
 from formline.operators.assemble import union_all
 
 # Fixed patterns of the raw layout: {season}/gws/gw{week}.csv
@@ -120,7 +120,7 @@ def read_weekly(
         elif name in rows.columns:
             rows = rows.withColumn(ident, id_from_name(F.col(name)))
         frames.append(rows)
-    return union_all(frames)
+    return no_nan(union_all(frames))
 
 
 def read_team_list(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:

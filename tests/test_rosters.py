@@ -132,6 +132,7 @@ def league_frames(spark, pool, teams):
 def pool_side(request, monkeypatch):
     if request.param == "salted":
         monkeypatch.setattr(R, "broadcast_within", lambda df, *_: df)
+        monkeypatch.setattr(R, "_small", lambda df: (df, False))
         monkeypatch.setattr(R, "SALTS", 3)
     return request.param
 
@@ -257,3 +258,16 @@ def test_pool_of_one_week_has_each_player_once(spark, rows):
     week = R.player_pool(facts, *args, "pts", where=facts["week"] == 1)
     assert rows(week) == [("x", 1, 5.0, "A", 2.0)]
     assert rows(R.player_pool(facts, *args)) == [("x", 1, 5.0, "A"), ("x", 1, 6.0, "A")]
+
+
+def test_a_team_with_most_of_the_rows_changes_nothing_for_others(spark):
+    pool, teams = small_league(6)
+    legal = {t: m for t, m in teams.items() if is_legal(m)}
+    huge = {**legal, "huge": pool * 50}
+    want = brute_candidates(pool, legal)
+    rosters, players = league_frames(spark, pool, huge)
+    got = {tuple(r) for r in R.swap_candidates(rosters, players, RULES).collect()}
+    assert got == want
+    assert {tuple(r) for r in R.best_swap(rosters, players, RULES).collect()} == brute_best(want)
+    totals = {r["team"]: r["n_players"] for r in R.team_totals(rosters, players, RULES).collect()}
+    assert totals["huge"] == 2000

@@ -170,11 +170,13 @@ def search(
     parallelism: int = 4,
     rank: bool = False,
     fixed: Mapping[str, object] | None = None,
+    models_dir: str | None = None,
 ) -> list[Row]:
     """Trial rows of one regressor over (part of) a grid.
 
     The feature stages are fitted once and their output is kept, then several fits share the
-    cluster at a time. ``fixed`` are settings outside the grid.
+    cluster at a time. ``fixed`` are settings outside the grid. With ``models_dir`` each run's
+    stages and model are saved there as one pipeline under its ``run_id``.
     """
     prepared = Pipeline(stages=list(stages)).fit(train)
     frames = {"train": train, "val": val} | ({} if test is None else {"test": test})
@@ -186,7 +188,10 @@ def search(
     def run(point: dict[str, object]) -> Row:
         model = REGRESSORS[regressor](**point, **(fixed or {})).fit(ready["train"])
         scores = metrics_map(evaluate(model, ready, rank))
-        return trial_row(experiment, {"regressor": regressor, **point}, scores, seed)
+        row = trial_row(experiment, {"regressor": regressor, **point}, scores, seed)
+        if models_dir is not None:
+            save_pipeline(PipelineModel([*prepared.stages, model]), f"{models_dir}/{row.run_id}")
+        return row
 
     try:
         with ThreadPoolExecutor(parallelism) as pool:

@@ -81,7 +81,8 @@ def first_per_name(
     facts: DataFrame, keys: Sequence[str], points: str, order: Sequence[str]
 ) -> DataFrame:
     """One row per key: the points of its first row by ``order``."""
-    return facts.groupBy(*keys).agg(F.min_by(points, F.struct(*order)).alias(points))
+    first = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    return facts.groupBy(*keys).agg(F.min_by(points, first).alias(points))
 
 
 def _small(df: DataFrame) -> tuple[DataFrame, bool]:

@@ -413,4 +413,6 @@ FROM sm""",
   {", ".join(FEATURE_NAMES)}, label,
   CASE WHEN period = 2001 THEN 'test' ELSE 'train' END AS split
 FROM features WHERE period >= 1998""",
+    "pipeline_roundtrip": FEATURES + """SELECT entity, period, step, TRUE AS same
+FROM features WHERE period = 2001""",
 }

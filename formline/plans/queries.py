@@ -546,16 +546,16 @@ def score_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def pipeline_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Predictions before saving and after loading."""
+    """Whether predictions before saving and after loading agree, for each row."""
     train, _, test = _frames(spark, sf_dir)
     stages = [*PRESETS["scaled"](ROLES), training.random_forest(n_estimators=3)]
     model = Pipeline(stages=stages).fit(train)
     path = fresh_path(spark, "pipeline")
     training.save_pipeline(model, path)
     before = training.score_table(model, test, "before")
-    return training.score_table(training.load_pipeline(path), before, "after").select(
-        "entity", "period", "step", "before", "after"
-    )
+    both = training.score_table(training.load_pipeline(path), before, "after")
+    same = F.col("before") == F.col("after")
+    return both.select("entity", "period", "step", same.alias("same"))
 
 
 @query

@@ -46,8 +46,21 @@ class RosterColumns:
         return [self.name, self.position, self.value, self.club, self.points]
 
 
+@dataclass(frozen=True)
+class TransferCharge:
+    """Points taken off per transfer beyond the free ones, counted against the first roster."""
+
+    # One free transfer, two points for each further one.
+    n_free: int = 1
+    penalty: float = 2
+
+    def of(self, n_transfers: Column) -> Column:
+        return (F.greatest(n_transfers - self.n_free, F.lit(0)) * self.penalty).cast("double")
+
+
 COLUMNS = RosterColumns()
 RULES = RosterRules()
+CHARGE = TransferCharge()
 
 
 def player_pool(
@@ -282,14 +295,17 @@ def _taken_clubs(rules: RosterRules, cols: RosterColumns) -> Column:
 
 def _outgoing(squads: DataFrame, rules: RosterRules, cols: RosterColumns) -> DataFrame:
     """One row per team and member, with what a replacement has to respect."""
+    first = [c for c in squads.columns if c == "_first"]
     return squads.select(
         cols.team,
         "_spare",
+        *first,
         F.transform("_members", lambda m: m[cols.name]).alias("_names"),
         _taken_clubs(rules, cols).alias("_taken"),
         F.explode("_members").alias("_out"),
     ).select(
         cols.team,
+        *first,
         F.col(f"_out.{cols.name}").alias("out"),
         F.col(f"_out.{cols.position}").alias("_position"),
         F.col(f"_out.{cols.points}").alias("_out_points"),
@@ -352,27 +368,27 @@ def swap_candidates(
     )
 
 
-def _contenders(pool: DataFrame, rules: RosterRules, cols: RosterColumns) -> DataFrame:
+def _contenders(
+    pool: DataFrame, rules: RosterRules, cols: RosterColumns, charged: bool = False
+) -> DataFrame:
     """The pool rows that can be some legal team's best replacement, ranked by position.
 
     Players alike in position, club and value differ only in points and in being members already,
     and a legal team has at most ``max_per_club`` of them. The best ``max_per_club + 1`` of each
-    kind therefore suffice, exactly.
+    kind therefore suffice, exactly. Where transfers are ``charged``, former members come cheaper
+    than others of their kind, so all players stay.
     """
     best_first = [F.col(cols.points).desc(), F.col(cols.name).asc()]
-    alike = Window.partitionBy(cols.position, cols.club, cols.value).orderBy(*best_first)
-    return (
-        pool.select(*cols.player)
-        .withColumn("_alike", F.row_number().over(alike))
-        .where(F.col("_alike") <= rules.max_per_club + 1)
-        .withColumn(
-            "rank",
-            F.row_number().over(Window.partitionBy(cols.position).orderBy(*best_first)).cast(
-                "long"
-            ),
+    players = pool.select(*cols.player)
+    if not charged:
+        alike = Window.partitionBy(cols.position, cols.club, cols.value).orderBy(*best_first)
+        players = (
+            players.withColumn("_alike", F.row_number().over(alike))
+            .where(F.col("_alike") <= rules.max_per_club + 1)
+            .drop("_alike")
         )
-        .drop("_alike")
-    )
+    by_position = Window.partitionBy(cols.position).orderBy(*best_first)
+    return players.withColumn("rank", F.row_number().over(by_position).cast("long"))
 
 
 def _best_swaps(
@@ -381,17 +397,44 @@ def _best_swaps(
     small: bool,
     rules: RosterRules,
     cols: RosterColumns,
+    charge: TransferCharge | None = None,
 ) -> DataFrame:
-    """(team, out, in, gain and the entering player), the best swap of each squad that has one.
+    """(team, ``_swap``): the best swap of each squad that has one, with the entering player.
 
     For one outgoing member the best replacement is the one of lowest rank: a minimum over a
     long, taken in hash tables beside the join, so candidate pairs are neither sorted nor moved.
+    Under a ``charge`` there are two minima, as members of the first roster (``_first``) return
+    without counting as a transfer.
     """
     outgoing = _outgoing(squads, rules, cols)
+    keys = [cols.team, "out", "_position", "_out_points"]
+    returns, cost = F.lit(False), F.lit(0.0)
+    if charge is not None:
+        moved = F.size(F.array_except("_names", "_first"))
+        leaves = (~F.array_contains("_first", F.col("out"))).cast("int")
+        outgoing = outgoing.withColumns({"_moved": moved, "_leaves": leaves})
+        keys += ["_moved", "_leaves"]
+        returns = F.array_contains("_first", F.col(f"_in_{cols.name}"))
+        after = F.col("_moved") - F.col("_leaves") + F.col("_option.joins")
+        cost = charge.of(after) - charge.of(F.col("_moved"))
+    options = [(returns, 0), (~returns, 1)] if charge is not None else [(~returns, 1)]
     lowest = (
         _with_replacements(outgoing, contenders, small, _fits(cols), cols)
-        .groupBy(cols.team, "out", "_position", "_out_points")
-        .agg(F.min("_in_rank").alias("_rank"))
+        .groupBy(*keys)
+        .agg(*[F.min(F.when(which, F.col("_in_rank"))).alias(f"_rank_{j}") for which, j in options])
+        .withColumn(
+            "_option",
+            F.explode(
+                F.array(
+                    *[
+                        F.struct(F.lit(j).alias("joins"), F.col(f"_rank_{j}").alias("rank"))
+                        for _, j in options
+                    ]
+                )
+            ),
+        )
+        .withColumn("_rank", F.col("_option.rank"))
+        .where(F.col("_rank").isNotNull())
     )
     entering = contenders.select(
         F.col(cols.position).alias("_position"),
@@ -400,14 +443,20 @@ def _best_swaps(
     )
     if small:
         entering = F.broadcast(entering)
-    ranked = lowest.join(entering, ["_position", "_rank"]).select(
-        cols.team,
-        F.struct(
-            (F.col("_out_points") - F.col(f"_in.{cols.points}")).alias("loss"),
-            F.col("out"),
-            F.col(f"_in.{cols.name}").alias("in"),
-            F.col("_in"),
-        ).alias("_swap"),
+    loss = F.col("_out_points") - F.col(f"_in.{cols.points}") + cost
+    ranked = (
+        lowest.join(entering, ["_position", "_rank"])
+        .withColumn("_loss", loss)
+        .where(F.col("_loss") < 0)
+        .select(
+            cols.team,
+            F.struct(
+                F.col("_loss").alias("loss"),
+                F.col("out"),
+                F.col(f"_in.{cols.name}").alias("in"),
+                F.col("_in"),
+            ).alias("_swap"),
+        )
     )
     return ranked.groupBy(cols.team).agg(F.min("_swap").alias("_swap"))
 
@@ -449,18 +498,23 @@ def improve_rosters(
     pool: DataFrame,
     rules: RosterRules = RULES,
     n_steps: int = 10,
+    charge: TransferCharge | None = None,
     cols: RosterColumns = COLUMNS,
 ) -> DataFrame:
     """Legal rosters after up to ``n_steps`` best swaps, all teams advancing together.
 
-    Squads are shuffled by team once; each step keeps that placement. Between steps they are
-    checkpointed, and the loop ends early when no team improved.
+    With a ``charge``, a swap counts by its gain less what it adds to the charge for transfers
+    since the given rosters. Squads are shuffled by team once; each step keeps that placement.
+    Between steps they are checkpointed, and the loop ends early when no team improved.
     """
     pool = broadcast_within(pool)
-    contenders, small = _small(_contenders(pool, rules, cols))
+    contenders, small = _small(_contenders(pool, rules, cols, charge is not None))
     squads = _squads(rosters, pool, rules, cols, F.col("legal"))
+    if charge is not None:
+        squads = squads.withColumn("_first", F.transform("_members", lambda m: m[cols.name]))
     for left in range(n_steps - 1, -1, -1):
-        squads = _advance(squads, contenders, small, rules, cols)
+        swaps = _best_swaps(squads, contenders, small, rules, cols, charge)
+        squads = _advance(squads, swaps, cols)
         if left == 0:
             break
         squads = cut_lineage(squads)
@@ -472,34 +526,28 @@ def improve_rosters(
     )
 
 
-def _advance(
-    squads: DataFrame,
-    contenders: DataFrame,
-    small: bool,
-    rules: RosterRules,
-    cols: RosterColumns,
-) -> DataFrame:
-    swaps = _best_swaps(squads, contenders, small, rules, cols)
-    moved = squads.join(swaps, cols.team, "left")
+def _advance(squads: DataFrame, swaps: DataFrame, cols: RosterColumns) -> DataFrame:
+    """Squads after their swap, with whether there was one."""
     leaving, entering = F.col("_swap.out"), F.col("_swap._in")
     changed = F.col("_swap").isNotNull()
     given_up = F.element_at(
         F.filter("_members", lambda m: m[cols.name] == leaving), 1
     ).getField(cols.value)
-    return moved.select(
-        cols.team,
-        F.when(changed, F.col("_spare") + given_up - entering[cols.value])
-        .otherwise(F.col("_spare"))
-        .alias("_spare"),
-        F.when(
-            changed,
-            F.transform(
-                "_members", lambda m: F.when(m[cols.name] == leaving, entering).otherwise(m)
-            ),
+    replaced = F.transform(
+        "_members", lambda m: F.when(m[cols.name] == leaving, entering).otherwise(m)
+    )
+    return (
+        squads.join(swaps, cols.team, "left")
+        .withColumns(
+            {
+                "_spare": F.when(
+                    changed, F.col("_spare") + given_up - entering[cols.value]
+                ).otherwise(F.col("_spare")),
+                "_members": F.when(changed, replaced).otherwise(F.col("_members")),
+                "_changed": changed,
+            }
         )
-        .otherwise(F.col("_members"))
-        .alias("_members"),
-        changed.alias("_changed"),
+        .drop("_swap")
     )
 
 
@@ -507,8 +555,7 @@ def transfer_cost(
     before: DataFrame,
     after: DataFrame,
     pool: DataFrame,
-    n_free: int = 1,
-    penalty: float = 2,
+    charge: TransferCharge = CHARGE,
     cols: RosterColumns = COLUMNS,
 ) -> DataFrame:
     """Transfers, penalty and points net of it, per team of ``after``.
@@ -531,10 +578,7 @@ def transfer_cost(
             F.sum("_new").alias("n_transfers"),
             F.coalesce(F.sum(cols.points), F.lit(0)).cast("double").alias("total_points"),
         )
-        .withColumn(
-            "penalty",
-            (F.greatest(F.col("n_transfers") - n_free, F.lit(0)) * penalty).cast("double"),
-        )
+        .withColumn("penalty", charge.of(F.col("n_transfers")))
         .withColumn("net_points", F.col("total_points") - F.col("penalty"))
     )
 

@@ -393,6 +393,18 @@ WHERE NOT EXISTS (SELECT 1 FROM ro WHERE ro.team = d.team AND ro.name = i.name)"
 first_step AS ({_applied("legal", "best")}),
 next_candidates AS ({_candidates("first_step")}),
 next_best AS ({_best("next_candidates")})
+{_applied("first_step", "next_best")}""",
+    "improve_with_transfers": f"""{SWAPS},
+first_step AS ({_applied("legal", "best")}),
+gross AS ({_candidates("first_step")}),
+net AS (
+  SELECT g.team, g.out, g."in",
+         g.gain - CASE WHEN o.name IS NOT NULL AND i.name IS NULL THEN 500 ELSE 0 END AS gain
+  FROM gross g
+  LEFT JOIN legal o ON o.team = g.team AND o.name = g.out
+  LEFT JOIN legal i ON i.team = g.team AND i.name = g."in"),
+paying AS (SELECT * FROM net WHERE gain > 0),
+next_best AS ({_best("paying")})
 {_applied("first_step", "next_best")}""",
     "best_trial": f"""{_trials()}
 SELECT run_id, val_r2 AS value FROM trials ORDER BY val_r2 DESC, run_id LIMIT 1""",

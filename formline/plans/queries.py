@@ -412,6 +412,13 @@ def improve_rosters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rosters.improve_rosters(*_swap_inputs(spark, sf_dir), n_steps=2)
 
 
+@query
+def improve_with_transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two steps when every transfer after the first costs 500 points."""
+    charge = rosters.TransferCharge(n_free=1, penalty=500)
+    return rosters.improve_rosters(*_swap_inputs(spark, sf_dir), n_steps=2, charge=charge)
+
+
 # --- trials --------------------------------------------------------------------------------
 
 

@@ -162,6 +162,36 @@ def test_improving_climbs_until_no_swap_is_left(spark):
     assert found == {t: {m[0] for m in ms} for t, ms in state.items()}
 
 
+@pytest.mark.parametrize("n_free, penalty", [(0, 1.0), (1, 2.0), (2, 3.0)])
+def test_improving_pays_for_transfers(spark, n_free, penalty):
+    pool, teams = small_league(7)
+    first = {t: m for t, m in teams.items() if is_legal(m)}
+    names = {t: {m[0] for m in ms} for t, ms in first.items()}
+    state, by_name = dict(first), {p[0]: p for p in pool}
+
+    def paid(t, members):
+        return penalty * max(len({m[0] for m in members} - names[t]) - n_free, 0)
+
+    while True:
+        best = {}
+        for t, out, new, gain in brute_candidates(pool, state):
+            after = [m for m in state[t] if m[0] != out] + [by_name[new]]
+            net = gain - paid(t, after) + paid(t, state[t])
+            if net > 0 and (t not in best or (-net, out, new) < best[t]):
+                best[t] = (-net, out, new)
+        if not best:
+            break
+        for t, (_, out, new) in best.items():
+            state[t] = [m for m in state[t] if m[0] != out] + [by_name[new]]
+    got = R.improve_rosters(
+        *league_frames(spark, pool, teams), RULES, 50, R.TransferCharge(n_free, penalty)
+    )
+    found = {}
+    for r in got.collect():
+        found.setdefault(r["team"], set()).add(r["name"])
+    assert found == {t: {m[0] for m in ms} for t, ms in state.items()}
+
+
 def test_applying_a_swap_leaves_other_teams_alone(spark, rows):
     rosters = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "x")], "team string, name string")
     swaps = spark.createDataFrame([("a", "x", "z")], "team string, out string, in string")

@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from formline.operators.assemble import union_all
 from formline.session import BROADCAST_ROWS, broadcast_within, cut_lineage, rows_within
 
 SALTS = 64
@@ -504,26 +505,32 @@ def improve_rosters(
     """Legal rosters after up to ``n_steps`` best swaps, all teams advancing together.
 
     With a ``charge``, a swap counts by its gain less what it adds to the charge for transfers
-    since the given rosters. Squads are shuffled by team once; each step keeps that placement.
-    Between steps they are checkpointed, and the loop ends early when no team improved.
+    since the given rosters. A team without a swap has arrived and leaves the loop, which ends
+    early when none is left. Between steps squads are checkpointed, then placed by team for the
+    candidates and for the new squads; nothing else in a step is shuffled.
     """
     pool = broadcast_within(pool)
     contenders, small = _small(_contenders(pool, rules, cols, charge is not None))
     squads = _squads(rosters, pool, rules, cols, F.col("legal"))
     if charge is not None:
         squads = squads.withColumn("_first", F.transform("_members", lambda m: m[cols.name]))
+    arrived = []
     for left in range(n_steps - 1, -1, -1):
         swaps = _best_swaps(squads, contenders, small, rules, cols, charge)
         squads = _advance(squads, swaps, cols)
         if left == 0:
+            arrived.append(squads)
             break
         squads = cut_lineage(squads)
-        if squads.where("_changed").isEmpty():
+        arrived.append(squads.where(~F.col("_changed")))
+        squads = squads.where("_changed").drop("_changed")
+        if squads.isEmpty():
             break
-        squads = squads.drop("_changed")
-    return squads.select(
-        cols.team, F.explode(F.transform("_members", lambda m: m[cols.name])).alias(cols.name)
-    )
+        squads = squads.repartition(cols.team)
+    names = F.explode(F.transform("_members", lambda m: m[cols.name])).alias(cols.name)
+    if not arrived:
+        return squads.select(cols.team, names)
+    return union_all([part.select(cols.team, names) for part in arrived])
 
 
 def _advance(squads: DataFrame, swaps: DataFrame, cols: RosterColumns) -> DataFrame:

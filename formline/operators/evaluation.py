@@ -50,33 +50,33 @@ def average_ranks(
     column: str,
     out: str = "rank",
     by: Sequence[str] = (),
-    n_distinct: int | None = None,
+    rows_per_range: int = RANK_ROWS,
 ) -> DataFrame:
     """(``by``, value, ``out``): the average rank of each distinct value of a numeric column.
 
-    ``n_distinct`` is a rough count of the values, taken here unless the caller has one.
+    Above ``rows_per_range`` rows the ordering is spread over ranges of about that many.
     """
-    if n_distinct is None:
-        n_distinct = df.agg(F.approx_count_distinct(column).alias("n")).first()["n"]
-    rows = df.select(*by, F.col(column).cast("double").alias("value"), F.lit(1).alias("_n"))
-    return _ranked_values(rows.where(F.col("value").isNotNull()), by, n_distinct, out)
+    rows = df.select(
+        *by, F.col(column).cast("double").alias("value"), F.lit(1).alias("_n")
+    ).where(F.col("value").isNotNull())
+    (borders,) = _range_borders(rows, ["value"], rows.count(), rows_per_range)
+    return _ranked_values(rows, by, borders, out)
 
 
 def _ranked_values(
-    rows: DataFrame, by: Sequence[str], n_distinct: int, out: str
+    rows: DataFrame, by: Sequence[str], borders: Sequence[float], out: str
 ) -> DataFrame:
     """Average ranks of ``value``, which occurs ``_n`` times per row.
 
-    Equal values are counted before anything is ordered. More than RANK_ROWS distinct values are
-    cut into ranges of similar size; a running count inside each range plus the total of the
-    ranges below gives the rank, so no task orders more than one range.
+    Equal values are counted before anything is ordered. The distinct values are then cut into
+    ranges at ``borders``; a running count inside each range plus the total of the ranges below
+    gives the rank, so no task orders more than one range.
     """
     values = rows.groupBy(*by, "value").agg(F.sum("_n").alias("_n"))
-    borders = _range_borders(values, n_distinct)
     running = (Window.unboundedPreceding, Window.currentRow)
     average = -(F.col("_n") - 1) / 2
     if not borders:
-        # Few distinct values: an ordered task of bounded size per group.
+        # Few values: ordered in one task per group.
         upto = F.sum("_n").over(Window.partitionBy(*by).orderBy("value").rowsBetween(*running))
         return values.select(*by, "value", (upto + average).alias(out))
     ranged = Bucketizer(
@@ -99,54 +99,55 @@ def _ranked_values(
     )
 
 
-def _range_borders(values: DataFrame, n_distinct: int) -> list[float]:
-    """Borders that cut distinct ``value``s into ranges of about RANK_ROWS."""
-    n_ranges = min(math.ceil(n_distinct / RANK_ROWS), MAX_RANGES)
+def _range_borders(
+    df: DataFrame, columns: Sequence[str], n_rows: int, rows_per_range: int
+) -> list[list[float]]:
+    """Per column, borders that leave about ``rows_per_range`` rows, hence no more values, between.
+
+    Quantiles come from sketches of a plain scan. A value with more rows than that lies between
+    equal borders, which fall into one; counted values make it a single row.
+    """
+    n_ranges = min(math.ceil(n_rows / rows_per_range), MAX_RANGES)
     if n_ranges <= 1:
-        return []
+        return [[] for _ in columns]
     shares = [i / n_ranges for i in range(1, n_ranges)]
-    cuts = values.approxQuantile("value", shares, 0.1 / n_ranges)
-    return sorted({c for c in cuts if math.isfinite(c)})
+    cuts = df.approxQuantile(list(columns), shares, 0.1 / n_ranges)
+    return [sorted({c for c in column if math.isfinite(c)}) for column in cuts]
 
 
 def spearman(
-    df: DataFrame, label: str, prediction: str, out: str = "rho", by: Sequence[str] = ()
+    df: DataFrame,
+    label: str,
+    prediction: str,
+    out: str = "rho",
+    by: Sequence[str] = (),
+    rows_per_range: int = RANK_ROWS,
 ) -> DataFrame:
     """Spearman's rank correlation with ties averaged, one row in all or per group of ``by``.
 
-    Rows are first counted per (label, prediction) pair, and both columns are ranked in one pass.
-    Ranks meet the pairs by value; the rank table has one row per value, so only the pair side of
-    those joins can be skewed, which Spark splits at run time.
+    Rows are first counted per (label, prediction) pair. Ranks meet the pairs by value; each rank
+    table has one row per value, so only the pair side of those joins can be skewed, which Spark
+    splits at run time. ``rows_per_range`` as in :func:`average_ranks`.
     """
     rows = df.select(
         *by,
         F.col(label).cast("double").alias("_y"),
         F.col(prediction).cast("double").alias("_p"),
     ).where(F.col("_y").isNotNull() & F.col("_p").isNotNull())
-    size = rows.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.approx_count_distinct("_y").alias("y"),
-        F.approx_count_distinct("_p").alias("p"),
-    ).first()
+    n_rows = rows.count()
     pairs = rows.groupBy(*by, "_y", "_p").agg(F.count(F.lit(1)).alias("_c"))
-    both = F.array(
-        F.struct(F.lit("y").alias("_of"), F.col("_y").alias("value")),
-        F.struct(F.lit("p").alias("_of"), F.col("_p").alias("value")),
-    )
-    stacked = pairs.select(*by, F.col("_c").alias("_n"), F.inline(both))
-    ranks = _ranked_values(stacked, [*by, "_of"], size["y"] + size["p"], "_rank")
+    borders = _range_borders(rows, ["_y", "_p"], n_rows, rows_per_range)
     ranked = pairs
-    for of in ("y", "p"):
-        one = ranks.where(F.col("_of") == of).select(
-            *by, F.col("value").alias(f"_{of}"), F.col("_rank").alias(f"_r{of}")
-        )
-        ranked = ranked.join(one, [*by, f"_{of}"])
+    for column, own, rank in zip(("_y", "_p"), borders, ("_ry", "_rp"), strict=True):
+        values = pairs.select(*by, F.col(column).alias("value"), F.col("_c").alias("_n"))
+        ranks = _ranked_values(values, by, own, rank).withColumnRenamed("value", column)
+        ranked = ranked.join(ranks, [*by, column])
     # The mean of average ranks is (n + 1) / 2 whatever the ties.
     if by:
         ranked = ranked.join(rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_size")), [*by])
         middle = (F.col("_size") + 1) / 2
     else:
-        middle = F.lit((size["n"] + 1) / 2)
+        middle = F.lit((n_rows + 1) / 2)
     dy, dp = F.col("_ry") - middle, F.col("_rp") - middle
     return ranked.groupBy(*by).agg(
         F.try_divide(

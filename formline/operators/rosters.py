@@ -617,7 +617,7 @@ def weekly_reward(
         scaffold = rosters.select(cols.team, step).distinct()
         scored = rosters.join(earned, [cols.name, step])
     else:
-        last = facts.agg(F.max(step).alias("last")).first()["last"] or 0
+        last = earned.agg(F.max(step).alias("last")).first()["last"] or 0
         every = F.explode(F.sequence(F.lit(1), F.lit(last))) if last else F.explode(F.array())
         scaffold = rosters.select(cols.team).distinct().select(cols.team, every.alias(step))
         scored = rosters.join(earned, cols.name)

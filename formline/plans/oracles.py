@@ -325,10 +325,10 @@ r AS (SELECT rank() OVER (ORDER BY y) + (count(*) OVER (PARTITION BY y) - 1) / 2
              rank() OVER (ORDER BY p) + (count(*) OVER (PARTITION BY p) - 1) / 2.0 AS rp
       FROM rg)
 SELECT round(corr(ry, rp), 8) AS rho FROM r""",
-    "average_ranks": """SELECT DISTINCT o_totalprice AS value,
-       CAST(rank() OVER (ORDER BY o_totalprice)
-            + (count(*) OVER (PARTITION BY o_totalprice) - 1) / 2.0 AS DOUBLE) AS rank
-FROM orders""",
+    "average_ranks": """SELECT DISTINCT l_extendedprice AS value,
+       CAST(rank() OVER (ORDER BY l_extendedprice)
+            + (count(*) OVER (PARTITION BY l_extendedprice) - 1) / 2.0 AS DOUBLE) AS rank
+FROM lineitem""",
     "ols_trend": f"""WITH {REGRESSION}
 SELECT stage, round(regr_slope(p, y), 8) AS slope, round(regr_intercept(p, y), 3) AS intercept,
        round(regr_r2(p, y), 8) AS r2, round(least(min(y), min(p)), 2) AS lo,

@@ -299,9 +299,9 @@ def spearman(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def average_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Through several ranges, as when the distinct values exceed one task."""
+    """In ranges of few rows, as when the values exceed one task."""
     return evaluation.average_ranks(
-        P.table(spark, sf_dir, "orders"), "o_totalprice", n_distinct=8 * evaluation.RANK_ROWS
+        P.table(spark, sf_dir, "lineitem"), "l_extendedprice", rows_per_range=10_000
     )
 
 

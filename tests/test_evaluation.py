@@ -24,7 +24,7 @@ def test_spearman_averages_ties(spark, data):
         assert got[stage] == pytest.approx(want) if not np.isnan(want) else got[stage] is None
 
 
-def test_ranks_in_ranges_equal_ranks_in_one(spark, monkeypatch):
+def test_ranks_in_ranges_equal_ranks_in_one(spark):
     rng = np.random.default_rng(0)
     values = np.concatenate([rng.normal(size=3000).round(2), np.full(1500, 0.5)])
     df = spark.createDataFrame(
@@ -32,12 +32,12 @@ def test_ranks_in_ranges_equal_ranks_in_one(spark, monkeypatch):
         "s string, y double, p double",
     )
     plain = E.spearman(df, "y", "p").first()["rho"]
-    monkeypatch.setattr(E, "RANK_ROWS", 20)
-    ranks = {r["value"]: r["rank"] for r in E.average_ranks(df, "y").collect()}
+    ranks = {r["value"]: r["rank"] for r in E.average_ranks(df, "y", rows_per_range=20).collect()}
     want = pd.Series(values).rank()
     assert all(ranks[v] == w for v, w in zip(values, want, strict=True))
-    assert E.spearman(df, "y", "p").first()["rho"] == pytest.approx(plain)
-    by = {r["s"]: r["rho"] for r in E.spearman(df, "y", "p", by=["s"]).collect()}
+    assert E.spearman(df, "y", "p", rows_per_range=50).first()["rho"] == pytest.approx(plain)
+    found = E.spearman(df, "y", "p", by=["s"], rows_per_range=500)
+    by = {r["s"]: r["rho"] for r in found.collect()}
     for k, s in enumerate("ab"):
         part = pd.Series(values[k::2])
         assert by[s] == pytest.approx(part.rank().corr((part * part).rank()))

@@ -6,16 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from formline.llm import bpe_count, lang_id, mixture
+from formline.llm import bpe_count, kneser_ney, lang_id, mixture, simhash
 from formline.llm.common import read_table
 
 
+def op1_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicate_groups(read_table(spark, sf_dir, "documents"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return bpe_count.count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op6_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.train_and_score(read_table(spark, sf_dir, "documents"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.predictions(read_table(spark, sf_dir, "documents"))
 
@@ -25,6 +33,6 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_token_counts, op9_language_id, op10_source_mix)
+    f.__name__: f for f in (op1_simhash_groups, op4_token_counts, op6_kneser_ney, op9_language_id, op10_source_mix)
 }
 ORACLES: dict[str, str] = {}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from formline.llm import bpe_count, kneser_ney, lang_id, mixture, simhash
+from formline.llm import bpe_count, kneser_ney, lang_id, mixture, simhash, suffix_dedup
 from formline.llm.common import read_table
 
 
@@ -14,6 +14,10 @@ def op1_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_groups(read_table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeats_removed(read_table(spark, sf_dir, "documents"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -33,6 +37,6 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_groups, op4_token_counts, op6_kneser_ney, op9_language_id, op10_source_mix)
+    f.__name__: f for f in (op1_simhash_groups, op3_suffix_dedup, op4_token_counts, op6_kneser_ney, op9_language_id, op10_source_mix)
 }
 ORACLES: dict[str, str] = {}

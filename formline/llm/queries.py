@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from formline.llm import bpe_count, kneser_ney, lang_id, mixture, simhash, suffix_dedup
+from formline.llm import bpe_count, kneser_ney, lang_id, mixture, prefix_forest, simhash, suffix_dedup, url_filter
 from formline.llm.common import read_table
 
 
+#: The rules of ``op8_url_filter``.
+URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
+
+
 def op1_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_groups(read_table(spark, sf_dir, "documents"))
 
@@ -28,6 +32,14 @@ def op6_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.train_and_score(read_table(spark, sf_dir, "documents"))
 
 
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_forest.nearest(read_table(spark, sf_dir, "embeddings"))
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(read_table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.predictions(read_table(spark, sf_dir, "documents"))
 
@@ -37,6 +49,16 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_groups, op3_suffix_dedup, op4_token_counts, op6_kneser_ney, op9_language_id, op10_source_mix)
+    f.__name__: f
+    for f in (
+        op1_simhash_groups,
+        op3_suffix_dedup,
+        op4_token_counts,
+        op6_kneser_ney,
+        op7_nearest_neighbours,
+        op8_url_filter,
+        op9_language_id,
+        op10_source_mix,
+    )
 }
 ORACLES: dict[str, str] = {}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from formline.llm import bpe_count, kneser_ney, lang_id, mixture, prefix_forest, simhash, suffix_dedup, url_filter
+from formline.llm import bpe_count, decontaminate, kneser_ney, lang_id, mixture, prefix_forest, simhash, suffix_dedup, url_filter
 from formline.llm.common import read_table
 
 
@@ -28,6 +28,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_count.count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op6_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.train_and_score(read_table(spark, sf_dir, "documents"))
 
@@ -54,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_simhash_groups,
         op3_suffix_dedup,
         op4_token_counts,
+        op5_decontamination,
         op6_kneser_ney,
         op7_nearest_neighbours,
         op8_url_filter,

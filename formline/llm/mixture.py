@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from formline.llm.common import written
+from formline.llm.common import STEP_BYTES, written
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
@@ -37,21 +37,24 @@ _GAP[[0x20, *range(0x09, 0x0E)]] = True
 
 
 def word_counts(column: pa.Array) -> np.ndarray:
-    """Number of words of each text of a string column, over the column's bytes at once."""
+    """Number of words of each text of a string column, over the bytes of many texts at once."""
     column = column.cast(pa.large_binary())
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
-    if not len(column) or offsets[0] == offsets[-1]:
-        return np.zeros(len(column), np.int64)
-    data = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
-    offsets = offsets - offsets[0]
-    gap = _GAP[data]
-    start = ~gap
-    start[1:] &= gap[:-1]
-    # the first byte of a text starts a word whatever ends the text before
-    first = offsets[:-1][offsets[:-1] < offsets[1:]]
-    start[first] = ~gap[first]
-    total = np.concatenate([[0], np.cumsum(start, dtype=np.int64)])
-    return total[offsets[1:]] - total[offsets[:-1]]
+    counts = np.zeros(len(column), np.int64)
+    at = 0
+    while at < len(column):
+        end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + STEP_BYTES, side="right")) - 1)
+        borders = offsets[at : end + 1] - offsets[at]
+        full = np.flatnonzero(np.diff(borders))
+        if len(full):
+            gap = _GAP[np.frombuffer(column.buffers()[2], np.uint8, int(borders[-1]), int(offsets[at]))]
+            start = ~gap
+            start[1:] &= gap[:-1]
+            first = borders[full]
+            start[first] = ~gap[first]  # a text's first byte starts a word whatever ends the text before
+            counts[at + full] = np.add.reduceat(start, first, dtype=np.int64)
+        at = end
+    return counts
 
 
 def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:

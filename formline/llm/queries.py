@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from formline.llm import bpe_count, decontaminate, kneser_ney, lang_id, mixture, prefix_forest, simhash, suffix_dedup, url_filter
+from formline.llm import bpe_count, decontaminate, html_text, kneser_ney, lang_id, mixture, prefix_forest, simhash, suffix_dedup, url_filter
 from formline.llm.common import read_table
 
 
@@ -18,6 +18,10 @@ def op1_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_groups(read_table(spark, sf_dir, "documents"))
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeats_removed(read_table(spark, sf_dir, "documents"))
 
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_simhash_groups,
+        op2_html_text,
         op3_suffix_dedup,
         op4_token_counts,
         op5_decontamination,

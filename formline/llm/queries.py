@@ -71,4 +71,49 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_source_mix,
     )
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    # every passage of every text against every item, from shared five-word shingles
+    "op5_decontamination": r"""
+WITH items AS (
+  SELECT item_id, words, n, least(5, n) AS width, n - greatest(1, n // 3) AS question
+  FROM (SELECT item_id, w AS words, len(w) AS n
+        FROM (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM benchmark))
+  WHERE n > 0
+), reach AS (
+  SELECT CAST((max(n) - 1 + 31) // 32 + 1 AS BIGINT) AS r FROM items
+), item_shingles AS (
+  SELECT item_id, width, p, array_to_string(words[p + 1 : p + width], ' ') AS sh
+  FROM (SELECT *, unnest(range(0, n - width + 1)) AS p FROM items)
+), sizes AS (
+  SELECT item_id, count(DISTINCT sh) AS m FROM item_shingles GROUP BY item_id
+), texts AS (
+  SELECT doc_id, words, len(words) AS n
+  FROM (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS words FROM documents)
+), text_shingles AS (
+  SELECT doc_id, n, width, p, array_to_string(words[p + 1 : p + width], ' ') AS sh
+  FROM (SELECT *, unnest(range(0, n - width + 1)) AS p
+        FROM texts CROSS JOIN (SELECT DISTINCT width FROM items) WHERE n >= width)
+), hits AS (
+  SELECT doc_id, item_id, sh,
+         unnest(range(greatest(0, (p + t.width + 31) // 32 - r),
+                      least(p // 32, greatest((n + 31) // 32 - r, 0)) + 1)) AS k
+  FROM text_shingles t JOIN (SELECT DISTINCT item_id, width, sh FROM item_shingles) i USING (width, sh)
+       CROSS JOIN reach
+), shares AS (
+  SELECT doc_id, k, item_id, count(DISTINCT sh) / any_value(m) AS share
+  FROM hits JOIN sizes USING (item_id) GROUP BY doc_id, k, item_id
+), covered AS (
+  SELECT DISTINCT doc_id, k, h.item_id, unnest(range(p, p + width)) AS place
+  FROM hits h JOIN item_shingles s ON h.item_id = s.item_id AND h.sh = s.sh
+), parts AS (
+  SELECT doc_id, k, c.item_id,
+         count(*) FILTER (place < question) AS q, any_value(question) AS nq,
+         count(*) FILTER (place >= question) AS a, any_value(n - question) AS na
+  FROM covered c JOIN items i ON c.item_id = i.item_id GROUP BY doc_id, k, c.item_id
+)
+SELECT doc_id, item_id, count(*) AS n_passages, max(share) AS similarity
+FROM shares JOIN parts USING (doc_id, k, item_id)
+WHERE share >= 0.8 - 1e-9 AND 2 * q >= nq AND 2 * a >= na
+GROUP BY doc_id, item_id
+""",
+}

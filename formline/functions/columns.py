@@ -34,11 +34,16 @@ def quoted(name: str) -> str:
 
 
 def id_text(df: DataFrame, column: str) -> Column:
-    """An identifier as text; floating point ids lose their ``.0``."""
+    """An identifier as text; a whole number written with ``.0``, as number or as text, loses it."""
     c = F.col(quoted(column))
     if isinstance(df.schema[column].dataType, (T.FloatType, T.DoubleType)):
         c = c.cast("long")
-    return c.cast("string")
+    return whole_number_text(c.cast("string"))
+
+
+def whole_number_text(text: Column) -> Column:
+    """``12`` for ``12.0``; any other text as it is."""
+    return F.regexp_replace(text, r"^\s*(-?\d+)\.0+\s*$", "$1")
 
 
 def no_nan(df: DataFrame) -> DataFrame:

@@ -185,24 +185,37 @@ class EncodeColumnsModel(Model, HasInputCols, _Stored):
 class AssembleFeatures(Transformer, _Stored):
     """Columns with the given prefixes as vector ``features``, the label column as ``label``.
 
-    Tables without the label column (to be scored) only get the vector.
+    Tables without the label column (to be scored) only get the vector. ``missing`` says what becomes
+    of rows that lack a feature: ``error``, ``skip`` (the row goes) or ``zero`` (the feature is 0).
     """
 
     prefixes = _strings("prefixes", "prefixes of the feature columns")
     labelColumn = Param(
         Params._dummy(), "labelColumn", "column to learn", TypeConverters.toString
     )
+    missing = Param(
+        Params._dummy(), "missing", "error, skip or zero where a feature is missing", TypeConverters.toString
+    )
 
     @keyword_only
-    def __init__(self, *, prefixes: Sequence[str] = ("X_",), labelColumn: str = "label"):
+    def __init__(
+        self, *, prefixes: Sequence[str] = ("X_",), labelColumn: str = "label", missing: str = "error"
+    ):
         super().__init__()
-        self._set(prefixes=list(prefixes), labelColumn=labelColumn)
+        if missing not in ("error", "skip", "zero"):
+            raise ValueError(f"missing must be 'error', 'skip' or 'zero', not {missing!r}")
+        self._set(prefixes=list(prefixes), labelColumn=labelColumn, missing=missing)
 
     def _transform(self, df: DataFrame) -> DataFrame:
         features = columns_with_prefix(df, self.getOrDefault(self.prefixes))
         label = self.getOrDefault(self.labelColumn)
+        missing = self.getOrDefault(self.missing)
         numeric = df.withColumns({c: F.col(quoted(c)).cast("double") for c in features})
-        out = VectorAssembler(inputCols=features, outputCol="features").transform(numeric)
+        if missing == "zero":
+            numeric = numeric.fillna(0.0, [quoted(c) for c in features])
+        invalid = "skip" if missing == "skip" else "error"
+        assembler = VectorAssembler(inputCols=features, outputCol="features", handleInvalid=invalid)
+        out = assembler.transform(numeric)
         if label in out.columns:
             out = out.withColumn("label", F.col(quoted(label)).cast("double"))
         return out
@@ -227,16 +240,19 @@ class FeatureRoles:
     label: str
     scaled_prefixes: Sequence[str] = ("X_rolling_", "X_gw_avg_")
     prefix: str = "X_"
+    missing: str = "error"
 
 
 def _plain(roles: FeatureRoles) -> list:
-    return [AssembleFeatures(prefixes=[roles.prefix], labelColumn=roles.label)]
+    return [AssembleFeatures(prefixes=[roles.prefix], labelColumn=roles.label, missing=roles.missing)]
 
 
 def _encoded(roles: FeatureRoles) -> list:
     return [
         EncodeColumns(inputCols=list(roles.categorical)),
-        AssembleFeatures(prefixes=list(roles.feature_prefixes), labelColumn=roles.label),
+        AssembleFeatures(
+            prefixes=list(roles.feature_prefixes), labelColumn=roles.label, missing=roles.missing
+        ),
     ]
 
 

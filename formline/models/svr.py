@@ -118,6 +118,7 @@ class LinearSVR(
                 raise ValueError("no rows to fit")
             width = first["n"] + 1
             weights, kept, lowest, history = np.zeros(width), np.zeros(width), np.inf, []
+            settled = False
             for _ in range(self.getMaxIter() + 1):
                 sums = self._pass(rows, weights, epsilon)
                 objective = 0.5 * weights @ weights + cost * sums[-1]
@@ -138,6 +139,7 @@ class LinearSVR(
             coefficients=kept[:-1].tolist(),
             intercept=float(kept[-1]),
             objectiveHistory=history,
+            converged=bool(settled),
         )
 
     def _pass(self, rows: DataFrame, weights: np.ndarray, epsilon: float) -> np.ndarray:
@@ -160,6 +162,9 @@ class LinearSVRModel(
     objectiveHistory = Param(
         Params._dummy(), "objectiveHistory", "objective per pass", TypeConverters.toListFloat
     )
+    converged = Param(
+        Params._dummy(), "converged", "the last pass gained less than tol", TypeConverters.toBoolean
+    )
 
     @keyword_only
     def __init__(
@@ -170,6 +175,7 @@ class LinearSVRModel(
         coefficients: list[float] = (),
         intercept: float = 0.0,
         objectiveHistory: list[float] = (),
+        converged: bool = False,
     ):
         super().__init__()
         self._set(
@@ -178,8 +184,17 @@ class LinearSVRModel(
             coefficients=list(coefficients),
             intercept=intercept,
             objectiveHistory=list(objectiveHistory),
+            converged=converged,
         )
 
+    def getConverged(self) -> bool:
+        """Whether the fit ended because it had settled, and not at the limit of passes."""
+        return self.getOrDefault(self.converged)
+
+    def getHistory(self) -> list[float]:
+        """The objective after each pass."""
+        return self.getOrDefault(self.objectiveHistory)
+
     def _transform(self, df: DataFrame) -> DataFrame:
         weights = F.array(*[F.lit(w) for w in self.getOrDefault(self.coefficients)])
         products = F.zip_with(

@@ -6,15 +6,16 @@ import itertools
 import random
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from inspect import signature
 
 from pyspark import inheritable_thread_target
-from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from formline.functions.columns import quoted
-from formline.models.svr import LinearSVR
+from formline.models.svr import LinearSVR, LinearSVRModel
 from formline.models.trials import trial_row
 from formline.operators.assemble import union_all
 from formline.operators.evaluation import spearman, stage_metrics
@@ -27,14 +28,14 @@ FOREST_SPACE = {
     "max_samples": [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0],
 }
 BOOSTING_SPACE = {
-    "learning_rate": [0.001, 0.01, 0.1],
+    "learning_rate": [0.1, 0.01, 0.001],
     "n_estimators": [400, 500, 600, 700, 800],
     "subsample": [0.1, 0.25, 0.4, 0.5, 0.6],
 }
 SVR_SPACE = {
     "epsilon": [0.0, 0.05, 0.1, 0.5, 1.0, 2.0, 3.0, 4.0, 5.0],
-    "tol": [1e-5, 1e-4, 1e-3, 1e-2, 1e-1],
-    "C": [0.01, 0.1, 0.25, 0.5, 1.0, 1.5],
+    "tol": [1e-2, 1e-1, 1e-4, 1e-3, 1e-5],
+    "C": [0.01, 0.25, 1.0, 0.5, 0.1, 1.5],
 }
 
 
@@ -46,7 +47,11 @@ def random_forest(
     max_depth: int = 5,
     seed: int = 42,
 ) -> RandomForestRegressor:
-    """A forest on squared error. A node of the least splittable share has two halves of it."""
+    """A forest on squared error. A node of the least splittable share has two halves of it.
+
+    Spark wants that half below 0.5, so shares from 0.98 up all become 0.49 per child; a search logs
+    the value used as ``min_share_per_child``.
+    """
     return RandomForestRegressor(
         numTrees=n_estimators,
         featureSubsetStrategy=str(float(max_features)),
@@ -157,6 +162,20 @@ def search_points(
     return random.Random(seed).sample(points, n_trials)
 
 
+def _effective(estimator: Estimator) -> dict[str, object]:
+    """Settings that Spark bounds, as they are really used."""
+    if isinstance(estimator, RandomForestRegressor):
+        return {"min_share_per_child": estimator.getMinWeightFractionPerNode()}
+    return {}
+
+
+def _outcome(model: Model) -> dict[str, float]:
+    """How the fit itself ended, for regressors that tell."""
+    if isinstance(model, LinearSVRModel):
+        return {"converged": float(model.getConverged()), "passes": float(len(model.getHistory()))}
+    return {}
+
+
 def search(
     train: DataFrame,
     val: DataFrame,
@@ -168,16 +187,20 @@ def search(
     n_trials: int | None = None,
     seed: int = 42,
     parallelism: int = 4,
-    rank: bool = False,
+    rank: bool = True,
     fixed: Mapping[str, object] | None = None,
     models_dir: str | None = None,
 ) -> list[Row]:
     """Trial rows of one regressor over (part of) a grid.
 
     The feature stages are fitted once and their output is kept, then several fits share the
-    cluster at a time. ``fixed`` are settings outside the grid. With ``models_dir`` each run's
-    stages and model are saved there as one pipeline under its ``run_id``.
+    cluster at a time. ``fixed`` are settings outside the grid. A regressor that draws numbers does
+    so by ``seed``, the one that is logged. With ``models_dir`` each run's stages and model are
+    saved there as one pipeline under its ``run_id``.
     """
+    given = dict(fixed or {})
+    if "seed" in signature(REGRESSORS[regressor]).parameters:
+        given.setdefault("seed", seed)
     prepared = Pipeline(stages=list(stages)).fit(train)
     frames = {"train": train, "val": val} | ({} if test is None else {"test": test})
     ready = {
@@ -186,9 +209,11 @@ def search(
     }
 
     def run(point: dict[str, object]) -> Row:
-        model = REGRESSORS[regressor](**point, **(fixed or {})).fit(ready["train"])
-        scores = metrics_map(evaluate(model, ready, rank))
-        row = trial_row(experiment, {"regressor": regressor, **point}, scores, seed)
+        estimator = REGRESSORS[regressor](**(given | point))
+        model = estimator.fit(ready["train"])
+        scores = metrics_map(evaluate(model, ready, rank)) | _outcome(model)
+        params = {"regressor": regressor, **point, **_effective(estimator)}
+        row = trial_row(experiment, params, scores, (given | point).get("seed", seed))
         if models_dir is not None:
             save_pipeline(PipelineModel([*prepared.stages, model]), f"{models_dir}/{row.run_id}")
         return row

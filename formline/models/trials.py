@@ -59,8 +59,18 @@ def _best_first(metric: str, ascending: bool | None) -> list[Column]:
     return [value.asc_nulls_last() if ascending else value.desc_nulls_last(), F.col("run_id")]
 
 
+def _require(trials: DataFrame, metric: str) -> None:
+    """Refuse to rank runs by a metric that none of them has; a table of runs is small."""
+    if trials.where(F.col("metrics")[metric].isNotNull()).isEmpty():
+        raise ValueError(f"no run has the metric {metric}")
+
+
 def best_trial(trials: DataFrame, metric: str, ascending: bool | None = None) -> DataFrame:
-    """The best run as one row; the direction follows the metric unless given."""
+    """The best run as one row; the direction follows the metric unless given.
+
+    Runs without the metric come last; if all are, that is an error.
+    """
+    _require(trials, metric)
     return trials.orderBy(*_best_first(metric, ascending)).limit(1)
 
 
@@ -69,9 +79,10 @@ def trials_to_drop(
 ) -> DataFrame:
     """(run_id, value) of all runs but the best ``keep``; nothing is deleted.
 
-    Only the kept runs are ordered, as a top-n; the rest follow by anti-join with them.
+    It is an error if no run has the metric. Only the kept runs are ordered, as a top-n; the rest follow by anti-join with them.
     """
+    _require(trials, metric)
     kept = trials.orderBy(*_best_first(metric, ascending)).limit(keep).select("run_id")
     return trials.select("run_id", F.col("metrics")[metric].alias("value")).join(
-        F.broadcast(kept) if keep <= 100_000 else kept, "run_id", "left_anti"
+        kept, "run_id", "left_anti"
     )

@@ -172,11 +172,28 @@ def ols_trend(
 
 
 def scatter_points(
-    df: DataFrame, label: str, prediction: str, key: Sequence[str], points: int = 1000
+    df: DataFrame, label: str, prediction: str, key: Sequence[str] = ()
 ) -> DataFrame:
-    """At most ``points`` (label, prediction) rows for a plot, picked by hash of ``key``."""
-    order = F.md5(F.concat_ws(":", *[F.col(k).cast("string") for k in key]))
-    return (
-        df.select(*key, label, prediction).orderBy(order, *key).limit(points)
-    )
+    """Every (label, prediction) point, beside its ``key``. For large tables see :func:`scatter_counts`."""
+    return df.select(*key, label, prediction)
+
+
+def scatter_counts(
+    df: DataFrame, label: str, prediction: str, bins: int = 100
+) -> DataFrame:
+    """(x_bin, y_bin, n): all points counted on a grid of ``bins`` by ``bins`` over their range.
 
+    Bins are numbered from 0; the last one includes the largest value. Rows that lack a value of
+    the two have bin NULL there, so the counts add up to the rows.
+    """
+    y, p = F.col(label).cast("double"), F.col(prediction).cast("double")
+    ends = df.agg(F.min(y), F.max(y), F.min(p), F.max(p)).toDF("y_lo", "y_hi", "p_lo", "p_hi")
+
+    def bin_of(value: Column, axis: str) -> Column:
+        lo, hi = (ends.select(f"{axis}_{end}").scalar() for end in ("lo", "hi"))
+        place = F.floor((value - lo) / ((hi - lo) / bins)).cast("int")
+        return F.when(hi > lo, F.least(place, F.lit(bins - 1))).when(value.isNotNull(), 0)
+
+    return df.groupBy(bin_of(y, "y").alias("x_bin"), bin_of(p, "p").alias("y_bin")).agg(
+        F.count(F.lit(1)).alias("n")
+    )

@@ -15,9 +15,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from formline.operators.assemble import union_all
-from formline.session import BROADCAST_ROWS, broadcast_within, cut_lineage, rows_within
+from formline.session import cut_lineage, rows_within
 
-SALTS = 64
+#: Value ranges per position in which replacements are compared, and keys that a pool too large
+#: for a broadcast is copied to per position.
+VALUE_RANGES = 16
+SALTS = 16
 
 
 @dataclass(frozen=True)
@@ -100,8 +103,8 @@ def first_per_name(
 
 
 def _small(df: DataFrame) -> tuple[DataFrame, bool]:
-    """``df`` as a broadcast side and True if a row count proves it small, else itself and False."""
-    local = rows_within(df, BROADCAST_ROWS)
+    """``df`` as a broadcast side and True if its rows and bytes prove it small, else itself and False."""
+    local = rows_within(df)
     return (df, False) if local is None else (F.broadcast(local), True)
 
 
@@ -121,12 +124,6 @@ def team_totals(
 
     Counting by (team, club) first keeps even a team with most of the rows spread out.
     """
-    return _totals(rosters, broadcast_within(pool), rules, cols)
-
-
-def _totals(
-    rosters: DataFrame, pool: DataFrame, rules: RosterRules, cols: RosterColumns
-) -> DataFrame:
     per_position = {f"n_{cols.position}_{p}": p for p in rules.positions}
     by_club = (
         _members(rosters, pool, cols)
@@ -156,13 +153,7 @@ def team_legality(
     cols: RosterColumns = COLUMNS,
 ) -> DataFrame:
     """Three partial flags and ``legal`` per team, beside the totals they rest on."""
-    return _legality(rosters, broadcast_within(pool), rules, cols)
-
-
-def _legality(
-    rosters: DataFrame, pool: DataFrame, rules: RosterRules, cols: RosterColumns
-) -> DataFrame:
-    return _with_flags(_totals(rosters, pool, rules, cols), rules, cols)
+    return _with_flags(team_totals(rosters, pool, rules, cols), rules, cols)
 
 
 def _with_flags(totals: DataFrame, rules: RosterRules, cols: RosterColumns) -> DataFrame:
@@ -207,7 +198,6 @@ def open_clubs(
     cols: RosterColumns = COLUMNS,
 ) -> DataFrame:
     """Those (team, name) ``options`` whose club still has room in the team."""
-    pool = broadcast_within(pool)
     clubs = pool.select(cols.name, cols.club)
     return (
         options.select(cols.team, cols.name)
@@ -221,7 +211,7 @@ def refresh_points(
     rosters: DataFrame, pool: DataFrame, cols: RosterColumns = COLUMNS
 ) -> DataFrame:
     """Rosters with the pool's points; 0 for members the pool lacks."""
-    current = broadcast_within(pool).select(cols.name, F.col(cols.points).alias("_points"))
+    current = pool.select(cols.name, F.col(cols.points).alias("_points"))
     return (
         rosters.drop(cols.points)
         .join(current, cols.name, "left")
@@ -322,8 +312,8 @@ def _with_replacements(
 ) -> DataFrame:
     """Join on position under ``condition``, the pool's columns prefixed ``_in_``.
 
-    A ``small`` pool is broadcast, so teams stay where they are. A larger one is copied to SALTS
-    keys per position, which spreads each position's teams over as many tasks.
+    A pool proven ``small`` is broadcast, so teams stay where they are. A larger one is copied to
+    SALTS keys per position, which spreads each position's teams over as many tasks.
     """
     entering = pool.select(*[F.col(c).alias(f"_in_{c}") for c in pool.columns])
     same_position = F.col("_position") == F.col(f"_in_{cols.position}")
@@ -338,29 +328,25 @@ def _with_replacements(
 
 
 def _fits(cols: RosterColumns) -> Column:
-    """More points, affordable, not in the team, and a club with room once ``out`` has left."""
+    """More points, affordable, not in the team, and a club with room once ``out`` has left.
+
+    Players without a club always find room, as they do in the legality flags.
+    """
     club = F.col(f"_in_{cols.club}")
     return (
         (F.col(f"_in_{cols.points}") > F.col("_out_points"))
         & (F.col(f"_in_{cols.value}") <= F.col("_budget"))
-        & ((club == F.col("_out_club")) | ~F.array_contains("_taken", club))
+        & (club.isNull() | (club == F.col("_out_club")) | ~F.array_contains("_taken", club))
         & ~F.array_contains("_names", F.col(f"_in_{cols.name}"))
     )
 
 
-def swap_candidates(
-    rosters: DataFrame,
-    pool: DataFrame,
-    rules: RosterRules = RULES,
-    cols: RosterColumns = COLUMNS,
+def _listed_swaps(
+    squads: DataFrame, pool: DataFrame, small: bool, rules: RosterRules, cols: RosterColumns
 ) -> DataFrame:
-    """Every (team, out, in, gain) that leaves a legal team legal and strictly better.
-
-    The conditions are part of the join, so a pair that fails one is never a row.
-    """
-    pool, small = _small(pool)
-    outgoing = _outgoing(_squads(rosters, pool, rules, cols, F.col("legal")), rules, cols)
+    """(team, out, in, gain) pairs of ``squads``; the conditions are part of the join."""
     players = pool.select(*cols.player)
+    outgoing = _outgoing(squads, rules, cols)
     return _with_replacements(outgoing, players, small, _fits(cols), cols).select(
         cols.team,
         "out",
@@ -369,27 +355,121 @@ def swap_candidates(
     )
 
 
-def _contenders(
-    pool: DataFrame, rules: RosterRules, cols: RosterColumns, charged: bool = False
+def swap_list(
+    rosters: DataFrame,
+    pool: DataFrame,
+    teams: Sequence,
+    rules: RosterRules = RULES,
+    cols: RosterColumns = COLUMNS,
+) -> DataFrame:
+    """Every (team, out, in, gain) that leaves one of the named legal teams legal and strictly better."""
+    pool, small = _small(pool)
+    named = rosters.where(F.col(cols.team).isin(list(teams)))
+    return _listed_swaps(_squads(named, pool, rules, cols, F.col("legal")), pool, small, rules, cols)
+
+
+def swap_candidates(
+    rosters: DataFrame,
+    pool: DataFrame,
+    rules: RosterRules = RULES,
+    cols: RosterColumns = COLUMNS,
 ) -> DataFrame:
+    """(team, out, n_options, in, gain): how many swaps leave a legal team legal and strictly better.
+
+    One row per member that has such a swap, with its best one (ties: the smaller ``in``). Options are
+    counted beside the join, so pairs are neither stored nor moved; :func:`swap_list` lists them for
+    named teams.
+    """
+    held, small = _small(pool)
+    squads = _squads(rosters, held, rules, cols, F.col("legal"))
+    outgoing = _outgoing(squads, rules, cols)
+    counted = (
+        _with_replacements(outgoing, held.select(*cols.player), small, _fits(cols), cols)
+        .groupBy(cols.team, "out")
+        .agg(F.count(F.lit(1)).alias("n_options"))
+    )
+    best = _best_per_member(outgoing, *_small(_contenders(held, rules, cols)), _fits(cols), cols)
+    gain = F.col(f"_in.{cols.points}") - F.col("_out_points")
+    return counted.join(
+        best.select(cols.team, "out", F.col(f"_in.{cols.name}").alias("in"), gain.alias("gain")),
+        [cols.team, "out"],
+    )
+
+
+def _contenders(pool: DataFrame, rules: RosterRules, cols: RosterColumns) -> DataFrame:
     """The pool rows that can be some legal team's best replacement, ranked by position.
 
-    Players alike in position, club and value differ only in points and in being members already,
-    and a legal team has at most ``max_per_club`` of them. The best ``max_per_club + 1`` of each
-    kind therefore suffice, exactly. Where transfers are ``charged``, former members come cheaper
-    than others of their kind, so all players stay.
+    At most ``size // max_per_club`` clubs of a legal team are full, and it has at most
+    ``max_per_club`` players of any club. So if, among cheaper players of the position, one club more
+    than that has ``max_per_club + 1`` players that are better (more points, or as many and a
+    smaller name), one of these is affordable, free and of a club with room: the player is never
+    the best choice. "Cheaper" is taken to be a lower value range; players of one's own range prove nothing,
+    so the rest is a superset, exactly sufficient. Tops per club and range are taken first; only they
+    are compared across ranges, and only what remains is ranked.
     """
+    clubs, each = rules.size // rules.max_per_club + 1, rules.max_per_club + 1
     best_first = [F.col(cols.points).desc(), F.col(cols.name).asc()]
     players = pool.select(*cols.player)
-    if not charged:
-        alike = Window.partitionBy(cols.position, cols.club, cols.value).orderBy(*best_first)
-        players = (
-            players.withColumn("_alike", F.row_number().over(alike))
-            .where(F.col("_alike") <= rules.max_per_club + 1)
-            .drop("_alike")
+    inner = [i / VALUE_RANGES for i in range(1, VALUE_RANGES)]
+    borders = players.groupBy(cols.position).agg(
+        F.percentile_approx(cols.value, inner, 1000).alias("_borders")
+    )
+    ranged = players.join(borders, cols.position).withColumn(
+        "_range", F.size(F.filter("_borders", lambda x: x < F.col(cols.value)))
+    )
+    of_club = Window.partitionBy(cols.position, cols.club, "_range").orderBy(*best_first)
+    tops = (
+        ranged.where(F.col(cols.club).isNotNull())
+        .withColumn("_nth", F.row_number().over(of_club))
+        .where(F.col("_nth") <= each)
+        .where(F.col("_range") < VALUE_RANGES - 1)
+        .withColumn("_above", F.explode(F.sequence(F.col("_range") + 1, F.lit(VALUE_RANGES - 1))))
+    )
+    below = Window.partitionBy(cols.position, cols.club, "_above").orderBy(*best_first)
+    across = Window.partitionBy(cols.position, "_above").orderBy(*best_first)
+    bars = (
+        tops.withColumn("_nth", F.row_number().over(below))
+        .where(F.col("_nth") == each)
+        .withColumn("_club", F.row_number().over(across))
+        .where(F.col("_club") == clubs)
+        .select(
+            F.col(cols.position).alias("_at"),
+            F.col("_above").alias("_range"),
+            F.col(cols.points).alias("_bar"),
+            F.col(cols.name).alias("_bar_name"),
         )
+    )
+    points, name = F.col(cols.points), F.col(cols.name)
+    beaten = (points < F.col("_bar")) | ((points == F.col("_bar")) & (name > F.col("_bar_name")))
+    left = (
+        ranged.join(bars.withColumnRenamed("_range", "_of"), (F.col(cols.position) == F.col("_at")) & (F.col("_range") == F.col("_of")), "left")
+        .where(~F.coalesce(beaten, F.lit(False)))
+        .select(*cols.player)
+    )
     by_position = Window.partitionBy(cols.position).orderBy(*best_first)
-    return players.withColumn("rank", F.row_number().over(by_position).cast("long"))
+    return left.withColumn("rank", F.row_number().over(by_position).cast("long"))
+
+
+def _best_per_member(
+    outgoing: DataFrame, contenders: DataFrame, small: bool, condition: Column, cols: RosterColumns,
+    keys: Sequence[str] = (), which: Column | None = None,
+) -> DataFrame:
+    """(team, out, _position, _out_points, ``keys``, ``_in``): each member's best replacement.
+
+    It is the one of lowest rank: a minimum over a long, taken in hash tables beside the join, so
+    candidate pairs are neither sorted nor moved. ``which`` narrows the choice down.
+    """
+    rank = F.col("_in_rank") if which is None else F.when(which, F.col("_in_rank"))
+    lowest = (
+        _with_replacements(outgoing, contenders, small, condition, cols)
+        .groupBy(cols.team, "out", "_position", "_out_points", *keys)
+        .agg(F.min(rank).alias("_rank"))
+        .where(F.col("_rank").isNotNull())
+    )
+    entering = contenders.select(
+        F.col(cols.position).alias("_position"), F.col("rank").alias("_rank"), F.struct(*cols.player).alias("_in")
+    )
+    return lowest.join(F.broadcast(entering) if small else entering, ["_position", "_rank"])
 
 
 def _best_swaps(
@@ -402,63 +482,40 @@ def _best_swaps(
 ) -> DataFrame:
     """(team, ``_swap``): the best swap of each squad that has one, with the entering player.
 
-    For one outgoing member the best replacement is the one of lowest rank: a minimum over a
-    long, taken in hash tables beside the join, so candidate pairs are neither sorted nor moved.
-    Under a ``charge`` there are two minima, as members of the first roster (``_first``) return
-    without counting as a transfer.
+    Under a ``charge``, members of the first roster (``_first``) return without counting as a
+    transfer. They are few, so each is compared inside its squad; a contender that is one of them
+    is met there.
     """
     outgoing = _outgoing(squads, rules, cols)
-    keys = [cols.team, "out", "_position", "_out_points"]
-    returns, cost = F.lit(False), F.lit(0.0)
-    if charge is not None:
-        moved = F.size(F.array_except("_names", "_first"))
-        leaves = (~F.array_contains("_first", F.col("out"))).cast("int")
+    loss = F.col("_out_points") - F.col(f"_in.{cols.points}")
+    if charge is None:
+        options = _best_per_member(outgoing, contenders, small, _fits(cols), cols).withColumn("_loss", loss)
+    else:
+        first = F.transform("_first", lambda m: m[cols.name])
+        moved = F.size(F.array_except(F.col("_names"), first))
+        leaves = (~F.array_contains(first, F.col("out"))).cast("int")
         outgoing = outgoing.withColumns({"_moved": moved, "_leaves": leaves})
-        keys += ["_moved", "_leaves"]
-        returns = F.array_contains("_first", F.col(f"_in_{cols.name}"))
-        after = F.col("_moved") - F.col("_leaves") + F.col("_option.joins")
-        cost = charge.of(after) - charge.of(F.col("_moved"))
-    options = [(returns, 0), (~returns, 1)] if charge is not None else [(~returns, 1)]
-    lowest = (
-        _with_replacements(outgoing, contenders, small, _fits(cols), cols)
-        .groupBy(*keys)
-        .agg(*[F.min(F.when(which, F.col("_in_rank"))).alias(f"_rank_{j}") for which, j in options])
-        .withColumn(
-            "_option",
-            F.explode(
-                F.array(
-                    *[
-                        F.struct(F.lit(j).alias("joins"), F.col(f"_rank_{j}").alias("rank"))
-                        for _, j in options
-                    ]
-                )
-            ),
+        keys = ["_moved", "_leaves"]
+
+        def net(joins: int) -> Column:
+            after = F.col("_moved") - F.col("_leaves") + joins
+            return loss + charge.of(after) - charge.of(F.col("_moved"))
+
+        new = ~F.array_contains(first, F.col(f"_in_{cols.name}"))
+        joining = _best_per_member(outgoing, contenders, small, _fits(cols) & new, cols, keys)
+        returning = (
+            outgoing.withColumn("_in", F.explode("_first"))
+            .select("*", *[F.col(f"_in.{c}").alias(f"_in_{c}") for c in cols.player])
+            .where((F.col("_position") == F.col(f"_in_{cols.position}")) & _fits(cols))
         )
-        .withColumn("_rank", F.col("_option.rank"))
-        .where(F.col("_rank").isNotNull())
-    )
-    entering = contenders.select(
-        F.col(cols.position).alias("_position"),
-        F.col("rank").alias("_rank"),
-        F.struct(*cols.player).alias("_in"),
-    )
-    if small:
-        entering = F.broadcast(entering)
-    loss = F.col("_out_points") - F.col(f"_in.{cols.points}") + cost
-    ranked = (
-        lowest.join(entering, ["_position", "_rank"])
-        .withColumn("_loss", loss)
-        .where(F.col("_loss") < 0)
-        .select(
-            cols.team,
-            F.struct(
-                F.col("_loss").alias("loss"),
-                F.col("out"),
-                F.col(f"_in.{cols.name}").alias("in"),
-                F.col("_in"),
-            ).alias("_swap"),
+        wanted = [cols.team, "out", "_in"]
+        options = joining.select(*wanted, net(1).alias("_loss")).unionByName(
+            returning.select(*wanted, net(0).alias("_loss"))
         )
+    swap = F.struct(
+        F.col("_loss").alias("loss"), F.col("out"), F.col(f"_in.{cols.name}").alias("in"), F.col("_in")
     )
+    ranked = options.where(F.col("_loss") < 0).select(cols.team, swap.alias("_swap"))
     return ranked.groupBy(cols.team).agg(F.min("_swap").alias("_swap"))
 
 
@@ -469,7 +526,6 @@ def best_swap(
     cols: RosterColumns = COLUMNS,
 ) -> DataFrame:
     """The swap of highest gain per legal team; ties go to the smaller ``out``, then ``in``."""
-    pool = broadcast_within(pool)
     squads = _squads(rosters, pool, rules, cols, F.col("legal"))
     contenders, small = _small(_contenders(pool, rules, cols))
     return _best_swaps(squads, contenders, small, rules, cols).select(
@@ -502,18 +558,21 @@ def improve_rosters(
     charge: TransferCharge | None = None,
     cols: RosterColumns = COLUMNS,
 ) -> DataFrame:
-    """Legal rosters after up to ``n_steps`` best swaps, all teams advancing together.
+    """(team, name, legal, n_swaps): all rosters after up to ``n_steps`` best swaps.
 
-    With a ``charge``, a swap counts by its gain less what it adds to the charge for transfers
-    since the given rosters. A team without a swap has arrived and leaves the loop, which ends
-    early when none is left. Between steps squads are checkpointed, then placed by team for the
-    candidates and for the new squads; nothing else in a step is shuffled.
+    Legal teams advance together; illegal ones come back as they are, flagged. With a ``charge``, a
+    swap counts by its gain less what it adds to the charge for transfers since the given rosters. A
+    team without a swap has arrived and leaves the loop, which ends early when none is left.
+    Replacements are found once; between steps squads are checkpointed, then placed by team for the
+    candidates and for the new squads.
     """
-    pool = broadcast_within(pool)
-    contenders, small = _small(_contenders(pool, rules, cols, charge is not None))
-    squads = _squads(rosters, pool, rules, cols, F.col("legal"))
+    contenders, small = _small(_contenders(pool, rules, cols))
+    if not small:
+        contenders = cut_lineage(contenders)
+    squads = _squads(rosters, pool, rules, cols, F.col("legal")).withColumn("_swaps", F.lit(0))
     if charge is not None:
-        squads = squads.withColumn("_first", F.transform("_members", lambda m: m[cols.name]))
+        squads = squads.withColumn("_first", F.col("_members"))
+    squads = start = cut_lineage(squads)
     arrived = []
     for left in range(n_steps - 1, -1, -1):
         swaps = _best_swaps(squads, contenders, small, rules, cols, charge)
@@ -528,9 +587,14 @@ def improve_rosters(
             break
         squads = squads.repartition(cols.team)
     names = F.explode(F.transform("_members", lambda m: m[cols.name])).alias(cols.name)
-    if not arrived:
-        return squads.select(cols.team, names)
-    return union_all([part.select(cols.team, names) for part in arrived])
+    flags = [F.lit(True).alias("legal"), F.col("_swaps").alias("n_swaps")]
+    reached = union_all(
+        [part.select(cols.team, names, *flags) for part in arrived or [squads]]
+    )
+    others = rosters.select(cols.team, cols.name).join(start.select(cols.team), cols.team, "left_anti")
+    return reached.unionByName(
+        others.select(cols.team, cols.name, F.lit(False).alias("legal"), F.lit(0).alias("n_swaps"))
+    )
 
 
 def _advance(squads: DataFrame, swaps: DataFrame, cols: RosterColumns) -> DataFrame:
@@ -551,6 +615,7 @@ def _advance(squads: DataFrame, swaps: DataFrame, cols: RosterColumns) -> DataFr
                     changed, F.col("_spare") + given_up - entering[cols.value]
                 ).otherwise(F.col("_spare")),
                 "_members": F.when(changed, replaced).otherwise(F.col("_members")),
+                "_swaps": F.col("_swaps") + changed.cast("int"),
                 "_changed": changed,
             }
         )
@@ -577,7 +642,7 @@ def transfer_cost(
         stacked.groupBy(cols.team, cols.name)
         .agg(F.min("_after").alias("_new"), F.max("_after").alias("_after"))
         .where(F.col("_after") == 1)
-        .join(broadcast_within(pool).select(cols.name, cols.points), cols.name, "left")
+        .join(pool.select(cols.name, cols.points), cols.name, "left")
     )
     return (
         moves.groupBy(cols.team)
@@ -612,15 +677,17 @@ def weekly_reward(
         earned = facts.groupBy(cols.name, step).agg(F.sum(cols.points).alias(cols.points))
     else:
         raise ValueError(f"mode must be 'first' or 'sum', not {mode!r}")
-    earned = broadcast_within(earned)
     if step in rosters.columns:
-        scaffold = rosters.select(cols.team, step).distinct()
-        scored = rosters.join(earned, [cols.name, step])
+        members = rosters.select(cols.team, cols.name, step)
+        scaffold = members.select(cols.team, step).distinct()
+        scored = members.join(earned, [cols.name, step])
     else:
-        last = earned.agg(F.max(step).alias("last")).first()["last"] or 0
-        every = F.explode(F.sequence(F.lit(1), F.lit(last))) if last else F.explode(F.array())
-        scaffold = rosters.select(cols.team).distinct().select(cols.team, every.alias(step))
-        scored = rosters.join(earned, cols.name)
+        members = rosters.select(cols.team, cols.name)
+        last = facts.agg(F.greatest(F.max(step), F.lit(0))).scalar()
+        every = F.when(last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
+        steps = F.explode(every.cast(f"array<{facts.schema[step].dataType.simpleString()}>"))
+        scaffold = members.select(cols.team).distinct().select(cols.team, steps.alias(step))
+        scored = members.join(earned, cols.name)
     ledger = (
         scored.select(cols.team, step, F.col(cols.points).cast("double").alias("_points"))
         .unionByName(scaffold.withColumn("_points", F.lit(0.0)))
@@ -640,10 +707,11 @@ def cheaper_options(
     rules: RosterRules = RULES,
     cols: RosterColumns = COLUMNS,
 ) -> DataFrame:
-    """For teams whose only fault is their value: dearest member and cheaper replacements.
+    """(team, out, n_options, in): for teams whose only fault is their value.
 
-    Replacements share the position, cost strictly less, are not in the team and come from a club
-    with room. Of equally dear members the smallest name goes.
+    ``out`` is the dearest member (of equally dear ones the smallest name); replacements share its
+    position, cost strictly less, are not in the team and come from a club with room. They are
+    counted, and ``in`` is the one of most points (ties: the smaller name).
     """
     pool, small = _small(pool)
     over = F.col("clubs_legal") & ~F.col("value_legal")
@@ -655,6 +723,7 @@ def cheaper_options(
                 (-m[cols.value]).alias("cost"),
                 m[cols.name].alias("name"),
                 m[cols.position].alias("position"),
+                m[cols.points].alias("points"),
             ),
         )
     )
@@ -667,16 +736,25 @@ def cheaper_options(
         cols.team,
         F.col("_out.name").alias("out"),
         F.col("_out.position").alias("_position"),
+        F.col("_out.points").alias("_out_points"),
         (-F.col("_out.cost")).alias("_cost"),
         "_names",
         "_taken",
     )
     condition = (
         (F.col(f"_in_{cols.value}") < F.col("_cost"))
-        & ~F.array_contains("_taken", F.col(f"_in_{cols.club}"))
+        & (
+            F.col(f"_in_{cols.club}").isNull()
+            | ~F.array_contains("_taken", F.col(f"_in_{cols.club}"))
+        )
         & ~F.array_contains("_names", F.col(f"_in_{cols.name}"))
     )
-    players = pool.select(*cols.player)
-    return _with_replacements(outgoing, players, small, condition, cols).select(
-        cols.team, "out", F.col(f"_in_{cols.name}").alias("in")
+    counted = (
+        _with_replacements(outgoing, pool.select(*cols.player), small, condition, cols)
+        .groupBy(cols.team, "out")
+        .agg(F.count(F.lit(1)).alias("n_options"))
+    )
+    best = _best_per_member(outgoing, *_small(_contenders(pool, rules, cols)), condition, cols)
+    return counted.join(
+        best.select(cols.team, "out", F.col(f"_in.{cols.name}").alias("in")), [cols.team, "out"]
     )

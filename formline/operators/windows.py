@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from formline.operators.joins import attach
-from formline.session import broadcast_within, rows_within
+from formline.session import rows_within
 
 GROUP_ROWS = 1_000_000
 MAX_RUNS = 4_096
@@ -160,7 +160,7 @@ def _cut_into_runs(
         )
     )
     return (
-        attach(df, broadcast_within(borders, 10_000), keys)
+        attach(df, borders, keys)
         .withColumn("_hot", F.col("_borders").isNotNull())
         .withColumn("_run", F.when(F.col("_hot"), strides * SEARCH_STRIDE + rest).otherwise(0))
         .drop("_borders", "_strides")
@@ -268,21 +268,20 @@ def distinct_steps(df: DataFrame, period: str, step: str) -> DataFrame:
 def close_gaps(
     df: DataFrame, period: str, step: str, out: str | None = None
 ) -> DataFrame:
-    """Renumber steps so that consecutive steps of a period differ by one.
+    """Renumber steps so that consecutive steps of a period differ by one; a NULL step stays NULL.
 
-    The ranking runs over the distinct steps only; facts meet the result in a join whose small
-    side is counted before it is broadcast.
+    The ranking runs over the distinct steps only; facts meet the result in a join.
     """
     out = out or step
     whole = Window.partitionBy(period)
-    mapped = distinct_steps(df, period, step).select(
+    mapped = distinct_steps(df, period, step).where(F.col(step).isNotNull()).select(
         period,
         step,
         (
             F.min(step).over(whole) + F.dense_rank().over(whole.orderBy(step)) - 1
         ).alias("_closed"),
     )
-    joined = attach(df, broadcast_within(mapped), [period, step])
+    joined = attach(df, mapped, [period, step])
     return joined.withColumn(out, F.col("_closed").cast(df.schema[step].dataType)).drop("_closed")
 
 

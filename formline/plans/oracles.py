@@ -169,6 +169,14 @@ def _best(candidates: str) -> str:
         FROM {candidates}) WHERE k = 1"""
 
 
+def _flagged(reached: str, steps: list[str]) -> str:
+    """All teams: the legal ones as ``reached`` with their number of swaps, the others as they are."""
+    swapped = " + ".join(f"(team IN (SELECT team FROM {s}))::INTEGER" for s in steps)
+    return f"""SELECT team, name, TRUE AS legal, {swapped} AS n_swaps FROM ({reached})
+UNION ALL
+SELECT team, name, FALSE, 0 FROM ro WHERE team NOT IN (SELECT team FROM legal)"""
+
+
 def _applied(squad: str, swaps: str) -> str:
     return f"""SELECT r.team, coalesce(s."in", r.name) AS name
   FROM {squad} r LEFT JOIN {swaps} s ON s.team = r.team AND s.out = r.name"""
@@ -335,7 +343,12 @@ SELECT stage, round(regr_slope(p, y), 8) AS slope, round(regr_intercept(p, y), 3
        round(greatest(max(y), max(p)), 2) AS hi
 FROM rg GROUP BY stage""",
     "scatter_points": """SELECT o_orderkey, o_totalprice, CAST(month(o_orderdate) AS INTEGER) AS month
-FROM orders ORDER BY md5(CAST(o_orderkey AS VARCHAR)) LIMIT 500""",
+FROM orders""",
+    "scatter_counts": f"""WITH {REGRESSION},
+e AS (SELECT min(y) AS yl, max(y) AS yh, min(p) AS pl, max(p) AS ph FROM rg)
+SELECT CAST(least(floor((y - yl) / ((yh - yl) / 40)), 39) AS INTEGER) AS x_bin,
+       CAST(least(floor((p - pl) / ((ph - pl) / 40)), 39) AS INTEGER) AS y_bin, count(*) AS n
+FROM rg, e GROUP BY 1, 2""",
     "player_pool": f"""WITH {ROSTERS}
 SELECT DISTINCT CAST(month(l_shipdate) AS INTEGER) AS step, name, position, value, club,
        l_quantity AS points
@@ -353,7 +366,13 @@ WHERE place > 8""",
 SELECT ro.team, ro.name, coalesce(points, 0.0) AS points
 FROM ro LEFT JOIN (SELECT * FROM first_fixture WHERE step = (SELECT max(step) FROM weeks)) w
 USING (name)""",
-    "swap_candidates": f'{SWAPS}\nSELECT team, out, "in", gain FROM candidates',
+    "swap_candidates": f"""{SWAPS}
+SELECT team, out, n_options, "in", gain
+FROM (SELECT *, row_number() OVER (PARTITION BY team, out ORDER BY gain DESC, "in") AS k,
+             count(*) OVER (PARTITION BY team, out) AS n_options FROM candidates)
+WHERE k = 1""",
+    "swap_list": f"""{SWAPS}
+SELECT team, out, "in", gain FROM candidates WHERE team BETWEEN 1 AND 40""",
     "best_swap": f'{SWAPS}\nSELECT team, out, "in", gain FROM best',
     "apply_swap": f"{SWAPS}\n{_applied('ro', 'best')}",
     "transfer_cost": f"""WITH {ROSTERS},
@@ -384,16 +403,21 @@ dearest AS (
   FROM (SELECT m.*, row_number() OVER (PARTITION BY team ORDER BY value DESC, name) AS k
         FROM members m JOIN legality USING (team)
         WHERE positions_legal AND clubs_legal AND NOT value_legal)
-  WHERE k = 1)
-SELECT d.team, d.name AS out, i.name AS "in"
-FROM dearest d JOIN pool i ON i.position = d.position AND i.value < d.value
-ANTI JOIN full_clubs f ON f.team = d.team AND f.club = i.club
-WHERE NOT EXISTS (SELECT 1 FROM ro WHERE ro.team = d.team AND ro.name = i.name)""",
+  WHERE k = 1),
+options AS (
+  SELECT d.team, d.name AS out, i.name AS "in", i.points
+  FROM dearest d JOIN pool i ON i.position = d.position AND i.value < d.value
+  ANTI JOIN full_clubs f ON f.team = d.team AND f.club = i.club
+  WHERE NOT EXISTS (SELECT 1 FROM ro WHERE ro.team = d.team AND ro.name = i.name))
+SELECT team, out, n_options, "in"
+FROM (SELECT *, row_number() OVER (PARTITION BY team ORDER BY points DESC, "in") AS k,
+             count(*) OVER (PARTITION BY team) AS n_options FROM options)
+WHERE k = 1""",
     "improve_rosters": f"""{SWAPS},
 first_step AS ({_applied("legal", "best")}),
 next_candidates AS ({_candidates("first_step")}),
 next_best AS ({_best("next_candidates")})
-{_applied("first_step", "next_best")}""",
+{_flagged(_applied("first_step", "next_best"), ["best", "next_best"])}""",
     "improve_with_transfers": f"""{SWAPS},
 first_step AS ({_applied("legal", "best")}),
 gross AS ({_candidates("first_step")}),
@@ -405,7 +429,7 @@ net AS (
   LEFT JOIN legal i ON i.team = g.team AND i.name = g."in"),
 paying AS (SELECT * FROM net WHERE gain > 0),
 next_best AS ({_best("paying")})
-{_applied("first_step", "next_best")}""",
+{_flagged(_applied("first_step", "next_best"), ["best", "next_best"])}""",
     "best_trial": f"""{_trials()}
 SELECT run_id, val_r2 AS value FROM trials ORDER BY val_r2 DESC, run_id LIMIT 1""",
     "trials_to_drop": f"""{_trials()},
@@ -419,7 +443,8 @@ SELECT CAST(period AS VARCHAR) || '-' || lpad(CAST((period + 1) % 100 AS VARCHAR
          AS season,
        step, CAST(entity AS VARCHAR) AS player_id,
        'Supplier_' || CAST(entity AS VARCHAR) AS player_name, units, label,
-       CASE WHEN period >= 1998 THEN returned END AS returned
+       CASE WHEN period >= 1998 AND returned > 0 THEN returned END AS returned,
+       0::INTEGER AS corrupt_cells
 FROM sm""",
     "prepared_export": FEATURES + f"""SELECT entity, period, step,
   {", ".join(FEATURE_NAMES)}, label,

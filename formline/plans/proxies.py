@@ -172,13 +172,18 @@ def rosters(spark: SparkSession, sf_dir: str, by: str = "units") -> DataFrame:
     )
 
 
+def running_month(day: str) -> Column:
+    """Months since the end of 1994."""
+    return (F.year(day) - 1995) * 12 + F.month(day)
+
+
 def supplier_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Points per supplier, running month and line status; two rows a month are two fixtures."""
     return (
         table(spark, sf_dir, "lineitem")
         .groupBy(
             F.col("l_suppkey").alias("name"),
-            ((F.year("l_shipdate") - 1995) * 12 + F.month("l_shipdate")).alias("step"),
+            running_month("l_shipdate").alias("step"),
             F.col("l_linestatus").alias("fixture"),
         )
         .agg(F.sum("l_quantity").alias("points"))

@@ -315,7 +315,12 @@ def ols_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def scatter_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = P.table(spark, sf_dir, "orders").withColumn("month", F.month("o_orderdate"))
-    return evaluation.scatter_points(orders, "o_totalprice", "month", ["o_orderkey"], 500)
+    return evaluation.scatter_points(orders, "o_totalprice", "month", ["o_orderkey"])
+
+
+@query
+def scatter_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluation.scatter_counts(P.regression_rows(spark, sf_dir), "y", "p", 40)
 
 
 # --- rosters -------------------------------------------------------------------------------
@@ -358,8 +363,10 @@ def open_clubs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def refresh_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points of the last month, which is read off the ship dates inside the same query."""
     facts = P.supplier_facts(spark, sf_dir)
-    last = facts.agg(F.max("step").alias("last")).first()["last"]
+    shipped = P.table(spark, sf_dir, "lineitem").agg(F.max("l_shipdate").alias("day"))
+    last = shipped.select(P.running_month("day")).scalar()
     week = facts.where(F.col("step") == last)
     latest = rosters.first_per_name(week, ["name"], "points", ["fixture"])
     return rosters.refresh_points(P.rosters(spark, sf_dir), latest)
@@ -374,6 +381,13 @@ def swap_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rosters.swap_candidates(*_swap_inputs(spark, sf_dir))
 
 
+@query
+def swap_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All swaps of the forty customers named."""
+    teams, pool, rules = _swap_inputs(spark, sf_dir)
+    return rosters.swap_list(teams, pool, range(1, 41), rules)
+
+
 @query
 def best_swap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rosters.best_swap(*_swap_inputs(spark, sf_dir))
@@ -439,22 +453,28 @@ SEASON_DIR, STEP_DIR = r"/season=([^/]+)/", r"/step=(\d+)/"
 
 
 def _write_weeks(spark: SparkSession, sf_dir: str) -> str:
-    """Supplier months as one CSV folder per season and step; later seasons have more columns."""
+    """Supplier months as one CSV folder per season and step; later seasons have more columns.
+
+    There, whole numbers have decimals and ids a trailing ``.0``, as where a column has gaps, and one header
+    is not ASCII.
+    """
     root = fresh_path(spark, "weeks")
     months = P.supplier_months(spark, sf_dir).select(
         "period",
         F.concat(F.lit("Supplier_"), F.col("entity").cast("string")).alias("name"),
         F.col("entity").alias("element"),
+        F.col("entity").cast("double").alias("eléments"),
         "units",
         "label",
-        "returned",
+        F.col("label").cast("double").alias("labels"),
+        F.when(F.col("returned") > 0, F.col("returned").cast("double")).alias("returned"),
         F.concat("period", F.lit("-"), F.lpad(((F.col("period") + 1) % 100).cast("string"), 2, "0"))
         .alias("season"),
         "step",
     )
     headers = {
         "old": (F.col("period") < 1998, ["name", "element", "units", "label"]),
-        "new": (F.col("period") >= 1998, ["label", "returned", "name", "units", "element"]),
+        "new": (F.col("period") >= 1998, ["labels", "returned", "name", "units", "eléments"]),
     }
     for era, (which, names) in headers.items():
         rows = months.where(which).select(*names, "season", "step")
@@ -476,8 +496,11 @@ def file_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 def weekly_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _write_weeks(spark, sf_dir)
     types = {"units": "double", "label": "bigint", "returned": "bigint"}
-    return catalog.read_weekly(spark, root, types, STEP_DIR, SEASON_DIR).select(
-        "season", "step", "player_id", "player_name", "units", "label", "returned"
+    renames = {"name": "player_name", "element": "player_id", "eléments": "player_id", "labels": "label"}
+    return catalog.read_weekly(
+        spark, root, types, STEP_DIR, SEASON_DIR, renames, encoding="UTF-8", corrupt="corrupt_cells"
+    ).select(
+        "season", "step", "player_id", "player_name", "units", "label", "returned", "corrupt_cells"
     )
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 32_000_000
 _local_dirs: dict[str, str] = {}
 
 
@@ -62,21 +63,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         held.unpersist()
 
 
-def rows_within(df: DataFrame, max_rows: int) -> DataFrame | None:
-    """``df`` as a local relation when it holds at most ``max_rows`` rows, else None.
+def rows_within(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> DataFrame | None:
+    """``df`` as a local relation when it holds at most so many rows and bytes, else None.
 
     At most ``max_rows + 1`` rows reach the driver, whatever the size of ``df``.
     """
     head = df.limit(max_rows + 1).toArrow()
-    if head.num_rows > max_rows:
+    if head.num_rows > max_rows or head.nbytes > max_bytes:
         return None
     return df.sparkSession.createDataFrame(head, schema=df.schema)
-
-
-def broadcast_within(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if a row count proves it small, else ``df`` itself.
-
-    The unmarked side is joined however Spark sees fit, with run-time skew handling.
-    """
-    local = rows_within(df, max_rows)
-    return df if local is None else F.broadcast(local)

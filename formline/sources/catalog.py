@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import csv
-from collections import defaultdict
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from formline.functions.columns import id_from_name, id_text, no_nan, rename_present, text_of
-from formline.operators.assemble import union_all
+from formline.functions.columns import id_from_name, no_nan, rename_present, text_of, whole_number_text
+from formline.session import fresh_path
 
 # Fixed patterns of the raw layout: {season}/gws/gw{week}.csv
 STEP_PATTERN = r"gw(\d+)\.csv[^/]*$"
@@ -45,31 +43,58 @@ def file_catalog(
     )
 
 
-def _files_by_header(spark: SparkSession, root: str, step_pattern: str) -> dict[str, list[str]]:
-    """Paths per header line. The driver sees one header and path per file, as in any listing.
+def _raw_rows(spark: SparkSession, root: str, step_pattern: str, season_pattern: str, encoding: str) -> DataFrame:
+    """(season, step, header, fields) of every line below the weekly files' headers.
 
-    The files are read once as text for this; raw weekly files are small and read only to be
-    turned into prepared tables.
+    A weekly file is small and is read as a whole, once; what it held is stored in the shared folder
+    as arrays of text, from which headers and rows are then taken. Line breaks inside quotes end a
+    line, as in Spark's own reader of single-line files.
     """
-    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    lines = (
-        spark.read.option("recursiveFileLookup", True)
+    path = F.url_decode(F.replace(F.col("path"), F.lit("+"), F.lit("%2B")))
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.csv")
-        .text(root)
-        .where(F.col("_metadata.file_block_start") == 0)
-        .select(path.alias("path"), "value", F.monotonically_increasing_id().alias("_line"))
-    )
-    firsts = (
-        lines.where(text_of(F.col("path"), step_pattern).isNotNull())
-        .groupBy("path")
-        .agg(F.min_by("value", "_line").alias("header"))
+        .load(root)
+        .select(
+            text_of(path, season_pattern).alias("season"),
+            text_of(path, step_pattern).cast("int").alias("step"),
+            F.split(F.decode("content", encoding), "\r\n|\n|\r").alias("lines"),
+        )
+        .where(F.col("step").isNotNull())
     )
-    groups: dict[str, list[str]] = defaultdict(list)
-    for row in firsts.collect():
-        groups[row["header"].lstrip("\ufeff").rstrip("\r")].append(row["path"])
-        if len(groups) > MAX_HEADERS:
-            raise ValueError(f"more than {MAX_HEADERS} different headers below {root}")
-    return groups
+    mark = F.regexp_replace(F.get("lines", F.lit(0)), "^(\ufeff|\u00ef\u00bb\u00bf)", "")
+    lines = files.select(
+        "season", "step", _fields(mark).alias("header"),
+        F.explode(F.slice("lines", 2, F.greatest(F.size("lines") - 1, F.lit(0)))).alias("line"),
+    )
+    stored = fresh_path(spark, "weekly")
+    lines.where("line <> ''").select("season", "step", "header", _fields(F.col("line")).alias("fields")).write.parquet(stored)
+    return spark.read.parquet(stored)
+
+
+def _fields(line: Column) -> Column:
+    """The fields of a CSV line: unquoted empty ones are NULL, quotes are taken off."""
+    parts = F.regexp_extract_all(line, F.lit('(?:^|,)("(?:[^"]++|"")*+"|[^,]*)'), F.lit(1))
+    inner = lambda x: F.replace(F.substring(x, F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))
+    quoted_field = lambda x: (F.length(x) >= 2) & F.startswith(x, F.lit('"')) & F.endswith(x, F.lit('"'))
+    return F.transform(parts, lambda x: F.when(quoted_field(x), inner(x)).otherwise(F.nullif(x, F.lit(""))))
+
+
+def _typed(text: Column, ddl: str) -> tuple[Column, Column]:
+    """A cell under its type, and whether it is one that does not fit it.
+
+    Whole numbers may be written with decimals of 0, as programs do when a column has gaps.
+    """
+    kind = T.DataType.fromDDL(ddl)
+    if isinstance(kind, T.StringType):
+        return text, F.lit(False)
+    value = text.try_cast(kind)
+    if isinstance(kind, T.IntegralType):
+        number = text.try_cast("double")
+        value = F.coalesce(value, F.when(number == F.floor(number), number.try_cast(kind)))
+    missing = F.lower(F.trim(text)).isin("", "nan")
+    return value, text.isNotNull() & ~missing & value.isNull()
 
 
 def read_weekly(
@@ -82,45 +107,42 @@ def read_weekly(
     name: str = "player_name",
     ident: str = "player_id",
     encoding: str = "ISO-8859-1",
+    corrupt: str | None = None,
 ) -> DataFrame:
     """Rows of all weekly files with ``season`` and ``step`` from their path.
 
-    Spark's reader maps a given schema by position, so files are grouped by header, each group is
-    read under the schema its own header implies, and the groups are united by name. ``types``
-    gives column types after renaming; other columns stay text. Without an id column the id is
-    the last ``_`` token of the name. Empty files contribute nothing.
+    Every row follows the header of its own file; the result has the columns of all headers. ``types``
+    gives column types after renaming; other columns stay text. A cell that does not fit its type
+    is NULL; ``corrupt`` names a column for the number of such cells in a row. Without an id column the
+    id is the last ``_`` token of the name. Empty files contribute nothing. Only the distinct headers
+    reach the driver.
     """
     renames = {"name": name, "element": ident} if renames is None else renames
-    path = F.col("_metadata.file_path")
-    frames = []
-    for header, paths in sorted(_files_by_header(spark, root, step_pattern).items()):
-        columns = next(csv.reader([header]))
-        schema = T.StructType(
-            [
-                T.StructField(c, T.DataType.fromDDL(types.get(renames.get(c, c), "string")))
-                for c in columns
-            ]
-        )
-        rows = (
-            spark.read.schema(schema)
-            .option("header", True)
-            .option("encoding", encoding)
-            .csv(sorted(paths))
-        )
-        rows = rename_present(
-            rows.select(
-                "*",
-                text_of(path, season_pattern).alias("season"),
-                text_of(path, step_pattern).cast("int").alias("step"),
-            ),
-            renames,
-        )
-        if ident in rows.columns:
-            rows = rows.withColumn(ident, id_text(rows, ident))
-        elif name in rows.columns:
-            rows = rows.withColumn(ident, id_from_name(F.col(name)))
-        frames.append(rows)
-    return no_nan(union_all(frames))
+    raw = _raw_rows(spark, root, step_pattern, season_pattern, encoding)
+    headers = [r["header"] for r in raw.select("header").distinct().limit(MAX_HEADERS + 1).collect()]
+    if len(headers) > MAX_HEADERS:
+        raise ValueError(f"more than {MAX_HEADERS} different headers below {root}")
+    sources: dict[str, list[str]] = {}
+    for header in sorted(headers, key=str):
+        for column in header:
+            if column is not None and column not in sources.setdefault(renames.get(column, column), []):
+                sources[renames.get(column, column)].append(column)
+    cells, wrong = {}, [F.lit(0)]
+    for column, written in sources.items():
+        texts = [F.get("fields", F.array_position("header", F.lit(w)).cast("int") - 1) for w in written]
+        value, misfit = _typed(F.coalesce(*texts), types.get(column, "string"))
+        cells[column] = value
+        wrong.append(misfit.cast("int"))
+    if name in cells:
+        listed = F.arrays_overlap("header", F.lit(sources.get(ident, [""])))
+        given = cells.get(ident, F.lit(None)).cast("string")
+        cells[ident] = F.when(listed, given).otherwise(id_from_name(cells[name]))
+    if ident in cells:
+        cells[ident] = whole_number_text(cells[ident].cast("string"))
+    if corrupt is not None:
+        cells[corrupt] = sum(wrong[1:], wrong[0])
+    own = [c for c in ("season", "step") if c not in cells]
+    return no_nan(raw.select(*[v.alias(c) for c, v in cells.items()], *own))
 
 
 def read_team_list(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:

@@ -70,7 +70,7 @@ def load_stage(
         return None
     paths = {"fit": train_val_path, "test": test_path, "predict": predict_path}
     if stage not in paths:
-        raise ValueError(f"stage {stage} not recognised")
+        raise ValueError(f"no such stage: {stage!r}; one of {sorted([*paths, 'validate'])}")
     path = paths[stage]
     assert path is not None, f"the {stage} stage needs its data path"
     df = read_table(spark, path, fmt)

@@ -110,18 +110,32 @@ def test_raw_files_to_scored_season(spark, raw, tmp_path):
     assert "given11_family_11" not in set(master.name)
 
     train = spark.read.parquet(paths["train_val_data"])
-    assert train.columns[0] == "player_name" and train.columns[-1] == "total_points"
-    assert all(c.startswith("X_") for c in train.columns[1:-1])
+    assert train.columns[:2] == ["player_name", "row_key"] and train.columns[-1] == "total_points"
+    assert all(c.startswith("X_") for c in train.columns[2:-1])
+    assert train.select("row_key").distinct().count() == train.count()
+    assert spark.read.parquet(paths["homonyms"]).isEmpty()
+    assert master.corrupt_cells.sum() == 0
     assert train.count() == (want.year == 2019).sum()
 
     trials, models = str(tmp_path / "trials"), str(tmp_path / "models")
     found = L.search_models(
-        spark, paths, ["player_name", "X_game_week", *train.columns[7:]], PRESETS["encoded"](ROLES),
-        "linear_svr", {"epsilon": [0.0, 0.5]}, "svr", trials, models, rank=True, fixed={"max_iter": 3},
+        spark, paths, PRESETS["encoded"](ROLES), "linear_svr", {"epsilon": [0.0, 50.0, 0.5]}, "svr",
+        trials, models, fixed={"max_iter": 3},
     )
-    assert found.count() == 2
+    assert found.count() == 3
+    best = max(found.collect(), key=lambda r: r["metrics"]["val_spearman"] or -2.0)
+    assert all("converged" in r["metrics"] for r in found.collect())
+    chosen = L.best_trial(L.read_trials(spark, trials), "val_spearman").first()
+    assert chosen["metrics"]["val_spearman"] == best["metrics"]["val_spearman"]
     model = L.best_model(spark, trials, models, "svr")
     scored = L.score_season(spark, paths["test_data"], model)
     assert scored.count() == (want.year == 2020).sum()
     assert scored.where("pred_total_points is null").isEmpty()
     assert "X_team_name" in scored.columns
+
+
+def test_a_lost_period_is_an_error(spark):
+    facts = spark.createDataFrame([("a", 2019), ("a", 2020), ("b", 2020), ("c", 2018)], "player_name string, starting_year int")
+    L.check_periods(facts, facts.where("starting_year >= 2019"), PLAN)
+    with pytest.raises(ValueError, match="lost"):
+        L.check_periods(facts, facts.where("player_name = 'a' and starting_year = 2019"), PLAN)

@@ -120,6 +120,14 @@ def brute_best(candidates):
     return {(t, out, new, -loss) for t, (loss, out, new) in best.items()}
 
 
+def per_member(candidates):
+    """(team, out, number of options, best in, gain)."""
+    options = {}
+    for t, out, new, gain in candidates:
+        options.setdefault((t, out), []).append((-gain, new))
+    return {(t, out, len(o), min(o)[1], -min(o)[0]) for (t, out), o in options.items()}
+
+
 def league_frames(spark, pool, teams):
     return (
         spark.createDataFrame([(t, m[0]) for t, ms in teams.items() for m in ms],
@@ -131,7 +139,6 @@ def league_frames(spark, pool, teams):
 @pytest.fixture(params=["broadcast", "salted"])
 def pool_side(request, monkeypatch):
     if request.param == "salted":
-        monkeypatch.setattr(R, "broadcast_within", lambda df, *_: df)
         monkeypatch.setattr(R, "_small", lambda df: (df, False))
         monkeypatch.setattr(R, "SALTS", 3)
     return request.param
@@ -143,8 +150,9 @@ def test_swaps_equal_brute_force(spark, pool_side, seed):
     assert sum(is_legal(m) for m in teams.values()) > 10
     want = brute_candidates(pool, teams)
     args = (*league_frames(spark, pool, teams), RULES)
-    got = [tuple(r) for r in R.swap_candidates(*args).collect()]
-    assert len(got) == len(set(got)) and set(got) == want
+    listed = [tuple(r) for r in R.swap_list(*args[:2], list(teams), RULES).collect()]
+    assert len(listed) == len(set(listed)) and set(listed) == want
+    assert {tuple(r) for r in R.swap_candidates(*args).collect()} == per_member(want)
     assert {tuple(r) for r in R.best_swap(*args).collect()} == brute_best(want)
 
 
@@ -156,10 +164,13 @@ def test_improving_climbs_until_no_swap_is_left(spark):
         for t, out, new, _ in swaps:
             state[t] = [m for m in state[t] if m[0] != out] + [by_name[new]]
     got = R.improve_rosters(*league_frames(spark, pool, teams), RULES, n_steps=50)
-    found = {}
+    found, flags = {}, {}
     for r in got.collect():
         found.setdefault(r["team"], set()).add(r["name"])
-    assert found == {t: {m[0] for m in ms} for t, ms in state.items()}
+        flags.setdefault(r["team"], set()).add((r["legal"], r["n_swaps"] > 0))
+    assert found == {t: {m[0] for m in ms} for t, ms in ({**teams, **state}).items()}
+    changed = {t for t, ms in state.items() if {m[0] for m in ms} != {m[0] for m in teams[t]}}
+    assert all(f == {(t in state, t in changed)} for t, f in flags.items() if t in changed or t not in state)
 
 
 @pytest.mark.parametrize("n_free, penalty", [(0, 1.0), (1, 2.0), (2, 3.0)])
@@ -186,10 +197,13 @@ def test_improving_pays_for_transfers(spark, n_free, penalty):
     got = R.improve_rosters(
         *league_frames(spark, pool, teams), RULES, 50, R.TransferCharge(n_free, penalty)
     )
-    found = {}
+    found, flags = {}, {}
     for r in got.collect():
         found.setdefault(r["team"], set()).add(r["name"])
-    assert found == {t: {m[0] for m in ms} for t, ms in state.items()}
+        flags.setdefault(r["team"], set()).add((r["legal"], r["n_swaps"] > 0))
+    assert found == {t: {m[0] for m in ms} for t, ms in ({**teams, **state}).items()}
+    changed = {t for t, ms in state.items() if {m[0] for m in ms} != {m[0] for m in teams[t]}}
+    assert all(f == {(t in state, t in changed)} for t, f in flags.items() if t in changed or t not in state)
 
 
 def test_applying_a_swap_leaves_other_teams_alone(spark, rows):
@@ -213,8 +227,13 @@ def test_cheaper_options_for_teams_over_budget(spark):
             for p in pool
             if p[1] == dear[1] and p[2] < dear[2] and p[0] not in names and clubs[p[3]] < 2
         }
+    points = {p[0]: p[4] for p in pool}
+    options = {}
+    for t, out, new in want:
+        options.setdefault((t, out), []).append((-points[new], new))
+    best = {(t, out, len(o), min(o)[1]) for (t, out), o in options.items()}
     got = R.cheaper_options(*league_frames(spark, pool, teams), RULES)
-    assert want and {tuple(r) for r in got.collect()} == want
+    assert best and {tuple(r) for r in got.collect()} == best
 
 
 def test_full_clubs_close(spark, rows):
@@ -297,7 +316,40 @@ def test_a_team_with_most_of_the_rows_changes_nothing_for_others(spark):
     want = brute_candidates(pool, legal)
     rosters, players = league_frames(spark, pool, huge)
     got = {tuple(r) for r in R.swap_candidates(rosters, players, RULES).collect()}
-    assert got == want
+    assert got == per_member(want)
     assert {tuple(r) for r in R.best_swap(rosters, players, RULES).collect()} == brute_best(want)
     totals = {r["team"]: r["n_players"] for r in R.team_totals(rosters, players, RULES).collect()}
     assert totals["huge"] == 2000
+
+
+@pytest.mark.parametrize("seed", [11, 12])
+def test_swaps_from_a_large_pool_need_few_contenders(spark, seed):
+    rng = random.Random(seed)
+    pool = [
+        (f"p{i:03d}", rng.randint(1, 3), float(rng.randint(1, 20)), rng.choice("ABCDEF"), float(rng.randint(0, 60)))
+        for i in range(600)
+    ]
+    teams = {f"t{k}": rng.sample(pool, 5) for k in range(150)}
+    rosters, players = league_frames(spark, pool, teams)
+    want = brute_candidates(pool, teams)
+    assert {tuple(r) for r in R.best_swap(rosters, players, RULES).collect()} == brute_best(want)
+    assert {tuple(r) for r in R.swap_candidates(rosters, players, RULES).collect()} == per_member(want)
+    assert R._contenders(players, RULES, R.COLUMNS).count() < 0.6 * len(pool)
+
+
+def test_players_without_a_club_may_enter(spark):
+    pool = [("a", 1, 1.0, None, 1.0), ("b", 2, 1.0, "A", 1.0), ("c", 3, 1.0, "A", 1.0), ("d", 2, 1.0, "B", 1.0),
+            ("e", 3, 1.0, "B", 1.0), ("new", 3, 1.0, None, 9.0), ("shut", 2, 1.0, "B", 8.0)]
+    teams = {"t": pool[:5]}
+    got = R.swap_list(*league_frames(spark, pool, teams), ["t"], RULES).collect()
+    assert {tuple(r) for r in got} == {("t", "c", "new", 8.0), ("t", "e", "new", 8.0), ("t", "d", "shut", 7.0)}
+    assert tuple(R.best_swap(*league_frames(spark, pool, teams), RULES).first()) == ("t", "c", "new", 8.0)
+
+
+def test_rewards_of_rosters_that_carry_points(spark):
+    facts = spark.createDataFrame(FACTS, "name string, step int, fixture int, points double")
+    rosters = spark.createDataFrame([("a", "x"), ("a", "y")], "team string, name string")
+    plain = R.weekly_reward(rosters, facts, "step", ["fixture"])
+    refreshed = R.refresh_points(rosters, facts.where("step = 1 and fixture = 1"))
+    assert ledger(R.weekly_reward(refreshed, facts, "step", ["fixture"])) == ledger(plain)
+    assert R.weekly_reward(rosters, facts.limit(0), "step", ["fixture"]).collect() == []

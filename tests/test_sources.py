@@ -54,6 +54,30 @@ def test_weekly_rows_follow_their_own_header(spark, rows, raw):
     assert dict(got.dtypes)["was_home"] == "boolean"
 
 
+def test_cells_and_headers_survive(spark, rows, tmp_path):
+    """Whole numbers with decimals, ids as text, quotes, odd headers, cells that do not fit."""
+    put(tmp_path / "2018-19" / "gws" / "gw1.csv",
+        "\ufeffname,element,größe,total_points,note\r\nA,1.0,45.0,2,\"x, \"\"y\"\"\"\r\nB,2.0,,3.0,\r\nC,3.0,4.5,x\r\n", "utf-8")
+    put(tmp_path / "2018-19" / "gws" / "gw2.csv", "total_points,größe,name\n7,nan,D_4.0\n", "utf-8")
+    types = {"minutes": "bigint", "total_points": "int"}
+    renames = {"größe": "minutes", "name": "player_name", "element": "player_id"}
+    got = catalog.read_weekly(spark, str(tmp_path), types, renames=renames, encoding="UTF-8", corrupt="bad")
+    assert rows(got, "step", "player_id", "player_name", "minutes", "total_points", "note", "bad") == [
+        (1, "1", "A", 45, 2, 'x, "y"', 0),
+        (1, "2", "B", None, 3, None, 0),
+        (1, "3", "C", None, None, None, 2),
+        (2, "4", "D_4.0", None, 7, None, 0),
+    ]
+    latin = tmp_path / "latin"
+    put(latin / "2018-19" / "gws" / "gw1.csv", "name,größe\nJosé,5\n")
+    assert rows(catalog.read_weekly(spark, str(latin), {"größe": "int"}), "player_name", "größe") == [("José", 5)]
+
+
+def test_ids_written_as_decimals_meet_the_id_list(spark, rows):
+    df = spark.createDataFrame([("1.0",), ("12",), ("a.0",), (None,)], "i string")
+    assert rows(df.select(C.id_text(df, "i").alias("i"))) == [(None,), ("1",), ("12",), ("a.0",)]
+
+
 def test_raw_files_to_clean_facts(spark, rows, raw):
     facts = catalog.read_weekly(spark, raw, TYPES)
     attributes = catalog.read_season_lists(

@@ -43,12 +43,24 @@ def test_edge_shares_mean_what_they_say(spark):
         S.random_split(df, "id", 1.5)
 
 
-@pytest.mark.parametrize("cut_rows", [20_000, 10])
-def test_a_key_shared_at_the_cut_is_refused(spark, monkeypatch, cut_rows):
+@pytest.mark.parametrize("cut_rows", [20_000, 3])
+def test_rows_that_share_a_key_are_split_exactly(spark, monkeypatch, cut_rows):
     monkeypatch.setattr(S, "CUT_ROWS", cut_rows)
-    df = spark.range(100).selectExpr("id % 1 as id")
-    with pytest.raises(ValueError, match="identify"):
-        S.random_split(df, "id", 0.5)
+    distinct = spark.range(100).selectExpr("id % 3 as k", "id as v")
+    equal = spark.range(100).selectExpr("id % 2 as k", "cast(null as string) as v")
+    for df, columns in ((distinct, ["k", "v"]), (equal, ["k", "v"])):
+        for share in (0.5, 0.37, 0.99):
+            train, val = S.random_split(df, "k", share)
+            want = math.ceil((1.0 - share) * 100)
+            assert (train.count(), val.count()) == (100 - want, want)
+            both = train.select(*columns).union(val.select(*columns))
+            assert sorted(map(str, both.collect())) == sorted(map(str, df.select(*columns).collect()))
+
+
+def test_missing_parts_of_a_key_are_values(spark):
+    df = spark.createDataFrame([(None, "a"), ("a", None), ("a", "a"), (None, None)], "x string, y string")
+    hashes = {r[0] for r in df.select(S._hash_order(["x", "y"], 1)).collect()}
+    assert len(hashes) == 4
 
 
 def test_temporal_split_leaves_other_periods_out(spark):

@@ -129,10 +129,7 @@ def loop_closed(steps):
     return moved
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_gaps_close_as_by_repeated_shifting(spark, monkeypatch, small):
-    if not small:
-        monkeypatch.setattr(W, "broadcast_within", lambda df, *_: df)
+def test_gaps_close_as_by_repeated_shifting(spark):
     seasons = {2018: [1, 2, 5, 6, 9], 2019: [3, 4, 5], 2020: [1, 39, 40]}
     df = spark.createDataFrame(
         [(p, s) for p, steps in seasons.items() for s in steps * 2], "period int, step int"
@@ -155,3 +152,8 @@ def test_lost_periods(spark, rows):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1)], "entity string, period int")
     assert rows(W.lost_periods(df, df.where("period = 1"), "entity", "period")) == [("a", 2)]
     assert rows(W.lost_periods(df, df, "entity", "period")) == []
+
+
+def test_a_missing_step_shifts_nothing(spark, rows):
+    df = spark.createDataFrame([(1, s) for s in (1, 2, 4, None)], "period int, step int")
+    assert rows(W.close_gaps(df, "period", "step"), "step") == [(None,), (1,), (2,), (3,)]

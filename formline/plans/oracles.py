@@ -224,6 +224,23 @@ trials AS (
   FROM rg GROUP BY supplier)"""
 
 
+def _fit_report(more: str = "") -> str:
+    """Rows of each stage when a fifth of the train years validates."""
+    return FEATURES + f"""SELECT stage, CAST(n AS BIGINT) AS n_rows,
+  CASE WHEN stage = 'train' THEN TRUE END AS fits{more}
+FROM (SELECT 'train' AS stage, n - ceil(0.2 * n) AS n FROM
+        (SELECT count(*) AS n FROM features WHERE period IN (1998, 1999, 2000))
+      UNION ALL SELECT 'val', ceil(0.2 * n) FROM
+        (SELECT count(*) AS n FROM features WHERE period IN (1998, 1999, 2000))
+      UNION ALL SELECT 'test', count(*) FROM features WHERE period = 2001)"""
+
+
+def _metric_names(*more: str) -> str:
+    """Names of a run's metrics, sorted."""
+    measures = ("mse", "rmse", "mae", "r2", "spearman")
+    return ",".join(sorted([*more, *(f"{s}_{m}" for s in ("train", "val", "test") for m in measures)]))
+
+
 ORACLES: dict[str, str] = {
     "rolling_mean": f"""WITH {MONTHS}
 SELECT entity, period, step,
@@ -450,6 +467,17 @@ FROM sm""",
   {", ".join(FEATURE_NAMES)}, label,
   CASE WHEN period = 2001 THEN 'test' ELSE 'train' END AS split
 FROM features WHERE period >= 1998""",
+    "train_rf": _fit_report(),
+    "train_gbt": _fit_report(),
+    "train_linear_svr": _fit_report(", TRUE AS converged, TRUE AS near_least"),
+    "score_table": FEATURES + """SELECT entity, period, step, label, TRUE AS same
+FROM features WHERE period = 2001""",
+    "trial_table": f"""SELECT 'svr' AS experiment, 42::BIGINT AS seed, 10::BIGINT AS n_runs,
+  'C,epsilon,regressor,tol' AS params, '{_metric_names("converged", "passes")}' AS metrics
+UNION ALL
+SELECT 'forest', 42, 3,
+  'max_features,max_samples,min_samples_split,min_share_per_child,n_estimators,regressor',
+  '{_metric_names()}'""",
     "pipeline_roundtrip": FEATURES + """SELECT entity, period, step, TRUE AS same
 FROM features WHERE period = 2001""",
 }

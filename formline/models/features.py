@@ -9,8 +9,9 @@ from decimal import Decimal
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Transformer
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -93,7 +94,7 @@ class EncodeColumns(Estimator, HasInputCols, _Stored):
     """One 0/1 column ``{column}_{category}`` per category seen in fitting, in sorted order.
 
     Unseen and missing categories give zeros throughout. More than ``maxCategories`` categories
-    are refused, since each becomes a column.
+    are refused, since each becomes a column; :func:`vector_encoding` has no such limit.
     """
 
     dropSource = Param(
@@ -210,9 +211,10 @@ class AssembleFeatures(Transformer, _Stored):
         features = columns_with_prefix(df, self.getOrDefault(self.prefixes))
         label = self.getOrDefault(self.labelColumn)
         missing = self.getOrDefault(self.missing)
-        numeric = df.withColumns({c: F.col(quoted(c)).cast("double") for c in features})
+        plain = [c for c in features if not isinstance(df.schema[c].dataType, VectorUDT)]
+        numeric = df.withColumns({c: F.col(quoted(c)).cast("double") for c in plain})
         if missing == "zero":
-            numeric = numeric.fillna(0.0, [quoted(c) for c in features])
+            numeric = numeric.fillna(0.0, [quoted(c) for c in plain])
         invalid = "skip" if missing == "skip" else "error"
         assembler = VectorAssembler(inputCols=features, outputCol="features", handleInvalid=invalid)
         out = assembler.transform(numeric)
@@ -221,6 +223,21 @@ class AssembleFeatures(Transformer, _Stored):
         return out
 
 
+def vector_encoding(columns: Sequence[str], suffix: str = "_vector") -> list:
+    """Stages for columns of more categories than columns can hold: ``{column}{suffix}``, a sparse vector.
+
+    Positions follow the categories in order; unseen and missing categories give zeros throughout. The
+    vectors may be assembled like any feature column.
+    """
+    indexed = [f"{c}_index" for c in columns]
+    index = StringIndexer(
+        inputCols=list(columns), outputCols=indexed, handleInvalid="keep", stringOrderType="alphabetAsc"
+    )
+    # the place kept for unseen categories is the last one, which the encoder leaves out
+    encode = OneHotEncoder(inputCols=indexed, outputCols=[f"{c}{suffix}" for c in columns], dropLast=True)
+    return [index, encode]
+
+
 def shape_of(ready: DataFrame) -> tuple[int, int, int]:
     """(rows, features, labels) of an assembled table, in one aggregation."""
     labels = int("label" in ready.columns)

@@ -327,6 +327,12 @@ FROM part GROUP BY 1, 2 HAVING count(*) > 1""",
 FROM orders WHERE o_orderstatus IN ('F', 'O', 'P')""",
     "one_hot": f"""SELECT p_partkey, {_one_hot("p_brand", BRANDS)}, {_one_hot("p_type", TYPES)}
 FROM part""",
+    "one_hot_vector": """SELECT c_custkey,
+       CAST(dense_rank() OVER (ORDER BY c_name) - 1 AS BIGINT) AS position, 1.0::DOUBLE AS total
+FROM customer""",
+    "identity_stages": f"""WITH {MONTHS} SELECT * FROM sm""",
+    "feature_shape": FEATURES + f"""SELECT count(*) AS n_rows,
+  {len(FEATURE_NAMES)}::INTEGER AS n_features, 1::INTEGER AS n_labels FROM features""",
     "standard_scale": """WITH m AS (
   SELECT avg(p_size) AS ms, stddev_pop(p_size) AS ss, avg(p_retailprice) AS mr,
          stddev_pop(p_retailprice) AS sr FROM part)
@@ -375,6 +381,21 @@ SELECT totals.*, max_club FROM totals JOIN fullest USING (team)""",
     "team_legality": f"""WITH {ROSTERS}
 SELECT team, positions_legal, value_legal, clubs_legal,
        positions_legal AND value_legal AND clubs_legal AS legal FROM legality""",
+    "week_pool": f"""WITH {ROSTERS}
+SELECT DISTINCT name, position, value, club, w.points
+FROM weeks w JOIN players USING (name) WHERE step = 40""",
+    "legality_any_size": f"""WITH {ROSTERS},
+m AS (SELECT team, name, position, value, club FROM bought JOIN pool USING (name)),
+c AS (SELECT team, club, count(*) AS n FROM m GROUP BY team, club),
+t AS (
+  SELECT team, count(*) AS n_players, CAST(sum(value) AS BIGINT) AS total_value,
+         (SELECT max(n) FROM c WHERE c.team = m.team) AS max_club,
+         count(*) = 8 AND greatest(count(*) FILTER (WHERE position = 1),
+           count(*) FILTER (WHERE position = 2), count(*) FILTER (WHERE position = 3),
+           count(*) FILTER (WHERE position = 4)) <= 3 AS positions_legal
+  FROM m GROUP BY team)
+SELECT *, total_value <= 40000 AS value_legal, max_club <= 2 AS clubs_legal,
+       positions_legal AND total_value <= 40000 AND max_club <= 2 AS legal FROM t""",
     "open_clubs": f"""WITH {ROSTERS}
 SELECT r.team, r.name FROM ranked r JOIN pool USING (name)
 ANTI JOIN full_clubs f ON f.team = r.team AND f.club = pool.club
@@ -454,7 +475,18 @@ k AS (SELECT *, row_number() OVER (ORDER BY val_mae, run_id) AS place FROM trial
 SELECT run_id, val_mae AS value FROM k WHERE place > 25""",
     "file_catalog": f"""WITH {MONTHS}
 SELECT DISTINCT CAST(period AS VARCHAR) || '-' || lpad(CAST((period + 1) % 100 AS VARCHAR), 2, '0')
-  AS season, step FROM sm""",
+  AS season, step FROM sm
+UNION ALL SELECT '1990-91', 1""",
+    "team_list": f"""WITH {SEASONS}
+SELECT DISTINCT season, c_nationkey AS team, n_name AS team_name,
+       CAST(c_nationkey + 100 AS INTEGER) AS team_id
+FROM seasons JOIN customer ON player_id = c_custkey JOIN nation ON c_nationkey = n_nationkey""",
+    "season_lists": f"""WITH {SEASONS}
+SELECT DISTINCT season, CAST(player_id AS VARCHAR) AS player_id, c_mktsegment AS element_type,
+       c_nationkey AS team
+FROM seasons JOIN customer ON player_id = c_custkey""",
+    "rewritten_table": """SELECT n_nationkey, n_name FROM nation
+WHERE n_nationkey < 5 OR n_nationkey >= 20""",
     "weekly_scan": f"""WITH {MONTHS}
 SELECT CAST(period AS VARCHAR) || '-' || lpad(CAST((period + 1) % 100 AS VARCHAR), 2, '0')
          AS season,

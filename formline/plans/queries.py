@@ -11,7 +11,14 @@ from pyspark.sql import functions as F
 
 from formline.functions import columns as C
 from formline.models import training, trials
-from formline.models.features import PRESETS, EncodeColumns, FeatureRoles, ScaleColumns
+from formline.models.features import (
+    PRESETS,
+    EncodeColumns,
+    FeatureRoles,
+    ScaleColumns,
+    shape_of,
+    vector_encoding,
+)
 from formline.operators import assemble as assembly
 from formline.operators import evaluation, rosters, splits, windows
 from formline.plans import proxies as P
@@ -253,6 +260,33 @@ def one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return EncodeColumns(inputCols=["p_brand", "p_type"]).fit(parts).transform(parts)
 
 
+@query
+def one_hot_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer names, far too many for columns, as vectors: where the one stands, and their sum."""
+    customers = P.table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    encoded = Pipeline(stages=vector_encoding(["c_name"])).fit(customers).transform(customers)
+    ones = vector_to_array("c_name_vector")
+    return encoded.select(
+        "c_custkey",
+        (F.array_position(ones, F.lit(1.0)) - 1).alias("position"),
+        F.aggregate(ones, F.lit(0.0), lambda a, x: a + x).alias("total"),
+    )
+
+
+@query
+def identity_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The preset without stages leaves the table as it is."""
+    months = P.supplier_months(spark, sf_dir)
+    return Pipeline(stages=PRESETS["identity"](ROLES)).fit(months).transform(months)
+
+
+@query
+def feature_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = P.monthly_features(spark, sf_dir)
+    ready = Pipeline(stages=PRESETS["plain"](ROLES)).fit(table).transform(table)
+    return spark.createDataFrame([shape_of(ready)], "n_rows long, n_features int, n_labels int")
+
+
 @query
 def standard_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = P.table(spark, sf_dir, "part").select(
@@ -339,6 +373,24 @@ def player_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def week_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pool of one month."""
+    facts = P.supplier_facts(spark, sf_dir).join(P.supplier_players(spark, sf_dir), "name")
+    names = ("name", "position", "value", "club", "points")
+    return rosters.player_pool(facts, *names, where=F.col("step") == 40)
+
+
+@query
+def legality_any_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Teams of all suppliers that a customer ever used: most are too large."""
+    teams = P.customer_suppliers(spark, sf_dir)
+    flags = rosters.team_legality(teams, P.supplier_pool(spark, sf_dir), P.ROSTER_RULES)
+    return flags.select(
+        "team", "n_players", "total_value", "max_club", "positions_legal", "value_legal", "clubs_legal", "legal"
+    )
+
+
 @query
 def team_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rosters.team_totals(
@@ -482,9 +534,49 @@ def _write_weeks(spark: SparkSession, sf_dir: str) -> str:
         prepared.write_table(
             rows.hint("rebalance", "season", "step"), f"{root}/{era}", "csv", ["season", "step"]
         )
+    # a week without rows: its file holds a header and nothing else
+    nothing = spark.createDataFrame([], "name string, element long, units double, label long")
+    prepared.write_table(nothing.coalesce(1), f"{root}/none/season=1990-91/step=1", "csv")
     return root
 
 
+@query
+def team_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "teams")
+    teams = P.season_dimensions(spark, sf_dir)[2].withColumn("id", F.col("team") + 100)
+    prepared.write_table(teams, path, "csv")
+    return catalog.read_team_list(spark, path, "season string, team int, team_name string, id int")
+
+
+@query
+def season_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Id lists and attributes per season, written as CSV and read back in one scan each."""
+    root = fresh_path(spark, "lists")
+    attributes, ids, _ = P.season_dimensions(spark, sf_dir)
+    prepared.write_table(ids.withColumnRenamed("player_id", "id"), f"{root}/ids", "csv", ["season"])
+    prepared.write_table(attributes, f"{root}/attributes", "csv", ["season"])
+    season = F.substring_index("season", "=", -1)
+    names = "first_name string, second_name string"
+    listed = catalog.read_season_lists(spark, f"{root}/ids", "*.csv", f"{names}, id long", {"id": "player_id"})
+    described = catalog.read_season_lists(
+        spark, f"{root}/attributes", "*.csv", f"{names}, element_type string, team int"
+    )
+    return assembly.entity_attributes(
+        described.withColumn("season", season), listed.withColumn("season", season)
+    )
+
+
+@query
+def rewritten_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table written, overwritten and appended to in one folder."""
+    path = fresh_path(spark, "modes")
+    nations = P.table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    prepared.write_table(nations, path)
+    prepared.write_table(nations.where("n_nationkey < 5"), path, mode="overwrite")
+    prepared.write_table(nations.where("n_nationkey >= 20"), path, mode="append")
+    return prepared.read_table(spark, path)
+
+
 @query
 def file_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _write_weeks(spark, sf_dir)

@@ -28,7 +28,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -37,9 +37,9 @@ from pyspark.sql import functions as F
 
 STRIDE = 32
 SHINGLE = 5
-ITEM_BLOCK = 16
+ITEM_BLOCK = 4
 #: Items and characters of one index; larger benchmarks are indexed and searched slice by slice.
-SLICE_ITEMS = 2048
+SLICE_ITEMS = 1024
 SLICE_CHARS = 4_000_000
 MAX_ITEMS = 200_000
 STEP_WORDS = 200_000
@@ -119,7 +119,7 @@ class Index:
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         flat = list(chain.from_iterable(texts))
         get = self.terms.get
-        ids = np.fromiter((get(w, -1) for w in flat), np.int64, len(flat))
+        ids = np.fromiter(map(get, flat, repeat(-1)), np.int64, len(flat))
         blocks = -(-sizes // STRIDE)
         first_block, first_word = np.cumsum(blocks) - blocks, np.cumsum(sizes) - sizes
         inside = np.arange(len(flat)) - np.repeat(first_word, sizes)

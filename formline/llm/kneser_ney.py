@@ -400,27 +400,34 @@ def fit(texts: DataFrame, parts: int | None = None) -> Model:
     return model
 
 
-def log_probabilities(reader: Reader, numbers: np.ndarray, before: np.ndarray) -> np.ndarray:
-    """log10 p(word | word before), for numbers as ``_lines`` gives them."""
+def log_probabilities(reader: Reader, numbers: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Training counts of the words, and log10 p(word | word before), for numbers as ``_lines`` gives them.
+
+    Each distinct word and pair is looked up once.
+    """
     model = reader.model
     n_words = model.words
 
     def cut(counts: np.ndarray, discounts: tuple[float, float, float]) -> np.ndarray:
         return np.maximum(counts - np.array([0.0, *discounts])[np.minimum(counts, 3)], 0.0)
 
-    single = np.full(len(numbers), model.spare / (n_words + 1))
+    # words in order: -1 (unknown) first where it occurs, the start last
+    words, word = np.unique(np.concatenate([numbers, before]), return_inverse=True)
+    word, context = word[: len(numbers)], word[len(numbers) :]
+    real = np.where(words == n_words, -1, words)
+    single = np.full(len(words), model.spare / (n_words + 1))
     if model.continuations:
-        single += cut(reader.per_word("follows", numbers), model.word_discounts) / model.continuations
-    start = before == n_words
-    context = np.where(start, -1, before)
-    total, kinds = reader.per_word("total", context), reader.per_word("kinds", context, 3)
+        single += cut(reader.per_word("follows", real), model.word_discounts) / model.continuations
+    total, kinds = reader.per_word("total", real), reader.per_word("kinds", real, 3)
     first = reader.array("start", 0)
-    total[start], kinds[start] = first[0], first[1:]
+    total[words == n_words], kinds[words == n_words] = first[0], first[1:]
     seen = total > 0
     whole = np.where(seen, total, 1)
-    spare = kinds @ np.array(model.pair_discounts) / whole
-    paired = cut(reader.pair_counts(before, numbers), model.pair_discounts) / whole + spare * single
-    return np.log10(np.where(seen, paired, single))
+    spare = np.where(seen, kinds @ np.array(model.pair_discounts) / whole, 1.0)
+    pairs, pair = np.unique(context * len(words) + word, return_inverse=True)
+    c, w = np.divmod(pairs, len(words))
+    paired = cut(reader.pair_counts(words[c], words[w]), model.pair_discounts) / whole[c] + spare[c] * single[w]
+    return reader.per_word("count", real)[word], np.log10(paired)[pair]
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -434,14 +441,14 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         reader = _reader(model)
         for batch, raw in steps(batches, "text"):
             numbers, before, first = _lines(reader, _tokens(raw))
-            counts = reader.per_word("count", numbers)
+            counts, scores = log_probabilities(reader, numbers, before)
             sums = [
                 np.add.reduceat(x, first)
                 for x in (
                     np.ones(len(numbers), np.int64),
                     (counts > 0).astype(np.int64),
                     np.log10(counts + 0.5) - floor,
-                    log_probabilities(reader, numbers, before),
+                    scores,
                 )
             ]
             yield pa.RecordBatch.from_arrays(

@@ -30,8 +30,8 @@ from formline.llm.common import STEP_BYTES, written
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
-#: Documents of one prefix-sum bucket, on average.
-BUCKET_ROWS = 20_000
+#: Documents per prefix-sum bucket of each source, were all documents of one source.
+BUCKET_ROWS = 4_000
 _GAP = np.zeros(256, bool)
 _GAP[[0x20, *range(0x09, 0x0E)]] = True
 

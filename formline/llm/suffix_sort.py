@@ -64,19 +64,23 @@ def ranks(symbols: np.ndarray, depth: int) -> np.ndarray:
         dense = np.unique(pairs, return_inverse=True)[1]
         keys[0, 2] = dense[: len(zero)] * width + rank[zero + 2]
         keys[2, 2] = dense[len(zero) :] * width + rank[two + 2]
-    in_order = {k: np.sort(v) for k, v in keys.items()}
-    sorted_names = {1: np.sort(names[: len(one)]), 2: np.sort(names[len(one) :])}
-    out = np.empty(n + 1, np.int64)
+    order = {k: np.argsort(v) for k, v in keys.items()}
+    in_order = {k: v[order[k]] for k, v in keys.items()}
 
-    def below(sorted_keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-        order = np.argsort(wanted)  # searching in order is many times faster
-        found = np.empty(len(wanted), np.int64)
-        found[order] = np.searchsorted(sorted_keys, wanted[order])
+    def below(kind: tuple[int, int], other: tuple[int, int]) -> np.ndarray:
+        """For each key of one kind the number of smaller keys of another, searched in order."""
+        found = np.empty(len(order[kind]), np.int64)
+        found[order[kind]] = np.searchsorted(in_order[other], in_order[kind])
         return found
 
-    out[zero] = below(in_order[0, 1], keys[0, 1]) + below(in_order[1, 1], keys[0, 1]) + below(in_order[2, 2], keys[0, 2])
-    out[one] = below(sorted_names[1], names[: len(one)]) + below(sorted_names[2], names[: len(one)]) + below(in_order[0, 1], keys[1, 1])
-    out[two] = below(sorted_names[1], names[len(one) :]) + below(sorted_names[2], names[len(one) :]) + below(in_order[0, 2], keys[2, 2])
+    if width <= 8 * len(names) + 1024:
+        smaller = (np.cumsum(np.bincount(names, minlength=width)) - np.bincount(names, minlength=width))[names]
+    else:
+        smaller = np.searchsorted(np.sort(names), names)
+    out = np.empty(n + 1, np.int64)
+    out[zero] = below((0, 1), (0, 1)) + below((0, 1), (1, 1)) + below((0, 2), (2, 2))
+    out[one] = smaller[: len(one)] + below((1, 1), (0, 1))
+    out[two] = smaller[len(one) :] + below((2, 2), (0, 2))
     return out[:n]
 
 
@@ -89,9 +93,13 @@ def equal_prefix_classes(data: np.ndarray, starts: np.ndarray, length: int) -> n
     rank = ranks(data, length)
     order = starts[np.argsort(rank[starts], kind="stable")]
     a, b = order[:-1], order[1:]
+    width = min(length, 7)
+    words = data.copy()  # several symbols of nine bits in one number
+    for k in range(1, width):
+        words[:-k] |= data[k:] << (9 * k)
     same = np.arange(len(a))
-    for at in range(length):
-        same = same[data[a[same] + at] == data[b[same] + at]]
+    for at in [*range(0, length - width, width), length - width]:
+        same = same[words[a[same] + at] == words[b[same] + at]]
         if not len(same):
             break
     fresh = np.ones(len(order), bool)

@@ -9,6 +9,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from formline.session import cut_lineage
+
 from formline.functions.metrics import REGRESSION
 
 Metric = Callable[[Column, Column], Column]
@@ -125,18 +127,19 @@ def spearman(
 ) -> DataFrame:
     """Spearman's rank correlation with ties averaged, one row in all or per group of ``by``.
 
-    Rows are first counted per (label, prediction) pair. Ranks meet the pairs by value; each rank
-    table has one row per value, so only the pair side of those joins can be skewed, which Spark
-    splits at run time. ``rows_per_range`` as in :func:`average_ranks`.
+    Rows are first counted per (label, prediction) pair; the counts are checkpointed, so ``df`` is
+    read once. Ranks meet the pairs by value; each rank table has one row per value, so only the
+    pair side of those joins can be skewed, which Spark splits at run time. ``rows_per_range`` as in
+    :func:`average_ranks`.
     """
     rows = df.select(
         *by,
         F.col(label).cast("double").alias("_y"),
         F.col(prediction).cast("double").alias("_p"),
     ).where(F.col("_y").isNotNull() & F.col("_p").isNotNull())
-    n_rows = rows.count()
-    pairs = rows.groupBy(*by, "_y", "_p").agg(F.count(F.lit(1)).alias("_c"))
-    borders = _range_borders(rows, ["_y", "_p"], n_rows, rows_per_range)
+    pairs = cut_lineage(rows.groupBy(*by, "_y", "_p").agg(F.count(F.lit(1)).alias("_c")))
+    n_rows, n_pairs = pairs.agg(F.coalesce(F.sum("_c"), F.lit(0)), F.count(F.lit(1))).first()
+    borders = _range_borders(pairs, ["_y", "_p"], n_pairs, rows_per_range)
     ranked = pairs
     for column, own, rank in zip(("_y", "_p"), borders, ("_ry", "_rp"), strict=True):
         values = pairs.select(*by, F.col(column).alias("value"), F.col("_c").alias("_n"))
@@ -144,7 +147,7 @@ def spearman(
         ranked = ranked.join(ranks, [*by, column])
     # The mean of average ranks is (n + 1) / 2 whatever the ties.
     if by:
-        ranked = ranked.join(rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_size")), [*by])
+        ranked = ranked.join(pairs.groupBy(*by).agg(F.sum("_c").alias("_size")), [*by])
         middle = (F.col("_size") + 1) / 2
     else:
         middle = F.lit((n_rows + 1) / 2)
@@ -192,7 +195,8 @@ def scatter_counts(
     def bin_of(value: Column, axis: str) -> Column:
         lo, hi = (ends.select(f"{axis}_{end}").scalar() for end in ("lo", "hi"))
         place = F.floor((value - lo) / ((hi - lo) / bins)).cast("int")
-        return F.when(hi > lo, F.least(place, F.lit(bins - 1))).when(value.isNotNull(), 0)
+        binned = F.when(hi > lo, F.least(place, F.lit(bins - 1))).otherwise(0)
+        return F.when(value.isNotNull(), binned)
 
     return df.groupBy(bin_of(y, "y").alias("x_bin"), bin_of(p, "p").alias("y_bin")).agg(
         F.count(F.lit(1)).alias("n")

@@ -349,7 +349,8 @@ SELECT round({MSE}, 1) AS mse, round(sqrt({MSE}), 4) AS rmse,
     "stage_metrics": f"""WITH {REGRESSION},
 w AS (SELECT stage, {MSE} AS mse, sqrt({MSE}) AS rmse, avg(abs(y - p)) AS mae, {R2} AS r2
       FROM rg GROUP BY stage)
-SELECT stage, stage || '_' || name AS metric, round(value, 1) AS value
+SELECT stage, stage || '_' || name AS metric,
+       CASE WHEN name = 'r2' THEN round(value, 6) ELSE round(value, 1) END AS value
 FROM w UNPIVOT (value FOR name IN (mse, rmse, mae, r2))""",
     "spearman": f"""WITH {REGRESSION},
 r AS (SELECT rank() OVER (ORDER BY y) + (count(*) OVER (PARTITION BY y) - 1) / 2.0 AS ry,

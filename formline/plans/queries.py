@@ -322,7 +322,9 @@ def regression_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stage_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     long = evaluation.stage_metrics(P.regression_rows(spark, sf_dir), "y", "p")
-    return long.select("stage", "metric", F.round("value", 1).alias("value"))
+    share = F.endswith("metric", F.lit("_r2"))
+    value = F.when(share, F.round("value", 6)).otherwise(F.round("value", 1))
+    return long.select("stage", "metric", value.alias("value"))
 
 
 @query

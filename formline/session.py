@@ -13,9 +13,14 @@ BROADCAST_BYTES = 32_000_000
 _local_dirs: dict[str, str] = {}
 
 
-def local_session(app: str, cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
-    """A single-JVM session for tests and the bench; clusters bring their own."""
-    spark = (
+def local_session(
+    app: str, cores: int | str = "*", shuffle_partitions: int = 8, scratch: str | None = None
+) -> SparkSession:
+    """A single-JVM session for tests and the bench; clusters bring their own.
+
+    ``scratch`` is where checkpoints and scratch tables go, as ``spark.checkpoint.dir`` on a cluster.
+    """
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
@@ -24,8 +29,10 @@ def local_session(app: str, cores: int | str = "*", shuffle_partitions: int = 8)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.driver.memory", "8g")
-        .getOrCreate()
     )
+    if scratch is not None:
+        builder = builder.config("spark.checkpoint.dir", scratch)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 

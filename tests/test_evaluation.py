@@ -57,7 +57,14 @@ def test_trend_line(spark):
     assert (row["lo"], row["hi"]) == (0.0, 9.0)
 
 
-def test_scatter_is_bounded_and_repeatable(spark, rows):
-    df = spark.range(500).selectExpr("id", "id as y", "id as p")
-    first = rows(E.scatter_points(df, "y", "p", ["id"], 20))
-    assert len(first) == 20 and first == rows(E.scatter_points(df.repartition(7), "y", "p", ["id"], 20))
+def test_scatter_has_every_point(spark, rows):
+    df = spark.range(500).selectExpr("id", "id as y", "id * 2 as p")
+    assert rows(E.scatter_points(df, "y", "p", ["id"])) == [(i, i, 2 * i) for i in range(500)]
+    counts = E.scatter_counts(df.unionAll(df.selectExpr("id", "null", "p").limit(3)), "y", "p", 10)
+    found = {(r["x_bin"], r["y_bin"]): r["n"] for r in counts.collect()}
+    assert sum(found.values()) == 503
+    assert {k: n for k, n in found.items() if k[0] is not None} == {(i, i): 50 for i in range(10)}
+    flat = E.scatter_counts(spark.range(4).selectExpr("1 as y", "id as p"), "y", "p", 2)
+    assert sorted(tuple(r) for r in flat.collect()) == [(0, 0, 2), (0, 1, 2)]
+
+

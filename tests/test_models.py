@@ -11,6 +11,7 @@ from formline.models.features import (
     FeatureRoles,
     ScaleColumns,
     shape_of,
+    vector_encoding,
 )
 from formline.session import fresh_path
 
@@ -178,3 +179,59 @@ def test_ranking_trials(spark, rows):
     assert rows(trials.trials_to_drop(table, "val_mse", 2), "run_id") == [("r0",), ("r3",)]
     assert rows(trials.trials_to_drop(table, "val_mse", 2, ascending=False), "run_id") == [("r1",), ("r3",)]
     assert trials.trials_to_drop(table, "val_mse", 9).isEmpty()
+
+
+def test_runs_are_not_ranked_by_a_metric_that_none_has(spark):
+    rows = [trials.trial_row("e", {}, {"val_mse": m}, 1, run_id=f"r{i}") for i, m in enumerate([9.0, 1.0, 5.0])]
+    table = trials.trial_frame(spark, rows)
+    with pytest.raises(ValueError, match="val_spearman"):
+        trials.best_trial(table, "val_spearman")
+    with pytest.raises(ValueError, match="val_spearman"):
+        trials.trials_to_drop(table, "val_spearman", 1)
+    assert trials.best_trial(table, "val_mse").first()["run_id"] == "r1"
+
+
+def test_the_logged_seed_is_the_one_used(spark, table, tmp_path):
+    train, val = table.where("k % 4 > 0"), table.where("k % 4 = 0")
+    rows = training.search(
+        train, val, None, PRESETS["encoded"](ROLES), "random_forest", {"n_estimators": [2], "min_samples_split": [1.0]},
+        "forest", seed=7, rank=False, models_dir=str(tmp_path),
+    )
+    (row,) = rows
+    forest = training.load_pipeline(f"{tmp_path}/{row.run_id}").stages[-1]
+    assert row.seed == 7 and forest.getSeed() == 7
+    assert row.params["min_share_per_child"] == "0.49"
+
+
+def test_the_fit_tells_whether_it_settled(spark, table):
+    ready = Pipeline(stages=PRESETS["encoded"](ROLES)).fit(table).transform(table)
+    assert training.linear_svr(max_iter=300).fit(ready).getConverged()
+    assert not training.linear_svr(max_iter=1, tol=1e-12).fit(ready).getConverged()
+
+
+def test_missing_features(spark):
+    df = spark.createDataFrame([(1, 1.0, None), (2, 3.0, 4.0)], "k int, X_a double, X_b double")
+
+    def vectors(missing):
+        out = AssembleFeatures(prefixes=["X_"], missing=missing).transform(df)
+        return {r["k"]: r["features"].toArray().tolist() for r in out.collect()}
+
+    assert vectors("zero") == {1: [1.0, 0.0], 2: [3.0, 4.0]}
+    assert vectors("skip") == {2: [3.0, 4.0]}
+    with pytest.raises(Exception, match="(?i)null|nan"):
+        vectors("error")
+    with pytest.raises(ValueError):
+        AssembleFeatures(missing="other")
+
+
+def test_many_categories_become_a_vector(spark):
+    df = spark.createDataFrame([(i, f"c{i:04d}") for i in range(1500)], "k int, c string")
+    with pytest.raises(ValueError):
+        EncodeColumns(inputCols=["c"]).fit(df)
+    model = Pipeline(stages=vector_encoding(["c"], "_v")).fit(df)
+    other = spark.createDataFrame([(0, "c0007"), (1, "new"), (2, None)], "k int, c string")
+    got = {r["k"]: r["c_v"] for r in model.transform(other).collect()}
+    assert got[0].size == 1500 and got[0].indices.tolist() == [7]
+    assert got[1].indices.size == got[2].indices.size == 0
+    assembled = AssembleFeatures(prefixes=["c_v"]).transform(model.transform(other))
+    assert assembled.first()["features"].size == 1500

@@ -260,6 +260,13 @@ def identify(
     The sample that reaches the driver holds about ``per_lang`` rows of up to ``max_chars``
     characters per language (256 languages at most, the most frequent). Prediction moves no rows.
     """
+    return _identified(docs, id_col, text_col, lang_col, per_lang, max_chars)[0]
+
+
+def _identified(
+    docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_lang: int, max_chars: int
+) -> tuple[DataFrame, int]:
+    """What ``identify`` returns, and the number of languages learned."""
     texts, labels = labelled_sample(docs, id_col, text_col, lang_col, per_lang, max_chars)
     network = train(texts, labels) if texts else Network([])
     source = docs.withColumn("__held_out", held_out(F.col(id_col)))
@@ -281,7 +288,7 @@ def identify(
             )
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema)
-    return source.mapInArrow(tasks, f"{fields}, __lang string, __score double")
+    return source.mapInArrow(tasks, f"{fields}, __lang string, __score double"), len(network.langs)
 
 
 _labellers: list[tuple[bytes, Labeller]] = []
@@ -303,7 +310,20 @@ def predictions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
 
 
-def keep_identified(docs: DataFrame, min_score: float = 0.3, **names) -> DataFrame:
-    """The rows of ``docs`` whose language is found with at least ``min_score``, all columns as they are."""
-    found = identify(docs, **names)
-    return found.where((F.col("__lang") != UNDETERMINED) & (F.col("__score") >= min_score)).select(*docs.columns)
+def keep_identified(
+    docs: DataFrame,
+    above_chance: float = 1.05,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    lang_col: str = "lang",
+    per_lang: int = 400,
+    max_chars: int = 3000,
+) -> DataFrame:
+    """The rows of ``docs`` whose language is found, all columns as they are.
+
+    Rejected are undetermined texts and those whose best language scores less than ``above_chance``
+    times what each of the learned languages would have by chance.
+    """
+    found, n_langs = _identified(docs, id_col, text_col, lang_col, per_lang, max_chars)
+    least = above_chance / n_langs if n_langs > 1 else 0.0
+    return found.where((F.col("__lang") != UNDETERMINED) & (F.col("__score") >= least)).select(*docs.columns)

@@ -102,7 +102,10 @@ def search_shard(
         found = np.zeros(len(ids), bool)
         for t in range(trees):
             found[forest.rows[t, low[t, q] : high[t, q]]] = True
-        rows = np.flatnonzero(found & (ids != query_ids[q]))
+        others = ids != query_ids[q]
+        rows = np.flatnonzero(found & others)
+        if len(rows) < k:
+            rows = np.flatnonzero(others)  # up to the roots
         if len(rows) > k:
             near = points[rows] @ queries[q]
             least = np.partition(near, len(near) - k)[len(near) - k]

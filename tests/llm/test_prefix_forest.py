@@ -63,6 +63,14 @@ def test_recall_does_not_fall_with_the_number_of_shards(spark, monkeypatch):
         assert recall(by_query(P.nearest(vectors, shard_rows=shard_rows)), brute(rows)) >= 0.9
 
 
+def test_small_tables_find_everything(spark):
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 15, 30):
+        rows = [(i, rng.normal(size=16).tolist()) for i in range(n)]
+        got = by_query(P.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), trees=2))
+        assert {q: len(v) for q, v in got.items()} == {q: min(20, n - 1) for q in range(0, n, 20) if n > 1}
+
+
 def test_equal_vectors_go_to_the_smaller_id(spark):
     rows = [(i, [1.0, 2.0, 3.0]) for i in range(300)]
     got = by_query(P.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), shard_rows=50))

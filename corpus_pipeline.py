@@ -51,7 +51,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("source_mix", mix_sources),
 ]
 
-#: No stage but the counting in the last can be said in SQL; ``tests/llm/test_corpus_pipeline.py`` checks each by brute force.
+#: No stage but the counting in the last can be said in SQL; the tests check each by brute force.
 ORACLE_SQL = None
 
 

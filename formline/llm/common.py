@@ -35,15 +35,17 @@ def texts_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     return df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
-def steps(batches: Iterator[pa.RecordBatch], text_col: str) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Slices of at most ``STEP_BYTES`` of text (at least one row), with the texts as UTF-8 bytes."""
+def steps(
+    batches: Iterator[pa.RecordBatch], text_col: str, most: int = STEP_BYTES
+) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Slices of at most ``most`` bytes of text (at least one row), with the texts as UTF-8 bytes."""
     for batch in batches:
         column = batch.column(batch.schema.get_field_index(text_col)).cast(pa.binary())
         start = size = 0
         texts: list[bytes] = []
         for i, value in enumerate(column):
             raw = value.as_py() or b""
-            if texts and size + len(raw) > STEP_BYTES:
+            if texts and size + len(raw) > most:
                 yield batch.slice(start, i - start), texts
                 start, size, texts = i, 0, []
             texts.append(raw)

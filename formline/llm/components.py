@@ -38,7 +38,8 @@ def component_roots(edges: DataFrame, label: str = "components") -> DataFrame:
     ``edges`` has columns ``a`` and ``b`` of one ordered type. Rounds go on until nothing changes;
     each writes its edges to the shared folder, so lineage stays short and lost executors cost one round.
     """
-    edges = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), label)
+    ordered = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    edges = written(ordered.distinct(), label)
     seen = _summary(edges)
     while seen[0]:
         edges = written(_stars(_stars(edges, small=False), small=True), label)

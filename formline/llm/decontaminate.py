@@ -225,8 +225,10 @@ def contaminated(
                     rows = pa.array([t for t, _ in best])
                     yield pa.RecordBatch.from_arrays(
                         [
-                            batch.column(0).take(rows), pa.array([i for _, i in best], arrow_item),
-                            pa.array([n for n, _ in best.values()], pa.int64()), pa.array([s for _, s in best.values()], pa.float64()),
+                            batch.column(0).take(rows),
+                            pa.array([i for _, i in best], arrow_item),
+                            pa.array([n for n, _ in best.values()], pa.int64()),
+                            pa.array([s for _, s in best.values()], pa.float64()),
                         ],
                         ["id", "item", "passages", "share"],
                     )

@@ -301,7 +301,8 @@ class Page:
         parent = self.open[-1]
         if tag in TABLE_PARTS and not self.tables:
             tag = "div"  # parts of no table
-        element = Element(tag, *self.visibility(tag, attributes, parent), parent.pre or tag in ("pre", "xmp", "textarea"))
+        keeps = parent.pre or tag in ("pre", "xmp", "textarea")
+        element = Element(tag, *self.visibility(tag, attributes, parent), keeps)
         if tag == "br":
             if not (element.gone or element.hidden):
                 self.flows[-1].end_line(empty=True)
@@ -440,7 +441,8 @@ class Page:
         if tag == "dialog" and "open" not in attributes:
             gone = True
         if (self.gone_by or self.hidden_by) and not gone:
-            names = {tag, *("." + c for c in attributes.get("class", "").lower().split()), "#" + attributes.get("id", "").lower()}
+            classes = attributes.get("class", "").lower().split()
+            names = {tag, "#" + attributes.get("id", "").lower(), *("." + c for c in classes)}
             gone = bool(names & self.gone_by)
             hidden = hidden or bool(names & self.hidden_by)
         return gone, hidden
@@ -462,7 +464,9 @@ def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -
                 found = [visible_text(h.as_py()) for h in part.column(1)]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column(0), pa.array([t for t, _ in found], pa.string()), pa.array([t for _, t in found], pa.string()),
+                        part.column(0),
+                        pa.array([t for t, _ in found], pa.string()),
+                        pa.array([t for _, t in found], pa.string()),
                         pa.array([len(t) for _, t in found], pa.int64()),
                     ],
                     ["id", "title", "text", "n_chars"],

@@ -339,7 +339,8 @@ def count_pairs(texts: DataFrame, model: Model) -> None:
         summed = {}
         for kind, of in types.items():
             blobs = [_unpack(raw, *of) for k, raw in zip(kinds, data, strict=True) if k == kind]
-            summed[kind] = _summed(*(np.concatenate(c) for c in zip(*blobs, strict=True))) if blobs else [np.zeros(0, t) for t in of]
+            columns = [np.concatenate(c) for c in zip(*blobs, strict=True)] or [np.zeros(0, t) for t in of]
+            summed[kind] = _summed(*columns)
         if part < 0:
             totals = sum((np.frombuffer(raw, np.int64) for raw in data), np.zeros(4, np.int64))
             result["counts"] = [[*totals.tolist(), 0]]
@@ -362,7 +363,8 @@ def count_pairs(texts: DataFrame, model: Model) -> None:
             result["counts"] = [[*(int((follows == k).sum()) for k in (1, 2, 3, 4)), int((follows >= 3).sum())]]
         return pa.table(result)
 
-    stored = texts.mapInArrow(gather, "part int, data binary").groupBy("part").applyInArrow(store, "kind string, part int, data binary")
+    pairs = texts.mapInArrow(gather, "part int, data binary")
+    stored = pairs.groupBy("part").applyInArrow(store, "kind string, part int, data binary")
     rows = stored.groupBy("part").applyInArrow(settle, "part bigint, follows bigint, counts array<bigint>").collect()
     words = np.zeros(5, np.int64)
     for r in rows:
@@ -456,7 +458,10 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                 ["id", "held_out", "n_tokens", "n_known", "base_score", "score"],
             )
 
-    fields = f"id {source.schema['id'].dataType.simpleString()}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
+    fields = (
+        f"id {source.schema['id'].dataType.simpleString()}, held_out boolean, "
+        "n_tokens bigint, n_known bigint, base_score double, score double"
+    )
     return source.mapInArrow(tasks, fields).select(
         F.col("id").alias(id_col), "held_out", "n_tokens", "n_known",
         F.lit(model.tokens).cast("bigint").alias("train_tokens"), "base_score", "score",
@@ -464,7 +469,9 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     )
 
 
-def train_and_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", parts: int | None = None) -> DataFrame:
+def train_and_score(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", parts: int | None = None
+) -> DataFrame:
     """Learns from the rows of ``docs`` that are not held out and scores all of them."""
     model = fit(docs.where(~held_out(F.col(id_col))).select(F.col(text_col).alias("text")), parts)
     return score(docs, model, id_col, text_col)

@@ -31,6 +31,8 @@ HIDDEN = 16
 #: Distinct segments whose sums a worker remembers before it starts afresh.
 CACHE_SEGMENTS = 300_000
 UNDETERMINED = "und"
+#: Languages learned at most, the most frequent ones.
+MAX_LANGS = 256
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -158,7 +160,9 @@ def train(
     if len(langs) < 2:
         return network
     rng = np.random.default_rng(seed)
-    pools = {g: list(chain.from_iterable(segments_of(t) for t, x in zip(texts, labels, strict=True) if x == g)) for g in langs}
+    pools: dict[str, list[bytes]] = {g: [] for g in langs}
+    for text, lang in zip(texts, labels, strict=True):
+        pools[lang] += segments_of(text)
     drawn = [
         (pool[i], k)
         for k, pool in enumerate(pools.values())
@@ -225,15 +229,14 @@ def labelled_sample(
         F.col(lang_col).cast("string").alias("lang"),
         F.substring(F.col(text_col), 1, max_chars).alias("text"),
     )
-    share = {
-        r["lang"]: per_lang / r["n"]
-        for r in train_rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(256).collect()
-    }
+    counts = train_rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS)
+    share = {r["lang"]: per_lang / r["n"] for r in counts.collect()}
     if not share:
         return [], []
     wanted = F.create_map(*chain.from_iterable((F.lit(k), F.lit(v)) for k, v in share.items()))
+    chance = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit("lang")), F.lit(1 << 20)) / (1 << 20)
     picked = (
-        train_rows.where(F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit("lang")), F.lit(1 << 20)) < wanted[F.col("lang")] * (1 << 20))
+        train_rows.where(chance < wanted[F.col("lang")])
         .where(F.col("text").isNotNull())
         .orderBy(F.xxhash64(F.col("id").cast("string")), "id", "lang", "text")
         .limit(2 * per_lang * len(share))
@@ -258,7 +261,7 @@ def identify(
     """``docs`` with ``held_out``, ``lang_pred`` and ``score`` (the pooled probability) appended.
 
     The sample that reaches the driver holds about ``per_lang`` rows of up to ``max_chars``
-    characters per language (256 languages at most, the most frequent). Prediction moves no rows.
+    characters per language (``MAX_LANGS`` at most). Prediction moves no rows.
     """
     return _identified(docs, id_col, text_col, lang_col, per_lang, max_chars)[0]
 
@@ -302,11 +305,16 @@ def _labeller(network: Network) -> Labeller:
     return _labellers[0][1]
 
 
-def predictions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **sample) -> DataFrame:
+def predictions(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **sample
+) -> DataFrame:
     """Per row: id, ``held_out``, ``lang_pred`` and ``score``; other columns are left out."""
     found = identify(docs.select(id_col, text_col, lang_col), id_col, text_col, lang_col, **sample)
     return found.select(
-        id_col, F.col("__held_out").alias("held_out"), F.col("__lang").alias("lang_pred"), F.col("__score").alias("score")
+        id_col,
+        F.col("__held_out").alias("held_out"),
+        F.col("__lang").alias("lang_pred"),
+        F.col("__score").alias("score"),
     )
 
 

@@ -145,7 +145,8 @@ def plan(sizes: list[tuple[str | None, int]], block_words: int, seed: int) -> li
 
             def words(slots: int, source=source, short=short) -> int:
                 passes, rest = divmod(slots, source.blocks)
-                last = permuted(np.array([source.blocks - 1]), source.blocks, _key(seed, source.code, passes), back=True)[0]
+                key = _key(seed, source.code, passes)
+                last = permuted(np.array([source.blocks - 1]), source.blocks, key, back=True)[0]
                 return slots * block_words - short * (passes + int(last < rest))
 
             least = int(target // block_words)
@@ -225,11 +226,14 @@ def slots(spark, sources: list[Source], n_shards: int, seed: int) -> DataFrame:
     counts = shard_counts(sources, n_shards, seed)
     before = np.cumsum(counts, axis=0) - counts
     draws = [
-        (shard, s.code, int(before[shard, i]), int(counts[shard, i]), s.blocks, int(counts[shard, :i].sum()), int(counts[shard].sum()))
+        (
+            shard, s.code, int(before[shard, i]), int(counts[shard, i]), s.blocks,
+            int(counts[shard, :i].sum()), int(counts[shard].sum()),
+        )
         for shard in range(n_shards)
         for i, s in enumerate(sources)
         if counts[shard, i]
-    ]
+    ]
     schema = "shard int, code int, start bigint, n bigint, blocks bigint, offset bigint, length bigint"
     drawn = spark.createDataFrame(draws, schema)
     chunk = 500_000
@@ -242,7 +246,8 @@ def slots(spark, sources: list[Source], n_shards: int, seed: int) -> DataFrame:
                     passes, index = np.divmod(row["start"] + turn, row["blocks"])
                     block = np.empty(len(turn), np.int64)
                     for e in np.unique(passes):
-                        block[passes == e] = permuted(index[passes == e], row["blocks"], _key(seed, row["code"], int(e)))
+                        now = passes == e
+                        block[now] = permuted(index[now], row["blocks"], _key(seed, row["code"], int(e)))
                     place = permuted(row["offset"] + turn, row["length"], _key(seed, -1 - row["shard"], 0) % 2**63)
                     n = len(turn)
                     yield pa.RecordBatch.from_arrays(
@@ -268,7 +273,8 @@ class Mix:
 
     def rows(self) -> DataFrame:
         """(shard, slot, source code, id, first, words): the mix itself, as spans of documents."""
-        return self.slots.join(self.pieces, ["code", "block"]).select("shard", "slot", "code", "block", "id", "first", "words")
+        joined = self.slots.join(self.pieces, ["code", "block"])
+        return joined.select("shard", "slot", "code", "block", "id", "first", "words")
 
     def taken(self) -> DataFrame:
         """(id, size, code, taken) of every document."""

@@ -158,6 +158,8 @@ def nearest(
         types = (pa.int64(), pa.int64(), pa.float64())
         return pa.table([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["query_id", "vec_id", "score"])
 
-    found = index.unionByName(queries).groupBy("dim", "shard", "block").applyInArrow(search, "query_id bigint, vec_id bigint, score double")
+    tasks = index.unionByName(queries).groupBy("dim", "shard", "block")
+    found = tasks.applyInArrow(search, "query_id bigint, vec_id bigint, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", "score")

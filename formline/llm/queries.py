@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from formline.llm import bpe_count, decontaminate, html_text, kneser_ney, lang_id, mixture, prefix_forest, simhash, suffix_dedup, url_filter
+from formline.llm import (
+    bpe_count,
+    decontaminate,
+    html_text,
+    kneser_ney,
+    lang_id,
+    mixture,
+    prefix_forest,
+    simhash,
+    suffix_dedup,
+    url_filter,
+)
 from formline.llm.common import read_table
 
 

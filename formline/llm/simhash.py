@@ -124,7 +124,9 @@ def _split(homes: np.ndarray, mask: int) -> tuple[int, int, np.ndarray] | None:
     return best[1:] if best else None
 
 
-def build_tree(sample: np.ndarray, total: int, mask: int, radius: int, shard_rows: int = SHARD_ROWS) -> tuple[Node, int]:
+def build_tree(
+    sample: np.ndarray, total: int, mask: int, radius: int, shard_rows: int = SHARD_ROWS
+) -> tuple[Node, int]:
     """The upper tree of ``total`` fingerprints, learned from a sample of them; and its number of shards."""
     scale = total / max(1, len(sample))
     shards = 0
@@ -182,7 +184,9 @@ class Forest:
                 self.parent = up
 
 
-def link_shard(homes: np.ndarray, guests: np.ndarray, mask: int, radius: int, max_distance: int) -> tuple[np.ndarray, np.ndarray]:
+def link_shard(
+    homes: np.ndarray, guests: np.ndarray, mask: int, radius: int, max_distance: int
+) -> tuple[np.ndarray, np.ndarray]:
     """A spanning forest of the links among homes and between homes and guests."""
     forest = Forest(np.unique(np.concatenate([homes, guests])))
     place = lambda x: np.searchsorted(forest.points, x)
@@ -270,9 +274,8 @@ def links(distinct: DataFrame, max_distance: int) -> DataFrame:
 
 def groups(marked: DataFrame, max_distance: int) -> tuple[DataFrame, DataFrame]:
     """From rows (id, fp): a table (fp, component) and a table of one row (id, fp) per component."""
-    reps = written(
-        marked.groupBy("fp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id")).alias("least")), "simhash-distinct"
-    )
+    least = F.min(F.struct(F.col("id").isNull().alias("none"), "id")).alias("least")
+    reps = written(marked.groupBy("fp").agg(least), "simhash-distinct")
     roots = component_roots(links(reps, max_distance), "simhash-links")
     rooted = reps.join(roots, reps["fp"] == roots["node"], "left").select(
         "fp", F.coalesce("root", "fp").alias("root"), F.struct("least.none", "least.id", "fp").alias("least")

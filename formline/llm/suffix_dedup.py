@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formline.llm.common import written
+from formline.llm.common import steps, written
 from formline.llm.suffix_sort import equal_prefix_classes
 from formline.session import fresh_path
 
@@ -111,23 +111,6 @@ def owners(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray,
     return starts[first], starts[last], h[owner[first]], text[starts[first]]
 
 
-def stretches(batches: Iterator[pa.RecordBatch], column: str, length: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Slices of batches with their texts, at most ``STEP`` bytes (or one text)."""
-    for batch in batches:
-        texts = batch.column(batch.schema.get_field_index(column))
-        start = size = 0
-        held: list[bytes] = []
-        for i, value in enumerate(texts):
-            raw = value.as_py()
-            if held and size + len(raw) > STEP:
-                yield batch.slice(start, i - start), held
-                start, size, held = i, 0, []
-            held.append(raw)
-            size += len(raw)
-        if held:
-            yield batch.slice(start, len(held)), held
-
-
 def pieces_of(texts: list[bytes], length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """(text number, first start, last start, owner hash) of all pieces, starts counted inside the text.
 
@@ -159,7 +142,7 @@ def _owner_rows(texts: DataFrame, length: int, keys: bool) -> DataFrame:
     """(h) or (h, k1, k2) per owner occurrence."""
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, raw in stretches(batches, "text", length):
+        for batch, raw in steps(batches, "text", STEP):
             for text, _, _, owner in pieces_of(raw, length):
                 columns = [pa.array(owner.view(np.int64))]
                 if keys:
@@ -174,7 +157,7 @@ def _piece_rows(stored: DataFrame, length: int) -> DataFrame:
     """(h, p, k1, k2, s0, s1) per piece of an owner that occurs more than once; p is a 128-bit hash."""
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, raw in stretches(batches, "text", length):
+        for batch, raw in steps(batches, "text", STEP):
             repeated = np.unique(batch.column(3).flatten().to_numpy(zero_copy_only=False))
             for text, first, last, owner in pieces_of(raw, length):
                 rows = np.flatnonzero(np.isin(owner.view(np.int64), repeated))
@@ -202,7 +185,8 @@ def _bucketed(texts: DataFrame, label: str) -> DataFrame:
     spark = texts.sparkSession
     name = f"formline_{label}_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    texts.write.format("parquet").bucketBy(buckets, "k1", "k2").option("path", fresh_path(spark, label)).saveAsTable(name)
+    writer = texts.write.format("parquet").bucketBy(buckets, "k1", "k2")
+    writer.option("path", fresh_path(spark, label)).saveAsTable(name)
     return spark.table(name)
 
 
@@ -218,8 +202,9 @@ def _single_strings(hot: DataFrame, length: int, buckets: int) -> DataFrame:
                 n = len(strings)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(bucket, pa.int64()), pa.array([row["p"]] * n, pa.binary()), pa.array(range(n), pa.int32()),
-                        pa.array([row["n"]] * n, pa.int64()), pa.array(strings, pa.binary()),
+                        pa.array(bucket, pa.int64()), pa.array([row["p"]] * n, pa.binary()),
+                        pa.array(range(n), pa.int32()), pa.array([row["n"]] * n, pa.int64()),
+                        pa.array(strings, pa.binary()),
                     ],
                     ["bucket", "p", "at", "n", "data"],
                 )
@@ -271,7 +256,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         "suffix-pieces",
     )
     size = F.col("at.s1") - F.col("at.s0")
-    disputed = distinct.groupBy("h").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).where("kinds > 1 and least = 1")
+    owned = distinct.groupBy("h").agg(F.count("*").alias("kinds"), F.min("n").alias("least"))
+    disputed = owned.where("kinds > 1 and least = 1")
     to_sort = (
         distinct.join(disputed.select("h", "kinds"), "h")
         .select("h", "p", "n", "kinds", "at.*")
@@ -299,15 +285,20 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             for a, b in runs
         ]
         columns = list(zip(*rows, strict=True)) or [(), (), ()]
-        return pa.table({"p": pa.array(columns[0], pa.binary()), "a": pa.array(columns[1], pa.int32()), "b": pa.array(columns[2], pa.int32())})
+        types = (pa.binary(), pa.int32(), pa.int32())
+        return pa.table([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["p", "a", "b"])
 
     in_sorts = shared.groupBy("bucket").applyInArrow(sort, "p binary, a int, b int")
     in_copies = distinct.where("n > 1").select("p", F.lit(0).alias("a"), (size - length + 1).alias("b"))
+    covered = F.struct(
+        (F.col("s0") + F.col("a")).alias("lo"), (F.col("s0") + F.col("b") + (length - 1)).alias("hi")
+    )
     spans = (
-        _piece_rows(stored, length).join(in_sorts.unionByName(in_copies), "p")
+        _piece_rows(stored, length)
+        .join(in_sorts.unionByName(in_copies), "p")
         .groupBy("k1", "k2")
-        .agg(F.collect_list(F.struct((F.col("s0") + F.col("a")).alias("lo"), (F.col("s0") + F.col("b") + (length - 1)).alias("hi"))).alias("spans"))
-    )
+        .agg(F.collect_list(covered).alias("spans"))
+    )
     return stored.select("k1", "k2", "text").join(spans, ["k1", "k2"])
 
 
@@ -330,17 +321,22 @@ def _cut(changed: DataFrame, with_text: bool) -> DataFrame:
             removed, runs, rest = [], [], []
             for text, spans in zip(batch.column(2), batch.column(3), strict=True):
                 raw, cut = text.as_py(), merged(spans.as_py())
-                kept = b"".join(raw[a:b] for a, b in zip([0, *(b for _, b in cut)], [*(a for a, _ in cut), len(raw)], strict=True))
+                begins, ends = [0, *(b for _, b in cut)], [*(a for a, _ in cut), len(raw)]
+                kept = b"".join(raw[a:b] for a, b in zip(begins, ends, strict=True))
                 removed.append(len(raw) - len(kept))
                 runs.append(len(cut))
                 # a run may begin or end inside a character; what is left of one is dropped from texts
                 rest.append(kept.decode(errors="ignore") if with_text else hashlib.sha256(kept).hexdigest())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), pa.array(rest, pa.string())],
+                [
+                    batch.column(0), batch.column(1), pa.array(removed, pa.int64()),
+                    pa.array(runs, pa.int64()), pa.array(rest, pa.string()),
+                ],
                 ["k1", "k2", "n_removed", "n_spans", "rest"],
-            )
+            )
 
-    return changed.select("k1", "k2", "text", "spans").mapInArrow(tasks, "k1 bigint, k2 bigint, n_removed bigint, n_spans bigint, rest string")
+    fields = "k1 bigint, k2 bigint, n_removed bigint, n_spans bigint, rest string"
+    return changed.select("k1", "k2", "text", "spans").mapInArrow(tasks, fields)
 
 
 def repeats_removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200) -> DataFrame:

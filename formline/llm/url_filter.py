@@ -74,7 +74,8 @@ def _entropy(text: str) -> Column:
     """Bits per character of the characters of ``text``."""
     n = F.length(text)
     c = lambda x: (F.length(text) - F.length(F.replace(F.col(text), x, F.lit("")))) / F.length(x)
-    parts = F.transform(F.array_distinct(F.split(text, "")), lambda x: F.when(F.length(x) > 0, c(x) * F.log2(c(x))).otherwise(0.0))
+    part = lambda x: F.when(F.length(x) > 0, c(x) * F.log2(c(x))).otherwise(0.0)
+    parts = F.transform(F.array_distinct(F.split(text, "")), part)
     return F.when(n > 0, F.log2(n) - F.aggregate(parts, F.lit(0.0), lambda a, x: a + x) / n).otherwise(0.0)
 
 
@@ -107,7 +108,8 @@ def with_features(ruled: DataFrame) -> DataFrame:
 def _suffix_tables(ruled: DataFrame) -> tuple[dict[int, float], dict[int, float], int, int]:
     """Per bucket the share of all urls and the (smoothed) share of blocked among labelled ones."""
     blocked = F.sum((F.col("__ruled") == BLOCK).cast("bigint"))
-    found = ruled.groupBy("__bucket").agg(F.count("*").alias("n"), F.count("__ruled").alias("labelled"), blocked.alias("blocked")).collect()
+    counts = (F.count("*").alias("n"), F.count("__ruled").alias("labelled"), blocked.alias("blocked"))
+    found = ruled.groupBy("__bucket").agg(*counts).collect()
     total = sum(r["n"] for r in found)
     labelled = sum(r["labelled"] for r in found)
     bad = sum(r["blocked"] or 0 for r in found)
@@ -161,6 +163,10 @@ def judge(
         scored = facts.withColumn("__score", F.lit(float(bad > 0)))
     learned = F.when(F.col("__score") > 0.5, F.lit(BLOCK)).otherwise(F.lit(ALLOW))
     return scored.select(
-        F.col("__id").alias(id_col), F.col("__host").alias("host"), F.col("__path").alias("path"), F.col("__rule").alias("rule"),
-        F.coalesce("__ruled", learned).alias("verdict"), F.when(F.col("__ruled").isNull(), F.col("__score")).alias("block_score"),
-    )
+        F.col("__id").alias(id_col),
+        F.col("__host").alias("host"),
+        F.col("__path").alias("path"),
+        F.col("__rule").alias("rule"),
+        F.coalesce("__ruled", learned).alias("verdict"),
+        F.when(F.col("__ruled").isNull(), F.col("__score")).alias("block_score"),
+    )

@@ -79,7 +79,8 @@ def trials_to_drop(
 ) -> DataFrame:
     """(run_id, value) of all runs but the best ``keep``; nothing is deleted.
 
-    It is an error if no run has the metric. Only the kept runs are ordered, as a top-n; the rest follow by anti-join with them.
+    It is an error if no run has the metric. Only the kept runs are ordered, as a top-n; the rest
+    follow by anti-join with them.
     """
     _require(trials, metric)
     kept = trials.orderBy(*_best_first(metric, ascending)).limit(keep).select("run_id")

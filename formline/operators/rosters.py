@@ -434,7 +434,7 @@ def _contenders(pool: DataFrame, rules: RosterRules, cols: RosterColumns) -> Dat
         .where(F.col("_club") == clubs)
         .select(
             F.col(cols.position).alias("_at"),
-            F.col("_above").alias("_range"),
+            F.col("_above").alias("_of"),
             F.col(cols.points).alias("_bar"),
             F.col(cols.name).alias("_bar_name"),
         )
@@ -442,7 +442,7 @@ def _contenders(pool: DataFrame, rules: RosterRules, cols: RosterColumns) -> Dat
     points, name = F.col(cols.points), F.col(cols.name)
     beaten = (points < F.col("_bar")) | ((points == F.col("_bar")) & (name > F.col("_bar_name")))
     left = (
-        ranged.join(bars.withColumnRenamed("_range", "_of"), (F.col(cols.position) == F.col("_at")) & (F.col("_range") == F.col("_of")), "left")
+        ranged.join(bars, (F.col(cols.position) == F.col("_at")) & (F.col("_range") == F.col("_of")), "left")
         .where(~F.coalesce(beaten, F.lit(False)))
         .select(*cols.player)
     )

@@ -69,7 +69,8 @@ def _raw_rows(spark: SparkSession, root: str, step_pattern: str, season_pattern:
         F.explode(F.slice("lines", 2, F.greatest(F.size("lines") - 1, F.lit(0)))).alias("line"),
     )
     stored = fresh_path(spark, "weekly")
-    lines.where("line <> ''").select("season", "step", "header", _fields(F.col("line")).alias("fields")).write.parquet(stored)
+    rows = lines.where("line <> ''").select("season", "step", "header", _fields(F.col("line")).alias("fields"))
+    rows.write.parquet(stored)
     return spark.read.parquet(stored)
 
 

@@ -7,6 +7,7 @@ treated as the operators say.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,27 +18,46 @@ from formline.llm.common import read_table, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: Whole documents pass through Python here, so Arrow batches stay small however long the texts are.
+BATCH_BYTES = "16m"
 
+
+def bounded(stage: Stage) -> Stage:
+    """``stage`` in a session with small Arrow batches."""
+
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
+@bounded
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is found; those that are undetermined or hardly like any language go."""
     return lang_id.keep_identified(docs)
 
 
+@bounded
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: four-word shingles, at most four differing bits."""
     return simhash.without_near_duplicates(docs, shingle=4, max_distance=4)
 
 
+@bounded
 def cut_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the 200-byte strings that occur more than once; ``n_chars`` follows the text."""
     return suffix_dedup.without_repeats(docs, length=200).withColumn("n_chars", F.length("text").cast("bigint"))
 
 
+@bounded
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     return decontaminate.without_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
 
 
+@bounded
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Per document its size, its source's size and target, and the words that the mix takes of it."""
     return mixture.mixed_documents(docs)

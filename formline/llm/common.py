@@ -35,6 +35,20 @@ def texts_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     return df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+_held: dict[str, list] = {}
+
+
+def memory_of(owner: str) -> list:
+    """Where an operator keeps what a worker shall remember between tasks.
+
+    Workers outlive a stage, so what other operators remembered in this one is let go.
+    """
+    for name, held in _held.items():
+        if name != owner:
+            held.clear()
+    return _held.setdefault(owner, [])
+
+
 def steps(
     batches: Iterator[pa.RecordBatch], text_col: str, most: int = STEP_BYTES
 ) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:

@@ -35,6 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from formline.llm.common import memory_of
+
 STRIDE = 32
 SHINGLE = 5
 ITEM_BLOCK = 4
@@ -177,6 +179,7 @@ def load_items(benchmark: DataFrame, id_col: str, text_col: str, answer_col: str
 
 def _in_steps(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, list[list[str]]]]:
     """Slices of batches with the words of their texts, ``STEP_WORDS`` or one text at a time."""
+    memory_of(__name__)
     for batch in batches:
         start = size = 0
         held: list[list[str]] = []

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from formline.llm.common import steps
+from formline.llm.common import memory_of, steps
 from formline.session import fresh_path
 
 #: White space cannot be part of a word, so no word has this hash by being equal.
@@ -206,14 +206,12 @@ class Reader:
         return out
 
 
-_readers: list[Reader] = []
-
-
 def _reader(model: Model) -> Reader:
     """One reader per worker and model."""
-    if not _readers or _readers[0].model != model:
-        _readers[:] = [Reader(model)]
-    return _readers[0]
+    held = memory_of(__name__)
+    if not held or held[0].model != model:
+        held[:] = [Reader(model)]
+    return held[0]
 
 
 def _lines(reader: Reader, tokens: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -24,12 +24,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formline.llm.common import steps
+from formline.llm.common import memory_of, steps
 
 SEGMENT = 32
 HIDDEN = 16
 #: Distinct segments whose sums a worker remembers before it starts afresh.
-CACHE_SEGMENTS = 300_000
+CACHE_SEGMENTS = 200_000
 UNDETERMINED = "und"
 #: Languages learned at most, the most frequent ones.
 MAX_LANGS = 256
@@ -294,15 +294,13 @@ def _identified(
     return source.mapInArrow(tasks, f"{fields}, __lang string, __score double"), len(network.langs)
 
 
-_labellers: list[tuple[bytes, Labeller]] = []
-
-
 def _labeller(network: Network) -> Labeller:
     """One labeller per worker and network, so that its memory serves all tasks there."""
+    held = memory_of(__name__)
     key = b"".join(network.weights[k].tobytes() for k in sorted(network.weights))
-    if not _labellers or _labellers[0][0] != key:
-        _labellers[:] = [(key, Labeller(network))]
-    return _labellers[0][1]
+    if not held or held[0][0] != key:
+        held[:] = [(key, Labeller(network))]
+    return held[0][1]
 
 
 def predictions(

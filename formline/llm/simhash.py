@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from formline.llm.common import steps, written
+from formline.llm.common import memory_of, steps, written
 from formline.llm.components import component_roots
 
 SEED = 42
@@ -78,6 +78,7 @@ def with_fingerprint(docs: DataFrame, text_col: str, shingle: int, name: str) ->
     """``docs`` with the fingerprint of the text as a signed long ``name``."""
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory_of(__name__)
         for batch, texts in steps(batches, text_col):
             found = pa.array(fingerprints(texts, shingle).view(np.int64), pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, name])

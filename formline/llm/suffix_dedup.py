@@ -34,15 +34,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formline.llm.common import steps, written
+from formline.llm.common import memory_of, steps, written
 from formline.llm.suffix_sort import equal_prefix_classes
 from formline.session import fresh_path
 
 GRAM = 64
 #: Bytes that one vectorised step looks at; longer texts are cut with an overlap.
-STEP = 1_000_000
+STEP = 500_000
 #: Bytes of pieces per sort, on average, and pieces of one owner beyond which it is dealt anew.
-SORT_BYTES = 1_000_000
+SORT_BYTES = 500_000
 HOT_PIECES = 20_000
 ENDS = 24
 _BASE = 0x9E3779B97F4A7C15
@@ -59,19 +59,16 @@ def _powers(base: int, n: int) -> np.ndarray:
     return out
 
 
-_tables: dict[str, np.ndarray] = {}
-
-
 def _window_hashes(data: np.ndarray) -> np.ndarray:
     """A 64-bit hash of every ``GRAM`` bytes, from prefix sums of a polynomial modulo 2**64."""
     n = len(data)
-    if len(_tables.get("up", ())) < n:
-        _tables["up"] = _powers(_BASE, n)
-        _tables["down"] = _powers(pow(_BASE, -1, 1 << 64), n)
-    total = np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _tables["up"][:n])
+    powers = memory_of(__name__)
+    if not powers or len(powers[0]) < n:
+        powers[:] = [_powers(_BASE, n), _powers(pow(_BASE, -1, 1 << 64), n)]
+    total = np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[0][:n])
     h = total[GRAM - 1 :].copy()
     h[1:] -= total[:-GRAM]
-    h *= _tables["down"][: len(h)]
+    h *= powers[1][: len(h)]
     h ^= h >> np.uint64(32)
     h *= np.uint64(0xD6E8FEB86659FD93)
     h ^= h >> np.uint64(29)

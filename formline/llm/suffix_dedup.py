@@ -10,12 +10,13 @@ sorted by difference covers (``suffix_sort``); how the suffixes of a corpus get
    pieces are counted and handled once, through one occurrence: all their strings repeat.
 3. **Sorting.** Where an owner has different pieces, these go, with their text, to one of many buckets
    by owner. A bucket's suffixes are ranked by difference covers and neighbours' prefixes compared;
-   strings of one class occur as often as its pieces do. An owner with very many pieces is dealt anew, string by
-   string, by each string's head and tail, so no bucket gathers a common passage.
+   strings of one class occur as often as its pieces do. The pieces of an owner with very many are cut into
+   their strings, which are counted by hashes of 128 bits, partial before the shuffle: a string that many
+   documents share is a few rows of counts, and no task gathers a common passage.
 4. **Spans.** Repeated strings are joined back to all occurrences of their pieces and merged per text.
 
 Texts with repeated owners are stored once, bucketed by text key, and joined there without moving.
-Nothing is collected but three sums.
+Nothing is collected but two numbers.
 
 Defined cases: a null or empty text has no bytes and no spans; texts under ``length`` bytes lose nothing;
 identical texts of ``length`` bytes or more lose everything, also when all columns agree (repeated rows);
@@ -41,10 +42,9 @@ from formline.session import fresh_path
 GRAM = 64
 #: Bytes that one vectorised step looks at; longer texts are cut with an overlap.
 STEP = 500_000
-#: Bytes of pieces per sort, on average, and pieces of one owner beyond which it is dealt anew.
+#: Bytes of pieces per sort, on average, and pieces of one owner beyond which its strings are counted singly.
 SORT_BYTES = 500_000
 HOT_PIECES = 20_000
-ENDS = 24
 _BASE = 0x9E3779B97F4A7C15
 _HIGH = np.uint64(0xFFFFFFFF00000000)
 
@@ -187,26 +187,33 @@ def _bucketed(texts: DataFrame, label: str) -> DataFrame:
     return spark.table(name)
 
 
-def _single_strings(hot: DataFrame, length: int, buckets: int) -> DataFrame:
-    """Pieces cut into their strings, each dealt to a bucket by its head and tail."""
+def _single_strings(hot: DataFrame, length: int) -> DataFrame:
+    """(s, p, at, n) per string of each piece; s is a 128-bit hash."""
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 raw = row["data"]
-                strings = [raw[i : i + length] for i in range(len(raw) - length + 1)]
-                bucket = [xxhash.xxh64_intdigest(s[:ENDS] + s[-ENDS:]) % buckets for s in strings]
-                n = len(strings)
+                n = len(raw) - length + 1
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(bucket, pa.int64()), pa.array([row["p"]] * n, pa.binary()),
+                        pa.array([xxhash.xxh128_digest(raw[i : i + length]) for i in range(n)], pa.binary()),
+                        pa.array([row["p"]] * n, pa.binary()),
                         pa.array(range(n), pa.int32()), pa.array([row["n"]] * n, pa.int64()),
-                        pa.array(strings, pa.binary()),
                     ],
-                    ["bucket", "p", "at", "n", "data"],
+                    ["s", "p", "at", "n"],
                 )
 
-    return hot.select("p", "n", "data").mapInArrow(tasks, "bucket bigint, p binary, at int, n bigint, data binary")
+    return hot.select("p", "n", "data").mapInArrow(tasks, "s binary, p binary, at int, n bigint")
+
+
+def _repeated_singly(hot: DataFrame, length: int) -> DataFrame:
+    """(p, a, b) per string of a piece that occurs once, where the string occurs more than once."""
+    strings = _single_strings(hot, length)
+    often = strings.groupBy("s").agg(F.sum("n").alias("times")).where("times > 1").select("s")
+    # the strings of other pieces are known to repeat
+    once = strings.where("n = 1").join(often, "s")
+    return once.select("p", F.col("at").alias("a"), (F.col("at") + 1).alias("b"))
 
 
 def repeated_starts(data: list[bytes], times: np.ndarray, length: int) -> list[list[tuple[int, int]]]:
@@ -254,30 +261,26 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
     size = F.col("at.s1") - F.col("at.s0")
     owned = distinct.groupBy("h").agg(F.count("*").alias("kinds"), F.min("n").alias("least"))
-    disputed = owned.where("kinds > 1 and least = 1")
+    disputed = written(owned.where("kinds > 1 and least = 1"), "suffix-disputed")
     to_sort = (
         distinct.join(disputed.select("h", "kinds"), "h")
         .select("h", "p", "n", "kinds", "at.*")
         .join(stored.select("k1", "k2", "text"), ["k1", "k2"])
         .select("h", "p", "n", "kinds", F.expr("substring(text, s0 + 1, s1 - s0)").alias("data"))
     )
-    total, most = distinct.agg(F.sum(size.cast("bigint")), F.count("*")).first()
+    total = distinct.agg(F.sum(size.cast("bigint"))).first()[0]
+    most = disputed.agg(F.max("kinds")).first()[0]
     buckets = max(1, -(-(total or 0) // SORT_BYTES))
     shared = to_sort.where(F.col("kinds") <= HOT_PIECES).select(
-        F.pmod(F.xxhash64("h"), F.lit(buckets)).alias("bucket"), "p", F.lit(0).alias("at"), "n", "data"
+        F.pmod(F.xxhash64("h"), F.lit(buckets)).alias("bucket"), "p", "n", "data"
     )
-    if most > HOT_PIECES:
-        hot = _single_strings(to_sort.where(F.col("kinds") > HOT_PIECES), length, 16 * buckets)
-        shared = shared.unionByName(hot.withColumn("bucket", F.col("bucket") + buckets))
 
     def sort(table: pa.Table) -> pa.Table:
         times = table.column("n").to_numpy()
         found = repeated_starts(table.column("data").to_pylist(), times, length)
         rows = [
-            (p, at + a, at + b)
-            for p, at, n, runs in zip(
-                table.column("p").to_pylist(), table.column("at").to_pylist(), times.tolist(), found, strict=True
-            )
+            (p, a, b)
+            for p, n, runs in zip(table.column("p").to_pylist(), times.tolist(), found, strict=True)
             if n == 1  # the strings of other pieces are known to repeat
             for a, b in runs
         ]
@@ -286,6 +289,9 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return pa.table([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["p", "a", "b"])
 
     in_sorts = shared.groupBy("bucket").applyInArrow(sort, "p binary, a int, b int")
+    if (most or 0) > HOT_PIECES:
+        hot = written(to_sort.where(F.col("kinds") > HOT_PIECES).select("p", "n", "data"), "suffix-hot")
+        in_sorts = in_sorts.unionByName(_repeated_singly(hot, length))
     in_copies = distinct.where("n > 1").select("p", F.lit(0).alias("a"), (size - length + 1).alias("b"))
     covered = F.struct(
         (F.col("s0") + F.col("a")).alias("lo"), (F.col("s0") + F.col("b") + (length - 1)).alias("hi")

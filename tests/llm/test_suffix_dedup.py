@@ -80,6 +80,22 @@ def test_owners_with_many_pieces_are_dealt_anew(make_docs, monkeypatch):
     check(D.repeats_removed(make_docs(rows)), rows)
 
 
+def test_a_passage_shared_with_many_neighbours_is_counted_not_gathered(make_docs, monkeypatch):
+    rnd = random.Random(5)
+    line = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    passage = line(500)
+    rows = [(i, line(150) + passage + line(150)) for i in range(60)]
+    sort = D.repeated_starts
+
+    def few_equal(data, times, length):
+        assert max(Counter(data).values()) == 1, "equal strings in one sort"
+        return sort(data, times, length)
+
+    monkeypatch.setattr(D, "HOT_PIECES", 20)
+    monkeypatch.setattr(D, "repeated_starts", few_equal)
+    check(D.repeats_removed(make_docs(rows)), rows)
+
+
 def test_long_texts_are_cut_with_an_overlap(make_docs, monkeypatch):
     monkeypatch.setattr(D, "STEP", 700)
     rows = mixed_rows(4, n=30, size=3000)

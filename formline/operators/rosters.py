@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -554,12 +555,14 @@ def improve_rosters(
     rosters: DataFrame,
     pool: DataFrame,
     rules: RosterRules = RULES,
-    n_steps: int = 10,
+    n_steps: int | None = None,
     charge: TransferCharge | None = None,
     cols: RosterColumns = COLUMNS,
 ) -> DataFrame:
-    """(team, name, legal, n_swaps): all rosters after up to ``n_steps`` best swaps.
+    """(team, name, legal, n_swaps, settled): all rosters after their best swaps, until no team has one left.
 
+    With ``n_steps`` the climb stops after so many swaps; ``settled`` tells the teams that were found to
+    have no swap left from those that were cut off, and is false for illegal teams, which are not climbed.
     Legal teams advance together; illegal ones come back as they are, flagged. With a ``charge``, a
     swap counts by its gain less what it adds to the charge for transfers since the given rosters. A
     team without a swap has arrived and leaves the loop, which ends early when none is left.
@@ -574,10 +577,10 @@ def improve_rosters(
         squads = squads.withColumn("_first", F.col("_members"))
     squads = start = cut_lineage(squads)
     arrived = []
-    for left in range(n_steps - 1, -1, -1):
+    for step in count(1) if n_steps is None else range(1, n_steps + 1):
         swaps = _best_swaps(squads, contenders, small, rules, cols, charge)
         squads = _advance(squads, swaps, cols)
-        if left == 0:
+        if step == n_steps:
             arrived.append(squads)
             break
         squads = cut_lineage(squads)
@@ -588,12 +591,14 @@ def improve_rosters(
         squads = squads.repartition(cols.team)
     names = F.explode(F.transform("_members", lambda m: m[cols.name])).alias(cols.name)
     flags = [F.lit(True).alias("legal"), F.col("_swaps").alias("n_swaps")]
-    reached = union_all(
-        [part.select(cols.team, names, *flags) for part in arrived or [squads]]
-    )
+    parts = arrived or [squads.withColumn("_changed", F.lit(True))]
+    settled = (~F.col("_changed")).alias("settled")
+    reached = union_all([part.select(cols.team, names, *flags, settled) for part in parts])
     others = rosters.select(cols.team, cols.name).join(start.select(cols.team), cols.team, "left_anti")
     return reached.unionByName(
-        others.select(cols.team, cols.name, F.lit(False).alias("legal"), F.lit(0).alias("n_swaps"))
+        others.select(
+            cols.team, cols.name, F.lit(False).alias("legal"), F.lit(0).alias("n_swaps"), F.lit(False).alias("settled")
+        )
     )
 
 

@@ -475,16 +475,32 @@ def cheaper_options(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rosters.cheaper_options(*_swap_inputs(spark, sf_dir))
 
 
+#: Every transfer after the first costs 500 points.
+_PAID = rosters.TransferCharge(n_free=1, penalty=500)
+
+
 @query
 def improve_rosters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rosters.improve_rosters(*_swap_inputs(spark, sf_dir), n_steps=2)
+    """Two steps of the climb, as its SQL twin unrolls them; ``settled_rosters`` climbs to the end."""
+    return rosters.improve_rosters(*_swap_inputs(spark, sf_dir), n_steps=2).drop("settled")
 
 
 @query
 def improve_with_transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two steps when every transfer after the first costs 500 points."""
-    charge = rosters.TransferCharge(n_free=1, penalty=500)
-    return rosters.improve_rosters(*_swap_inputs(spark, sf_dir), n_steps=2, charge=charge)
+    """Two steps with paid transfers, as its SQL twin unrolls them; ``settled_with_transfers`` climbs to the end."""
+    return rosters.improve_rosters(*_swap_inputs(spark, sf_dir), n_steps=2, charge=_PAID).drop("settled")
+
+
+@query
+def settled_rosters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Until no team improves."""
+    return rosters.improve_rosters(*_swap_inputs(spark, sf_dir))
+
+
+@query
+def settled_with_transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Until no team improves by more than its transfers cost."""
+    return rosters.improve_rosters(*_swap_inputs(spark, sf_dir), charge=_PAID)
 
 
 # --- trials --------------------------------------------------------------------------------

@@ -1,9 +1,14 @@
+import os
 import random
 from collections import Counter
 
 import pytest
 
 from formline.operators import rosters as R
+from formline.plans import proxies as P
+from formline.plans.queries import QUERIES
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 PLAYER = "name string, position int, value double, club string, points double"
 
@@ -206,6 +211,26 @@ def test_improving_pays_for_transfers(spark, n_free, penalty):
     assert all(f == {(t in state, t in changed)} for t, f in flags.items() if t in changed or t not in state)
 
 
+def test_climbing_ends_only_when_all_legal_teams_have_settled(spark):
+    args = (*league_frames(spark, *small_league(3)), RULES)
+    flags = ("team", "legal", "n_swaps", "settled")
+    short = {r["team"]: r for r in R.improve_rosters(*args, n_steps=2).select(*flags).collect()}
+    whole = {r["team"]: r for r in R.improve_rosters(*args).select(*flags).collect()}
+    assert max(r["n_swaps"] for r in whole.values()) > 2
+    assert all(r["settled"] == r["legal"] for r in whole.values())
+    # a team cut off after its second swap is not said to have settled
+    assert {t for t, r in short.items() if r["settled"]} == {t for t, r in whole.items() if r["legal"] and r["n_swaps"] < 2}
+
+
+def test_registered_climbs_leave_no_swap(spark):
+    teams, pool, rules = P.rosters(spark, SF_DIR), P.supplier_pool(spark, SF_DIR), P.ROSTER_RULES
+    got = QUERIES["settled_rosters"](spark, SF_DIR)
+    assert got.where("legal <> settled").count() == 0
+    assert R.best_swap(got.select("team", "name"), pool, rules).count() == 0
+    assert got.count() == teams.count()
+    assert QUERIES["settled_with_transfers"](spark, SF_DIR).where("legal <> settled").count() == 0
+
+
 def test_applying_a_swap_leaves_other_teams_alone(spark, rows):
     rosters = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "x")], "team string, name string")
     swaps = spark.createDataFrame([("a", "x", "z")], "team string, out string, in string")

@@ -4,12 +4,14 @@ A tree builder with implied start and end tags keeps the open elements; a render
 open and close, so depth costs no recursion. All visible text comes out, in order: white space is
 collapsed outside ``pre``; blocks stand on lines of their own, paragraphs, headings, lists and tables between
 blank lines; list items have bullets or numbers and are indented by level; quotations are indented; table
-cells stand in columns of equal width.
+cells stand in columns of equal width. Formulas are read in order, the parts of fractions and scripts apart;
+of drawings the labels come out (``extract`` does so, ``visible_text`` on request).
 
 Not visible are: what is never rendered (head matter other than the title, which is returned by itself,
 scripts, styles, templates, frames, media fall-backs); elements with ``hidden``; with ``display: none`` or
 ``visibility: hidden`` in a style attribute or by a simple selector (element, .class, #id) of a style
-element further up; closed ``details`` but for their summary; closed ``dialog``.
+element further up; closed ``details`` but for their summary; closed ``dialog``; annotations of formulas;
+titles, descriptions and definitions of drawings, also where the drawing uses them.
 
 Defined cases: a null or empty page gives an empty title and text; text without any tag is a paragraph;
 unclosed, misnested or cut-off markup is repaired as the implied end tags allow; rows with a null id and
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp template".split())
 UNSEEN = frozenset(
-    "head script style template noscript iframe noembed noframes title audio video canvas object svg math "
+    "head script style template noscript iframe noembed noframes title audio video canvas object "
     "datalist area base link meta param source track map".split()
 )
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 blockquote ul ol menu dir dl pre table figure fieldset hr xmp".split())
@@ -45,6 +47,18 @@ ENDS_P = frozenset(
     "h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre search section summary table ul dd dt".split()
 )
 HEAD_ONLY = frozenset("title base link meta style script noscript template head html".split())
+#: Never rendered inside a formula or a drawing; what holds HTML there; HTML tags that end both.
+MATH_UNSEEN = frozenset("annotation annotation-xml mphantom".split())
+SVG_UNSEEN = frozenset("defs title desc metadata symbol clippath mask pattern marker".split())
+HOLDS_HTML = frozenset("foreignobject desc annotation-xml mi mo mn ms mtext".split())
+ENDS_FOREIGN = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta "
+    "nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split()
+)
+#: What a drawing shows text in.
+SVG_TEXT = frozenset({"text", "foreignobject"})
+#: Children of these formula parts stand apart.
+MATH_APART = frozenset("mfrac msup msub msubsup munder mover munderover mroot mmultiscripts mtr".split())
 #: Which open elements a start tag ends, and the elements beyond which it does not look.
 IMPLIED_ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}),
@@ -210,7 +224,8 @@ class Element:
 class Page:
     """Builds and renders one page."""
 
-    def __init__(self) -> None:
+    def __init__(self, drawings: bool = False) -> None:
+        self.drawings = drawings
         self.root = Element("", False, False, False, Flow())
         self.open = [self.root]
         self.flows = [self.root.flow]
@@ -238,7 +253,10 @@ class Page:
             elif start:
                 tag = start.lower()
                 self.start(tag, attributes)
-                if tag in RAW:
+                if (attributes or "").endswith("/") and (tag in ("svg", "math") or self.foreign()):
+                    if self.open[-1].tag == tag:
+                        self.pop()
+                elif tag in RAW:
                     close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.IGNORECASE).search(html, at)
                     raw = html[at : close.start() if close else n]
                     at = close.end() if close else n
@@ -249,7 +267,7 @@ class Page:
 
     def raw(self, tag: str, text: str) -> None:
         top = self.open[-1]
-        if tag == "title" and not self.title:
+        if tag == "title" and not self.title and not self.counts["svg"]:
             self.title = _SPACE.sub(" ", unescape(text)).strip()
         elif tag == "style":
             self.rules(text)
@@ -269,10 +287,20 @@ class Page:
                     if seen and seen[1].lower() != "visible":
                         self.hidden_by.add(selector)
 
+    def foreign(self) -> bool:
+        """Whether a start tag is read as part of a formula or drawing."""
+        counts = self.counts
+        return bool(counts["svg"] or counts["math"]) and not any(counts[t] for t in HOLDS_HTML)
+
     def text(self, value: str) -> None:
         top = self.open[-1]
+        if top.tag == "head" and value.strip(" \t\n\r\f"):
+            self.close({"head"}, set())
+            top = self.open[-1]
         if top.gone or top.hidden:
             return
+        if self.counts["svg"] and not any(self.counts[t] for t in SVG_TEXT):
+            return
         if "&" in value:
             value = unescape(value)
         flow = self.flows[-1]
@@ -287,6 +315,8 @@ class Page:
         flow.text(value, top.pre)
 
     def start(self, tag: str, raw: str) -> None:
+        if tag in ENDS_FOREIGN and self.foreign():
+            self.close({"svg", "math"}, set(), all_=True)
         if tag in ENDS_P and self.counts["p"]:
             self.close({"p"}, WALLS | {"button"})
         if tag in IMPLIED_ENDS:
@@ -303,6 +333,9 @@ class Page:
             tag = "div"  # parts of no table
         keeps = parent.pre or tag in ("pre", "xmp", "textarea")
         element = Element(tag, *self.visibility(tag, attributes, parent), keeps)
+        apart = tag in SVG_TEXT and self.counts["svg"] or parent.tag in MATH_APART
+        if apart and not (element.gone or element.hidden):
+            self.flows[-1].text(" ", keep=False)
         if tag == "br":
             if not (element.gone or element.hidden):
                 self.flows[-1].end_line(empty=True)
@@ -365,6 +398,9 @@ class Page:
         element = self.open.pop()
         tag = element.tag
         self.counts[tag] -= 1
+        apart = tag in SVG_TEXT and self.counts["svg"] or tag in MATH_APART
+        if apart and not (element.gone or element.hidden):
+            self.flows[-1].text(" ", keep=False)
         if element.table is not None:
             self.tables.pop()
             if not element.gone:
@@ -429,6 +465,12 @@ class Page:
         """Whether an element takes no part in the layout, and whether its text is invisible."""
         gone = parent.gone or tag in UNSEEN or parent.folded and tag != "summary"
         hidden = parent.hidden
+        if not gone:
+            gone = (
+                tag == "svg" and not self.drawings
+                or tag in SVG_UNSEEN and self.counts["svg"] > 0
+                or tag in MATH_UNSEEN and self.counts["math"] > 0
+            )
         if attributes and not gone:
             if "hidden" in attributes or tag == "input" and attributes.get("type") == "hidden":
                 gone = True
@@ -448,12 +490,14 @@ class Page:
         return gone, hidden
 
 
-def visible_text(html: str | None) -> tuple[str, str]:
-    """Title and laid-out visible text of a page."""
-    return Page().run(html) if html else ("", "")
+def visible_text(html: str | None, drawings: bool = False) -> tuple[str, str]:
+    """Title and laid-out visible text of a page, with or without the labels of SVG drawings."""
+    return Page(drawings).run(html) if html else ("", "")
 
 
-def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
+def extract(
+    pages: DataFrame, id_col: str = "page_id", html_col: str = "html", drawings: bool = True
+) -> DataFrame:
     """Per row: id, ``title``, ``text`` and ``n_chars`` of the text. Rows are not moved."""
     source = pages.select(F.col(id_col).alias("id"), F.col(html_col).cast("string").alias("html"))
 
@@ -461,7 +505,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                found = [visible_text(h.as_py()) for h in part.column(1)]
+                found = [visible_text(h.as_py(), drawings) for h in part.column(1)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),

@@ -96,6 +96,34 @@ def test_visibility(html):
     assert visible_text(html)[1].removeprefix("- ") == "yes"
 
 
+FOREIGN = {
+    "<p>so <math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac></math> holds": "so x= 1 2 holds",
+    "<math><semantics><mi>E</mi><annotation>no</annotation></semantics></math>yes": "Eyes",
+    "<math><mtext>a <b>b</b></mtext><mi>c</mi></math>": "a bc",
+    "a<svg><title>no</title><defs><text>no</text></defs>no<text>one</text><text>t<tspan>wo</tspan></text></svg>b": "a one two b",
+    "<svg><defs/><title/><path d='M0'/><text>yes</text></svg><svg/>z": "yes z",
+    "<svg><foreignObject><p>in</p></foreignObject></svg>out": "in\n\nout",
+    "<svg><g><defs><p>after an open drawing": "after an open drawing",
+}
+
+
+@pytest.mark.parametrize("html", FOREIGN)
+def test_formulas_and_labels_of_drawings(html):
+    assert visible_text(html, drawings=True) == ("", FOREIGN[html])
+
+
+def test_queries_read_formulas_and_drawings(spark):
+    from formline.llm.html_text import extract
+
+    pages = spark.createDataFrame([(1, "<svg><text>label</text></svg><math><mi>y</mi></math>")], "page_id long, html string")
+    assert extract(pages).first()["text"] == "label y"
+
+
+def test_text_ends_an_open_head():
+    assert visible_text("<head><title>x</title> \n Hello <p>there") == ("x", "Hello\n\nthere")
+    assert visible_text("<head> <meta a> <title>x</title>&amp;") == ("x", "&")
+
+
 def test_title():
     assert visible_text("<title> A &amp;\n B</title><title>C</title>x") == ("A & B", "x")
 

@@ -1,8 +1,8 @@
 """Finds training passages that hold benchmark items, through a BM25 index with block-max bounds.
 
 The benchmark items are indexed, the training passages are the queries. A text's words are laid into
-blocks of ``STRIDE``; a passage is as many neighbouring blocks as the longest item can touch, and there
-is one passage per block, so every item that stands in a text stands whole in some passage.
+blocks of ``STRIDE``; a passage is as many neighbouring blocks as the longest item of the whole benchmark can
+touch, however the benchmark is sliced, and there is one passage per block, so every item that stands in a text stands whole in some passage.
 
 * Impacts are BM25 weights divided by what an item's weights must at least add up to. A passage
   that holds ``similarity`` of an item's m shingles lacks at most (1 - similarity) m of its words, so
@@ -80,9 +80,12 @@ class Item:
 
 
 class Index:
-    """Impact-ordered postings of one slice of items, with the largest impact per term and block."""
+    """Impact-ordered postings of one slice of items, with the largest impact per term and block.
 
-    def __init__(self, items: list[Item], similarity: float):
+    ``reach`` is the blocks of a passage.
+    """
+
+    def __init__(self, items: list[Item], similarity: float, reach: int):
         self.items = sorted(items, key=lambda i: (len(i.words), i.id))  # alike lengths, alike impacts
         self.similarity = similarity
         self.terms: dict[str, int] = {}
@@ -106,8 +109,7 @@ class Index:
         self.first = np.searchsorted(terms[order], np.arange(len(self.terms) + 1))
         self.bounds = np.zeros((len(self.terms), -(-len(self.items) // ITEM_BLOCK)), np.float32)
         np.maximum.at(self.bounds, (terms, numbers // ITEM_BLOCK), impacts.astype(np.float32))
-        longest = max(len(i.words) for i in self.items)
-        self.reach = (longest - 1 + STRIDE - 1) // STRIDE + 1
+        self.reach = reach
 
     def retrieved(self, terms: np.ndarray, blocks: np.ndarray) -> np.ndarray:
         """Items of the given blocks whose score for these terms reaches the threshold."""
@@ -154,6 +156,24 @@ class Index:
                     yield t, item, share
 
 
+def passage_blocks(benchmark: DataFrame, text_col: str, answer_col: str | None) -> int:
+    """The most blocks that an item of the benchmark can touch."""
+    answer = F.col(answer_col) if answer_col else F.lit(None).cast("string")
+    rows = benchmark.select(F.col(text_col).alias("text"), answer.alias("answer"))
+
+    def longest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, answers = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            sizes = [
+                len(words_of((t or "").lower())) + len(words_of((a or "").lower()))
+                for t, a in zip(texts, answers, strict=True)
+            ]
+            yield pa.RecordBatch.from_arrays([pa.array([max(sizes, default=0)], pa.int64())], ["n"])
+
+    most = rows.mapInArrow(longest, "n bigint").agg(F.max("n")).first()[0] or 1
+    return (most - 1 + STRIDE - 1) // STRIDE + 1
+
+
 def load_items(benchmark: DataFrame, id_col: str, text_col: str, answer_col: str | None) -> Iterator[list[Item]]:
     """Slices of the benchmark's items (refused beyond ``MAX_ITEMS``); at most one slice is held at a time."""
     answer = F.col(answer_col) if answer_col else F.lit(None).cast("string")
@@ -214,8 +234,9 @@ def contaminated(
     fields = f"id {id_type}, item {item_type.simpleString()}, passages bigint, share double"
     found = docs.sparkSession.createDataFrame([], fields)
     arrow_item = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[item_type.simpleString()]
+    reach = passage_blocks(benchmark, item_text_col, answer_col)
     for items in load_items(benchmark, item_col, item_text_col, answer_col):
-        index = Index(items, similarity)
+        index = Index(items, similarity, reach)
 
         def tasks(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
             for batch, texts in _in_steps(batches, "text"):
@@ -254,8 +275,9 @@ def without_contaminated(
     similarity: float = 0.8,
 ) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, all columns as they are. No row is moved."""
+    reach = passage_blocks(benchmark, item_text_col, answer_col)
     for items in load_items(benchmark, item_col, item_text_col, answer_col):
-        index = Index(items, similarity)
+        index = Index(items, similarity, reach)
 
         def tasks(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
             for batch, texts in _in_steps(batches, text_col):

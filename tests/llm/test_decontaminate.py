@@ -1,9 +1,11 @@
 import random
 
 import pytest
+from compare import compare, oracle_connection
 from pyspark.sql import functions as F
 
 from formline.llm import decontaminate as D
+from formline.llm.queries import ORACLES, QUERIES
 
 
 def brute(rows, items, similarity=0.8):
@@ -80,6 +82,19 @@ def test_slices_of_the_benchmark(spark, make_docs, monkeypatch):
     assert [r["doc_id"] for r in D.without_contaminated(make_docs(rows), items_table(spark, items)).collect()] == [3]
 
 
+def test_slicing_does_not_change_the_passages(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(D, "SLICE_ITEMS", 7)
+    rows, items = altered(3)
+    assert len(check(D.contaminated(make_docs(rows), items_table(spark, items)), rows, items)) > 40
+
+
+def test_a_sliced_benchmark_equals_sql(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(D, "SLICE_ITEMS", 5)
+    key = "op5_decontamination"
+    result = compare(spark, oracle_connection(sf_dir), sf_dir, QUERIES[key], ORACLES[key])
+    assert result["equal"] and result["rows"], result
+
+
 def test_question_and_answer_must_both_overlap(spark, make_docs):
     question, answer = "what is the name of the river that runs through town today", "it is the old green river"
     bench = spark.createDataFrame([(1, question, answer)], "item_id long, text string, reply string")

@@ -43,35 +43,48 @@ def file_catalog(
     )
 
 
-def _raw_rows(spark: SparkSession, root: str, step_pattern: str, season_pattern: str, encoding: str) -> DataFrame:
-    """(season, step, header, fields) of every line below the weekly files' headers.
+def _lines(spark: SparkSession, root: str, encoding: str) -> DataFrame:
+    """(path, at, line) of all lines of CSV files; ``at`` grows inside a file, and is NULL beyond its first block.
 
-    A weekly file is small and is read as a whole, once; what it held is stored in the shared folder
-    as arrays of text, from which headers and rows are then taken. Line breaks inside quotes end a
-    line, as in Spark's own reader of single-line files.
+    Files are split at will. Only in encodings whose line breaks are no single bytes they are read as a whole.
     """
-    path = F.url_decode(F.replace(F.col("path"), F.lit("+"), F.lit("%2B")))
+    whole = encoding.upper().startswith(("UTF-16", "UTF-32"))
     files = (
-        spark.read.format("binaryFile")
+        spark.read.format("binaryFile" if whole else "text")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.csv")
         .load(root)
-        .select(
-            text_of(path, season_pattern).alias("season"),
-            text_of(path, step_pattern).cast("int").alias("step"),
-            F.split(F.decode("content", encoding), "\r\n|\n|\r").alias("lines"),
-        )
-        .where(F.col("step").isNotNull())
     )
-    mark = F.regexp_replace(F.get("lines", F.lit(0)), "^(\ufeff|\u00ef\u00bb\u00bf)", "")
-    lines = files.select(
-        "season", "step", _fields(mark).alias("header"),
-        F.explode(F.slice("lines", 2, F.greatest(F.size("lines") - 1, F.lit(0)))).alias("line"),
-    )
+    if whole:
+        text = F.split(F.decode("content", encoding), "\r\n|\n|\r")
+        return files.select(F.col("_metadata.file_path").alias("path"), F.posexplode(text).alias("at", "line"))
+    first = F.col("_metadata.file_block_start") == 0
+    return files.select(
+        F.col("_metadata.file_path").alias("path"),
+        F.when(first, F.monotonically_increasing_id()).alias("at"),
+        F.decode(F.col("value").cast("binary"), encoding).alias("line"),
+    )
+
+
+def _raw_rows(spark: SparkSession, root: str, step_pattern: str, season_pattern: str, encoding: str) -> DataFrame:
+    """(season, step, header, fields) of every line below the weekly files' headers.
+
+    Lines are read once and stored in the shared folder; a file's header is the first line of its first block
+    and is joined back to the file's lines. Line breaks inside quotes end a line, as in Spark's own reader
+    of single-line files.
+    """
+    path = F.url_decode(F.replace(F.col("path"), F.lit("+"), F.lit("%2B")))
     stored = fresh_path(spark, "weekly")
-    rows = lines.where("line <> ''").select("season", "step", "header", _fields(F.col("line")).alias("fields"))
-    rows.write.parquet(stored)
-    return spark.read.parquet(stored)
+    weekly = _lines(spark, root, encoding).select(
+        "path", text_of(path, season_pattern).alias("season"),
+        text_of(path, step_pattern).cast("int").alias("step"), "at", "line",
+    )
+    weekly.where(F.col("step").isNotNull()).write.parquet(stored)
+    lines = spark.read.parquet(stored)
+    mark = F.regexp_replace(F.min_by("line", "at"), "^(\ufeff|\u00ef\u00bb\u00bf)", "")
+    heads = lines.where("at is not null").groupBy("path").agg(F.min("at").alias("top"), mark.alias("head"))
+    below = lines.join(heads, "path").where("line <> '' and (at is null or at > top)")
+    return below.select("season", "step", _fields(F.col("head")).alias("header"), _fields(F.col("line")).alias("fields"))
 
 
 def _fields(line: Column) -> Column:

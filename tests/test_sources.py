@@ -73,6 +73,28 @@ def test_cells_and_headers_survive(spark, rows, tmp_path):
     assert rows(catalog.read_weekly(spark, str(latin), {"größe": "int"}), "player_name", "größe") == [("José", 5)]
 
 
+def test_a_large_weekly_file_is_read_in_parts(spark, rows, tmp_path):
+    lines = [f"Player_{i},{i},{i % 7}" for i in range(3000)]
+    put(tmp_path / "2018-19" / "gws" / "gw1.csv", "name,minutes,total_points\n" + "\n".join(lines) + "\n")
+    put(tmp_path / "2018-19" / "gws" / "gw2.csv", "minutes,name\r\n5,José_9\r\n")
+    most = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        raw = catalog._raw_rows(spark, str(tmp_path), catalog.STEP_PATTERN, catalog.SEASON_PATTERN, "ISO-8859-1")
+        assert len(raw.inputFiles()) > 4  # one stored file per task that read
+        got = rows(catalog.read_weekly(spark, str(tmp_path), TYPES), "step", "player_id", "minutes", "total_points")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", most)
+    assert got == sorted([(1, str(i), i, i % 7) for i in range(3000)]) + [(2, "9", 5, None)]
+
+
+@pytest.mark.parametrize("encoding", ["UTF-8", "ISO-8859-1", "UTF-16"])
+def test_encodings_of_weekly_files(spark, rows, tmp_path, encoding):
+    put(tmp_path / "2018-19" / "gws" / "gw1.csv", "name,größe\nJosé_1,5\n", encoding)
+    got = catalog.read_weekly(spark, str(tmp_path), {"größe": "int"}, encoding=encoding)
+    assert rows(got, "player_name", "größe") == [("José_1", 5)]
+
+
 def test_ids_written_as_decimals_meet_the_id_list(spark, rows):
     df = spark.createDataFrame([("1.0",), ("12",), ("a.0",), (None,)], "i string")
     assert rows(df.select(C.id_text(df, "i").alias("i"))) == [(None,), ("1",), ("12",), ("a.0",)]

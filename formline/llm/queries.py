@@ -13,6 +13,7 @@ from formline.llm import (
     kneser_ney,
     lang_id,
     mixture,
+    piece_codec,
     prefix_forest,
     simhash,
     suffix_dedup,
@@ -67,6 +68,13 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mixed_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op11_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return piece_codec.digests(piece_codec.round_trip(read_table(spark, sf_dir, "documents"), model))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -80,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_url_filter,
         op9_language_id,
         op10_source_mix,
+        op11_piece_codec,
     )
 }
 ORACLES: dict[str, str] = {

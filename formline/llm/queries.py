@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from formline.llm import (
     bpe_count,
     decontaminate,
+    filter_audit,
     html_text,
     kneser_ney,
     lang_id,
     mixture,
+    periodic_runs,
     piece_codec,
     prefix_forest,
     simhash,
@@ -75,6 +77,15 @@ def op11_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.digests(piece_codec.round_trip(read_table(spark, sf_dir, "documents"), model))
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.with_planted_runs(read_table(spark, sf_dir, "documents"))
+    return periodic_runs.run_digests(periodic_runs.periodic_runs(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -89,6 +100,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_language_id,
         op10_source_mix,
         op11_piece_codec,
+        op12_filter_audit,
+        op13_periodic_runs,
     )
 }
 ORACLES: dict[str, str] = {
@@ -135,5 +148,49 @@ SELECT doc_id, item_id, count(*) AS n_passages, max(share) AS similarity
 FROM shares JOIN parts USING (doc_id, k, item_id)
 WHERE share >= 0.8 - 1e-9 AND 2 * q >= nq AND 2 * a >= na
 GROUP BY doc_id, item_id
+""",
+    # failure bits of every document, counted per part, then every step of every order over the counts
+    "op12_filter_audit": r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(CAST(lang AS VARCHAR), '') AS part, coalesce(text, '') AS t FROM documents
+), worded AS (
+  SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM docs
+), marks AS (
+  SELECT doc_id, max(CAST(quality = 1 AS INTEGER)) AS good, max(CAST(toxic = 1 AS INTEGER)) AS toxic
+  FROM labels GROUP BY doc_id
+), bits AS (
+  SELECT part, d.doc_id,
+         CAST(len(w) < 100 AS INTEGER)
+         + 2 * CAST(100 * len(list_distinct(w)) < 80 * len(w) AS INTEGER)
+         + 4 * CAST(100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) AS INTEGER)
+         + 8 * CAST(regexp_matches(t, '[#$%&*|]') AS INTEGER)
+         + 16 * CAST(coalesce(d.doc_id > min(d.doc_id) OVER (PARTITION BY t), false) AS INTEGER) AS fails
+  FROM worded d
+), counted AS (
+  SELECT part, fails, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+  FROM bits LEFT JOIN marks ON bits.doc_id = marks.doc_id GROUP BY part, fails
+), letters AS (
+  SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) v(letter, bit)
+), orders AS (
+  SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order,
+         [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31
+), taken AS (
+  SELECT filter_order, step, bits[step] AS f, coalesce(list_sum(bits[1 : step - 1]), 0) AS before
+  FROM orders, (SELECT unnest(range(1, 6)) AS step)
+), sizes AS (
+  SELECT part, filter_order, CAST(step AS INTEGER) AS step, f,
+         CAST(sum(CASE WHEN fails & CAST(before + f AS INTEGER) = 0 THEN n ELSE 0 END) AS BIGINT) AS kept,
+         CAST(sum(CASE WHEN fails & f > 0 AND fails & CAST(before AS INTEGER) = 0 THEN n ELSE 0 END) AS BIGINT) AS removed,
+         CAST(sum(CASE WHEN fails & f > 0 AND fails & CAST(before AS INTEGER) > 0 THEN n ELSE 0 END) AS BIGINT) AS redundant,
+         CAST(sum(CASE WHEN fails = f THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+         CAST(sum(CASE WHEN fails & f > 0 AND fails & CAST(before AS INTEGER) = 0 THEN good ELSE 0 END) AS BIGINT) AS good_lost,
+         CAST(sum(CASE WHEN fails & f > 0 AND fails & CAST(before AS INTEGER) = 0 THEN toxic ELSE 0 END) AS BIGINT) AS toxic_lost
+  FROM counted, taken GROUP BY part, filter_order, step, f
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM sizes
 """,
 }

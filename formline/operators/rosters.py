@@ -10,17 +10,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
-from itertools import count
+from itertools import count, groupby
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from formline.operators.assemble import union_all
+from formline.operators.dominance import PLAYER, Bounds, Finder
 from formline.session import cut_lineage, rows_within
 
-#: Value ranges per position in which replacements are compared, and keys that a pool too large
-#: for a broadcast is copied to per position.
-VALUE_RANGES = 16
+#: Keys that a pool too large for a broadcast is copied to per position where swaps are listed.
 SALTS = 16
 
 
@@ -285,26 +284,57 @@ def _taken_clubs(rules: RosterRules, cols: RosterColumns) -> Column:
     )
 
 
-def _outgoing(squads: DataFrame, rules: RosterRules, cols: RosterColumns) -> DataFrame:
-    """One row per team and member, with what a replacement has to respect."""
-    first = [c for c in squads.columns if c == "_first"]
+def _outgoing(
+    squads: DataFrame, rules: RosterRules, cols: RosterColumns, carried: Sequence[str] = ()
+) -> DataFrame:
+    """One row per team and member, with what a replacement has to respect.
+
+    ``_closed`` are the clubs without room once the member has left.
+    """
     return squads.select(
         cols.team,
         "_spare",
-        *first,
+        *carried,
         F.transform("_members", lambda m: m[cols.name]).alias("_names"),
         _taken_clubs(rules, cols).alias("_taken"),
         F.explode("_members").alias("_out"),
     ).select(
         cols.team,
-        *first,
+        *carried,
         F.col(f"_out.{cols.name}").alias("out"),
         F.col(f"_out.{cols.position}").alias("_position"),
         F.col(f"_out.{cols.points}").alias("_out_points"),
+        F.col(f"_out.{cols.value}").alias("_out_value"),
         F.col(f"_out.{cols.club}").alias("_out_club"),
         (F.col("_spare") + F.col(f"_out.{cols.value}")).alias("_budget"),
         "_names",
         "_taken",
+        F.filter("_taken", lambda c: ~c.eqNullSafe(F.col(f"_out.{cols.club}"))).alias("_closed"),
+    )
+
+
+def _finder(pool: DataFrame, rules: RosterRules, cols: RosterColumns, cheapest: bool = False) -> Finder:
+    """Searches ``pool`` for replacements in legal teams, also of players who left them.
+
+    With ``cheapest`` the points of a player are what he does not cost.
+    """
+    points = -F.col(cols.value) if cheapest else F.col(cols.points)
+    players = pool.select(
+        F.col(cols.name).alias("name"),
+        F.col(cols.position).alias("position"),
+        F.col(cols.value).alias("value"),
+        F.col(cols.club).alias("club"),
+        points.alias("points"),
+    )
+    per_club = max(rules.max_per_club, 1)
+    return Finder(players, Bounds(2 * rules.size, 2 * per_club, rules.size // per_club))
+
+
+def _entering(cols: RosterColumns, points: Column | None = None) -> Column:
+    """The player ``_in`` as a member of a squad."""
+    names = dict(zip(PLAYER, (cols.name, cols.position, cols.value, cols.club, cols.points), strict=True))
+    return F.struct(
+        *(F.col(f"_in.{c}").alias(n) if c != "points" or points is None else points.alias(n) for c, n in names.items())
     )
 
 
@@ -378,146 +408,64 @@ def swap_candidates(
     """(team, out, n_options, in, gain): how many swaps leave a legal team legal and strictly better.
 
     One row per member that has such a swap, with its best one (ties: the smaller ``in``). Options are
-    counted beside the join, so pairs are neither stored nor moved; :func:`swap_list` lists them for
-    named teams.
-    """
-    held, small = _small(pool)
-    squads = _squads(rosters, held, rules, cols, F.col("legal"))
-    outgoing = _outgoing(squads, rules, cols)
-    counted = (
-        _with_replacements(outgoing, held.select(*cols.player), small, _fits(cols), cols)
-        .groupBy(cols.team, "out")
-        .agg(F.count(F.lit(1)).alias("n_options"))
-    )
-    best = _best_per_member(outgoing, *_small(_contenders(held, rules, cols)), _fits(cols), cols)
-    gain = F.col(f"_in.{cols.points}") - F.col("_out_points")
-    return counted.join(
-        best.select(cols.team, "out", F.col(f"_in.{cols.name}").alias("in"), gain.alias("gain")),
-        [cols.team, "out"],
-    )
-
-
-def _contenders(pool: DataFrame, rules: RosterRules, cols: RosterColumns) -> DataFrame:
-    """The pool rows that can be some legal team's best replacement, ranked by position.
-
-    At most ``size // max_per_club`` clubs of a legal team are full, and it has at most
-    ``max_per_club`` players of any club. So if, among cheaper players of the position, one club more
-    than that has ``max_per_club + 1`` players that are better (more points, or as many and a
-    smaller name), one of these is affordable, free and of a club with room: the player is never
-    the best choice. "Cheaper" is taken to be a lower value range; players of one's own range prove nothing,
-    so the rest is a superset, exactly sufficient. Tops per club and range are taken first; only they
-    are compared across ranges, and only what remains is ranked.
-    """
-    clubs, each = rules.size // rules.max_per_club + 1, rules.max_per_club + 1
-    best_first = [F.col(cols.points).desc(), F.col(cols.name).asc()]
-    players = pool.select(*cols.player)
-    inner = [i / VALUE_RANGES for i in range(1, VALUE_RANGES)]
-    borders = players.groupBy(cols.position).agg(
-        F.percentile_approx(cols.value, inner, 1000).alias("_borders")
-    )
-    ranged = players.join(borders, cols.position).withColumn(
-        "_range", F.size(F.filter("_borders", lambda x: x < F.col(cols.value)))
-    )
-    of_club = Window.partitionBy(cols.position, cols.club, "_range").orderBy(*best_first)
-    tops = (
-        ranged.where(F.col(cols.club).isNotNull())
-        .withColumn("_nth", F.row_number().over(of_club))
-        .where(F.col("_nth") <= each)
-        .where(F.col("_range") < VALUE_RANGES - 1)
-        .withColumn("_above", F.explode(F.sequence(F.col("_range") + 1, F.lit(VALUE_RANGES - 1))))
-    )
-    below = Window.partitionBy(cols.position, cols.club, "_above").orderBy(*best_first)
-    across = Window.partitionBy(cols.position, "_above").orderBy(*best_first)
-    bars = (
-        tops.withColumn("_nth", F.row_number().over(below))
-        .where(F.col("_nth") == each)
-        .withColumn("_club", F.row_number().over(across))
-        .where(F.col("_club") == clubs)
-        .select(
-            F.col(cols.position).alias("_at"),
-            F.col("_above").alias("_of"),
-            F.col(cols.points).alias("_bar"),
-            F.col(cols.name).alias("_bar_name"),
-        )
-    )
-    points, name = F.col(cols.points), F.col(cols.name)
-    beaten = (points < F.col("_bar")) | ((points == F.col("_bar")) & (name > F.col("_bar_name")))
-    left = (
-        ranged.join(bars, (F.col(cols.position) == F.col("_at")) & (F.col("_range") == F.col("_of")), "left")
-        .where(~F.coalesce(beaten, F.lit(False)))
-        .select(*cols.player)
-    )
-    by_position = Window.partitionBy(cols.position).orderBy(*best_first)
-    return left.withColumn("rank", F.row_number().over(by_position).cast("long"))
-
-
-def _best_per_member(
-    outgoing: DataFrame, contenders: DataFrame, small: bool, condition: Column, cols: RosterColumns,
-    keys: Sequence[str] = (), which: Column | None = None,
-) -> DataFrame:
-    """(team, out, _position, _out_points, ``keys``, ``_in``): each member's best replacement.
-
-    It is the one of lowest rank: a minimum over a long, taken in hash tables beside the join, so
-    candidate pairs are neither sorted nor moved. ``which`` narrows the choice down.
+    counted without pairs (see :mod:`formline.operators.dominance`); :func:`swap_list` lists them for
+    named teams. Names are unique in the pool.
     """
-    rank = F.col("_in_rank") if which is None else F.when(which, F.col("_in_rank"))
-    lowest = (
-        _with_replacements(outgoing, contenders, small, condition, cols)
-        .groupBy(cols.team, "out", "_position", "_out_points", *keys)
-        .agg(F.min(rank).alias("_rank"))
-        .where(F.col("_rank").isNotNull())
-    )
-    entering = contenders.select(
-        F.col(cols.position).alias("_position"), F.col("rank").alias("_rank"), F.struct(*cols.player).alias("_in")
+    squads = _squads(rosters, pool, rules, cols, F.col("legal"))
+    asked = _outgoing(squads, rules, cols).withColumnsRenamed({"_out_points": "_least", "_names": "_excluded"})
+    found = _finder(pool, rules, cols).answers(asked.withColumn("_had", F.col("_least")), [cols.team, "out", "_had"])
+    return found.select(
+        cols.team, "out", "n_options", F.col("_in.name").alias("in"), (F.col("_in.points") - F.col("_had")).alias("gain")
     )
-    return lowest.join(F.broadcast(entering) if small else entering, ["_position", "_rank"])
 
 
 def _best_swaps(
     squads: DataFrame,
-    contenders: DataFrame,
-    small: bool,
+    finder: Finder,
     rules: RosterRules,
     cols: RosterColumns,
     charge: TransferCharge | None = None,
+    keys: Sequence[str] = (),
 ) -> DataFrame:
-    """(team, ``_swap``): the best swap of each squad that has one, with the entering player.
+    """(team, ``keys``, ``_swap``): the best swap of each squad that has one, with the entering player.
 
     Under a ``charge``, members of the first roster (``_first``) return without counting as a
-    transfer. They are few, so each is compared inside its squad; a contender that is one of them
-    is met there.
+    transfer. They are few, so each is compared inside its squad; the pool is searched for others.
     """
-    outgoing = _outgoing(squads, rules, cols)
+    wanted = [cols.team, *keys, "out", "_in"]
+    carried = [*keys] if charge is None else [*keys, "_first"]
+    outgoing = _outgoing(squads, rules, cols, carried).withColumn("_least", F.col("_out_points"))
     loss = F.col("_out_points") - F.col(f"_in.{cols.points}")
     if charge is None:
-        options = _best_per_member(outgoing, contenders, small, _fits(cols), cols).withColumn("_loss", loss)
+        asked = outgoing.withColumnRenamed("_names", "_excluded")
+        found = finder.answers(asked, [cols.team, *keys, "out", "_out_points"], count=False)
+        options = found.withColumn("_in", _entering(cols)).withColumn("_loss", loss)
     else:
         first = F.transform("_first", lambda m: m[cols.name])
         moved = F.size(F.array_except(F.col("_names"), first))
         leaves = (~F.array_contains(first, F.col("out"))).cast("int")
         outgoing = outgoing.withColumns({"_moved": moved, "_leaves": leaves})
-        keys = ["_moved", "_leaves"]
 
         def net(joins: int) -> Column:
             after = F.col("_moved") - F.col("_leaves") + joins
             return loss + charge.of(after) - charge.of(F.col("_moved"))
 
-        new = ~F.array_contains(first, F.col(f"_in_{cols.name}"))
-        joining = _best_per_member(outgoing, contenders, small, _fits(cols) & new, cols, keys)
+        asked = outgoing.withColumn("_excluded", F.array_union("_names", first))
+        told = [cols.team, *keys, "out", "_out_points", "_moved", "_leaves"]
+        joining = finder.answers(asked, told, count=False).withColumn("_in", _entering(cols))
         returning = (
             outgoing.withColumn("_in", F.explode("_first"))
             .select("*", *[F.col(f"_in.{c}").alias(f"_in_{c}") for c in cols.player])
             .where((F.col("_position") == F.col(f"_in_{cols.position}")) & _fits(cols))
         )
-        wanted = [cols.team, "out", "_in"]
         options = joining.select(*wanted, net(1).alias("_loss")).unionByName(
             returning.select(*wanted, net(0).alias("_loss"))
         )
     swap = F.struct(
         F.col("_loss").alias("loss"), F.col("out"), F.col(f"_in.{cols.name}").alias("in"), F.col("_in")
     )
-    ranked = options.where(F.col("_loss") < 0).select(cols.team, swap.alias("_swap"))
-    return ranked.groupBy(cols.team).agg(F.min("_swap").alias("_swap"))
+    ranked = options.where(F.col("_loss") < 0).select(cols.team, *keys, swap.alias("_swap"))
+    return ranked.groupBy(cols.team, *keys).agg(F.min("_swap").alias("_swap"))
 
 
 def best_swap(
@@ -528,8 +476,7 @@ def best_swap(
 ) -> DataFrame:
     """The swap of highest gain per legal team; ties go to the smaller ``out``, then ``in``."""
     squads = _squads(rosters, pool, rules, cols, F.col("legal"))
-    contenders, small = _small(_contenders(pool, rules, cols))
-    return _best_swaps(squads, contenders, small, rules, cols).select(
+    return _best_swaps(squads, _finder(pool, rules, cols), rules, cols).select(
         cols.team,
         F.col("_swap.out").alias("out"),
         F.col("_swap.in").alias("in"),
@@ -566,20 +513,39 @@ def improve_rosters(
     Legal teams advance together; illegal ones come back as they are, flagged. With a ``charge``, a
     swap counts by its gain less what it adds to the charge for transfers since the given rosters. A
     team without a swap has arrived and leaves the loop, which ends early when none is left.
-    Replacements are found once; between steps squads are checkpointed, then placed by team for the
-    candidates and for the new squads.
+    The pool is prepared for searching once; between steps squads are checkpointed, then placed by team.
     """
-    contenders, small = _small(_contenders(pool, rules, cols))
-    if not small:
-        contenders = cut_lineage(contenders)
     squads = _squads(rosters, pool, rules, cols, F.col("legal")).withColumn("_swaps", F.lit(0))
     if charge is not None:
         squads = squads.withColumn("_first", F.col("_members"))
-    squads = start = cut_lineage(squads)
+    start = cut_lineage(squads)
+    names = F.explode(F.transform("_members", lambda m: m[cols.name])).alias(cols.name)
+    flags = [F.lit(True).alias("legal"), F.col("_swaps").alias("n_swaps"), (~F.col("_changed")).alias("settled")]
+    reached = _climbed(start, _finder(pool, rules, cols), rules, cols, n_steps, charge).select(cols.team, names, *flags)
+    others = rosters.select(cols.team, cols.name).join(start.select(cols.team), cols.team, "left_anti")
+    return reached.unionByName(
+        others.select(
+            cols.team, cols.name, F.lit(False).alias("legal"), F.lit(0).alias("n_swaps"), F.lit(False).alias("settled")
+        )
+    )
+
+
+def _climbed(
+    squads: DataFrame,
+    finder: Finder,
+    rules: RosterRules,
+    cols: RosterColumns,
+    n_steps: int | None,
+    charge: TransferCharge | None,
+    keys: Sequence[str] = (),
+) -> DataFrame:
+    """All ``squads`` (told apart by team and ``keys``) where their best swaps lead, ``_changed`` if cut off.
+
+    Squads without a swap leave the loop; the others are checkpointed between steps.
+    """
     arrived = []
     for step in count(1) if n_steps is None else range(1, n_steps + 1):
-        swaps = _best_swaps(squads, contenders, small, rules, cols, charge)
-        squads = _advance(squads, swaps, cols)
+        squads = _advance(squads, _best_swaps(squads, finder, rules, cols, charge, keys), cols, keys)
         if step == n_steps:
             arrived.append(squads)
             break
@@ -588,21 +554,11 @@ def improve_rosters(
         squads = squads.where("_changed").drop("_changed")
         if squads.isEmpty():
             break
-        squads = squads.repartition(cols.team)
-    names = F.explode(F.transform("_members", lambda m: m[cols.name])).alias(cols.name)
-    flags = [F.lit(True).alias("legal"), F.col("_swaps").alias("n_swaps")]
-    parts = arrived or [squads.withColumn("_changed", F.lit(True))]
-    settled = (~F.col("_changed")).alias("settled")
-    reached = union_all([part.select(cols.team, names, *flags, settled) for part in parts])
-    others = rosters.select(cols.team, cols.name).join(start.select(cols.team), cols.team, "left_anti")
-    return reached.unionByName(
-        others.select(
-            cols.team, cols.name, F.lit(False).alias("legal"), F.lit(0).alias("n_swaps"), F.lit(False).alias("settled")
-        )
-    )
+        squads = squads.repartition(cols.team, *keys)
+    return union_all(arrived or [squads.withColumn("_changed", F.lit(True))])
 
 
-def _advance(squads: DataFrame, swaps: DataFrame, cols: RosterColumns) -> DataFrame:
+def _advance(squads: DataFrame, swaps: DataFrame, cols: RosterColumns, keys: Sequence[str] = ()) -> DataFrame:
     """Squads after their swap, with whether there was one."""
     leaving, entering = F.col("_swap.out"), F.col("_swap._in")
     changed = F.col("_swap").isNotNull()
@@ -613,7 +569,7 @@ def _advance(squads: DataFrame, swaps: DataFrame, cols: RosterColumns) -> DataFr
         "_members", lambda m: F.when(m[cols.name] == leaving, entering).otherwise(m)
     )
     return (
-        squads.join(swaps, cols.team, "left")
+        squads.join(swaps, [cols.team, *keys], "left")
         .withColumns(
             {
                 "_spare": F.when(
@@ -628,6 +584,227 @@ def _advance(squads: DataFrame, swaps: DataFrame, cols: RosterColumns) -> DataFr
     )
 
 
+def restarted_rosters(
+    rosters: DataFrame,
+    pool: DataFrame,
+    rules: RosterRules = RULES,
+    n_restarts: int = 10,
+    n_kicks: int = 2,
+    seed: int = 7,
+    charge: TransferCharge | None = None,
+    cols: RosterColumns = COLUMNS,
+) -> DataFrame:
+    """(team, name, start, n_swaps, net_points): where each legal team's best of several climbs leads.
+
+    Start 0 is the team as it is. For the others ``n_kicks`` members, those of the smallest md5 of
+    ``seed:start:name``, leave one after the other for the best players who can replace them (in
+    points, ties: the smaller name) and were never in the team, better or not; without such a player the
+    member stays. All starts climb together until none has a swap left, kicks counting as swaps and, under a
+    ``charge``, as transfers. The start that ends with most points net of the charge is kept, of
+    equal ones the first, so no team ends below its plain climb.
+    """
+    keys = ["_start"]
+    finder = _finder(pool, rules, cols)
+    legal = _squads(rosters, pool, rules, cols, F.col("legal")).withColumns({"_swaps": F.lit(0), "_first": F.col("_members")})
+    starts = F.explode(F.sequence(F.lit(0), F.lit(n_restarts)))
+    squads = cut_lineage(legal).withColumn("_start", starts)
+    kicked = squads.where("_start > 0")
+    for _ in range(n_kicks):
+        kicked = _kicked(kicked, finder, rules, cols, seed)
+    start = squads.where("_start = 0").unionByName(kicked)
+    reached = _climbed(cut_lineage(start), finder, rules, cols, None, charge, keys)
+    first = F.transform("_first", lambda m: m[cols.name])
+    moved = F.size(F.array_except(F.transform("_members", lambda m: m[cols.name]), first))
+    points = F.aggregate("_members", F.lit(0.0), lambda a, m: a + F.coalesce(m[cols.points], F.lit(0)))
+    net = points if charge is None else points - charge.of(moved)
+    best = F.max_by(F.struct("_members", "_start", "_swaps", "_net"), F.struct(F.col("_net"), -F.col("_start")))
+    kept = reached.withColumn("_net", net).groupBy(cols.team).agg(best.alias("_best")).select(cols.team, "_best.*")
+    return kept.select(
+        cols.team,
+        F.explode(F.transform("_members", lambda m: m[cols.name])).alias(cols.name),
+        F.col("_start").alias("start"),
+        F.col("_swaps").alias("n_swaps"),
+        F.col("_net").alias("net_points"),
+    )
+
+
+def _kicked(squads: DataFrame, finder: Finder, rules: RosterRules, cols: RosterColumns, seed: int) -> DataFrame:
+    """Squads after one member of the first roster, picked by md5, was replaced."""
+    keys = ["_start"]
+    first = F.transform("_first", lambda m: m[cols.name])
+    names = F.transform("_members", lambda m: m[cols.name])
+    luck = F.transform(
+        F.array_intersect(names, first),
+        lambda n: F.struct(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("_start"), n).cast("binary")).alias("m"), n.alias("n")),
+    )
+    outgoing = _outgoing(squads.withColumn("_pick", F.array_min(luck)["n"]), rules, cols, [*keys, "_first", "_pick"])
+    asked = outgoing.where(F.col("out") == F.col("_pick")).withColumn("_excluded", F.array_union("_names", first))
+    found = finder.answers(asked, [cols.team, *keys, "out"], count=False)
+    swap = F.struct(F.col("out"), F.col("_in.name").alias("in"), _entering(cols).alias("_in"))
+    return _advance(squads, found.select(cols.team, *keys, swap.alias("_swap")), cols, keys).drop("_changed")
+
+
+def repair_rosters(
+    rosters: DataFrame,
+    pool: DataFrame,
+    rules: RosterRules = RULES,
+    cols: RosterColumns = COLUMNS,
+) -> DataFrame:
+    """(team, name, n_swaps, repaired): teams whose only fault is their value, brought within the budget.
+
+    In turn a team makes the swap that brings it within the budget with most points (ties: the smaller
+    ``out``, then ``in``) or, where no single swap does, the one that saves most. Entering players share the
+    position, cost strictly less, are not in the team and come from a club with room. A team that
+    gets stuck becomes the cheapest legal team with as many players per position, if the budget
+    allows any: whether it does depends on these numbers only, so a team comes back unrepaired only
+    if no legal team has them.
+    """
+    over = F.col("clubs_legal") & ~F.col("value_legal")
+    squads = cut_lineage(_squads(rosters, pool, rules, cols, over).withColumn("_swaps", F.lit(0)))
+    best, cheapest = _finder(pool, rules, cols), _finder(pool, rules, cols, cheapest=True)
+    done = []
+    while not squads.isEmpty():
+        # a changed squad goes on unless it is within the budget, an unchanged one is stuck
+        squads = cut_lineage(_advance(squads, _saving_swaps(squads, best, cheapest, pool, rules, cols), cols))
+        arrived = (F.col("_spare") >= 0) | ~F.col("_changed")
+        done.append(squads.where(arrived))
+        squads = squads.where(~arrived).drop("_changed")
+    if not done:
+        done = [squads.withColumn("_changed", F.lit(False))]
+    ended = union_all(done)
+    names = F.explode(F.transform("_members", lambda m: m[cols.name])).alias(cols.name)
+    within = ended.where("_spare >= 0").select(cols.team, names, F.col("_swaps").alias("n_swaps"), F.lit(True).alias("repaired"))
+    stuck = ended.where("_spare < 0")
+    return within.unionByName(_rebuilt(stuck, pool, rules, cols))
+
+
+def _saving_swaps(
+    squads: DataFrame, best: Finder, cheapest: Finder, pool: DataFrame, rules: RosterRules, cols: RosterColumns
+) -> DataFrame:
+    """(team, ``_swap``): what brings a squad within the budget with most points, else what saves most."""
+    outgoing = _outgoing(squads, rules, cols).withColumnRenamed("_names", "_excluded")
+    told = [cols.team, "out", "_out_points", "_out_value"]
+
+    def counted(points: Column) -> Column:
+        return F.coalesce(points, F.lit(0))
+
+    fixing = best.answers(outgoing, told, count=False).select(
+        cols.team, F.lit(0).alias("step"), (counted(F.col("_out_points")) - counted(F.col("_in.points"))).cast("double").alias("loss"),
+        "out", F.col("_in.name").alias("in"), _entering(cols).alias("_in"),
+    )
+    below = outgoing.withColumn("_budget", F.col("_out_value"))
+    cut = cheapest.answers(below, told, strict=True, count=False)
+    # the search for the cheapest stands in for points, which come from the pool
+    saved = cut.select(
+        cols.team, F.lit(1).alias("step"), (F.col("_in.value") - F.col("_out_value")).cast("double").alias("loss"),
+        "out", F.col("_in.name").alias("in"),
+    ).groupBy(cols.team).agg(F.min(F.struct("step", "loss", "out", "in")).alias("_least")).select(cols.team, "_least.*")
+    entering = pool.select(F.col(cols.name).alias("in"), F.struct(*cols.player).alias("_in"))
+    saving = saved.join(entering, "in").select(*fixing.columns)
+    swap = F.struct("step", "loss", "out", "in", "_in")
+    return fixing.unionByName(saving).groupBy(cols.team).agg(F.min(swap).alias("_swap"))
+
+
+def _rebuilt(stuck: DataFrame, pool: DataFrame, rules: RosterRules, cols: RosterColumns) -> DataFrame:
+    """The stuck teams as the cheapest legal team of their numbers per position, or as they are."""
+    counts = F.transform(
+        F.array([F.lit(p) for p in rules.positions]),
+        lambda p: F.size(F.filter("_members", lambda m: m[cols.position] == p)),
+    )
+    names = F.transform("_members", lambda m: m[cols.name])
+    kept = cut_lineage(stuck.select(cols.team, names.alias("_names"), "_swaps", counts.alias("_counts")))
+    # at most as many patterns as ways to share ``size`` among the positions, whatever the teams
+    patterns = [r["_counts"] for r in kept.select("_counts").distinct().collect()]
+    found = []
+    if patterns:
+        cheap = _cheap_players(pool, rules, cols)
+        for pattern in patterns:
+            team = cheapest_team(dict(zip(rules.positions, pattern, strict=True)), cheap, rules)
+            if team is not None and sum(v for v, _, _ in team) <= rules.max_value:
+                found.append((pattern, [n for _, n, _ in team]))
+    name_type = pool.schema[cols.name].dataType.simpleString()
+    rebuilt = kept.sparkSession.createDataFrame(found, f"_counts array<int>, _team array<{name_type}>")
+    whole = kept.join(F.broadcast(rebuilt), "_counts", "left")
+    return whole.select(
+        cols.team,
+        F.explode(F.coalesce("_team", "_names")).alias(cols.name),
+        F.when(F.col("_team").isNull(), F.col("_swaps")).otherwise(F.size(F.array_except("_team", "_names")) + F.col("_swaps")).alias("n_swaps"),
+        F.col("_team").isNotNull().alias("repaired"),
+    )
+
+
+def _cheap_players(pool: DataFrame, rules: RosterRules, cols: RosterColumns) -> dict[int, list[tuple]]:
+    """Per position the (value, name, club) that a cheapest legal team can be made of, cheapest first.
+
+    A club serves at most ``max_per_club`` of its cheapest per position. A place can be filled by any of
+    the cheapest players that are neither in the team nor of a full club, so the first
+    ``size + size // max_per_club * max_per_club + 1`` of those suffice.
+    """
+    each = max(rules.max_per_club, 1)
+    order = [F.col(cols.value), F.col(cols.name)]
+    of_club = Window.partitionBy(cols.position, F.coalesce(F.col(cols.club).cast("string"), F.col(cols.name).cast("string"))).orderBy(*order)
+    at = Window.partitionBy(cols.position).orderBy(*order)
+    most = rules.size + rules.size // each * each + 1
+    rows = (
+        pool.where(F.col(cols.value).isNotNull() & F.col(cols.position).isin(list(rules.positions)))
+        .withColumn("_nth", F.row_number().over(of_club))
+        .where(F.col("_nth") <= each)
+        .withColumn("_nth", F.row_number().over(at))
+        .where(F.col("_nth") <= most)
+        .select(F.col(cols.position).alias("p"), F.col(cols.value).alias("v"), F.col(cols.name).alias("n"), F.col(cols.club).alias("c"))
+        .collect()
+    )
+    ordered = sorted(rows, key=lambda r: (r["p"], r["v"], r["n"]))
+    return {p: [(r["v"], r["n"], r["c"]) for r in part] for p, part in groupby(ordered, key=lambda r: r["p"])}
+
+
+def cheapest_team(counts: Mapping[int, int], players: Mapping[int, list[tuple]], rules: RosterRules) -> list[tuple] | None:
+    """The cheapest (value, name, club) rows with ``counts`` per position and no club above its limit.
+
+    Places are filled one after the other; a branch ends where the cheapest players left, clubs aside,
+    would already cost as much as the best team found.
+    """
+    places = [p for p, n in counts.items() for _ in range(n)]
+    if any(len(players.get(p, [])) < n for p, n in counts.items()):
+        return None
+    best: list = [float("inf"), None]
+    used: dict = {}
+    chosen: list[tuple] = []
+
+    def least(k: int, after: int) -> float:
+        """What the places from ``k`` on cost at least; those of the same position come after ``after``."""
+        total, i = 0, k
+        while i < len(places):
+            n = sum(1 for p in places[i:] if p == places[i])
+            start = after if i == k else 0
+            part = players[places[i]][start : start + n]
+            if len(part) < n:
+                return float("inf")
+            total += sum(v for v, _, _ in part)
+            i += n
+        return total
+
+    def fill(k: int, after: int, cost: float) -> None:
+        if k == len(places):
+            best[:] = [cost, list(chosen)]
+            return
+        start = after if k and places[k] == places[k - 1] else 0
+        for i in range(start, len(players[places[k]])):
+            if cost + least(k, i) >= best[0]:
+                return
+            value, name, club = players[places[k]][i]
+            if club is not None and used.get(club, 0) >= rules.max_per_club:
+                continue
+            chosen.append((value, name, club))
+            used[club] = used.get(club, 0) + 1
+            fill(k + 1, i + 1, cost + value)
+            used[club] -= 1
+            chosen.pop()
+
+    fill(0, 0, 0)
+    return best[1]
+
+
 def transfer_cost(
     before: DataFrame,
     after: DataFrame,
@@ -718,7 +895,6 @@ def cheaper_options(
     position, cost strictly less, are not in the team and come from a club with room. They are
     counted, and ``in`` is the one of most points (ties: the smaller name).
     """
-    pool, small = _small(pool)
     over = F.col("clubs_legal") & ~F.col("value_legal")
     squads = _squads(rosters, pool, rules, cols, over)
     dearest = F.array_min(
@@ -728,7 +904,6 @@ def cheaper_options(
                 (-m[cols.value]).alias("cost"),
                 m[cols.name].alias("name"),
                 m[cols.position].alias("position"),
-                m[cols.points].alias("points"),
             ),
         )
     )
@@ -741,25 +916,10 @@ def cheaper_options(
         cols.team,
         F.col("_out.name").alias("out"),
         F.col("_out.position").alias("_position"),
-        F.col("_out.points").alias("_out_points"),
         (-F.col("_out.cost")).alias("_cost"),
         "_names",
         "_taken",
     )
-    condition = (
-        (F.col(f"_in_{cols.value}") < F.col("_cost"))
-        & (
-            F.col(f"_in_{cols.club}").isNull()
-            | ~F.array_contains("_taken", F.col(f"_in_{cols.club}"))
-        )
-        & ~F.array_contains("_names", F.col(f"_in_{cols.name}"))
-    )
-    counted = (
-        _with_replacements(outgoing, pool.select(*cols.player), small, condition, cols)
-        .groupBy(cols.team, "out")
-        .agg(F.count(F.lit(1)).alias("n_options"))
-    )
-    best = _best_per_member(outgoing, *_small(_contenders(pool, rules, cols)), condition, cols)
-    return counted.join(
-        best.select(cols.team, "out", F.col(f"_in.{cols.name}").alias("in")), [cols.team, "out"]
-    )
+    asked = outgoing.withColumnsRenamed({"_cost": "_budget", "_taken": "_closed", "_names": "_excluded"})
+    found = _finder(pool, rules, cols).answers(asked, [cols.team, "out"], strict=True)
+    return found.select(cols.team, "out", "n_options", F.col("_in.name").alias("in"))

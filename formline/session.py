@@ -5,8 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, BooleanType, DataType, DatetimeType, NumericType, StringType
 
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 32_000_000
@@ -70,14 +72,35 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         held.unpersist()
 
 
-def rows_within(
-    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
-) -> DataFrame | None:
-    """``df`` as a local relation when it holds at most so many rows and bytes, else None.
+def table_within(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> pa.Table | None:
+    """The rows of ``df`` when they are at most so many and so large, else None.
 
-    At most ``max_rows + 1`` rows reach the driver, whatever the size of ``df``.
+    At most ``max_rows + 1`` rows reach the driver, and none before their size is known: columns of fixed
+    width are bounded by their number of rows, others are measured first.
     """
-    head = df.limit(max_rows + 1).toArrow()
-    if head.num_rows > max_rows or head.nbytes > max_bytes:
+    head = df.limit(max_rows + 1)
+    sized = [F.coalesce(F.octet_length(_text(F.col(f"`{f.name}`"), f.dataType)), F.lit(0)) for f in df.schema if not _fixed(f.dataType)]
+    if sized:
+        measured = head.select(sum(sized, F.lit(0)).alias("n")).agg(F.count("*"), F.sum("n")).first()
+        if measured[0] > max_rows or (measured[1] or 0) > max_bytes:
+            return None
+    elif 16 * len(df.columns) * (max_rows + 1) > max_bytes and head.count() > max_rows:
         return None
-    return df.sparkSession.createDataFrame(head, schema=df.schema)
+    held = head.toArrow()
+    return None if held.num_rows > max_rows or held.nbytes > max_bytes else held
+
+
+def _fixed(kind: DataType) -> bool:
+    return isinstance(kind, (NumericType, BooleanType, DatetimeType))
+
+
+def _text(column: Column, kind: DataType) -> Column:
+    return column if isinstance(kind, (StringType, BinaryType)) else F.to_json(F.struct(column))
+
+
+def rows_within(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> DataFrame | None:
+    """``df`` as a local relation when it holds at most so many rows and bytes, else None."""
+    held = table_within(df, max_rows, max_bytes)
+    return None if held is None else df.sparkSession.createDataFrame(held, schema=df.schema)

@@ -389,13 +389,19 @@ def _listed_swaps(
 def swap_list(
     rosters: DataFrame,
     pool: DataFrame,
-    teams: Sequence,
+    teams: Sequence | DataFrame,
     rules: RosterRules = RULES,
     cols: RosterColumns = COLUMNS,
 ) -> DataFrame:
-    """Every (team, out, in, gain) that leaves one of the named legal teams legal and strictly better."""
+    """Every (team, out, in, gain) that leaves one of the named legal teams legal and strictly better.
+
+    ``teams`` are names or a table with a team column.
+    """
     pool, small = _small(pool)
-    named = rosters.where(F.col(cols.team).isin(list(teams)))
+    if isinstance(teams, DataFrame):
+        named = rosters.join(teams.select(cols.team), cols.team, "left_semi")
+    else:
+        named = rosters.where(F.col(cols.team).isin(list(teams)))
     return _listed_swaps(_squads(named, pool, rules, cols, F.col("legal")), pool, small, rules, cols)
 
 

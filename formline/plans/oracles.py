@@ -169,14 +169,6 @@ def _best(candidates: str) -> str:
         FROM {candidates}) WHERE k = 1"""
 
 
-def _flagged(reached: str, steps: list[str]) -> str:
-    """All teams: the legal ones as ``reached`` with their number of swaps, the others as they are."""
-    swapped = " + ".join(f"(team IN (SELECT team FROM {s}))::INTEGER" for s in steps)
-    return f"""SELECT team, name, TRUE AS legal, {swapped} AS n_swaps FROM ({reached})
-UNION ALL
-SELECT team, name, FALSE, 0 FROM ro WHERE team NOT IN (SELECT team FROM legal)"""
-
-
 def _applied(squad: str, swaps: str) -> str:
     return f"""SELECT r.team, coalesce(s."in", r.name) AS name
   FROM {squad} r LEFT JOIN {swaps} s ON s.team = r.team AND s.out = r.name"""
@@ -186,6 +178,115 @@ LEGAL = """legal AS (
   SELECT ro.team, ro.name FROM ro JOIN legality USING (team)
   WHERE positions_legal AND value_legal AND clubs_legal)"""
 
+def _climb(start: str, worth: str = "gain", shifted: str = "candidates") -> str:
+    """``climb``: squads of ``start`` (team, name) after each best swap, until no team has one of any ``worth``.
+
+    ``shifted`` may name a subquery over ``candidates`` that sees ``first`` (team, name), the squads at the outset.
+    """
+    return f"""climb AS (
+  SELECT team, name, 0 AS swaps FROM {start}
+  UNION ALL
+  SELECT r.team, CASE WHEN r.name = b.out THEN b."in" ELSE r.name END, r.swaps + 1
+  FROM climb r JOIN (
+    WITH candidates AS ({_candidates("climb")}),
+    worthy AS (SELECT team, out, "in", {worth} AS gain FROM {shifted})
+    {_best("(SELECT * FROM worthy WHERE gain > 0)")}) b ON b.team = r.team)"""
+
+
+#: Gain less what a swap adds to the charge for transfers since ``first``, 500 points each after the first.
+PAID_GAIN = "gain - 500 * (greatest(moved - leaves + joins - 1, 0) - greatest(moved - 1, 0))"
+MOVED = """(SELECT c.*, m.moved, (o.name IS NULL)::INTEGER AS leaves, (i.name IS NULL)::INTEGER AS joins
+      FROM candidates c
+      JOIN (SELECT k.team, count(*) FILTER (WHERE f.name IS NULL) AS moved
+            FROM climb k LEFT JOIN first f ON f.team = k.team AND f.name = k.name GROUP BY k.team) m ON m.team = c.team
+      LEFT JOIN first o ON o.team = c.team AND o.name = c.out
+      LEFT JOIN first i ON i.team = c.team AND i.name = c."in")"""
+
+
+def _settled(climb: str, more: str = "") -> str:
+    """All teams: the legal ones where ``climb`` ends, the others as they are."""
+    flags = [", TRUE AS settled", ", FALSE"] if more else ["", ""]
+    return f"""WITH RECURSIVE {ROSTERS}, {LEGAL}, first AS (SELECT * FROM legal),
+{climb}
+SELECT team, name, TRUE AS legal, swaps AS n_swaps{flags[0]}
+FROM (SELECT *, max(swaps) OVER (PARTITION BY team) AS last FROM climb) WHERE swaps = last
+UNION ALL
+SELECT team, name, FALSE, 0{flags[1]} FROM ro WHERE team NOT IN (SELECT team FROM legal)"""
+
+
+def _kicked(squad: str) -> str:
+    """``squad`` (team, name, with ten times the team and the start as team) after one member was kicked out."""
+    return f"""SELECT s.team, coalesce(k."in", s.name) AS name
+  FROM {squad} s LEFT JOIN (
+    SELECT team, out, "in" FROM (
+      SELECT o.team, o.name AS out, i.name AS "in",
+             row_number() OVER (PARTITION BY o.team ORDER BY i.points DESC, i.name) AS k
+      FROM (SELECT team, name FROM (
+              SELECT q.team, q.name, row_number() OVER (
+                PARTITION BY q.team ORDER BY md5('7:' || (q.team % 100) || ':' || q.name)) AS k
+              FROM {squad} q JOIN first f USING (team, name)) WHERE k = 1) o
+      JOIN pool p ON p.name = o.name
+      JOIN (SELECT team, sum(value) AS spent FROM {squad} JOIN pool USING (name) GROUP BY team) t ON t.team = o.team
+      JOIN pool i ON i.position = p.position AND t.spent - p.value + i.value <= 40000
+      LEFT JOIN (SELECT team, club, count(*) AS n FROM {squad} JOIN pool USING (name) GROUP BY team, club) c
+        ON c.team = o.team AND c.club = i.club
+      WHERE NOT EXISTS (SELECT 1 FROM {squad} x WHERE x.team = o.team AND x.name = i.name)
+        AND NOT EXISTS (SELECT 1 FROM first x WHERE x.team = o.team AND x.name = i.name)
+        AND coalesce(c.n, 0) + 1 - CASE WHEN i.club = p.club THEN 1 ELSE 0 END <= 2)
+    WHERE k = 1) k ON k.team = s.team AND k.out = s.name"""
+
+
+RESTARTED = f"""WITH RECURSIVE {ROSTERS}, {LEGAL},
+first AS (SELECT team * 100 + start AS team, name FROM legal, (SELECT unnest(range(0, 11)) AS start)),
+starting AS (SELECT * FROM first WHERE team % 100 > 0),
+one AS ({_kicked("starting")}),
+two AS ({_kicked("one")}),
+started AS (
+  SELECT team, name, 0 AS kicks FROM first WHERE team % 100 = 0
+  UNION ALL
+  SELECT team, name, (SELECT count(*) FROM starting s WHERE s.team = two.team
+                      AND s.name NOT IN (SELECT name FROM two t WHERE t.team = two.team)) AS kicks FROM two),
+{_climb("started", PAID_GAIN, MOVED)},
+ended AS (SELECT * FROM (SELECT *, max(swaps) OVER (PARTITION BY team) AS last FROM climb) WHERE swaps = last),
+scored AS (
+  SELECT e.team, e.swaps + any_value(s.kicks) AS n_swaps,
+         sum(points) - 500 * greatest(count(*) FILTER (WHERE f.name IS NULL) - 1, 0) AS net_points
+  FROM ended e JOIN pool USING (name)
+  LEFT JOIN first f ON f.team = e.team AND f.name = e.name
+  JOIN (SELECT DISTINCT team, kicks FROM started) s ON s.team = e.team
+  GROUP BY e.team, e.swaps),
+kept AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY team // 100 ORDER BY net_points DESC, team) AS k FROM scored) WHERE k = 1)
+SELECT kept.team // 100 AS team, name, CAST(kept.team % 100 AS INTEGER) AS start,
+       CAST(n_swaps AS INTEGER) AS n_swaps, CAST(net_points AS DOUBLE) AS net_points
+FROM kept JOIN ended USING (team)"""
+
+REPAIRED = f"""WITH RECURSIVE {ROSTERS},
+over AS (
+  SELECT team, name FROM ro JOIN legality USING (team)
+  WHERE positions_legal AND clubs_legal AND NOT value_legal),
+fixed AS (
+  SELECT team, name, 0 AS swaps FROM over
+  UNION ALL
+  SELECT r.team, CASE WHEN r.name = b.out THEN b."in" ELSE r.name END, r.swaps + 1
+  FROM fixed r JOIN (
+    SELECT team, out, "in" FROM (
+      SELECT *, row_number() OVER (PARTITION BY team ORDER BY step, loss, out, "in") AS k FROM (
+        SELECT o.team, o.name AS out, i.name AS "in", (t.spent - o.value + i.value > 40000)::INTEGER AS step,
+               CASE WHEN t.spent - o.value + i.value <= 40000 THEN o.points - i.points ELSE i.value - o.value END AS loss
+        FROM (SELECT * FROM fixed JOIN pool USING (name)) o
+        JOIN (SELECT team, sum(value) AS spent FROM fixed JOIN pool USING (name) GROUP BY team) t
+          ON t.team = o.team AND t.spent > 40000
+        JOIN pool i ON i.position = o.position AND i.value < o.value
+        LEFT JOIN (SELECT team, club, count(*) AS n FROM fixed JOIN pool USING (name) GROUP BY team, club) c
+          ON c.team = o.team AND c.club = i.club
+        LEFT JOIN fixed x ON x.team = o.team AND x.name = i.name
+        WHERE x.name IS NULL AND coalesce(c.n, 0) + 1 - CASE WHEN i.club = o.club THEN 1 ELSE 0 END <= 2))
+    WHERE k = 1) b ON b.team = r.team)
+SELECT team, name, swaps AS n_swaps, TRUE AS repaired
+FROM (SELECT *, max(swaps) OVER (PARTITION BY team) AS last FROM fixed) WHERE swaps = last"""
+
 SWAPS = f"""WITH {ROSTERS}, {LEGAL},
 candidates AS ({_candidates("legal")}),
 best AS ({_best("candidates")})"""
@@ -411,7 +512,8 @@ FROM (SELECT *, row_number() OVER (PARTITION BY team, out ORDER BY gain DESC, "i
              count(*) OVER (PARTITION BY team, out) AS n_options FROM candidates)
 WHERE k = 1""",
     "swap_list": f"""{SWAPS}
-SELECT team, out, "in", gain FROM candidates WHERE team BETWEEN 1 AND 40""",
+SELECT team, out, "in", gain FROM candidates
+WHERE team IN (SELECT team FROM ro WHERE name = (SELECT name FROM pool ORDER BY value DESC, name LIMIT 1))""",
     "best_swap": f'{SWAPS}\nSELECT team, out, "in", gain FROM best',
     "apply_swap": f"{SWAPS}\n{_applied('ro', 'best')}",
     "transfer_cost": f"""WITH {ROSTERS},
@@ -452,23 +554,12 @@ SELECT team, out, n_options, "in"
 FROM (SELECT *, row_number() OVER (PARTITION BY team ORDER BY points DESC, "in") AS k,
              count(*) OVER (PARTITION BY team) AS n_options FROM options)
 WHERE k = 1""",
-    "improve_rosters": f"""{SWAPS},
-first_step AS ({_applied("legal", "best")}),
-next_candidates AS ({_candidates("first_step")}),
-next_best AS ({_best("next_candidates")})
-{_flagged(_applied("first_step", "next_best"), ["best", "next_best"])}""",
-    "improve_with_transfers": f"""{SWAPS},
-first_step AS ({_applied("legal", "best")}),
-gross AS ({_candidates("first_step")}),
-net AS (
-  SELECT g.team, g.out, g."in",
-         g.gain - CASE WHEN o.name IS NOT NULL AND i.name IS NULL THEN 500 ELSE 0 END AS gain
-  FROM gross g
-  LEFT JOIN legal o ON o.team = g.team AND o.name = g.out
-  LEFT JOIN legal i ON i.team = g.team AND i.name = g."in"),
-paying AS (SELECT * FROM net WHERE gain > 0),
-next_best AS ({_best("paying")})
-{_flagged(_applied("first_step", "next_best"), ["best", "next_best"])}""",
+    "improve_rosters": _settled(_climb("legal")),
+    "improve_with_transfers": _settled(_climb("legal", PAID_GAIN, MOVED)),
+    "settled_rosters": _settled(_climb("legal"), "settled"),
+    "settled_with_transfers": _settled(_climb("legal", PAID_GAIN, MOVED), "settled"),
+    "restarted_rosters": RESTARTED,
+    "repair_rosters": REPAIRED,
     "best_trial": f"""{_trials()}
 SELECT run_id, val_r2 AS value FROM trials ORDER BY val_r2 DESC, run_id LIMIT 1""",
     "trials_to_drop": f"""{_trials()},

@@ -437,9 +437,10 @@ def swap_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def swap_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All swaps of the forty customers named."""
+    """All swaps of the customers who have the dearest supplier."""
     teams, pool, rules = _swap_inputs(spark, sf_dir)
-    return rosters.swap_list(teams, pool, range(1, 41), rules)
+    dearest = pool.orderBy(F.desc("value"), "name").limit(1).select("name")
+    return rosters.swap_list(teams, pool, teams.join(F.broadcast(dearest), "name").select("team"), rules)
 
 
 @query
@@ -481,28 +482,40 @@ _PAID = rosters.TransferCharge(n_free=1, penalty=500)
 
 @query
 def improve_rosters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two steps of the climb, as its SQL twin unrolls them; ``settled_rosters`` climbs to the end."""
-    return rosters.improve_rosters(*_swap_inputs(spark, sf_dir), n_steps=2).drop("settled")
+    """Until no team improves."""
+    return rosters.improve_rosters(*_swap_inputs(spark, sf_dir)).drop("settled")
 
 
 @query
 def improve_with_transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two steps with paid transfers, as its SQL twin unrolls them; ``settled_with_transfers`` climbs to the end."""
-    return rosters.improve_rosters(*_swap_inputs(spark, sf_dir), n_steps=2, charge=_PAID).drop("settled")
+    """Until no team improves by more than its transfers cost."""
+    return rosters.improve_rosters(*_swap_inputs(spark, sf_dir), charge=_PAID).drop("settled")
 
 
 @query
 def settled_rosters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Until no team improves."""
+    """Until no team improves, with whether each has settled."""
     return rosters.improve_rosters(*_swap_inputs(spark, sf_dir))
 
 
 @query
 def settled_with_transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Until no team improves by more than its transfers cost."""
+    """Until no team improves by more than its transfers cost, with whether each has settled."""
     return rosters.improve_rosters(*_swap_inputs(spark, sf_dir), charge=_PAID)
 
 
+@query
+def restarted_rosters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best of eleven climbs per team, ten of them from perturbed starts."""
+    return rosters.restarted_rosters(*_swap_inputs(spark, sf_dir), charge=_PAID)
+
+
+@query
+def repair_rosters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Teams over the budget, brought within it."""
+    return rosters.repair_rosters(*_swap_inputs(spark, sf_dir))
+
+
 # --- trials --------------------------------------------------------------------------------
 
 

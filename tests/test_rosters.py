@@ -1,3 +1,5 @@
+import hashlib
+import itertools
 import os
 import random
 from collections import Counter
@@ -380,3 +382,148 @@ def test_rewards_of_rosters_that_carry_points(spark):
     refreshed = R.refresh_points(rosters, facts.where("step = 1 and fixture = 1"))
     assert ledger(R.weekly_reward(refreshed, facts, "step", ["fixture"])) == ledger(plain)
     assert R.weekly_reward(rosters, facts.limit(0), "step", ["fixture"]).collect() == []
+
+
+def with_points(members):
+    return sum(m[4] for m in members)
+
+
+def plain_climb(pool, members, first, charge):
+    """(members, swaps) after the best swaps that pay."""
+    by_name, swaps = {p[0]: p for p in pool}, 0
+
+    def paid(ms):
+        moved = len({m[0] for m in ms} - first)
+        return charge.penalty * max(moved - charge.n_free, 0) if charge else 0
+
+    while True:
+        options = []
+        for t, out, new, gain in brute_candidates(pool, {"t": members}):
+            after = [m for m in members if m[0] != out] + [by_name[new]]
+            net = gain - paid(after) + paid(members)
+            if net > 0:
+                options.append((-net, out, new))
+        if not options:
+            return members, swaps, with_points(members) - paid(members)
+        _, out, new = min(options)
+        members = [m for m in members if m[0] != out] + [by_name[new]]
+        swaps += 1
+
+
+def plain_kick(pool, members, first, start):
+    picks = sorted((hashlib.md5(f"7:{start}:{m[0]}".encode()).hexdigest(), m[0]) for m in members if m[0] in first)
+    out = next(m for m in members if m[0] == picks[0][1])
+    options = []
+    for new in pool:
+        if new[1] == out[1] and new[0] not in {m[0] for m in members} | first:
+            after = [m for m in members if m != out] + [new]
+            if is_legal(after):
+                options.append((-new[4], new[0], after))
+    return (min(options)[2], 1) if options else (members, 0)
+
+
+@pytest.mark.parametrize("charge", [None, R.TransferCharge(1, 2.0)])
+def test_restarted_climbs_equal_plain_ones(spark, pool_side, charge):
+    pool, teams = small_league(21)
+    teams = dict(list(teams.items())[:120])
+    want = {}
+    for t, members in teams.items():
+        if not is_legal(members):
+            continue
+        first = {m[0] for m in members}
+        ends = []
+        for start in range(4):
+            squad, kicks = members, 0
+            for _ in range(2 if start else 0):
+                squad, kicked = plain_kick(pool, squad, first, start)
+                kicks += kicked
+            squad, swaps, net = plain_climb(pool, squad, first, charge)
+            ends.append((-net, start, swaps + kicks, {m[0] for m in squad}))
+        net, start, swaps, names = min(ends, key=lambda e: e[:2])
+        want[t] = (names, start, swaps, -net)
+    assert any(w[1] > 0 for w in want.values())
+    got = {}
+    for r in R.restarted_rosters(*league_frames(spark, pool, teams), RULES, n_restarts=3, charge=charge).collect():
+        got.setdefault(r["team"], (set(), r["start"], r["n_swaps"], r["net_points"]))[0].add(r["name"])
+    assert got == want
+
+
+def plain_repair(pool, members):
+    """The members after the swaps of the rule, or where it gets stuck."""
+    swaps = 0
+    while sum(m[2] for m in members) > 30:
+        names, clubs = {m[0] for m in members}, Counter(m[3] for m in members)
+        spent, options = sum(m[2] for m in members), []
+        for out in members:
+            for new in pool:
+                if new[0] in names or new[1] != out[1] or new[2] >= out[2]:
+                    continue
+                if clubs[new[3]] + 1 - (new[3] == out[3]) > 2:
+                    continue
+                after = [m for m in members if m != out] + [new]
+                fixes = spent - out[2] + new[2] <= 30
+                options.append((not fixes, out[4] - new[4] if fixes else new[2] - out[2], out[0], new[0], after))
+        if not options:
+            return None, swaps
+        members = min(options, key=lambda o: o[:4])[4]
+        swaps += 1
+    return members, swaps
+
+
+def over_budget(members):
+    at, clubs = Counter(m[1] for m in members), Counter(m[3] for m in members)
+    return (
+        sum(m[2] for m in members) > 30
+        and all(lo <= at[p] <= hi for p, (lo, hi) in RULES.positions.items())
+        and max(clubs.values()) <= 2
+    )
+
+
+def repaired(df):
+    out = {}
+    for r in df.collect():
+        out.setdefault(r["team"], (set(), r["n_swaps"], r["repaired"]))[0].add(r["name"])
+    return out
+
+
+def test_repairs_equal_plain_ones(spark, pool_side):
+    pool, teams = small_league(31)
+    want = {}
+    for t, members in teams.items():
+        if over_budget(members):
+            fixed, swaps = plain_repair(pool, members)
+            assert fixed is not None and is_legal(fixed)
+            want[t] = ({m[0] for m in fixed}, swaps, True)
+    assert max(w[1] for w in want.values()) > 1
+    assert repaired(R.repair_rosters(*league_frames(spark, pool, teams), RULES)) == want
+
+
+def test_stuck_teams_are_rebuilt_and_hopeless_ones_come_back(spark):
+    # the only cheap keeper and defender share a club that a cheap forward has filled up
+    rules = R.RosterRules(positions={1: (1, 1), 2: (1, 1), 3: (1, 2)}, size=3, max_value=11, max_per_club=1)
+    pool = [("a", 1, 5.0, "A", 3.0), ("b", 2, 5.0, "B", 3.0), ("c", 3, 2.0, "C", 3.0), ("a2", 1, 4.0, "C", 1.0), ("d", 3, 3.0, "D", 1.0)]
+    # a can go for a2 once c has gone for the dearer d: no single swap saves anything
+    stuck = {"t": [pool[0], pool[1], pool[2]]}
+    got = repaired(R.repair_rosters(*league_frames(spark, pool, stuck), rules))
+    assert got == {"t": ({"a", "b", "c"}, 0, False)}  # 4 + 5 + 3 = 12, over 11
+    looser = R.RosterRules(positions=rules.positions, size=3, max_value=11.5, max_per_club=1)
+    pool[4] = ("d", 3, 2.4, "D", 1.0)
+    got = repaired(R.repair_rosters(*league_frames(spark, pool, {"t": pool[:3]}), looser))
+    assert got == {"t": ({"a2", "b", "d"}, 2, True)}
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_cheapest_team_equals_a_search_of_all(seed):
+    rng = random.Random(seed)
+    players = {p: sorted((rng.randint(1, 9), f"{p}{i}", rng.choice(["A", "B", "C", None])) for i in range(6)) for p in (1, 2)}
+    counts = {1: 2, 2: 2}
+    rules = R.RosterRules(positions={1: (2, 2), 2: (2, 2)}, size=4, max_per_club=1)
+    costs = [
+        sum(m[0] for m in a + b)
+        for a in itertools.combinations(players[1], 2)
+        for b in itertools.combinations(players[2], 2)
+        if all(n <= 1 for c, n in Counter(m[2] for m in a + b).items() if c)
+    ]
+    team = R.cheapest_team(counts, players, rules)
+    assert (sum(m[0] for m in team) if team else None) == (min(costs) if costs else None)
+    assert R.cheapest_team({1: 7, 2: 0}, players, rules) is None

@@ -9,45 +9,104 @@ the parabola that touches it at the last residual. Minimising those parabolas in
 weighted least-squares step that never raises the objective (a majorise-minimise scheme). A step
 needs one pass: each partition adds up its weighted cross products in numpy, the sums are added in
 Spark, and only the final sums, whose size depends on the number of features, reach the driver.
+Fits of several settings share their passes: the products of the features are formed once a row and
+weighted for all settings together, and a setting that has settled leaves.
+
+Rows of more than ``DENSE_WIDTH`` features travel as they are stored, sparse or dense. There the objective is
+minimised by a limited-memory quasi-Newton method on smoothed absolute values, whose width shrinks from round
+to round; a pass adds up one gradient, so nothing of the square of the width is ever held.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasMaxIter, HasPredictionCol, HasTol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 NEAR_ZERO = 1e-6
 DIRECT_PARTIALS = 64
+#: Features up to which the squares of the width are summed, a few megabytes per task.
+DENSE_WIDTH = 512
+#: Numbers that a step over rows may hold.
+STEP_NUMBERS = 4_000_000
+#: Numbers of all partial sums that come to the driver at once.
+DIRECT_NUMBERS = 16_000_000
+#: Gradients that the quasi-Newton method remembers.
+MEMORY = 10
+#: Widths of the smoothing, as shares of the mean loss.
+SMOOTHING = (0.3, 0.1, 0.03, 0.01, 0.003, 0.001, 0.0003)
+
+
+def _partial_sums(weights: np.ndarray, epsilons: np.ndarray):
+    """A function from record batches (x, y) to one row of sums, for ``mapInArrow``.
+
+    ``weights`` has a row per setting. Per setting the sums are the upper half of the weighted cross products,
+    the weighted targets and the loss.
+    """
+    n_settings, width = weights.shape
+    upper = np.triu_indices(width)
+    # rows whose products, and residuals in all settings, are held at a time
+    step = max(1, STEP_NUMBERS // (len(upper[0]) + 4 * n_settings))
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gram, target, loss = np.zeros((n_settings, len(upper[0]))), np.zeros(weights.shape), np.zeros(n_settings)
+        for batch in batches:
+            whole_y = batch.column("y").to_numpy(zero_copy_only=False)
+            whole_x = np.ones((len(whole_y), width))
+            if width > 1:
+                whole_x[:, :-1] = batch.column("x").flatten().to_numpy().reshape(len(whole_y), width - 1)
+            for at in range(0, len(whole_y), step):
+                x, y = whole_x[at : at + step], whole_y[at : at + step, None]
+                residual = y - x @ weights.T
+                above = 0.5 / np.maximum(np.abs(residual - epsilons), NEAR_ZERO)
+                below = 0.5 / np.maximum(np.abs(residual + epsilons), NEAR_ZERO)
+                gram += (above + below).T @ (x[:, upper[0]] * x[:, upper[1]])
+                target += (above * (y - epsilons) + below * (y + epsilons)).T @ x
+                loss += np.maximum(np.abs(residual) - epsilons, 0.0).sum(axis=0)
+        yield _as_batch(np.concatenate([gram, target, loss[:, None]], axis=1).ravel())
+
+    return add_up
+
+
+def _sparse_rows(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, feature and value of all entries of the vectors of a batch (``at`` is null for dense ones)."""
+    values, at = batch.column("x"), batch.column("at")
+    sizes = pc.list_value_length(values).to_numpy(zero_copy_only=False)
+    rows = np.repeat(np.arange(batch.num_rows), sizes)
+    dense = pc.is_null(at).to_numpy(zero_copy_only=False)
+    features = np.arange(len(rows)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    features[~dense[rows]] = at.drop_null().flatten().to_numpy()
+    return rows, features, values.flatten().to_numpy()
 
 
-def _partial_sums(weights: np.ndarray, epsilon: float):
-    """A function from record batches (x, y) to one row of sums, for ``mapInArrow``."""
+def _partial_gradient(weights: np.ndarray, epsilon: float, smooth: float):
+    """As :func:`_partial_sums`, for one setting and any vectors: gradient, smoothed loss and loss."""
     width = len(weights)
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gram, target, loss = np.zeros((width, width)), np.zeros(width), 0.0
+        gradient, smoothed, loss = np.zeros(width), 0.0, 0.0
         for batch in batches:
+            rows, features, values = _sparse_rows(batch)
             y = batch.column("y").to_numpy(zero_copy_only=False)
-            x = np.ones((len(y), width))
-            if width > 1:
-                x[:, :-1] = batch.column("x").flatten().to_numpy().reshape(len(y), width - 1)
-            residual = y - x @ weights
-            above = 0.5 / np.maximum(np.abs(residual - epsilon), NEAR_ZERO)
-            below = 0.5 / np.maximum(np.abs(residual + epsilon), NEAR_ZERO)
-            gram += (x * (above + below)[:, None]).T @ x
-            target += x.T @ (above * (y - epsilon) + below * (y + epsilon))
+            residual = y - np.bincount(rows, weights[features] * values, len(y)) - weights[-1]
+            over, under = np.hypot(residual - epsilon, smooth), np.hypot(residual + epsilon, smooth)
+            slope = -0.5 * ((residual - epsilon) / over + (residual + epsilon) / under)
+            gradient += np.bincount(features, slope[rows] * values, width)
+            gradient[-1] += slope.sum()
+            smoothed += (0.5 * (over + under) - epsilon).sum()
             loss += np.maximum(np.abs(residual) - epsilon, 0.0).sum()
-        yield _as_batch(np.concatenate([gram.ravel(), target, [loss]]))
+        yield _as_batch(np.concatenate([gradient, [smoothed, loss]]))
 
     return add_up
 
@@ -103,53 +162,177 @@ class LinearSVR(
         )
 
     def _fit(self, df: DataFrame) -> LinearSVRModel:
-        epsilon, cost = self.getOrDefault(self.epsilon), self.getOrDefault(self.C)
-        rows = (
-            df.select(
-                vector_to_array(F.col(self.getFeaturesCol())).alias("x"),
-                F.col(self.getLabelCol()).cast("double").alias("y"),
-            )
-            .where(F.col("y").isNotNull())
-            .persist()
-        )
-        try:
-            first = rows.select(F.size("x").alias("n")).first()
-            if first is None:
-                raise ValueError("no rows to fit")
-            width = first["n"] + 1
-            weights, kept, lowest, history = np.zeros(width), np.zeros(width), np.inf, []
-            settled = False
-            for _ in range(self.getMaxIter() + 1):
-                sums = self._pass(rows, weights, epsilon)
-                objective = 0.5 * weights @ weights + cost * sums[-1]
-                history.append(float(objective))
-                settled = lowest - objective <= self.getTol() * abs(objective)
-                if objective < lowest:
-                    kept, lowest = weights, objective
-                if settled:
-                    break
-                gram = sums[: width * width].reshape(width, width)
-                target = sums[width * width : -1]
-                weights = np.linalg.solve(np.eye(width) + cost * gram, cost * target)
-        finally:
-            rows.unpersist()
+        return fit_together([self], df)[0]
+
+    def _model(self, weights: np.ndarray, history: list[float], settled: bool) -> LinearSVRModel:
         return LinearSVRModel(
             featuresCol=self.getFeaturesCol(),
             predictionCol=self.getPredictionCol(),
-            coefficients=kept[:-1].tolist(),
-            intercept=float(kept[-1]),
+            coefficients=weights[:-1].tolist(),
+            intercept=float(weights[-1]),
             objectiveHistory=history,
             converged=bool(settled),
         )
 
-    def _pass(self, rows: DataFrame, weights: np.ndarray, epsilon: float) -> np.ndarray:
-        partials = rows.mapInArrow(_partial_sums(weights, epsilon), "sums array<double>")
-        if rows.rdd.getNumPartitions() > DIRECT_PARTIALS:
-            partials = partials.repartition(DIRECT_PARTIALS).mapInArrow(
-                _sum_rows, "sums array<double>"
-            )
-        table = partials.toArrow().column("sums").combine_chunks()
-        return table.flatten().to_numpy().reshape(len(table), -1).sum(axis=0)
+
+def fit_together(estimators: Sequence[LinearSVR], df: DataFrame) -> list[LinearSVRModel]:
+    """A model per estimator, as if each was fitted by itself, in as many passes as the slowest needs.
+
+    The estimators share their columns.
+    """
+    one = estimators[0]
+    features, label = F.col(one.getFeaturesCol()), F.col(one.getLabelCol()).cast("double").alias("y")
+    known = df.where(F.col(one.getLabelCol()).isNotNull())
+    first = known.select(features.alias("v")).first()
+    if first is None:
+        raise ValueError("no rows to fit")
+    width = first["v"].size + 1
+    if width > DENSE_WIDTH:
+        parts = F.unwrap_udt(features)
+        rows = known.select(parts["values"].alias("x"), parts["indices"].alias("at"), label).persist()
+    else:
+        rows = known.select(vector_to_array(features).alias("x"), label).persist()
+    try:
+        if width > DENSE_WIDTH:
+            return [_fit_wide(e, rows, width) for e in estimators]
+        return _fit_dense(estimators, rows, width)
+    finally:
+        rows.unpersist()
+
+
+def _fit_dense(estimators: Sequence[LinearSVR], rows: DataFrame, width: int) -> list[LinearSVRModel]:
+    epsilons = np.array([e.getOrDefault(e.epsilon) for e in estimators])
+    costs = [e.getOrDefault(e.C) for e in estimators]
+    weights = np.zeros((len(estimators), width))
+    kept, lowest = weights.copy(), np.full(len(estimators), np.inf)
+    history: list[list[float]] = [[] for _ in estimators]
+    settled = [False] * len(estimators)
+    upper = np.triu_indices(width)
+    active = list(range(len(estimators)))
+    while active:
+        sums = _added(rows, _partial_sums(weights[active], epsilons[active])).reshape(len(active), -1)
+        going = []
+        for k, own in zip(active, sums, strict=True):
+            objective = float(0.5 * weights[k] @ weights[k] + costs[k] * own[-1])
+            history[k].append(objective)
+            settled[k] = bool(lowest[k] - objective <= estimators[k].getTol() * abs(objective))
+            if objective < lowest[k]:
+                kept[k], lowest[k] = weights[k], objective
+            if settled[k] or len(history[k]) > estimators[k].getMaxIter():
+                continue
+            gram = np.zeros((width, width))
+            gram[upper] = own[: len(upper[0])]
+            gram += np.triu(gram, 1).T
+            weights[k] = np.linalg.solve(np.eye(width) + costs[k] * gram, costs[k] * own[len(upper[0]) : -1])
+            going.append(k)
+        active = going
+    return [e._model(kept[k], history[k], settled[k]) for k, e in enumerate(estimators)]
+
+
+def _fit_wide(estimator: LinearSVR, rows: DataFrame, width: int) -> LinearSVRModel:
+    """By a limited-memory quasi-Newton method, on less and less smoothed absolute values."""
+    epsilon, cost, tol = (estimator.getOrDefault(p) for p in (estimator.epsilon, estimator.C, estimator.tol))
+    passes, history = 0, []
+    best, lowest = np.zeros(width), np.inf
+    scale = None
+
+    def value(w: np.ndarray, smooth: float) -> tuple[float, np.ndarray]:
+        nonlocal passes, best, lowest, scale
+        sums = _added(rows, _partial_gradient(w, epsilon, smooth))
+        passes += 1
+        objective = float(0.5 * w @ w + cost * sums[-1])
+        history.append(objective)
+        if objective < lowest:
+            best, lowest = w, objective
+        scale = sums[-1] if scale is None else scale
+        return float(0.5 * w @ w + cost * sums[-2]), w + cost * sums[:-2]
+
+    n_rows = rows.count()
+    value(best, 1.0)  # the loss of no weights tells the scale of the labels
+    settled = False
+    for share in SMOOTHING:
+        smooth = max(share * scale / max(n_rows, 1), NEAR_ZERO)
+        before = lowest
+        quiet = _descend(lambda w, s=smooth: value(w, s), best, tol, lambda: passes <= estimator.getMaxIter())
+        settled = quiet and before - lowest <= tol * abs(lowest)
+        if settled or passes > estimator.getMaxIter():
+            break
+    return estimator._model(best, history, settled)
+
+
+def _descend(value, start: np.ndarray, tol: float, allowed) -> bool:
+    """Quasi-Newton steps from ``start`` until they gain less than a tenth of ``tol``; False if not ``allowed`` to go on."""
+    w = start
+    f, g = value(w)
+    steps: list[tuple[np.ndarray, np.ndarray]] = []
+    while allowed():
+        direction = -_scaled(g, steps)
+        if direction @ g >= 0:
+            steps, direction = [], -g
+        rate = 1.0 if steps else min(1.0, 1.0 / max(np.abs(g).max(), 1e-12))
+        while True:
+            new = w + rate * direction
+            f_new, g_new = value(new)
+            if f_new <= f + 1e-4 * rate * (direction @ g) or rate < 1e-10 or not allowed():
+                break
+            rate *= 0.4
+        gained = f - f_new
+        if gained > 0:
+            moved, turned = new - w, g_new - g
+            if moved @ turned > 1e-12 * (turned @ turned):
+                steps = [*steps[1 - MEMORY :], (moved, turned)] if len(steps) >= MEMORY else [*steps, (moved, turned)]
+            w, f, g = new, f_new, g_new
+        if gained <= 0.1 * tol * abs(f):
+            return True
+    return False
+
+
+def _scaled(g: np.ndarray, steps: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """The gradient times the inverse curvature that the remembered steps tell."""
+    q, shares = g.copy(), []
+    for moved, turned in reversed(steps):
+        share = (moved @ q) / (moved @ turned)
+        shares.append(share)
+        q -= share * turned
+    if steps:
+        moved, turned = steps[-1]
+        q *= (moved @ turned) / (turned @ turned)
+    for (moved, turned), share in zip(steps, reversed(shares), strict=True):
+        q += (share - (turned @ q) / (moved @ turned)) * moved
+    return q
+
+
+def _added(rows: DataFrame, add_up) -> np.ndarray:
+    """The sums that ``add_up`` makes of each partition, added up in Spark where these are many or long."""
+    partials = rows.mapInArrow(add_up, "sums array<double>")
+    length = len(next(add_up(iter(()))).column("sums")[0])
+    direct = max(1, min(DIRECT_PARTIALS, DIRECT_NUMBERS // length))
+    if rows.rdd.getNumPartitions() > direct:
+        partials = partials.repartition(direct).mapInArrow(_sum_rows, "sums array<double>")
+    table = partials.toArrow().column("sums").combine_chunks()
+    return table.flatten().to_numpy().reshape(len(table), -1).sum(axis=0)
+
+
+def predict_together(models: Sequence[LinearSVRModel], df: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """(``keep``, model, prediction): a row per row of ``df`` and model, whose number comes as ``model``."""
+    weights = np.array([[*m.getOrDefault(m.coefficients), m.getOrDefault(m.intercept)] for m in models])
+    rows = df.select(*keep, vector_to_array(F.col(models[0].getFeaturesCol())).alias("_x"))
+
+    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 2048):
+                batch = whole.slice(at, 2048)
+                x = batch.column("_x").flatten().to_numpy().reshape(batch.num_rows, -1)
+                found = x @ weights[:, :-1].T + weights[:, -1]
+                which = pa.array(np.tile(np.arange(len(weights), dtype=np.int32), batch.num_rows))
+                rows = pa.array(np.repeat(np.arange(batch.num_rows), len(weights)))
+                kept = batch.take(rows)
+                yield pa.RecordBatch.from_arrays(
+                    [*(kept.column(c) for c in keep), which, pa.array(found.ravel())], [*keep, "model", "prediction"]
+                )
+
+    fields = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
+    return rows.mapInArrow(predict, f"{fields}, model int, prediction double")
 
 
 class LinearSVRModel(
@@ -196,6 +379,8 @@ class LinearSVRModel(
         return self.getOrDefault(self.objectiveHistory)
 
     def _transform(self, df: DataFrame) -> DataFrame:
+        if len(self.getOrDefault(self.coefficients)) >= DENSE_WIDTH:
+            return df.withColumn(self.getPredictionCol(), self._wide_product(F.unwrap_udt(F.col(self.getFeaturesCol()))))
         weights = F.array(*[F.lit(w) for w in self.getOrDefault(self.coefficients)])
         products = F.zip_with(
             vector_to_array(F.col(self.getFeaturesCol())), weights, lambda x, w: x * w
@@ -204,3 +389,14 @@ class LinearSVRModel(
             self.getPredictionCol(),
             F.aggregate(products, F.lit(self.getOrDefault(self.intercept)), lambda a, b: a + b),
         )
+
+    def _wide_product(self, parts: Column) -> Column:
+        """The prediction from the stored parts of a vector, dense or sparse, batch by batch."""
+        weights, intercept = np.array(self.getOrDefault(self.coefficients)), self.getOrDefault(self.intercept)
+
+        @F.pandas_udf("double")
+        def product(indices: pd.Series, values: pd.Series) -> pd.Series:
+            pairs = zip(indices, values, strict=True)
+            return pd.Series([intercept + float(v @ (weights if i is None else weights[i])) for i, v in pairs])
+
+        return product(parts["indices"], parts["values"])

@@ -15,10 +15,10 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from formline.functions.columns import quoted
-from formline.models.svr import LinearSVR, LinearSVRModel
+from formline.models.svr import LinearSVR, LinearSVRModel, fit_together, predict_together
 from formline.models.trials import trial_row
 from formline.operators.assemble import union_all
-from formline.operators.evaluation import spearman, stage_metrics
+from formline.operators.evaluation import regression_metrics, spearman, stage_metrics
 
 # The searched settings per regressor.
 FOREST_SPACE = {
@@ -116,6 +116,23 @@ def evaluate(model, frames: Mapping[str, DataFrame], rank: bool = True) -> DataF
         scored.unpersist()
 
 
+def evaluate_together(models: Sequence[LinearSVRModel], frames: Mapping[str, DataFrame], rank: bool = True) -> list[dict[str, float]]:
+    """Per model the metrics that :func:`evaluate` gives, from one scan of the frames."""
+    rows = union_all([df.select(F.lit(stage).alias("stage"), "label", "features") for stage, df in frames.items()])
+    scored = predict_together(models, rows, ["stage", "label"]).persist()
+    found: list[dict[str, float]] = [{} for _ in models]
+    by = ["model", "stage"]
+    try:
+        for r in regression_metrics(scored, "label", "prediction", by).collect():
+            found[r["model"]] |= {f"{r['stage']}_{m}": v for m, v in r.asDict().items() if m not in by}
+        if rank:
+            for r in spearman(scored, "label", "prediction", "value", by=by).collect():
+                found[r["model"]][f"{r['stage']}_spearman"] = r["value"]
+        return found
+    finally:
+        scored.unpersist()
+
+
 def train_and_evaluate(
     train: DataFrame,
     val: DataFrame,
@@ -193,8 +210,9 @@ def search(
 ) -> list[Row]:
     """Trial rows of one regressor over (part of) a grid.
 
-    The feature stages are fitted once and their output is kept, then several fits share the
-    cluster at a time. ``fixed`` are settings outside the grid. A regressor that draws numbers does
+    The feature stages are fitted once and their output is kept. Linear regressors of all settings are fitted
+    in shared passes and scored in one scan; of others several fits share the cluster at a time. ``fixed``
+    are settings outside the grid. A regressor that draws numbers does
     so by ``seed``, the one that is logged. With ``models_dir`` each run's stages and model are
     saved there as one pipeline under its ``run_id``.
     """
@@ -208,17 +226,25 @@ def search(
         for name, df in frames.items()
     }
 
-    def run(point: dict[str, object]) -> Row:
-        estimator = REGRESSORS[regressor](**(given | point))
-        model = estimator.fit(ready["train"])
-        scores = metrics_map(evaluate(model, ready, rank)) | _outcome(model)
+    def logged(point: dict[str, object], estimator: Estimator, model: Model, scores: dict[str, float]) -> Row:
         params = {"regressor": regressor, **point, **_effective(estimator)}
-        row = trial_row(experiment, params, scores, (given | point).get("seed", seed))
+        row = trial_row(experiment, params, scores | _outcome(model), (given | point).get("seed", seed))
         if models_dir is not None:
             save_pipeline(PipelineModel([*prepared.stages, model]), f"{models_dir}/{row.run_id}")
         return row
 
+    def run(point: dict[str, object]) -> Row:
+        estimator = REGRESSORS[regressor](**(given | point))
+        model = estimator.fit(ready["train"])
+        return logged(point, estimator, model, metrics_map(evaluate(model, ready, rank)))
+
     try:
+        if regressor == "linear_svr":
+            points = search_points(space, n_trials, seed)
+            estimators = [REGRESSORS[regressor](**(given | point)) for point in points]
+            models = fit_together(estimators, ready["train"])
+            scores = evaluate_together(models, ready, rank)
+            return [logged(*trial) for trial in zip(points, estimators, models, scores, strict=True)]
         with ThreadPoolExecutor(parallelism) as pool:
             task = inheritable_thread_target(train.sparkSession)(run)
             return list(pool.map(task, search_points(space, n_trials, seed)))

@@ -263,12 +263,13 @@ class Finder:
     def __init__(self, pool: DataFrame, bounds: Bounds):
         """``pool`` has the columns ``PLAYER``."""
         self.bounds, self.pool = bounds, pool.select(*PLAYER)
-        local = table_within(self.pool)
+        #: The pool's rows, if they are few.
+        self.local = table_within(self.pool)
         self.small = None
-        if local is not None:
+        if self.local is not None:
             sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, local.schema) as writer:
-                writer.write_table(local)
+            with pa.ipc.new_stream(sink, self.local.schema) as writer:
+                writer.write_table(self.local)
             self.small = pool.sparkSession.sparkContext.broadcast(sink.getvalue().to_pybytes())
         self.pieces: DataFrame | None = None
         self.n_pieces = 0

@@ -330,6 +330,14 @@ def _finder(pool: DataFrame, rules: RosterRules, cols: RosterColumns, cheapest:
     return Finder(players, Bounds(2 * rules.size, 2 * per_club, rules.size // per_club))
 
 
+def _read_once(pool: DataFrame, finder: Finder, cols: RosterColumns) -> DataFrame:
+    """``pool`` as rows at hand where the finder has proven it small."""
+    if finder.local is None:
+        return pool
+    held = pool.sparkSession.createDataFrame(finder.local, schema=finder.pool.schema)
+    return F.broadcast(held.select(*(F.col(c).alias(n) for c, n in zip(PLAYER, cols.player, strict=True))))
+
+
 def _entering(cols: RosterColumns, points: Column | None = None) -> Column:
     """The player ``_in`` as a member of a squad."""
     names = dict(zip(PLAYER, (cols.name, cols.position, cols.value, cols.club, cols.points), strict=True))
@@ -417,9 +425,10 @@ def swap_candidates(
     counted without pairs (see :mod:`formline.operators.dominance`); :func:`swap_list` lists them for
     named teams. Names are unique in the pool.
     """
-    squads = _squads(rosters, pool, rules, cols, F.col("legal"))
+    finder = _finder(pool, rules, cols)
+    squads = _squads(rosters, _read_once(pool, finder, cols), rules, cols, F.col("legal"))
     asked = _outgoing(squads, rules, cols).withColumnsRenamed({"_out_points": "_least", "_names": "_excluded"})
-    found = _finder(pool, rules, cols).answers(asked.withColumn("_had", F.col("_least")), [cols.team, "out", "_had"])
+    found = finder.answers(asked.withColumn("_had", F.col("_least")), [cols.team, "out", "_had"])
     return found.select(
         cols.team, "out", "n_options", F.col("_in.name").alias("in"), (F.col("_in.points") - F.col("_had")).alias("gain")
     )
@@ -481,8 +490,9 @@ def best_swap(
     cols: RosterColumns = COLUMNS,
 ) -> DataFrame:
     """The swap of highest gain per legal team; ties go to the smaller ``out``, then ``in``."""
-    squads = _squads(rosters, pool, rules, cols, F.col("legal"))
-    return _best_swaps(squads, _finder(pool, rules, cols), rules, cols).select(
+    finder = _finder(pool, rules, cols)
+    squads = _squads(rosters, _read_once(pool, finder, cols), rules, cols, F.col("legal"))
+    return _best_swaps(squads, finder, rules, cols).select(
         cols.team,
         F.col("_swap.out").alias("out"),
         F.col("_swap.in").alias("in"),
@@ -521,13 +531,15 @@ def improve_rosters(
     team without a swap has arrived and leaves the loop, which ends early when none is left.
     The pool is prepared for searching once; between steps squads are checkpointed, then placed by team.
     """
-    squads = _squads(rosters, pool, rules, cols, F.col("legal")).withColumn("_swaps", F.lit(0))
+    finder = _finder(pool, rules, cols)
+    players = _read_once(pool, finder, cols)
+    squads = _squads(rosters, players, rules, cols, F.col("legal")).withColumn("_swaps", F.lit(0))
     if charge is not None:
         squads = squads.withColumn("_first", F.col("_members"))
     start = cut_lineage(squads)
     names = F.explode(F.transform("_members", lambda m: m[cols.name])).alias(cols.name)
     flags = [F.lit(True).alias("legal"), F.col("_swaps").alias("n_swaps"), (~F.col("_changed")).alias("settled")]
-    reached = _climbed(start, _finder(pool, rules, cols), rules, cols, n_steps, charge).select(cols.team, names, *flags)
+    reached = _climbed(start, finder, rules, cols, n_steps, charge).select(cols.team, names, *flags)
     others = rosters.select(cols.team, cols.name).join(start.select(cols.team), cols.team, "left_anti")
     return reached.unionByName(
         others.select(
@@ -611,7 +623,8 @@ def restarted_rosters(
     """
     keys = ["_start"]
     finder = _finder(pool, rules, cols)
-    legal = _squads(rosters, pool, rules, cols, F.col("legal")).withColumns({"_swaps": F.lit(0), "_first": F.col("_members")})
+    players = _read_once(pool, finder, cols)
+    legal = _squads(rosters, players, rules, cols, F.col("legal")).withColumns({"_swaps": F.lit(0), "_first": F.col("_members")})
     starts = F.explode(F.sequence(F.lit(0), F.lit(n_restarts)))
     squads = cut_lineage(legal).withColumn("_start", starts)
     kicked = squads.where("_start > 0")
@@ -666,8 +679,10 @@ def repair_rosters(
     if no legal team has them.
     """
     over = F.col("clubs_legal") & ~F.col("value_legal")
+    best = _finder(pool, rules, cols)
+    pool = _read_once(pool, best, cols)
+    cheapest = _finder(pool, rules, cols, cheapest=True)
     squads = cut_lineage(_squads(rosters, pool, rules, cols, over).withColumn("_swaps", F.lit(0)))
-    best, cheapest = _finder(pool, rules, cols), _finder(pool, rules, cols, cheapest=True)
     done = []
     while not squads.isEmpty():
         # a changed squad goes on unless it is within the budget, an unchanged one is stuck
@@ -902,7 +917,8 @@ def cheaper_options(
     counted, and ``in`` is the one of most points (ties: the smaller name).
     """
     over = F.col("clubs_legal") & ~F.col("value_legal")
-    squads = _squads(rosters, pool, rules, cols, over)
+    finder = _finder(pool, rules, cols)
+    squads = _squads(rosters, _read_once(pool, finder, cols), rules, cols, over)
     dearest = F.array_min(
         F.transform(
             "_members",
@@ -927,5 +943,5 @@ def cheaper_options(
         "_taken",
     )
     asked = outgoing.withColumnsRenamed({"_cost": "_budget", "_taken": "_closed", "_names": "_excluded"})
-    found = _finder(pool, rules, cols).answers(asked, [cols.team, "out"], strict=True)
+    found = finder.answers(asked, [cols.team, "out"], strict=True)
     return found.select(cols.team, "out", "n_options", F.col("_in.name").alias("in"))

@@ -1,7 +1,10 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.sql import functions as F
 
 from formline.models import svr, training, trials
 from formline.models.features import (
@@ -235,3 +238,81 @@ def test_many_categories_become_a_vector(spark):
     assert got[1].indices.size == got[2].indices.size == 0
     assembled = AssembleFeatures(prefixes=["c_v"]).transform(model.transform(other))
     assert assembled.first()["features"].size == 1500
+
+
+def test_fits_of_many_settings_equal_single_ones(spark, table):
+    ready = Pipeline(stages=PRESETS["encoded"](ROLES)).fit(table).transform(table).select("features", "label").coalesce(3)
+    settings = [(0.0, 1.0, 1e-4), (0.5, 0.25, 1e-2), (2.0, 0.01, 1e-5), (0.1, 1.5, 1e-3)]
+    estimators = [training.linear_svr(e, c, t, 60) for e, c, t in settings]
+    together = svr.fit_together(estimators, ready)
+    scores = training.evaluate_together(together, {"train": ready, "val": ready.limit(100)})
+    for estimator, model, score in zip(estimators, together, scores, strict=True):
+        single = estimator.fit(ready)
+        assert model.getConverged() and single.getConverged()
+        # residuals near nothing weigh up to a million, so the order of sums shows after a few passes
+        assert model.getHistory()[:3] == pytest.approx(single.getHistory()[:3])
+        assert min(model.getHistory()) == pytest.approx(min(single.getHistory()), rel=10 * estimator.getTol())
+        wanted = training.metrics_map(training.evaluate(model, {"train": ready}))
+        assert {k: score[k] for k in wanted} == pytest.approx(wanted)
+        assert set(score) - set(wanted) == {k.replace("train", "val") for k in wanted}
+
+
+def test_one_pass_adds_up_all_settings():
+    rng = np.random.default_rng(3)
+    x, y = rng.normal(size=(50, 3)), rng.normal(size=50)
+    batch = pa.RecordBatch.from_arrays([pa.array(list(x)), pa.array(y)], ["x", "y"])
+    weights, epsilons = rng.normal(size=(4, 4)), np.array([0.0, 0.1, 0.5, 2.0])
+
+    def sums(w, e):
+        (out,) = svr._partial_sums(w, e)(iter([batch]))
+        return out.column("sums").flatten().to_numpy()
+
+    each = [sums(weights[k : k + 1], epsilons[k : k + 1]) for k in range(4)]
+    assert sums(weights, epsilons) == pytest.approx(np.concatenate(each))
+    whole = np.column_stack([x, np.ones(50)])
+    r = y - whole @ weights[2]
+    c = 0.5 / np.abs(r - 0.5) + 0.5 / np.abs(r + 0.5)
+    assert each[2][:10] == pytest.approx(((whole * c[:, None]).T @ whole)[np.triu_indices(4)])
+    assert each[2][-1] == pytest.approx(np.maximum(np.abs(r) - 0.5, 0).sum())
+
+
+def test_a_search_reads_the_rows_as_often_as_its_slowest_fit(spark, table, monkeypatch):
+    passes = []
+    plain = svr._added
+    monkeypatch.setattr(svr, "_added", lambda *a: passes.append(1) or plain(*a))
+    rows = training.search(
+        table, table.limit(50), None, PRESETS["encoded"](ROLES), "linear_svr", training.SVR_SPACE, "svr",
+        n_trials=100, fixed={"max_iter": 100}, rank=False,
+    )
+    assert len(rows) == 100 and len(passes) == max(r.metrics["passes"] for r in rows) < 110
+
+
+def test_wide_rows_reach_the_same_minimum(spark, table, monkeypatch):
+    ready = Pipeline(stages=PRESETS["encoded"](ROLES)).fit(table).transform(table).select("features", "label")
+    as_sparse = F.udf(lambda v: Vectors.sparse(v.size, [i for i in range(v.size) if v[i]], [x for x in v if x]), VectorUDT())
+    mixed = F.when(F.rand(1) < 0.7, as_sparse("features")).otherwise(F.col("features")).alias("features")
+    ready = ready.coalesce(2).select(mixed, "label")
+    for epsilon, cost in ((0.0, 1.0), (0.5, 0.25)):
+        exact = training.linear_svr(epsilon, cost, tol=1e-7, max_iter=300).fit(ready)
+        with monkeypatch.context() as patch:
+            patch.setattr(svr, "DENSE_WIDTH", 2)
+            wide = training.linear_svr(epsilon, cost, tol=1e-4, max_iter=2000).fit(ready)
+        assert wide.getConverged()
+        assert min(wide.getHistory()) < 1.002 * min(exact.getHistory())
+        x, w = ready.first()["features"].toArray(), np.array(wide.getOrDefault("coefficients"))
+        with monkeypatch.context() as patch:
+            patch.setattr(svr, "DENSE_WIDTH", 2)
+            assert wide.transform(ready).first()["prediction"] == pytest.approx(x @ w + wide.getOrDefault("intercept"))
+
+
+def test_twenty_thousand_categories_fit(spark):
+    rows = spark.range(60_000, numPartitions=4).select(
+        (F.col("id") % 20_000).alias("c"), ((F.col("id") % 20_000) % 7).cast("double").alias("label")
+    )
+    ready = rows.select(
+        F.udf(lambda c: Vectors.sparse(20_000, [c], [1.0]), VectorUDT())("c").alias("features"), "label"
+    )
+    model = training.linear_svr(epsilon=0.0, C=1.0, tol=1e-3, max_iter=150).fit(ready)
+    assert len(model.getOrDefault("coefficients")) == 20_000
+    history = model.getHistory()
+    assert min(history) < 0.6 * history[0]

@@ -35,6 +35,18 @@ def texts_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     return df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened where ``df`` has such a column (in whatever case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 _held: dict[str, list] = {}
 
 

@@ -2,10 +2,13 @@
 
 The network reads UTF-8 bytes in both directions, labels every byte position with a distribution over
 the learned languages, and a document's probabilities are the mean over all its positions. It is
-written and trained in numpy by back-propagation through time, on a bounded sample of labelled rows.
-Its state starts anew at every word and every ``SEGMENT`` bytes inside longer words. Equal words thus
-get equal labels, so a task runs the network once per distinct word and adds up what it remembers:
-every byte of every text counts, none is skipped.
+written and trained in numpy by back-propagation through time, on windows drawn from whole labelled texts.
+
+Whole texts are read in windows of ``WINDOW`` bytes, many at a time. Each direction enters a window with the state
+that the ``MARGIN`` bytes before it (after it, for the way back) leave. Where the neighbouring window then ends in
+another state, by more than ``APART`` in any unit, the window is read again from that state, and so on along the
+text: states are carried over whole texts as if these were read byte by byte. Texts of more than ``HELD`` numbers
+of results are read in pieces that overlap by ``LOOK`` bytes, so memory is bounded.
 
 Defined cases: a text that is null, empty or without a letter is ``und`` with score 0; so is every text
 when no labelled row could be learned from; a row with a null id is predicted, never learned from and
@@ -17,22 +20,37 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formline.llm.common import memory_of, steps
-
-SEGMENT = 32
-HIDDEN = 16
-#: Distinct segments whose sums a worker remembers before it starts afresh.
-CACHE_SEGMENTS = 200_000
+from formline.functions.columns import quoted
+from formline.llm.common import steps, unused
+
+WINDOW = 384
+MARGIN = 64
+HIDDEN = 12
+#: Difference of states from which on a window is read again.
+APART = 0.05
+#: Bytes that are read again before a look whether that still makes a difference.
+AGAIN = 32
+#: Numbers of results (one a byte and language) that reading holds per direction, and the bytes around a piece
+#: of a longer text that are read with it.
+HELD = 8_000_000
+LOOK = 4_096
+#: Windows read side by side at most.
+ABREAST = 3_072
 UNDETERMINED = "und"
-#: Languages learned at most, the most frequent ones.
-MAX_LANGS = 256
+#: Bytes of a training window that are learned from.
+MOST_BYTES = 144
+#: Characters of a training window, windows per language, and windows of all languages together (at least
+#: ``FEWEST`` of each are drawn, however many languages there are).
+SPAN = 224
+PER_LANG = 600
+ALL_WINDOWS = 60_000
+FEWEST = 8
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -78,29 +96,21 @@ class Network:
         return states, kept
 
     def positions(self, codes: np.ndarray, mask: np.ndarray) -> np.ndarray:
-        """Probabilities of every position: (length, rows, languages)."""
-        both = np.concatenate(
-            [self._read("f", codes, mask, False)[0], self._read("b", codes, mask, False)[0]], axis=2
-        )
+        """Probabilities of every position of rows read in one go: (length, rows, languages)."""
+        both = np.concatenate([self._read(way, codes, mask, False)[0] for way in ("f", "b")], axis=2)
         return _softmax(both @ self.weights["out"] + self.weights["bias_out"])
 
-    def sums(self, segments: list[bytes]) -> np.ndarray:
-        """Per segment the sum of its positions' probabilities."""
-        out = np.zeros((len(segments), len(self.langs)), np.float32)
-        order = np.argsort([len(s) for s in segments], kind="stable")
-        for at in range(0, len(order), 4096):
-            rows = order[at : at + 4096]
-            codes, mask = padded([segments[i] for i in rows])
-            out[rows] = (self.positions(codes, mask) * mask.T[:, :, None]).sum(axis=0)
-        return out
-
     def gradients(self, codes: np.ndarray, mask: np.ndarray, labels: np.ndarray) -> dict[str, np.ndarray]:
-        """Gradients of the mean cross-entropy over positions, by back-propagation through time."""
+        """Gradients of the mean cross-entropy over positions, by back-propagation through time.
+
+        ``labels`` has a language a row, or a row of languages, one a position.
+        """
         hidden = self.weights["rec_f"].shape[0]
         runs = {way: self._read(way, codes, mask, True) for way in ("f", "b")}
         both = np.concatenate([runs["f"][0], runs["b"][0]], axis=2)
         error = _softmax(both @ self.weights["out"] + self.weights["bias_out"])
-        error[:, np.arange(len(labels)), labels] -= 1
+        places = np.broadcast_to(labels[:, None] if labels.ndim == 1 else labels, codes.shape).T
+        error[np.arange(len(places))[:, None], np.arange(len(labels)), places] -= 1
         error *= (mask.T / max(mask.sum(), 1))[:, :, None]
         grad = {
             "out": np.tensordot(both, error, axes=([0, 1], [0, 1])),
@@ -130,119 +140,318 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return x / x.sum(axis=-1, keepdims=True)
 
 
-def padded(segments: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    width = max(len(s) for s in segments)
-    flat = np.frombuffer(b"".join(s.ljust(width, b"\0") for s in segments), np.uint8)
-    sizes = np.array([len(s) for s in segments])
-    return flat.reshape(-1, width), (np.arange(width) < sizes[:, None]).astype(np.float32)
+class Way:
+    """One direction of a network, step by step over many windows, without allocating."""
+
+    def __init__(self, network: Network, way: str, n: int):
+        w_in, rec, bias = (network.weights[f"{k}_{way}"] for k in ("in", "rec", "bias"))
+        hidden = rec.shape[0]
+        parts = [slice(k * hidden, (k + 1) * hidden) for k in range(3)]
+        # gates are sigmoids, written as halved hyperbolic tangents of halves
+        halves = (0.5, 0.5, 1.0)
+        self.tables = [np.ascontiguousarray((w_in + bias)[:, p] * h) for p, h in zip(parts, halves, strict=True)]
+        self.rec = [np.ascontiguousarray(rec[:, p] * 0.5) for p in parts]
+        self.state = np.zeros((n, hidden), np.float32)
+        self.held = [np.empty((n, hidden), np.float32) for _ in range(6)]
+
+    def step(self, codes: np.ndarray) -> None:
+        reset, keep, new, by_reset, by_keep, by_new = self.held
+        state = self.state
+        for table, out in zip(self.tables, (reset, keep, new), strict=True):
+            table.take(codes, axis=0, out=out, mode="clip")
+        for rec, out in zip(self.rec, (by_reset, by_keep, by_new), strict=True):
+            np.matmul(state, rec, out=out)
+        reset += by_reset
+        np.tanh(reset, out=reset)
+        keep += by_keep
+        np.tanh(keep, out=keep)
+        reset += 1.0
+        reset *= by_new
+        new += reset
+        np.tanh(new, out=new)
+        new -= state
+        keep *= -0.5
+        keep += 0.5
+        new *= keep
+        state += new
+
+
+class Windows:
+    """Texts cut into windows, read by one direction at a time."""
+
+    def __init__(self, network: Network, texts: list[bytes], window: int, margin: int):
+        self.network, self.margin = network, margin
+        self.flat = np.frombuffer(b"".join(texts), np.uint8).astype(np.intp)
+        sizes = np.array([len(t) for t in texts], np.int64)
+        counts = -(-sizes // window)
+        self.text = np.repeat(np.arange(len(texts)), counts)
+        self.number = np.arange(len(self.text)) - np.repeat(np.cumsum(counts) - counts, counts)
+        begins = np.cumsum(sizes) - sizes
+        self.first = begins[self.text] + self.number * window
+        self.length = np.minimum(sizes[self.text] - self.number * window, window)
+        #: text before and after each window
+        self.before = self.number * window
+        self.after = sizes[self.text] - self.before - self.length
+
+    def read(self, way: str) -> np.ndarray:
+        """This direction's share of the logits: (place, language, window)."""
+        n = len(self.first)
+        hidden = self.network.weights["rec_f"].shape[0]
+        out = np.zeros((int(self.length.max()), len(self.network.langs), n), np.float32)
+        entered, left = np.zeros((2, n, hidden), np.float32)
+        order = np.argsort(-self.length, kind="stable")
+        for at in range(0, n, ABREAST):
+            self._pass(way, order[at : at + ABREAST], out, entered, left)
+        # the window that is read before each one, in this direction
+        turn = 1 if way == "f" else -1
+        after = (self.number > 0) if way == "f" else (self.after > 0)
+        chained = np.flatnonzero(after)
+        apart = np.zeros(n, bool)
+        apart[chained] = np.abs(entered[chained] - left[chained - turn]).max(axis=1, initial=0.0) > APART
+        while apart.any():
+            ready = np.flatnonzero(apart)
+            ready = ready[~(apart[ready - turn] & after[ready])]
+            for at in range(0, len(ready), ABREAST):
+                rows = ready[at : at + ABREAST]
+                rows = rows[np.argsort(-self.length[rows], kind="stable")]
+                self._again(way, rows, left[rows - turn], out, entered, left)
+            apart[ready] = False
+            following = ready + turn
+            following = following[(following >= 0) & (following < n)]
+            following = following[after[following]]
+            apart[following] = np.abs(entered[following] - left[following - turn]).max(axis=1, initial=0.0) > APART
+        return out
 
+    def _pass(self, way: str, rows: np.ndarray, out: np.ndarray, entered: np.ndarray, left: np.ndarray) -> None:
+        """Reads the windows ``rows``, longest first, entering them through their margins."""
+        run = Way(self.network, way, len(rows))
+        room = np.minimum(self.before[rows] if way == "f" else self.after[rows], self.margin)
+        lead = int(room.max(initial=0))
+        for t in range(-lead, 0):
+            run.state[room < -t] = 0.0
+            run.step(self._codes(way, rows, t))
+        run.state[room == 0] = 0.0
+        entered[rows] = run.state
+        found = self._steps(run, way, rows, 0, int(self.length[rows[0]]), left)
+        self._store(way, rows, 0, found, out)
+
+    def _again(
+        self, way: str, rows: np.ndarray, states: np.ndarray, out: np.ndarray, entered: np.ndarray, left: np.ndarray
+    ) -> None:
+        """Reads windows again from ``states``, each as far as that makes a difference."""
+        entered[rows] = states
+        at = 0
+        while len(rows):
+            run = Way(self.network, way, len(rows))
+            run.state[:] = states
+            end = min(at + AGAIN, int(self.length[rows[0]]))
+            found = self._steps(run, way, rows, at, end, left)
+            going = np.flatnonzero(self.length[rows] > end)
+            places = np.arange(end - 8, end)[:, None]
+            if way == "b":
+                places = self.length[rows[going]] - 1 - places
+            known = out[places, :, rows[going]]
+            differ = np.abs(known - found[-8:, :, going].transpose(0, 2, 1)).max(axis=(0, 2), initial=0.0) > APART
+            self._store(way, rows, at, found, out)
+            rows, states, at = rows[going[differ]], run.state[going[differ]], end
+
+    def _codes(self, way: str, rows: np.ndarray, t: int) -> np.ndarray:
+        """The bytes that come ``t`` steps after windows are entered."""
+        place = self.first[rows] + t if way == "f" else self.first[rows] + self.length[rows] - 1 - t
+        return np.take(self.flat, place, mode="clip")
+
+    def _steps(self, run: Way, way: str, rows: np.ndarray, start: int, end: int, left: np.ndarray) -> np.ndarray:
+        """This direction's logits (step, language, window) from ``start`` to ``end``; keeps the states windows are left with."""
+        hidden = run.state.shape[1]
+        weights = self.network.weights["out"]
+        share = np.ascontiguousarray((weights[:hidden] if way == "f" else weights[hidden:]).T)
+        length = self.length[rows]
+        place = self.first[rows] + start if way == "f" else self.first[rows] + length - 1 - start
+        codes = np.empty(len(rows), np.intp)
+        out = np.empty((end - start, len(share), len(rows)), np.float32)
+        ends = np.searchsorted(-length, -np.arange(start, end + 1), side="left")  # windows longer than each step
+        for t in range(end - start):
+            run.step(self.flat.take(place, out=codes, mode="clip"))
+            np.matmul(share, run.state.T, out=out[t])
+            if ends[t + 1] < ends[t]:
+                done = slice(ends[t + 1], ends[t])
+                left[rows[done]] = run.state[done]
+            place += 1 if way == "f" else -1
+        return out
 
-def segments_of(text: bytes) -> list[bytes]:
-    """The text's words, longer ones cut every ``SEGMENT`` bytes."""
-    words = text.split()
-    if max(map(len, words), default=0) <= SEGMENT:
-        return words
-    return [w[i : i + SEGMENT] for w in words for i in range(0, len(w), SEGMENT)]
+    def _store(self, way: str, rows: np.ndarray, start: int, found: np.ndarray, out: np.ndarray) -> None:
+        """Puts logits that :meth:`_steps` found where their places are."""
+        if way == "f":
+            out[start : start + len(found)][:, :, rows] = found
+            return
+        length, steps = self.length[rows], np.arange(start, start + len(found))
+        whole = len(out)
+        full, part = np.flatnonzero(length == whole), np.flatnonzero(length < whole)
+        out[whole - start - len(found) : whole - start][:, :, rows[full]] = found[::-1, :, full]
+        if len(part):
+            places = length[part] - 1 - steps[:, None]
+            at, which = np.nonzero(places >= 0)
+            out[places[at, which], :, rows[part[which]]] = found[at, :, part[which]]
+
+
+def window_sums(
+    network: Network, texts: list[bytes], window: int = WINDOW, margin: int = MARGIN, labels: list[np.ndarray] | None = None
+) -> np.ndarray:
+    """Per text the sum of its positions' probabilities: (texts, languages).
+
+    With ``labels``, an array per text of one number a byte, these get the most likely language of each position.
+    """
+    out = np.zeros((len(texts), len(network.langs)))
+    most = max(window, HELD // max(1, len(network.langs)))
+    # text, where its piece counts from and to, where the piece begins in the text, and the piece
+    group: list[tuple[int, int, int, int, bytes]] = []
+    size = 0
+
+    def flush() -> None:
+        pieces = Windows(network, [p for *_, p in group], window, margin)
+        if not len(pieces.first):
+            return
+        logits = pieces.read("f")
+        logits += pieces.read("b")
+        logits += network.weights["bias_out"][None, :, None]
+        which, counts_from, counts_to, begins = (np.array(c)[pieces.text] for c in list(zip(*group, strict=True))[:4])
+        origin = np.maximum(counts_from - pieces.before, 0)
+        until = np.maximum(np.minimum(counts_to - pieces.before, pieces.length), origin)
+        total = np.zeros((len(network.langs), len(which)))
+        best = []
+        for t, p in enumerate(logits):
+            if labels is not None:
+                best.append(p.argmax(axis=0))
+            p -= p.max(axis=0)
+            np.exp(p, out=p)
+            p /= p.sum(axis=0)
+            p *= (origin <= t) & (t < until)
+            total += p
+        np.add.at(out, which, total.T)
+        if labels is not None:
+            found, places = np.array(best), begins + pieces.before
+            for row, text in enumerate(which):
+                labels[text][places[row] + origin[row] : places[row] + until[row]] = found[origin[row] : until[row], row]
+
+    for text, raw in enumerate(texts):
+        for at in range(0, len(raw), most):
+            start, end = max(0, at - LOOK), min(len(raw), at + most)
+            piece = raw[start : min(len(raw), end + LOOK)]
+            if group and size + len(piece) > most:
+                flush()
+                group.clear()
+                size = 0
+            group.append((text, at - start, end - start, start, piece))
+            size += len(piece)
+    if group:
+        flush()
+    return out
+
+
+def padded(windows: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    width = max(len(s) for s in windows)
+    flat = np.frombuffer(b"".join(s.ljust(width, b"\0") for s in windows), np.uint8)
+    sizes = np.array([len(s) for s in windows])
+    return flat.reshape(-1, width), (np.arange(width) < sizes[:, None]).astype(np.float32)
 
 
 def train(
-    texts: list[bytes],
+    windows: list[bytes],
     labels: list[str],
     hidden: int = HIDDEN,
-    segments: int = 60_000,
-    batch: int = 512,
+    n_steps: int = 120,
+    batch: int = 384,
     rate: float = 0.02,
     seed: int = 7,
 ) -> Network:
-    """A network fitted on as many segments of each language, ``segments`` in all, by Adam."""
+    """A network fitted by Adam on batches in which the languages are equally frequent.
+
+    Every other window is cut to a random part, so that short texts are met as well; of the long ones every other
+    one is followed by a part of another, so that a language is left as soon as its text ends.
+    """
     langs = sorted(set(labels))
     network = Network.start(langs, hidden, seed)
     if len(langs) < 2:
         return network
     rng = np.random.default_rng(seed)
-    pools: dict[str, list[bytes]] = {g: [] for g in langs}
-    for text, lang in zip(texts, labels, strict=True):
-        pools[lang] += segments_of(text)
-    drawn = [
-        (pool[i], k)
-        for k, pool in enumerate(pools.values())
-        for i in (rng.integers(0, len(pool), segments // len(langs)) if pool else ())
-    ]
-    order = rng.permutation(len(drawn))
+    number = {g: k for k, g in enumerate(langs)}
+    pools: list[list[bytes]] = [[] for _ in langs]
+    for window, lang in zip(windows, labels, strict=True):
+        if window:
+            pools[number[lang]].append(window)
+    filled = [k for k, pool in enumerate(pools) if pool]
     first = {k: np.zeros_like(v) for k, v in network.weights.items()}
     second = {k: np.zeros_like(v) for k, v in network.weights.items()}
-    n_steps = max(1, -(-len(order) // batch))
-    for step in range(1, n_steps + 1):
-        rows = order[(step - 1) * batch : step * batch]
-        if not len(rows):
-            break
-        codes, mask = padded([drawn[i][0] for i in rows])
-        grad = network.gradients(codes, mask, np.array([drawn[i][1] for i in rows]))
-        pace = rate * min(1.0, 2 * (1 - (step - 1) / n_steps))
-        for k, g in grad.items():
-            g = np.clip(g, -1, 1)
-            first[k] = 0.9 * first[k] + 0.1 * g
-            second[k] = 0.99 * second[k] + 0.01 * g * g
-            move = first[k] / (1 - 0.9**step) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-7)
-            network.weights[k] = (network.weights[k] - pace * move).astype(np.float32)
+    for step in range(1, n_steps + 1 if filled else 0):
+        wanted = rng.permutation(np.resize(rng.permutation(filled), batch))
+        other = rng.permutation(wanted)
+        drawn, joints = [], []
+        for row, k in enumerate(wanted):
+            window = pools[k][rng.integers(len(pools[k]))]
+            if row % 2:
+                size = int(rng.integers(8, 49))
+                at = int(rng.integers(max(1, len(window) - size + 1)))
+                window = window[at : at + size]
+            joint = len(window)
+            if row % 4 == 0:
+                joint = int(rng.integers(16, MOST_BYTES - 16))
+                following = pools[other[row]]
+                window = window[:joint] + b" " + following[rng.integers(len(following))]
+            drawn.append(window[:MOST_BYTES])
+            joints.append(min(joint, len(window)))
+        # long and short windows apart, so that none is padded much
+        for half in (0, 1):
+            codes, mask = padded(drawn[half::2])
+            begun = np.arange(codes.shape[1]) < np.array(joints[half::2])[:, None]
+            grad = network.gradients(codes, mask, np.where(begun, wanted[half::2, None], other[half::2, None]))
+            pace = rate * min(1.0, 2 * (1 - (step - 1) / n_steps))
+            turn = 2 * step - 1 + half
+            for k, g in grad.items():
+                g = np.clip(g, -1, 1)
+                first[k] = 0.9 * first[k] + 0.1 * g
+                second[k] = 0.99 * second[k] + 0.01 * g * g
+                move = first[k] / (1 - 0.9**turn) / (np.sqrt(second[k] / (1 - 0.99**turn)) + 1e-7)
+                network.weights[k] = (network.weights[k] - pace * move).astype(np.float32)
     return network
 
 
-class Labeller:
-    """Applies a network to whole texts, remembering the sums of the segments it has met."""
-
-    def __init__(self, network: Network):
-        self.network = network
-        self.known: dict[bytes, int] = {}
-        self.table = np.zeros((0, len(network.langs)), np.float32)
-
-    def pooled(self, texts: list[bytes]) -> np.ndarray:
-        """Per text the mean probabilities over its positions (0 without any)."""
-        cut = [segments_of(t) for t in texts]
-        flat = list(chain.from_iterable(cut))
-        if len(self.known) > CACHE_SEGMENTS:
-            self.known, self.table = {}, self.table[:0]
-        new = list(set(flat).difference(self.known))
-        if new:
-            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
-            self.table = np.concatenate([self.table, self.network.sums(new)])
-        out = np.zeros((len(texts), len(self.network.langs)))
-        counts = np.array([len(c) for c in cut])
-        full = np.flatnonzero(counts)
-        if len(full):
-            rows = self.table[np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat))]
-            starts = (np.cumsum(counts) - counts)[full]
-            out[full] = np.add.reduceat(rows.astype(np.float64), starts, axis=0)
-            out[full] /= out[full].sum(axis=1, keepdims=True)
-        return out
+def pooled(network: Network, texts: list[bytes]) -> np.ndarray:
+    """Per text the mean probabilities over its positions (0 without any)."""
+    sums = window_sums(network, texts)
+    totals = sums.sum(axis=1, keepdims=True)
+    return np.divide(sums, totals, out=np.zeros_like(sums), where=totals > 0)
 
 
 def labelled_sample(
-    docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_lang: int, max_chars: int
+    docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_lang: int = PER_LANG, span: int = SPAN
 ) -> tuple[list[bytes], list[str]]:
-    """About ``per_lang`` training rows of each language, picked by a hash of the id.
+    """About ``per_lang`` windows of each language, at places of whole texts that a hash of the id picks.
 
-    Rows whose crc32 of the id mod 3 is 1, null ids and null languages never enter.
+    Rows whose crc32 of the id mod 3 is 1, null ids and null languages never enter. A language of few
+    rows gives several windows of each. Only windows of ``span`` characters reach the driver; of very many
+    languages each gives fewer, and no more than ``FEWEST``.
     """
-    train_rows = docs.where(F.col(lang_col).isNotNull() & ~held_out(F.col(id_col))).select(
-        F.col(id_col).alias("id"),
-        F.col(lang_col).cast("string").alias("lang"),
-        F.substring(F.col(text_col), 1, max_chars).alias("text"),
+    rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & ~held_out(F.col(id_col))).select(
+        F.col(id_col).cast("string").alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")
     )
-    counts = train_rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS)
-    share = {r["lang"]: per_lang / r["n"] for r in counts.collect()}
-    if not share:
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    n_langs = counts.count()
+    if not n_langs:
         return [], []
-    wanted = F.create_map(*chain.from_iterable((F.lit(k), F.lit(v)) for k, v in share.items()))
-    chance = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit("lang")), F.lit(1 << 20)) / (1 << 20)
-    picked = (
-        train_rows.where(chance < wanted[F.col("lang")])
-        .where(F.col("text").isNotNull())
-        .orderBy(F.xxhash64(F.col("id").cast("string")), "id", "lang", "text")
-        .limit(2 * per_lang * len(share))
-        .collect()
+    wanted = max(FEWEST, min(per_lang, ALL_WINDOWS // n_langs))
+    per_row = F.ceil(wanted / F.col("n")).cast("int")
+    shares = counts.select("lang", per_row.alias("per_row"), (wanted / (F.col("n") * per_row)).alias("share"))
+    chance = F.pmod(F.xxhash64("id", F.lit("lang")), F.lit(1 << 20)) / (1 << 20)
+    drawn = (
+        rows.join(shares, "lang")
+        .where(chance < F.col("share"))
+        .withColumn("turn", F.explode(F.sequence(F.lit(1), F.col("per_row"))))
+        .withColumn("at", F.pmod(F.xxhash64("id", "turn"), F.greatest(F.char_length("text") - span + 1, F.lit(1))) + 1)
+        .select("lang", "id", "turn", F.substr("text", F.col("at").cast("int"), F.lit(span)).alias("window"))
     )
-    return [r["text"].encode() for r in picked], [r["lang"] for r in picked]
+    # repeated rows could exceed the share, so the sample is cut at twice what is meant
+    picked = drawn.orderBy(F.xxhash64("id", "turn"), "id", "turn", "lang", "window").limit(2 * wanted * n_langs).collect()
+    return [r["window"].encode() for r in picked], [r["lang"] for r in picked]
 
 
 def held_out(doc_id) -> F.Column:
@@ -255,65 +464,53 @@ def identify(
     id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str = "lang",
-    per_lang: int = 400,
-    max_chars: int = 3000,
+    out: tuple[str, str, str] = ("held_out", "lang_pred", "score"),
+    per_lang: int = PER_LANG,
 ) -> DataFrame:
-    """``docs`` with ``held_out``, ``lang_pred`` and ``score`` (the pooled probability) appended.
+    """``docs`` with whether a row is held out, its language and score (the pooled probability) appended.
 
-    The sample that reaches the driver holds about ``per_lang`` rows of up to ``max_chars``
-    characters per language (``MAX_LANGS`` at most). Prediction moves no rows.
+    ``out`` names the three columns, which ``docs`` must not have. The sample that reaches the driver is
+    bounded, see :func:`labelled_sample`. Prediction moves no rows.
     """
-    return _identified(docs, id_col, text_col, lang_col, per_lang, max_chars)[0]
+    return _identified(docs, id_col, text_col, lang_col, out, per_lang)[0]
 
 
 def _identified(
-    docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_lang: int, max_chars: int
+    docs: DataFrame, id_col: str, text_col: str, lang_col: str, out: tuple[str, str, str], per_lang: int
 ) -> tuple[DataFrame, int]:
     """What ``identify`` returns, and the number of languages learned."""
-    texts, labels = labelled_sample(docs, id_col, text_col, lang_col, per_lang, max_chars)
-    network = train(texts, labels) if texts else Network([])
-    source = docs.withColumn("__held_out", held_out(F.col(id_col)))
+    if unused(docs, *out) != list(out):
+        raise ValueError(f"one of the columns {out} exists")
+    windows, labels = labelled_sample(docs, id_col, text_col, lang_col, per_lang)
+    network = train(windows, labels) if windows else Network([])
+    source = docs.withColumn(out[0], held_out(F.col(id_col)))
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        labeller = _labeller(network) if network.langs else None
         for batch, raw in steps(batches, text_col):
             lang = np.full(len(raw), UNDETERMINED, dtype=object)
             score = np.zeros(len(raw))
-            if labeller:
-                pooled = labeller.pooled(raw)
-                letters = np.array([bool(_LETTER.search(t.decode())) for t in raw])
-                best = pooled.argmax(axis=1)
+            if network.langs:
+                found = pooled(network, raw)
+                letters = np.array([bool(_LETTER.search(t.decode("utf-8", "replace"))) for t in raw])
+                best = found.argmax(axis=1)
                 lang = np.where(letters, np.array(network.langs, dtype=object)[best], UNDETERMINED)
-                score = np.where(letters, np.clip(pooled.max(axis=1), 0, 1), 0.0)
+                score = np.where(letters, np.clip(found.max(axis=1), 0, 1), 0.0)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64())],
-                [*batch.schema.names, "__lang", "__score"],
+                [*batch.schema.names, *out[1:]],
             )
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema)
-    return source.mapInArrow(tasks, f"{fields}, __lang string, __score double"), len(network.langs)
-
-
-def _labeller(network: Network) -> Labeller:
-    """One labeller per worker and network, so that its memory serves all tasks there."""
-    held = memory_of(__name__)
-    key = b"".join(network.weights[k].tobytes() for k in sorted(network.weights))
-    if not held or held[0][0] != key:
-        held[:] = [(key, Labeller(network))]
-    return held[0][1]
+    return source.mapInArrow(tasks, f"{fields}, `{out[1]}` string, `{out[2]}` double"), len(network.langs)
 
 
 def predictions(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **sample
 ) -> DataFrame:
     """Per row: id, ``held_out``, ``lang_pred`` and ``score``; other columns are left out."""
-    found = identify(docs.select(id_col, text_col, lang_col), id_col, text_col, lang_col, **sample)
-    return found.select(
-        id_col,
-        F.col("__held_out").alias("held_out"),
-        F.col("__lang").alias("lang_pred"),
-        F.col("__score").alias("score"),
-    )
+    slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    found = identify(slim, "id", "text", "lang", **sample)
+    return found.select(F.col("id").alias(id_col), "held_out", "lang_pred", "score")
 
 
 def keep_identified(
@@ -322,14 +519,14 @@ def keep_identified(
     id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str = "lang",
-    per_lang: int = 400,
-    max_chars: int = 3000,
+    per_lang: int = PER_LANG,
 ) -> DataFrame:
     """The rows of ``docs`` whose language is found, all columns as they are.
 
     Rejected are undetermined texts and those whose best language scores less than ``above_chance``
     times what each of the learned languages would have by chance.
     """
-    found, n_langs = _identified(docs, id_col, text_col, lang_col, per_lang, max_chars)
+    names = tuple(unused(docs, "held_out", "lang_pred", "score"))
+    found, n_langs = _identified(docs, id_col, text_col, lang_col, names, per_lang)
     least = above_chance / n_langs if n_langs > 1 else 0.0
-    return found.where((F.col("__lang") != UNDETERMINED) & (F.col("__score") >= least)).select(*docs.columns)
+    return found.where((F.col(names[1]) != UNDETERMINED) & (F.col(names[2]) >= least)).select(*(quoted(c) for c in docs.columns))

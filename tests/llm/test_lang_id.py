@@ -43,13 +43,77 @@ def test_gradients_are_those_of_the_loss():
             assert grad[name][at] == pytest.approx((up - down) / 2e-3, abs=2e-4), name
 
 
-def test_remembered_sums_equal_reading_everything():
-    net = L.train([EN.encode(), DE.encode()], ["en", "de"], segments=600)
-    text = (EN + DE + "x" * 100).encode()
-    cut = L.segments_of(text)
-    assert b"".join(cut) == b"".join(text.split())
-    whole = sum(net.sums([s])[0].astype(float) for s in cut)
-    assert L.Labeller(net).pooled([text, b"", text])[[0, 2]] == pytest.approx(np.array([whole / whole.sum()] * 2), abs=1e-4)
+@pytest.fixture(scope="module")
+def network():
+    return L.train([EN.encode(), DE.encode(), FR.encode()], ["en", "de", "fr"], n_steps=30, batch=24)
+
+
+def in_one_go(network, text):
+    codes = np.frombuffer(text, np.uint8)[None, :]
+    return network.positions(codes, np.ones(codes.shape, np.float32))[:, 0]
+
+
+def test_windows_equal_reading_whole_texts(network):
+    """States are carried along, also through runs that a margin does not see the end of: less than 0.001 apart."""
+    rng = np.random.default_rng(2)
+    parts = (EN, DE, FR, "日本語 текст\n\n", "x" * 500, " 12 !! ")
+    texts = ["".join(parts[i] for i in rng.integers(0, 6, n)).encode() for n in (1, 2, 9, 60, 300)] + [b"", b"a", "é".encode()]
+    for window, margin in ((L.WINDOW, L.MARGIN), (64, 24)):
+        labels = [np.full(len(t), -1) for t in texts]
+        sums = L.window_sums(network, texts, window, margin, labels)
+        for text, own, label in zip(texts, sums, labels, strict=True):
+            if not text:
+                assert own.tolist() == [0.0] * 3
+                continue
+            whole = in_one_go(network, text)
+            assert own.sum() == pytest.approx(len(text), rel=1e-4)  # every position counts once
+            assert np.abs(whole.sum(axis=0) - own).max() < 0.001 * len(text) + 0.01
+            assert label.min() >= 0 and (label == whole.argmax(axis=1)).mean() > 0.995
+
+
+def test_long_texts_are_read_in_pieces(network, monkeypatch):
+    texts = [(EN + DE) .encode() * 40, FR.encode(), (DE * 3).encode()]
+    wanted, labels = L.window_sums(network, texts), [np.full(len(t), -1) for t in texts]
+    monkeypatch.setattr(L, "HELD", 3 * 2000)
+    monkeypatch.setattr(L, "LOOK", 300)
+    found = L.window_sums(network, texts, labels=labels)
+    assert found == pytest.approx(wanted, abs=1.0) and found.sum(axis=1) == pytest.approx([len(t) for t in texts])
+    for text, label in zip(texts, labels, strict=True):
+        assert (label == in_one_go(network, text).argmax(axis=1)).mean() > 0.99
+
+
+def test_a_text_that_fits_a_window_is_read_exactly(network):
+    for text in (b"a", EN.encode(), (EN + DE + FR).encode()):
+        whole = in_one_go(network, text)
+        assert L.window_sums(network, [text], len(text), 8)[0] == pytest.approx(whole.sum(axis=0), rel=1e-3, abs=1e-4)
+
+
+def test_words_are_read_in_their_context(network):
+    words = EN.split() + DE.split()
+    one, other = " ".join(words).encode(), " ".join(words[::2] + words[1::2]).encode()
+    spaced = "  ".join(words).encode()
+    first, second, third = L.pooled(network, [one, other, spaced])
+    assert np.abs(first - second).max() > 1e-3 and np.abs(first - third).max() > 1e-4
+
+
+def test_few_rows_of_many_languages_are_all_learned(spark, make_docs):
+    """No language is left out, however many there are, and every text may give any of its windows."""
+    letters = [chr(0x4E00 + k) for k in range(300)]
+    rows = [(i, letters[k] * 40, f"l{k:03d}") for k in range(300) for i in range(10 * k, 10 * k + 10) if not held(i)]
+    windows, labels = L.labelled_sample(make_docs(rows), "doc_id", "text", "lang", per_lang=30)
+    assert set(labels) == {r[2] for r in rows} and len({g for g in labels}) == 300
+    long = make_docs([(i, "a" * 5000 + "b" * 5000, "x") for i in range(30)])
+    drawn = L.labelled_sample(long, "doc_id", "text", "lang")[0]
+    assert {c for w in drawn for c in w.decode()} == {"a", "b"} and max(map(len, drawn)) <= L.SPAN
+    assert 500 <= len(drawn) <= 2 * L.PER_LANG
+
+
+def test_clashing_columns(make_docs):
+    docs = make_docs(sample(30), {"held_out": F.lit(1), "lang_pred": F.lit("x"), "score": F.lit(0.5), "Lang_Pred_": F.lit(1)})
+    kept = L.keep_identified(docs)
+    assert kept.columns == docs.columns and {tuple(r)[5:] for r in kept.collect()} == {(1, "x", 0.5, 1)}
+    with pytest.raises(ValueError):
+        L.identify(docs)
 
 
 def test_held_out_accuracy_on_a_whole_table(spark, sf_dir):

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from formline.functions.columns import quoted
 from formline.llm.common import steps, unused
+from formline.session import rows_within
 
 WINDOW = 384
 MARGIN = 64
@@ -247,11 +248,12 @@ class Windows:
             end = min(at + AGAIN, int(self.length[rows[0]]))
             found = self._steps(run, way, rows, at, end, left)
             going = np.flatnonzero(self.length[rows] > end)
-            places = np.arange(end - 8, end)[:, None]
+            seen = min(8, end - at)
+            places = np.arange(end - seen, end)[:, None]
             if way == "b":
                 places = self.length[rows[going]] - 1 - places
             known = out[places, :, rows[going]]
-            differ = np.abs(known - found[-8:, :, going].transpose(0, 2, 1)).max(axis=(0, 2), initial=0.0) > APART
+            differ = np.abs(known - found[-seen:, :, going].transpose(0, 2, 1)).max(axis=(0, 2), initial=0.0) > APART
             self._store(way, rows, at, found, out)
             rows, states, at = rows[going[differ]], run.state[going[differ]], end
 
@@ -441,9 +443,12 @@ def labelled_sample(
     wanted = max(FEWEST, min(per_lang, ALL_WINDOWS // n_langs))
     per_row = F.ceil(wanted / F.col("n")).cast("int")
     shares = counts.select("lang", per_row.alias("per_row"), (wanted / (F.col("n") * per_row)).alias("share"))
+    few = rows_within(shares)
+    highest = shares.agg(F.max("share")).first()[0]
     chance = F.pmod(F.xxhash64("id", F.lit("lang")), F.lit(1 << 20)) / (1 << 20)
     drawn = (
-        rows.join(shares, "lang")
+        rows.where(chance < highest)
+        .join(shares if few is None else F.broadcast(few), "lang")
         .where(chance < F.col("share"))
         .withColumn("turn", F.explode(F.sequence(F.lit(1), F.col("per_row"))))
         .withColumn("at", F.pmod(F.xxhash64("id", "turn"), F.greatest(F.char_length("text") - span + 1, F.lit(1))) + 1)

@@ -32,6 +32,9 @@ WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
 #: Documents per prefix-sum bucket of each source, were all documents of one source.
 BUCKET_ROWS = 4_000
+#: Equal rows that one step lays side by side, and slots that one task makes.
+REPEAT_ROWS = 4_096
+SLOT_ROWS = 2_000_000
 _GAP = np.zeros(256, bool)
 _GAP[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -179,29 +182,47 @@ def shard_counts(sources: list[Source], n_shards: int, seed: int) -> np.ndarray:
 def placed(sizes: DataFrame, sources: list[Source], rows: int) -> DataFrame:
     """(id, size, code, at): ``at`` is the number of words of the source before the document.
 
-    Sums per bucket of ids come first, then running sums inside each bucket, so no task holds a source.
+    Sums per bucket of ids come first, then running sums inside each bucket, so no task holds a source. Rows equal
+    in id, source and size are counted beforehand and laid side by side afterwards, so none of this grows with them.
     """
     spark = sizes.sparkSession
+    sizes = sizes.groupBy("id", "source", "size").agg(F.count("*").alias("n"))
     names = F.broadcast(spark.createDataFrame([(s.code, s.name) for s in sources], "code int, name string"))
     buckets = max(1, rows // BUCKET_ROWS)
     coded = (
         sizes.join(names, F.col("source").eqNullSafe(F.col("name")))
         .withColumn("order", F.xxhash64(F.col("id").cast("string"), "size"))
-        .select("id", "size", "code", "order", F.pmod("order", F.lit(buckets)).alias("bucket"))
+        .select("id", "size", "code", "n", "order", F.pmod("order", F.lit(buckets)).alias("bucket"))
     )
+    held = F.col("size") * F.col("n")
     if buckets == 1:
         inside = Window.partitionBy("code").orderBy("order", "id").rowsBetween(Window.unboundedPreceding, -1)
-        return coded.select("id", "size", "code", F.coalesce(F.sum("size").over(inside), F.lit(0)).alias("at"))
+        return _side_by_side(coded.withColumn("at", F.coalesce(F.sum(held).over(inside), F.lit(0))))
     earlier = Window.partitionBy("code").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     bases = (
-        coded.groupBy("code", "bucket").agg(F.sum("size").alias("words"))
+        coded.groupBy("code", "bucket").agg(F.sum(held).alias("words"))
         .select("code", "bucket", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("base"))
     )
     inside = Window.partitionBy("code", "bucket").orderBy("order", "id").rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        coded.withColumn("before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    return _side_by_side(
+        coded.withColumn("before", F.coalesce(F.sum(held).over(inside), F.lit(0)))
         .join(bases, ["code", "bucket"])
-        .select("id", "size", "code", (F.col("base") + F.col("before")).alias("at"))
+        .withColumn("at", F.col("base") + F.col("before"))
+    )
+
+
+def _side_by_side(counted: DataFrame) -> DataFrame:
+    """(id, size, code, at) per document, from rows that stand for ``n`` documents laid from ``at`` on."""
+    counted = written(counted.select("id", "size", "code", "n", "at"), "mix-counted")
+    most = counted.agg(F.max("n")).first()[0] or 1
+    last = F.floor((F.col("n") - 1) / REPEAT_ROWS)
+    parts = counted.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+    if most > REPEAT_ROWS:
+        parts = parts.repartition("id", "size", "part")
+    first = F.col("part") * REPEAT_ROWS
+    turns = F.sequence(first, F.least(F.col("n"), first + REPEAT_ROWS) - 1)
+    return parts.withColumn("turn", F.explode(turns)).select(
+        "id", "size", "code", (F.col("at") + F.col("turn") * F.col("size")).alias("at")
     )
 
 
@@ -227,12 +248,12 @@ def slots(spark, sources: list[Source], n_shards: int, seed: int) -> DataFrame:
     before = np.cumsum(counts, axis=0) - counts
     draws = [
         (
-            shard, s.code, int(before[shard, i]), int(counts[shard, i]), s.blocks,
-            int(counts[shard, :i].sum()), int(counts[shard].sum()),
+            shard, s.code, int(before[shard, i]) + at, min(SLOT_ROWS, int(counts[shard, i]) - at), s.blocks,
+            int(counts[shard, :i].sum()) + at, int(counts[shard].sum()),
         )
         for shard in range(n_shards)
         for i, s in enumerate(sources)
-        if counts[shard, i]
+        for at in range(0, int(counts[shard, i]), SLOT_ROWS)
     ]
     schema = "shard int, code int, start bigint, n bigint, blocks bigint, offset bigint, length bigint"
     drawn = spark.createDataFrame(draws, schema)
@@ -258,7 +279,8 @@ def slots(spark, sources: list[Source], n_shards: int, seed: int) -> DataFrame:
                         ["shard", "slot", "code", "block"],
                     )
 
-    tasks_wanted = max(1, min(n_shards, len(draws)))
+    made = sum(n for _, _, _, n, *_ in draws)
+    tasks_wanted = max(1, min(len(draws), max(n_shards, -(-made // SLOT_ROWS))))
     return drawn.repartition(tasks_wanted).mapInArrow(tasks, "shard int, slot bigint, code int, block bigint")
 
 

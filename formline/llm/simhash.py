@@ -30,8 +30,9 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from formline.llm.common import memory_of, steps, written
+from formline.llm.common import memory_of, steps, unused, written
 from formline.llm.components import component_roots
+from formline.session import rows_within
 
 SEED = 42
 #: Fingerprints in the sample that the upper trees are learned from.
@@ -300,14 +301,59 @@ def near_duplicate_groups(
     )
 
 
+def marks_of(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
+    """(id, fp, text_hash) of every row; texts are read once and do not come back from the workers."""
+    source = docs.select(
+        F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("text_hash"), F.col(text_col).alias("text")
+    )
+
+    def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory_of(__name__)
+        for batch, texts in steps(batches, "text"):
+            found = pa.array(fingerprints(texts, shingle).view(np.int64), pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), found], ["id", "text_hash", "fp"])
+
+    return source.mapInArrow(tasks, f"id {source.schema['id'].dataType.simpleString()}, text_hash bigint, fp bigint")
+
+
 def without_near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, max_distance: int = 4
 ) -> DataFrame:
-    """One row of ``docs`` per group, the one of the smallest id, with its columns as they are."""
-    full = with_fingerprint(docs, text_col, shingle, "__fp")
-    marked = written(full.select(F.col(id_col).alias("id"), F.col("__fp").alias("fp")), "simhash")
-    _, kept = groups(marked, max_distance)
-    kept = kept.select(F.col("id").alias("__id"), F.col("fp").alias("__kept"))
-    stays = full.join(kept, (full["__fp"] == kept["__kept"]) & full[id_col].eqNullSafe(kept["__id"]))
-    first = Window.partitionBy("__fp", id_col).orderBy(F.xxhash64(text_col))
-    return stays.withColumn("__turn", F.row_number().over(first)).where("__turn = 1").select(*docs.columns)
+    """One row of ``docs`` per group, the one of the smallest id, with its columns as they are.
+
+    Of rows that share this id and the fingerprint, the one of the smallest text hash stays. Only (id, text hash)
+    pairs are joined: those of the rows that go are broadcast where they are few, so that texts stay where they
+    are; of rows repeated word for word, which alone are moved, one stays.
+    """
+    marked = written(marks_of(docs, id_col, text_col, shingle), "simhash")
+    _, kept = groups(marked.select("id", "fp"), max_distance)
+    kept = kept.select(F.col("id").alias("least"), F.col("fp").alias("kept"))
+    stays = marked.join(kept, (marked["fp"] == kept["kept"]) & marked["id"].eqNullSafe(kept["least"]))
+    stays = stays.groupBy("id", "fp").agg(F.min("text_hash").alias("text_hash")).select("id", "text_hash")
+    rows = marked.groupBy("id", "text_hash").agg(F.count("*").alias("n"))
+    held = stays.withColumnsRenamed({"id": "held", "text_hash": "held_hash"})
+    same = rows["id"].eqNullSafe(held["held"]) & (rows["text_hash"] == held["held_hash"])
+    judged = written(rows.join(held, same, "left").select("id", "text_hash", "n", F.col("held_hash").isNotNull().alias("stays")), "simhash-rows")
+    once = without_rows(docs, judged.where("not stays or n > 1").select("id", "text_hash"), id_col, text_col)
+    again = with_rows(docs, judged.where("stays and n > 1").select("id", "text_hash"), id_col, text_col)
+    (turn,) = unused(docs, "turn")
+    first = Window.partitionBy(id_col, F.xxhash64(text_col)).orderBy(F.lit(0))
+    one = again.withColumn(turn, F.row_number().over(first)).where(F.col(turn) == 1).select(*docs.columns)
+    return once.unionByName(one)
+
+
+def without_rows(docs: DataFrame, marks: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``docs`` whose id and text hash are not among ``marks`` (id, text_hash)."""
+    return _joined(docs, marks, id_col, text_col, "left_anti")
+
+
+def with_rows(docs: DataFrame, marks: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return _joined(docs, marks, id_col, text_col, "left_semi")
+
+
+def _joined(docs: DataFrame, marks: DataFrame, id_col: str, text_col: str, how: str) -> DataFrame:
+    mark_id, mark_hash = unused(docs, "mark_id", "mark_hash")
+    few = rows_within(marks)
+    renamed = (marks if few is None else F.broadcast(few)).select(F.col("id").alias(mark_id), F.col("text_hash").alias(mark_hash))
+    same = docs[id_col].eqNullSafe(renamed[mark_id]) & (F.xxhash64(docs[text_col]) == renamed[mark_hash])
+    return docs.join(renamed, same, how)

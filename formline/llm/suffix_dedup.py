@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formline.llm.common import memory_of, steps, written
+from formline.llm.common import memory_of, steps, unused, written
 from formline.llm.suffix_sort import equal_prefix_classes
 from formline.session import fresh_path
 
@@ -184,7 +184,10 @@ def _bucketed(texts: DataFrame, label: str) -> DataFrame:
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     writer = texts.write.format("parquet").bucketBy(buckets, "k1", "k2")
     writer.option("path", fresh_path(spark, label)).saveAsTable(name)
-    return spark.table(name)
+    stored = spark.table(name)
+    # the plan holds the files and their buckets; the name is needed no more
+    spark.sql(f"DROP TABLE {name}")
+    return stored
 
 
 def _single_strings(hot: DataFrame, length: int) -> DataFrame:
@@ -357,8 +360,9 @@ def repeats_removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200) -> DataFrame:
     """``docs`` with the repeated strings cut out of the texts; all rows and other columns stay."""
     cut = _cut(repeated_spans(docs, id_col, text_col, length), with_text=True)
-    cut = cut.select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), F.col("rest").alias("__rest"))
+    a, b, k1, k2, rest = unused(docs, "a", "b", "k1", "k2", "rest")
+    cut = cut.select(F.col("k1").alias(k1), F.col("k2").alias(k2), F.col("rest").alias(rest))
     raw = F.col(text_col).cast("binary")
-    keyed = docs.withColumns({"__a": F.xxhash64(raw), "__b": F.xxhash64(F.lit("text"), raw)})
-    joined = keyed.join(cut, (keyed["__a"] == cut["__k1"]) & (keyed["__b"] == cut["__k2"]), "left")
-    return joined.withColumn(text_col, F.coalesce("__rest", F.col(text_col))).select(*docs.columns)
+    keyed = docs.withColumns({a: F.xxhash64(raw), b: F.xxhash64(F.lit("text"), raw)})
+    joined = keyed.join(cut, (keyed[a] == cut[k1]) & (keyed[b] == cut[k2]), "left")
+    return joined.withColumn(text_col, F.coalesce(rest, F.col(text_col))).select(*docs.columns)

@@ -58,7 +58,7 @@ def test_windows_equal_reading_whole_texts(network):
     rng = np.random.default_rng(2)
     parts = (EN, DE, FR, "日本語 текст\n\n", "x" * 500, " 12 !! ")
     texts = ["".join(parts[i] for i in rng.integers(0, 6, n)).encode() for n in (1, 2, 9, 60, 300)] + [b"", b"a", "é".encode()]
-    for window, margin in ((L.WINDOW, L.MARGIN), (64, 24)):
+    for window, margin in ((L.WINDOW, L.MARGIN), (64, 24), (L.AGAIN + 5, 3)):
         labels = [np.full(len(t), -1) for t in texts]
         sums = L.window_sums(network, texts, window, margin, labels)
         for text, own, label in zip(texts, sums, labels, strict=True):

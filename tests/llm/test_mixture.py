@@ -108,3 +108,13 @@ def test_nothing_to_mix(make_docs):
     assert M.mixed_documents(make_docs([])).collect() == []
     empty = M.mixed_documents(make_docs([(1, None, None, "a"), (2, " ", None, "b")])).collect()
     assert [(r["size"], r["target"], r["taken"]) for r in empty] == [(0, 0.0, 0)] * 2
+
+
+def test_equal_rows_are_laid_side_by_side(make_docs, monkeypatch):
+    monkeypatch.setattr(M, "REPEAT_ROWS", 16)
+    monkeypatch.setattr(M, "SLOT_ROWS", 5)
+    monkeypatch.setattr(M, "BUCKET_ROWS", 20)
+    rows = [(None, "p q r", None, "a")] * 70 + [(5, "x " * 40, None, "b")] * 33 + [(i + 10, "y z " * i, None, "a") for i in range(20)]
+    docs = make_docs(rows)
+    check(M.mixed_documents(docs, block_words=4, n_shards=3), table(docs))
+    assert M.mix(docs, block_words=4, n_shards=3).places.count() == len(rows)

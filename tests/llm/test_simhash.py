@@ -113,3 +113,26 @@ def test_one_document_of_each_group_stays(make_docs):
 def test_empty_table(make_docs):
     assert S.near_duplicate_groups(make_docs([])).collect() == []
     assert S.without_near_duplicates(make_docs([])).collect() == []
+
+
+def kept_rows(docs):
+    return sorted(map(str, map(tuple, S.without_near_duplicates(docs).collect())))
+
+
+def test_one_row_of_each_group_stays_whatever_the_columns(make_docs, monkeypatch):
+    """Names that the operator uses itself, null ids, rows repeated word for word, ids with several texts."""
+    words = [f"w{i}" for i in range(60)]
+    rows = [(1, " ".join(words)), (2, " ".join(words)), (2, " ".join(words)), (3, "quite another text of its own"), (4, None), (5, ""), (None, None)]
+    rows += [(6, "repeated word for word")] * 3 + [(None, "without an id")] * 2 + [(7, "a b c d e f"), (7, "g h i j k l")]
+    extra = {n: F.lit(n) for n in ("id", "fp", "text_hash", "least", "kept", "turn", "mark_id", "mark_hash", "held")}
+    docs = make_docs(rows, extra)
+    want = {(i, t) for i, t in rows if i not in (2, 5, None)} | {(None, "without an id")}
+    found = S.without_near_duplicates(docs)
+    assert found.columns == docs.columns
+    got = [(r["doc_id"], r["text"]) for r in found.collect()]
+    assert len(got) == len(want) and set(got) == want
+    assert {tuple(r)[5:] for r in found.collect()} == {tuple(extra)}
+    few = kept_rows(docs)
+    monkeypatch.setattr(S, "rows_within", lambda df: None)
+    assert kept_rows(docs) == few
+    assert S.without_near_duplicates(docs.limit(0)).collect() == []

@@ -127,3 +127,15 @@ def test_texts_without_repeats(make_docs):
 def test_empty_table(make_docs):
     assert D.repeats_removed(make_docs([])).collect() == []
     assert D.without_repeats(make_docs([])).collect() == []
+
+
+def test_clashing_columns_and_nothing_left_in_the_catalogue(make_docs, spark):
+    passage = " ".join(f"word{i}" for i in range(60))
+    names = ("a", "b", "k1", "k2", "rest", "h", "p", "n", "spans", "hs", "copies")
+    docs = make_docs([(1, "one " + passage), (2, passage + " two"), (3, None)], {c: F.lit(c) for c in names})
+    before = {t.name for t in spark.catalog.listTables()}
+    rows = {r["doc_id"]: r for r in D.without_repeats(docs).collect()}
+    assert D.without_repeats(docs).columns == docs.columns
+    assert rows[1]["text"] == "one " and rows[2]["text"] == " two" and rows[3]["text"] is None
+    assert all(tuple(r)[5:] == names for r in rows.values())
+    assert {t.name for t in spark.catalog.listTables()} == before

@@ -19,15 +19,15 @@ from formline.llm.common import read_table, written
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 #: Whole documents pass through Python here, so Arrow batches stay small however long the texts are.
-BATCH_BYTES = "16m"
+BATCHES, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "16m"
 
 
 def bounded(stage: Stage) -> Stage:
-    """``stage`` in a session with small Arrow batches."""
+    """``stage`` in a session with small Arrow batches, which stay set, since its result is computed later."""
 
     @functools.wraps(stage)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+        spark.conf.set(BATCHES, BATCH_BYTES)
         return stage(spark, docs, sf_dir)
 
     return run_stage
@@ -77,9 +77,14 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+    held = spark.conf.get(BATCHES)
+    try:
+        for name, stage in STAGES[:-1]:
+            docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        # written as well, so that nothing runs later under the settings of the stages
+        return written(STAGES[-1][1](spark, docs, sf_dir), "pipeline-mix")
+    finally:
+        spark.conf.set(BATCHES, held)
 
 
 QUERIES = {"pipeline": run}

@@ -7,19 +7,21 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from decimal import Decimal
 
+import pandas as pd
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Transformer
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from formline.functions.columns import columns_with_prefix, quoted
+from formline.session import fresh_path
 
 
 def _strings(name: str, doc: str) -> Param:
@@ -223,19 +225,113 @@ class AssembleFeatures(Transformer, _Stored):
         return out
 
 
+class NumberCategories(Estimator, HasInputCols, _Stored):
+    """Numbers the categories of columns of any number of them, in the order of their text.
+
+    The distinct categories are sorted in ranges; a category's number is its place in its range plus the sizes of
+    the ranges before. The numbers stay a table, in the folder named by ``spark.checkpoint.dir`` until the model is
+    saved; only one row per range reaches the driver.
+    """
+
+    suffix = Param(Params._dummy(), "suffix", "what the vector columns' names end in", TypeConverters.toString)
+
+    @keyword_only
+    def __init__(self, *, inputCols: Sequence[str] = (), suffix: str = "_vector"):
+        super().__init__()
+        self._set(inputCols=list(inputCols), suffix=suffix)
+
+    def _fit(self, df: DataFrame) -> NumberCategoriesModel:
+        columns = self.getInputCols()
+        pairs = F.array(
+            *[F.struct(F.lit(i).alias("column"), F.col(quoted(c)).cast("string").alias("text")) for i, c in enumerate(columns)]
+        )
+        distinct = df.select(F.inline(pairs)).where(F.col("text").isNotNull()).distinct()
+        spark = df.sparkSession
+        ranged, numbered = fresh_path(spark, "categories-ranged"), fresh_path(spark, "categories")
+        ordered = distinct.repartitionByRange("column", "text").sortWithinPartitions("column", "text")
+        at = F.monotonically_increasing_id()
+        ordered.select("column", "text", F.spark_partition_id().alias("range"), at.alias("at")).write.parquet(ranged)
+        rows = spark.read.parquet(ranged)
+        sizes = rows.groupBy("column", "range").agg(F.count("*").alias("n"), F.min("at").alias("first")).collect()
+        before, offsets = [0] * len(columns), []
+        for r in sorted(sizes, key=lambda r: (r["column"], r["range"])):
+            offsets.append((r["column"], r["range"], before[r["column"]] - r["first"]))
+            before[r["column"]] += r["n"]
+        shifts = spark.createDataFrame(offsets, "column int, range int, shift bigint")
+        number = (F.col("at") + F.col("shift")).alias("number")
+        rows.join(F.broadcast(shifts), ["column", "range"]).select("column", "text", number).write.parquet(numbered)
+        return NumberCategoriesModel(inputCols=columns, suffix=self.getOrDefault(self.suffix), sizes=before, table=numbered)
+
+
+class NumberCategoriesModel(Model, HasInputCols, _Stored):
+    """Appends a sparse vector ``{column}{suffix}`` per column; unseen and missing categories give zeros throughout."""
+
+    suffix = Param(Params._dummy(), "suffix", "what the vector columns' names end in", TypeConverters.toString)
+    sizes = Param(Params._dummy(), "sizes", "categories per column", TypeConverters.toListInt)
+    table = Param(Params._dummy(), "table", "folder of the numbers", TypeConverters.toString)
+
+    @keyword_only
+    def __init__(self, *, inputCols: Sequence[str] = (), suffix: str = "_vector", sizes: Sequence[int] = (), table: str = ""):
+        super().__init__()
+        self._set(inputCols=list(inputCols), suffix=suffix, sizes=list(sizes), table=table)
+
+    def numbers(self, spark: SparkSession) -> DataFrame:
+        """(column, text, number): every category seen in fitting."""
+        return spark.read.schema("column int, text string, number bigint").parquet(self.getOrDefault(self.table))
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        numbers = self.numbers(df.sparkSession)
+        for i, (c, size) in enumerate(zip(self.getInputCols(), self.getOrDefault(self.sizes), strict=True)):
+            key, number = f"_text_{i}", f"_number_{i}"
+            known = numbers.where(F.col("column") == i).select(F.col("text").alias(key), F.col("number").alias(number))
+            found = df.join(known, F.col(quoted(c)).cast("string") == F.col(key), "left")
+            out = f"{c}{self.getOrDefault(self.suffix)}"
+            vector = _one_hot_vector(size)(F.col(number)).alias(out, metadata={"ml_attr": {"num_attrs": size}})
+            df = found.select(*[F.col(quoted(x)) for x in df.columns], vector)
+        return df
+
+    def write(self):
+        return _WithTable(self)
+
+    @classmethod
+    def read(cls):
+        return _FromTable(cls)
+
+
+def _one_hot_vector(size: int):
+    """A function from numbers to sparse vectors of ``size`` with a one there, or without any."""
+
+    @F.pandas_udf(VectorUDT())
+    def vector(numbers: pd.Series) -> pd.DataFrame:
+        present = numbers.notna()
+        at = [[int(n)] if p else [] for n, p in zip(numbers, present, strict=True)]
+        return pd.DataFrame(
+            {"type": 0, "size": size, "indices": at, "values": [[1.0] * len(a) for a in at]}, index=numbers.index
+        )
+
+    return vector
+
+
+class _WithTable(DefaultParamsWriter):
+    """Saves the table of numbers beside the params."""
+
+    def saveImpl(self, path: str) -> None:  # noqa: N802
+        super().saveImpl(path)
+        self.instance.numbers(self.sparkSession).write.parquet(f"{path}/categories")
+
+
+class _FromTable(DefaultParamsReader):
+    def load(self, path: str) -> NumberCategoriesModel:
+        return super().load(path)._set(table=f"{path}/categories")
+
+
 def vector_encoding(columns: Sequence[str], suffix: str = "_vector") -> list:
     """Stages for columns of more categories than columns can hold: ``{column}{suffix}``, a sparse vector.
 
     Positions follow the categories in order; unseen and missing categories give zeros throughout. The
     vectors may be assembled like any feature column.
     """
-    indexed = [f"{c}_index" for c in columns]
-    index = StringIndexer(
-        inputCols=list(columns), outputCols=indexed, handleInvalid="keep", stringOrderType="alphabetAsc"
-    )
-    # the place kept for unseen categories is the last one, which the encoder leaves out
-    encode = OneHotEncoder(inputCols=indexed, outputCols=[f"{c}{suffix}" for c in columns], dropLast=True)
-    return [index, encode]
+    return [NumberCategories(inputCols=list(columns), suffix=suffix)]
 
 
 def shape_of(ready: DataFrame) -> tuple[int, int, int]:

@@ -880,23 +880,28 @@ def weekly_reward(
         earned = facts.groupBy(cols.name, step).agg(F.sum(cols.points).alias(cols.points))
     else:
         raise ValueError(f"mode must be 'first' or 'sum', not {mode!r}")
+    # one row per name and step: read from here, the facts are aggregated once
+    earned = cut_lineage(earned)
     if step in rosters.columns:
         members = rosters.select(cols.team, cols.name, step)
-        scaffold = members.select(cols.team, step).distinct()
-        scored = members.join(earned, [cols.name, step])
+        ledger = (
+            members.join(earned, [cols.name, step], "left")
+            .groupBy(cols.team, step)
+            .agg(F.coalesce(F.sum(F.col(cols.points).cast("double")), F.lit(0.0)).alias("reward"))
+        )
     else:
-        members = rosters.select(cols.team, cols.name)
-        last = facts.agg(F.greatest(F.max(step), F.lit(0))).scalar()
-        every = F.when(last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-        steps = F.explode(every.cast(f"array<{facts.schema[step].dataType.simpleString()}>"))
-        scaffold = members.select(cols.team).distinct().select(cols.team, steps.alias(step))
-        scored = members.join(earned, cols.name)
-    ledger = (
-        scored.select(cols.team, step, F.col(cols.points).cast("double").alias("_points"))
-        .unionByName(scaffold.withColumn("_points", F.lit(0.0)))
-        .groupBy(cols.team, step)
-        .agg(F.coalesce(F.sum("_points"), F.lit(0.0)).alias("reward"))
-    )
+        last = max(earned.agg(F.max(step)).first()[0] or 0, 0)
+        kind = facts.schema[step].dataType.simpleString()
+        members = rosters.select(cols.team, cols.name).join(earned, cols.name, "left")
+        by_step = members.groupBy(cols.team, step).agg(F.sum(F.col(cols.points).cast("double")).alias("_points"))
+        # a team's steps are as many as the season has; those without a row, or before the first one, get a zero
+        every = F.sequence(F.lit(1), F.lit(last)) if last else F.array().cast("array<int>")
+        present = F.map_from_entries(F.collect_list(F.when(F.col(step).isNotNull(), F.struct(step, "_points"))))
+        told = by_step.groupBy(cols.team).agg(present.alias("_present"))
+        steps = F.array_union(every.cast(f"array<{kind}>"), F.map_keys("_present"))
+        ledger = told.select(cols.team, "_present", F.explode(steps).alias(step)).select(
+            cols.team, step, F.coalesce(F.try_element_at("_present", F.col(step)), F.lit(0.0)).alias("reward")
+        )
     season = Window.partitionBy(cols.team).orderBy(step)
     return ledger.withColumn(
         "running_total",

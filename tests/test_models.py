@@ -316,3 +316,25 @@ def test_twenty_thousand_categories_fit(spark):
     assert len(model.getOrDefault("coefficients")) == 20_000
     history = model.getHistory()
     assert min(history) < 0.6 * history[0]
+
+
+def test_category_numbers_survive_ranges_and_saving(spark, table):
+    """Numbers follow the text's order over several ranges and columns, and are saved with the pipeline."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = [(i, f"c{(i * 7919) % 997:03d}", None if i % 5 == 0 else f"d{i % 30}", 1.0) for i in range(3000)]
+        df = spark.createDataFrame(rows, "k int, c string, `d.e` string, y double")
+        model = Pipeline(stages=vector_encoding(["c", "d.e"])).fit(df)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    numbers = model.stages[0].numbers(spark).collect()
+    for i, seen in enumerate((sorted({r[1] for r in rows}), sorted({r[2] for r in rows if r[2]}))):
+        assert [r["text"] for r in sorted(numbers, key=lambda r: r["number"]) if r["column"] == i] == seen
+        assert sorted(r["number"] for r in numbers if r["column"] == i) == list(range(len(seen)))
+    path = fresh_path(spark, "test-categories")
+    training.save_pipeline(model, path)
+    again = training.load_pipeline(path)
+    assert again.stages[0].getOrDefault("table").startswith(path)
+    first, second = (m.transform(df).orderBy("k").select("k", "c_vector", "`d.e_vector`").collect() for m in (model, again))
+    assert first == second and first[5][2].indices.size == 0 and first[5][1].indices.tolist() == [(5 * 7919) % 997]
+    assert first[0]["c_vector"].size == 997

@@ -291,6 +291,16 @@ SWAPS = f"""WITH {ROSTERS}, {LEGAL},
 candidates AS ({_candidates("legal")}),
 best AS ({_best("candidates")})"""
 
+WEEKS = f"""WITH {MONTHS}
+SELECT CAST(period AS VARCHAR) || '-' || lpad(CAST((period + 1) % 100 AS VARCHAR), 2, '0')
+         AS season,
+       step, CAST(entity AS VARCHAR) AS player_id,
+       'Supplier_' || CAST(entity AS VARCHAR) AS player_name, units, label,
+       CASE WHEN period >= 1998 AND returned > 0 THEN returned END AS returned,
+       CASE WHEN period >= 1998 THEN 'supplier,' || chr(10) || CAST(entity AS VARCHAR) END AS note,
+       0::INTEGER AS corrupt_cells
+FROM sm"""
+
 # The categories of the generic part table.
 BRANDS = sorted(f"Brand#{i}" for i in range(1, 26))
 TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
@@ -579,14 +589,8 @@ SELECT DISTINCT season, CAST(player_id AS VARCHAR) AS player_id, c_mktsegment AS
 FROM seasons JOIN customer ON player_id = c_custkey""",
     "rewritten_table": """SELECT n_nationkey, n_name FROM nation
 WHERE n_nationkey < 5 OR n_nationkey >= 20""",
-    "weekly_scan": f"""WITH {MONTHS}
-SELECT CAST(period AS VARCHAR) || '-' || lpad(CAST((period + 1) % 100 AS VARCHAR), 2, '0')
-         AS season,
-       step, CAST(entity AS VARCHAR) AS player_id,
-       'Supplier_' || CAST(entity AS VARCHAR) AS player_name, units, label,
-       CASE WHEN period >= 1998 AND returned > 0 THEN returned END AS returned,
-       0::INTEGER AS corrupt_cells
-FROM sm""",
+    "weekly_scan": WEEKS,
+    "weekly_increments": WEEKS,
     "prepared_export": FEATURES + f"""SELECT entity, period, step,
   {", ".join(FEATURE_NAMES)}, label,
   CASE WHEN period = 2001 THEN 'test' ELSE 'train' END AS split

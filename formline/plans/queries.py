@@ -538,10 +538,19 @@ SEASON_DIR, STEP_DIR = r"/season=([^/]+)/", r"/step=(\d+)/"
 def _write_weeks(spark: SparkSession, sf_dir: str) -> str:
     """Supplier months as one CSV folder per season and step; later seasons have more columns.
 
-    There, whole numbers have decimals and ids a trailing ``.0``, as where a column has gaps, and one header
-    is not ASCII.
+    There, whole numbers have decimals and ids a trailing ``.0``, as where a column has gaps, one header
+    is not ASCII, and notes have line breaks.
     """
     root = fresh_path(spark, "weeks")
+    for era in ("old", "new"):
+        _write_era(spark, sf_dir, root, era)
+    # a week without rows: its file holds a header and nothing else
+    nothing = spark.createDataFrame([], "name string, element long, units double, label long")
+    prepared.write_table(nothing.coalesce(1), f"{root}/none/season=1990-91/step=1", "csv")
+    return root
+
+
+def _write_era(spark: SparkSession, sf_dir: str, root: str, era: str) -> None:
     months = P.supplier_months(spark, sf_dir).select(
         "period",
         F.concat(F.lit("Supplier_"), F.col("entity").cast("string")).alias("name"),
@@ -551,61 +560,19 @@ def _write_weeks(spark: SparkSession, sf_dir: str) -> str:
         "label",
         F.col("label").cast("double").alias("labels"),
         F.when(F.col("returned") > 0, F.col("returned").cast("double")).alias("returned"),
+        F.concat(F.lit("supplier,\n"), F.col("entity").cast("string")).alias("note"),
         F.concat("period", F.lit("-"), F.lpad(((F.col("period") + 1) % 100).cast("string"), 2, "0"))
         .alias("season"),
         "step",
     )
     headers = {
         "old": (F.col("period") < 1998, ["name", "element", "units", "label"]),
-        "new": (F.col("period") >= 1998, ["labels", "returned", "name", "units", "eléments"]),
+        "new": (F.col("period") >= 1998, ["labels", "returned", "note", "name", "units", "eléments"]),
     }
-    for era, (which, names) in headers.items():
-        rows = months.where(which).select(*names, "season", "step")
-        # Rebalancing gathers a week in one file, but splits a week that outgrows a partition.
-        prepared.write_table(
-            rows.hint("rebalance", "season", "step"), f"{root}/{era}", "csv", ["season", "step"]
-        )
-    # a week without rows: its file holds a header and nothing else
-    nothing = spark.createDataFrame([], "name string, element long, units double, label long")
-    prepared.write_table(nothing.coalesce(1), f"{root}/none/season=1990-91/step=1", "csv")
-    return root
-
-
-@query
-def team_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = fresh_path(spark, "teams")
-    teams = P.season_dimensions(spark, sf_dir)[2].withColumn("id", F.col("team") + 100)
-    prepared.write_table(teams, path, "csv")
-    return catalog.read_team_list(spark, path, "season string, team int, team_name string, id int")
-
-
-@query
-def season_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Id lists and attributes per season, written as CSV and read back in one scan each."""
-    root = fresh_path(spark, "lists")
-    attributes, ids, _ = P.season_dimensions(spark, sf_dir)
-    prepared.write_table(ids.withColumnRenamed("player_id", "id"), f"{root}/ids", "csv", ["season"])
-    prepared.write_table(attributes, f"{root}/attributes", "csv", ["season"])
-    season = F.substring_index("season", "=", -1)
-    names = "first_name string, second_name string"
-    listed = catalog.read_season_lists(spark, f"{root}/ids", "*.csv", f"{names}, id long", {"id": "player_id"})
-    described = catalog.read_season_lists(
-        spark, f"{root}/attributes", "*.csv", f"{names}, element_type string, team int"
-    )
-    return assembly.entity_attributes(
-        described.withColumn("season", season), listed.withColumn("season", season)
-    )
-
-
-@query
-def rewritten_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A table written, overwritten and appended to in one folder."""
-    path = fresh_path(spark, "modes")
-    nations = P.table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    prepared.write_table(nations, path)
-    prepared.write_table(nations.where("n_nationkey < 5"), path, mode="overwrite")
-    prepared.write_table(nations.where("n_nationkey >= 20"), path, mode="append")
-    return prepared.read_table(spark, path)
+    which, names = headers[era]
+    rows = months.where(which).select(*names, "season", "step")
+    # Rebalancing gathers a week in one file, but splits a week that outgrows a partition.
+    prepared.write_table(rows.hint("rebalance", "season", "step"), f"{root}/{era}", "csv", ["season", "step"])
 
 
 @query
@@ -615,18 +582,31 @@ def file_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.select("season", "step").distinct()
 
 
-@query
-def weekly_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _write_weeks(spark, sf_dir)
+def _read_weeks(spark: SparkSession, root: str, store: str | None = None) -> DataFrame:
     types = {"units": "double", "label": "bigint", "returned": "bigint"}
     renames = {"name": "player_name", "element": "player_id", "eléments": "player_id", "labels": "label"}
     return catalog.read_weekly(
-        spark, root, types, STEP_DIR, SEASON_DIR, renames, encoding="UTF-8", corrupt="corrupt_cells"
+        spark, root, types, STEP_DIR, SEASON_DIR, renames, encoding="UTF-8", corrupt="corrupt_cells", store=store
     ).select(
-        "season", "step", "player_id", "player_name", "units", "label", "returned", "corrupt_cells"
+        "season", "step", "player_id", "player_name", "units", "label", "returned", "note", "corrupt_cells"
     )
 
 
+@query
+def weekly_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _read_weeks(spark, _write_weeks(spark, sf_dir))
+
+
+@query
+def weekly_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The older seasons' files read and stored, then the later ones' added: only these are read then."""
+    root, store = fresh_path(spark, "weeks"), fresh_path(spark, "weekly-store")
+    _write_era(spark, sf_dir, root, "old")
+    catalog.weekly_store(spark, root, store, STEP_DIR, SEASON_DIR, "UTF-8")
+    _write_era(spark, sf_dir, root, "new")
+    return _read_weeks(spark, root, store)
+
+
 def _export(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     """The three prepared tables, from features computed once."""
     plan = P.SUPPLIER_MONTH_PLAN

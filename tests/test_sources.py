@@ -1,3 +1,8 @@
+import csv
+import io
+import os
+import random
+
 import pytest
 
 from formline.functions import columns as C
@@ -88,6 +93,86 @@ def test_a_large_weekly_file_is_read_in_parts(spark, rows, tmp_path):
     assert got == sorted([(1, str(i), i, i % 7) for i in range(3000)]) + [(2, "9", 5, None)]
 
 
+def odd_csv(seed, n):
+    """CSV text with quoted line breaks, and its rows as another reader has them."""
+    rng = random.Random(seed)
+    cells = ["plain", "", 'say "x"', "two\nlines", "a,b", "\n\n", '"', "end\n", '5" pipe', "long " * 30 + "\n" + "x" * 50]
+    rows = [[f"P_{i}", rng.choice(cells), str(i)] for i in range(n)]
+    out = io.StringIO()
+    writer = csv.writer(out, lineterminator="\n")
+    writer.writerow(["name", "odd\nheader", "minutes"])
+    writer.writerows(rows)
+    text = out.getvalue()
+    # a quote inside an unquoted cell is an ordinary character
+    text += 'P_x,5" pipe,7\nP_y,6" pipe,8\n'
+    return text, [*rows, ["P_x", '5" pipe', "7"], ["P_y", '6" pipe', "8"]]
+
+
+@pytest.mark.parametrize("block", ["128m", "512", "150"])
+def test_line_breaks_in_quotes_belong_to_their_cell(spark, tmp_path, block):
+    """However a file is split, and whatever stands in the others."""
+    want = []
+    for week, seed in ((1, 1), (2, 2), (3, 3)):
+        text, rows_ = odd_csv(seed, 120)
+        put(tmp_path / "2018-19" / "gws" / f"gw{week}.csv", text)
+        want += [(week, *r) for r in rows_]
+    put(tmp_path / "2018-19" / "gws" / "gw4.csv", "name,minutes\nQ_1,5\n")
+    most = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    try:
+        got = catalog.read_weekly(spark, str(tmp_path), {})
+        found = [(r["step"], r["player_name"], r["odd\nheader"] or "", r["minutes"]) for r in got.collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", most)
+    assert sorted(found) == sorted([*want, (4, "Q_1", "", "5")])
+
+
+def test_quotes_that_are_never_closed_are_an_error(spark, tmp_path, monkeypatch):
+    put(tmp_path / "2018-19" / "gws" / "gw1.csv", 'name,minutes\nA_1,"5\n' + "B_2,6\n" * 50)
+    lines = catalog._lines(spark, str(tmp_path), "UTF-8")
+    with pytest.raises(ValueError, match="not closed"):
+        catalog._records(lines, max_lines=20)
+
+
+def read_files(df):
+    return sorted(os.path.basename(f) for f in df.inputFiles())
+
+
+def test_only_new_and_changed_weeks_are_read(spark, rows, tmp_path, monkeypatch):
+    raw, store = tmp_path / "raw", str(tmp_path / "store")
+    week = lambda k: raw / "2018-19" / "gws" / f"gw{k}.csv"
+    for k in (1, 2):
+        put(week(k), f"name,minutes\nA_1,{k}\nB_2,{k}\n")
+    put(raw / "2018-19" / "merged_gw.csv", "name,minutes\nX_9,9\n")
+    seen = []
+    plain = catalog._lines
+    monkeypatch.setattr(catalog, "_lines", lambda *a: seen.append(read_files(df := plain(*a))) or df)
+
+    def stored():
+        seen.clear()
+        got = rows(catalog.read_weekly(spark, str(raw), {"minutes": "int"}, store=store), "step", "player_id", "minutes")
+        read = [f for files in seen for f in files]
+        assert got == rows(catalog.read_weekly(spark, str(raw), {"minutes": "int"}), "step", "player_id", "minutes")
+        return read
+
+    assert stored() == ["gw1.csv", "gw2.csv"]
+    assert stored() == []
+    put(week(3), "minutes,name\n7,C_3\n")
+    assert stored() == ["gw3.csv"]
+    put(week(1), "name,minutes\nA_1,100\n")
+    assert stored() == ["gw1.csv"]
+    week(2).unlink()
+    assert stored() == []
+    # a run that fails after writing its rows leaves nothing to be seen
+    put(week(5), "name,minutes\nE_5,5\n")
+    catalog._raw_rows(spark, [str(week(5))], catalog.STEP_PATTERN, catalog.SEASON_PATTERN, "UTF-8").write.parquet(f"{store}/records/batch=lost")
+    assert stored() == ["gw5.csv"]
+    monkeypatch.setattr(catalog, "MAX_LISTED", 0)
+    put(week(6), "name,minutes\nF_6,6\n")
+    stored()
+    assert catalog.weekly_store(spark, str(tmp_path / "empty"), str(tmp_path / "none")).collect() == [] if (tmp_path / "empty").mkdir() is None else True
+
+
 @pytest.mark.parametrize("encoding", ["UTF-8", "ISO-8859-1", "UTF-16"])
 def test_encodings_of_weekly_files(spark, rows, tmp_path, encoding):
     put(tmp_path / "2018-19" / "gws" / "gw1.csv", "name,größe\nJosé_1,5\n", encoding)

@@ -8,10 +8,11 @@ cells stand in columns of equal width. Formulas are read in order, the parts of
 of drawings the labels come out (``extract`` does so, ``visible_text`` on request).
 
 Not visible are: what is never rendered (head matter other than the title, which is returned by itself,
-scripts, styles, templates, frames, media fall-backs); elements with ``hidden``; with ``display: none`` or
-``visibility: hidden`` in a style attribute or by a simple selector (element, .class, #id) of a style
-element further up; closed ``details`` but for their summary; closed ``dialog``; annotations of formulas;
-titles, descriptions and definitions of drawings, also where the drawing uses them.
+scripts, styles, templates, frames, media fall-backs); elements that the page's style sheets and style
+attributes give ``display: none`` or ``visibility: hidden`` on a screen, by the cascade (see
+:mod:`formline.llm.style_rules`), or that have ``hidden`` and are given no other display; closed ``details`` but for
+their summary; closed ``dialog``; annotations of formulas; titles, descriptions and definitions of drawings, except
+where the drawing uses these.
 
 Defined cases: a null or empty page gives an empty title and text; text without any tag is a paragraph;
 unclosed, misnested or cut-off markup is repaired as the implied end tags allow; rows with a null id and
@@ -24,12 +25,15 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cache
 from html import unescape
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from formline.llm.style_rules import Node, Sheets
+
 # Element classes of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp template".split())
@@ -90,10 +94,8 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
-_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
-_GONE = re.compile(r"display\s*:\s*none", re.IGNORECASE)
-_VISIBILITY = re.compile(r"visibility\s*:\s*(hidden|collapse|visible)", re.IGNORECASE)
-_SIMPLE = re.compile(r"^(?:[a-z][a-z0-9]*|[.#][\w-]+)$")
+#: Uses of definitions inside definitions that a drawing follows.
+MAX_USES = 8
 
 
 @dataclass
@@ -219,6 +221,7 @@ class Element:
     spans: tuple[int, int] = (1, 1)
     count: int = 0
     folded: bool = False
+    node: Node | None = None
 
 
 class Page:
@@ -226,18 +229,44 @@ class Page:
 
     def __init__(self, drawings: bool = False) -> None:
         self.drawings = drawings
-        self.root = Element("", False, False, False, Flow())
+        self.root = Element("", False, False, False, Flow(), node=Node("", {}))
         self.open = [self.root]
+        self.nodes: list[Node] = []  # those of the open elements but the root
         self.flows = [self.root.flow]
         self.tables: list[Element] = []
         self.counts: Counter = Counter()
         self.title = ""
-        self.gone_by: set[str] = set()
-        self.hidden_by: set[str] = set()
+        self.sheets = Sheets()
+        self.html = ""
+        self.uses: list[str] = []
 
     # text and tags
 
     def run(self, html: str) -> tuple[str, str]:
+        self.html = html
+        if "<style" in html or "<STYLE" in html or "<Style" in html:
+            self.read_sheets(html)
+        self.feed(html)
+        while len(self.open) > 1:
+            self.pop()
+        return self.title, "\n".join(self.root.flow.finished()).replace("\xa0", " ")
+
+    def read_sheets(self, html: str) -> None:
+        """All sheets of the page, which hold for what stands before them too."""
+        at = 0
+        while (found := _TOKEN.search(html, at)) is not None:
+            at = found.end()
+            tag = (found[2] or found[4] or "").lower()
+            if tag == "plaintext":
+                break
+            if tag in RAW:
+                close = _closing(tag).search(html, at)
+                if tag == "style":
+                    media = self.attributes(found[3] or found[5] or "").get("media", "")
+                    self.sheets.add(html[at : close.start() if close else len(html)], media)
+                at = close.end() if close else len(html)
+
+    def feed(self, html: str) -> None:
         at, n = 0, len(html)
         while at < n:
             found = _TOKEN.search(html, at)
@@ -256,36 +285,46 @@ class Page:
                 if (attributes or "").endswith("/") and (tag in ("svg", "math") or self.foreign()):
                     if self.open[-1].tag == tag:
                         self.pop()
+                elif tag == "plaintext":
+                    self.text(html[at:].replace("&", "&amp;"))
+                    break
                 elif tag in RAW:
-                    close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.IGNORECASE).search(html, at)
+                    close = _closing(tag).search(html, at)
                     raw = html[at : close.start() if close else n]
                     at = close.end() if close else n
                     self.raw(tag, raw)
-        while len(self.open) > 1:
-            self.pop()
-        return self.title, "\n".join(self.root.flow.finished()).replace("\xa0", " ")
 
     def raw(self, tag: str, text: str) -> None:
         top = self.open[-1]
         if tag == "title" and not self.title and not self.counts["svg"]:
             self.title = _SPACE.sub(" ", unescape(text)).strip()
-        elif tag == "style":
-            self.rules(text)
         elif tag in ("textarea", "xmp") and not (top.gone or top.hidden):
             self.flows[-1].text(unescape(text) if tag == "textarea" else text, keep=True)
         if top.tag == tag:
             self.pop()
 
-    def rules(self, css: str) -> None:
-        for selectors, body in _RULE.findall(css):
-            seen = _VISIBILITY.search(body)
-            for selector in selectors.lower().split(","):
-                selector = selector.strip()
-                if _SIMPLE.match(selector):
-                    if _GONE.search(body):
-                        self.gone_by.add(selector)
-                    if seen and seen[1].lower() != "visible":
-                        self.hidden_by.add(selector)
+    def used(self, target: str) -> None:
+        """Draws the definition that a drawing uses, once per chain of uses."""
+        if target in self.uses or len(self.uses) >= MAX_USES:
+            return
+        mark = re.escape(target)
+        found = re.search(rf"<([a-zA-Z][^\s/>]*)(?=[^>]*?\sid\s*=\s*(?:\"{mark}\"|'{mark}'|{mark}[\s/>]))[^>]*>", self.html)
+        if found is None or found[0].endswith("/>"):
+            return
+        tag, depth, end = found[1], 1, len(self.html)
+        for m in re.finditer(rf"<(/?){re.escape(tag)}(?=[\s/>])[^>]*?(/?)>", self.html[found.end() :], re.IGNORECASE):
+            depth += -1 if m[1] else 0 if m[2] else 1
+            if not depth:
+                end = found.end() + (m.start() if tag.lower() == "symbol" else m.end())
+                break
+        self.uses.append(target)
+        open_before = len(self.open)
+        hidden_parts = {t: self.counts.pop(t, 0) for t in SVG_UNSEEN}
+        self.feed(self.html[found.end() if tag.lower() == "symbol" else found.start() : end])
+        while len(self.open) > open_before:
+            self.pop()
+        self.counts.update(hidden_parts)
+        self.uses.pop()
 
     def foreign(self) -> bool:
         """Whether a start tag is read as part of a formula or drawing."""
@@ -332,10 +371,18 @@ class Page:
         if tag in TABLE_PARTS and not self.tables:
             tag = "div"  # parts of no table
         keeps = parent.pre or tag in ("pre", "xmp", "textarea")
-        element = Element(tag, *self.visibility(tag, attributes, parent), keeps)
+        node = Node(tag, attributes)
+        if self.sheets.siblings and parent.node is not None:
+            node.family, node.place = parent.node.children, len(parent.node.children)
+            node.family.append(node)
+        element = Element(tag, *self.visibility(tag, node, parent), keeps or tag == "plaintext", node=node)
         apart = tag in SVG_TEXT and self.counts["svg"] or parent.tag in MATH_APART
         if apart and not (element.gone or element.hidden):
             self.flows[-1].text(" ", keep=False)
+        if tag == "use" and self.drawings and self.counts["svg"] and not (element.gone or element.hidden):
+            target = attributes.get("href", attributes.get("xlink:href", ""))
+            if target.startswith("#") and len(target) > 1:
+                self.used(target[1:])
         if tag == "br":
             if not (element.gone or element.hidden):
                 self.flows[-1].end_line(empty=True)
@@ -368,6 +415,7 @@ class Page:
         if tag == "ol":
             element.count = self.number(attributes.get("start"), 1, None) - 1
         self.open.append(element)
+        self.nodes.append(node)
         self.counts[tag] += 1
 
     def end(self, tag: str) -> None:
@@ -396,6 +444,7 @@ class Page:
 
     def pop(self) -> None:
         element = self.open.pop()
+        self.nodes.pop()
         tag = element.tag
         self.counts[tag] -= 1
         apart = tag in SVG_TEXT and self.counts["svg"] or tag in MATH_APART
@@ -461,8 +510,9 @@ class Page:
                 return f"{outer.count}. "
         return "- "
 
-    def visibility(self, tag: str, attributes: dict[str, str], parent: Element) -> tuple[bool, bool]:
+    def visibility(self, tag: str, node: Node, parent: Element) -> tuple[bool, bool]:
         """Whether an element takes no part in the layout, and whether its text is invisible."""
+        attributes = node.attributes
         gone = parent.gone or tag in UNSEEN or parent.folded and tag != "summary"
         hidden = parent.hidden
         if not gone:
@@ -470,26 +520,30 @@ class Page:
                 tag == "svg" and not self.drawings
                 or tag in SVG_UNSEEN and self.counts["svg"] > 0
                 or tag in MATH_UNSEEN and self.counts["math"] > 0
+                or tag == "input" and attributes.get("type", "").lower() == "hidden"
             )
-        if attributes and not gone:
-            if "hidden" in attributes or tag == "input" and attributes.get("type") == "hidden":
-                gone = True
-            style = attributes.get("style", "")
-            if style:
-                gone = gone or bool(_GONE.search(style))
-                seen = _VISIBILITY.search(style)
-                if seen:
-                    hidden = seen[1].lower() != "visible"
-        if tag == "dialog" and "open" not in attributes:
-            gone = True
-        if (self.gone_by or self.hidden_by) and not gone:
-            classes = attributes.get("class", "").lower().split()
-            names = {tag, "#" + attributes.get("id", "").lower(), *("." + c for c in classes)}
-            gone = bool(names & self.gone_by)
-            hidden = hidden or bool(names & self.hidden_by)
+        if gone:
+            return True, hidden
+        told: dict[str, str] = {}
+        if self.sheets.by_key or "style" in attributes:
+            told = self.sheets.told(node, self.nodes, attributes.get("style", ""))
+        if "display" in told:
+            gone = told["display"] == "none"
+        else:
+            gone = "hidden" in attributes or tag == "dialog" and "open" not in attributes
+        seen = told.get("visibility", "inherit")
+        if seen in ("hidden", "collapse"):
+            hidden = True
+        elif seen in ("visible", "initial"):
+            hidden = False
         return gone, hidden
 
 
+@cache
+def _closing(tag: str) -> re.Pattern:
+    return re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.IGNORECASE)
+
+
 def visible_text(html: str | None, drawings: bool = False) -> tuple[str, str]:
     """Title and laid-out visible text of a page, with or without the labels of SVG drawings."""
     return Page(drawings).run(html) if html else ("", "")

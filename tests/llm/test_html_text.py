@@ -82,7 +82,7 @@ def test_layout(html):
 
 INVISIBLE = [
     "<p hidden>no</p>yes", "<div style='color:red; display : NONE'>no<p>no</div>yes", "<input type=hidden value=no>yes",
-    "<style>.x , aside{display:none}</style><aside>no</aside><p class='a X'>no</p>yes",
+    "<style>.x , aside{display:none}</style><aside>no</aside><p class='a x'>no</p>yes",
     "<style>#i{visibility:hidden}</style><p id=i>no<u style='visibility:visible'>yes</u></p>",
     "<script>if (a<b) '</p>no'</script>yes<script>no", "<template><p>no</template><noscript>no</noscript>yes",
     "<details><summary>yes</summary>no<p>no</p></details>", "<dialog>no</dialog><details open><dialog open>yes</dialog></details>",
@@ -96,6 +96,84 @@ def test_visibility(html):
     assert visible_text(html)[1].removeprefix("- ") == "yes"
 
 
+#: Pages and what a browser shows of them on a screen, written down by hand.
+STYLED = {
+    "<style>@media print{.c{display:none}}</style><p class=c>shown": "shown",
+    "<style>@media screen{.c{display:none}}</style><p class=c>not</p>shown": "shown",
+    "<style>@media screen and (max-width:600px){.c{display:none}}</style><p class=c>shown": "shown",
+    "<style>@media (min-width:40em) and (orientation:landscape){.c{display:none}}</style><p class=c>not</p>shown": "shown",
+    "<style>@media not print{.c{display:none}}</style><p class=c>not</p>shown": "shown",
+    "<style>@media print, (width >= 600px){.c{display:none}}</style><p class=c>not</p>shown": "shown",
+    "<style>@media (aspect-ratio > 1/1){.c{display:none}}</style><p class=c>shown": "shown",
+    "<style media=print>.c{display:none}</style><p class=c>shown": "shown",
+    "<style>.c{display:none} .c{display:block}</style><p class=c>shown": "shown",
+    "<style>.c{display:block} .c{display:none}</style><p class=c>not</p>shown": "shown",
+    "<style>.c{display:none}</style><p class=c style='display:block'>shown": "shown",
+    "<style>.c{display:none!important}</style><p class=c style='display:block'>not</p>shown": "shown",
+    "<style>.c{display:none!important}</style><p class=c style='display:block !important'>shown": "shown",
+    "<style>.Menu{display:none}</style><p class=menu>shown": "shown",
+    "<style>P{display:none}</style><p>not</p>shown": "shown",
+    "<style>#a{display:block} p.c{display:none}</style><p id=a class=c>shown": "shown",
+    "<style>p.c{display:block} .c{display:none}</style><p class=c>shown": "shown",
+    "<style>.c{visibility:hidden}</style><p class=c style='visibility:visible'>shown": "shown",
+    "<style>.c{visibility:hidden} .c b{visibility:visible}</style><p class=c>not <b>shown</b>": "shown",
+    "<p class=c>not</p>shown<style>.c{display:none}</style>": "shown",
+    "<style>div > p{display:none}</style><div><p>not</p><section><p>shown</section></div>": "shown",
+    "<style>.a .b{display:none}</style><p class=b>shown</p><div class=a><i><u class=b>not</u></i></div>": "shown",
+    "<style>h1 + p{display:none}</style><h1>one</h1><p>not</p><p>two": "one two",
+    "<style>h1 ~ p{display:none}</style><p>one</p><h1>two</h1><i></i><p>not": "one two",
+    "<style>p:first-child{display:none}</style><div><p>not</p><p>shown</div>": "shown",
+    "<style>p:not(.c){display:none}</style><p>not</p><p class=c>shown": "shown",
+    "<style>:is(.a,.b) i{display:none}</style><p class=b>one <i>not</i></p><i>two": "one two",
+    "<style>p:hover,p:nth-child(2),p::before,p:unheard-of{display:none}</style><p>one<p>two": "one two",
+    "<style>[data-x='1']{display:none}[href^=http]{display:none}</style><p data-x=1>not</p><a href=https://x>not</a><p data-x=2>shown": "shown",
+    "<style>.sm\\:x{display:none}</style><p class='sm:x'>not</p>shown": "shown",
+    "<style>/* .c{display:none} */ .d{content:'} .c{display:none}'}</style><p class=c>shown": "shown",
+    "<style>.c{color:red;display:none;}}.d{display:none}</style><p class=c>not</p>shown": "shown",
+    "<style>@font-face{font-family:x}@keyframes k{from{display:none}}@import 'a.css';.d{display:none}</style><p class=d>not</p>shown": "shown",
+    "<style>@layer a{.c{display:none}}.c{display:block}</style><p class=c>shown": "shown",
+    "<style>@layer a,b;@layer b{.c{display:block}}@layer a{.c{display:none}}</style><p class=c>shown": "shown",
+    "<style>@layer a{.c{display:none!important}}.c{display:block!important}</style><p class=c>not</p>shown": "shown",
+    "<style>@supports (display:grid){.c{display:none}}@supports not (display:grid){.d{display:none}}</style><p class=c>not</p><p class=d>shown": "shown",
+    "<style>@container (width > 1px){.c{display:none}}</style><p class=c>shown": "shown",
+    "<style>[hidden]{display:block}</style><p hidden>shown": "shown",
+    "<p hidden style='display:inline'>shown": "shown",
+    "<style>.c{display:block;&.d{display:none}}</style><p class='c d'>shown": "shown",
+    "<script>'<style>p{display:none}</style>'</script><!--<style>p{display:none}</style>--><p>shown": "shown",
+    "<style>p{display:none": "",
+    "shown<plaintext><b>as it &amp; is</b>": "shown<b>as it &amp; is</b>",
+}
+
+
+@pytest.mark.parametrize("html", STYLED)
+def test_style_sheets(html):
+    assert " ".join(visible_text(html)[1].split()) == STYLED[html]
+
+
+USED = {
+    "<svg><defs><text id=t>label</text></defs><use href='#t'/></svg>": "label",
+    "<svg><symbol id='s'><text>one</text><title>no</title></symbol><use xlink:href='#s'></use><use href='#s'/></svg>": "one one",
+    "<svg><defs><g id=a><text>in <tspan>g</tspan></text></g><text id=b>no</text></defs><text>x</text><use href=#a /></svg>end": "x in g end",
+    "<svg><defs><g id=a><use href='#b'/></g><g id=b><text>deep</text><use href='#a'/></g></defs><use href='#a'/></svg>": "deep",
+    "<svg><defs><text id=t>no</text></defs><use href='#missing'/><g style='display:none'><use href='#t'/></g></svg>yes": "yes",
+}
+
+
+@pytest.mark.parametrize("html", USED)
+def test_drawings_show_what_they_use(html):
+    assert " ".join(visible_text(html, drawings=True)[1].split()) == USED[html]
+
+
+def test_many_rules_and_deep_pages_are_read_in_time():
+    start = time.time()
+    rules = "".join(f".r{i} > .s{i} p, #t{i}{{display:none}}" for i in range(300))
+    page = f"<style>{rules}</style>" + "".join(f"<div class=r{i}><div class=s{i}><p>no</p></div><p id=u{i}>w{i}</p></div>" for i in range(300))
+    assert visible_text(page)[1].split() == [f"w{i}" for i in range(300)]
+    assert visible_text("<style>a b c d{display:none}</style>" + "<b>" * 2000 + "x")[1] == "x"
+    assert visible_text("<style>" + "@media screen{" * 5000 + "p{display:none}</style><p>x")[1] == "x"
+    assert time.time() - start < 20
+
+
 FOREIGN = {
     "<p>so <math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac></math> holds": "so x= 1 2 holds",
     "<math><semantics><mi>E</mi><annotation>no</annotation></semantics></math>yes": "Eyes",

@@ -1,19 +1,24 @@
-"""Scores texts with an interpolated modified Kneser-Ney bigram model.
+"""Scores texts with an interpolated modified Kneser-Ney model of two or three words.
 
 The model is counted in Spark and stored as sorted hash arrays in the shared folder, which workers map
 into memory; no worker reads it whole and nothing of it passes through the driver but one row per
-file. Steps:
+file. Steps of the model of three words:
 
 1. Word counts of the training texts, kept sorted by 64-bit word hash. A word's number is its place.
-2. Pair counts, kept sorted by (number before, number) in parts dealt by a hash of the word before;
-   a word so frequent that it would weigh a part down is dealt by the pair instead.
-3. Per word, as a context: its total and how many of its pairs occur once, twice, more often; as a
+2. Triples (u, v, w) are counted, partial sums made before the shuffle, in parts dealt by a hash of the middle
+   word; a word so frequent that it would weigh a part down is dealt by (u, v) instead. A part keeps, sorted, its
+   middle words, the words u before each, and the words w after each pair with their counts; and the sums of the
+   pairs with many successors.
+3. From the distinct triples, how many different words precede each pair (v, w): kept sorted by (v, w) in parts
+   dealt by a hash of v, or of the pair where v is frequent. (In the model of two words: how often pairs occur.)
+4. Per word, as a context: its total and how many of its pairs count one, two, more; as a
    continuation: how many different words precede it. Partial sums are made before the shuffle.
-4. Scoring: p(w|v) = max(c(vw) - D, 0) / c(v) + spare(v) p(w); p(w) from continuation counts,
-   interpolated with 1 / (V + 1). The discounts of both orders come from counts of counts.
+5. Scoring: p(w|uv) = max(c(uvw) - D, 0) / c(uv) + spare(uv) p(w|v), p(w|v) likewise from the counts of step 3 over
+   p(w), and p(w) from continuation counts, interpolated with 1 / (V + 1). Each order has its own three
+   discounts, from its counts of counts. An unseen context leaves the word to the shorter one.
 
-Texts are lower-cased (A-Z), words are runs without ASCII white space, one end follows. The first
-word's context is a start that is no token. Rows whose crc32 of the id mod 5 is 1 are held out.
+Texts are lower-cased (A-Z), words are runs without ASCII white space, one end follows. Before the first
+word stand starts, which are no tokens. Rows whose crc32 of the id mod 5 is 1 are held out.
 
 Defined cases: a null or empty text is just its end; a null id is held out; repeated rows count as often
 as they occur; without training rows every probability is that of an unknown word; an empty table gives
@@ -47,6 +52,10 @@ FLUSH_WORDS = 500_000
 #: Words whose numbers a worker remembers before it starts afresh.
 CACHE_WORDS = 300_000
 HOT_SHARE = 8
+#: Bits of a number that holds a triple.
+TRIPLE_BITS = 64
+#: Successors of a pair up to which its sums are made when they are asked for.
+SHORT_LIST = 8
 
 
 def held_out(doc_id) -> F.Column:
@@ -121,6 +130,8 @@ class Model:
     tokens: int = 0
     words: int = 0
     bases: list[int] = field(default_factory=list)
+    order: int = 2
+    triple_discounts: tuple[float, float, float] = (0.0, 0.0, 0.0)
     pair_discounts: tuple[float, float, float] = (0.0, 0.0, 0.0)
     word_discounts: tuple[float, float, float] = (0.0, 0.0, 0.0)
     continuations: int = 0
@@ -206,6 +217,67 @@ class Reader:
         return out
 
 
+    def triples(self, u: np.ndarray, v: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Counts of triples in the order of (v, u, w), the totals of their contexts (u, v), and how many of
+        these contexts' successors count one, two, more."""
+        counts, totals = np.zeros(len(w), np.int64), np.zeros(len(w), np.int64)
+        kinds = np.zeros((len(w), 3), np.int64)
+        known = np.flatnonzero((u >= 0) & (v >= 0))
+        for part, rows in self._by_part(self.model.part_of_pair(v[known], u[known], self.is_hot(v[known]))):
+            rows = known[rows]
+            arrays = [self.array(name, part) for name in ("middle", "middles", "left", "lefts", "right", "seen", "long", "sums")]
+            middle, middles, left, lefts, right, seen, long, sums = arrays
+            if not len(middle):
+                continue
+            place = np.minimum(np.searchsorted(middle, v[rows]), len(middle) - 1)
+            rows, place = (x[middle[place] == v[rows]] for x in (rows, place))
+            context = _within(left, middles[place], middles[place + 1], u[rows])
+            rows, context = rows[context >= 0], context[context >= 0]
+            if not len(rows):
+                continue
+            found = _within(right, lefts[context], lefts[context + 1], w[rows])
+            counts[rows] = np.where(found >= 0, seen[np.maximum(found, 0)], 0)
+            # what neighbours share is summed up once
+            first = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
+            each = np.diff(np.append(first, len(rows)))
+            t, k = _context_sums(context[first], lefts, seen, long, sums)
+            totals[rows], kinds[rows] = np.repeat(t, each), np.repeat(k, each, axis=0)
+        return counts, totals, kinds
+
+
+def _within(values: np.ndarray, low: np.ndarray, high: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Place of each wanted number in its stretch of sorted ``values``, -1 where it is not there."""
+    low, high = low.astype(np.int64), high.astype(np.int64)
+    end, active = high.copy(), np.flatnonzero(low < high)
+    while len(active):
+        middle = (low[active] + high[active]) >> 1
+        less = values[middle] < wanted[active]
+        low[active] = np.where(less, middle + 1, low[active])
+        high[active] = np.where(less, high[active], middle)
+        active = active[low[active] < high[active]]
+    there = low < end
+    there[there] = values[low[there]] == wanted[there]
+    return np.where(there, low, -1)
+
+
+def _context_sums(
+    context: np.ndarray, lefts: np.ndarray, seen: np.ndarray, long: np.ndarray, sums: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Total, and successors that count one, two, more, of the contexts of one part."""
+    start, size = lefts[context].astype(np.int64), np.diff(np.stack([lefts[context], lefts[context + 1]]).astype(np.int64), axis=0)[0]
+    out = np.zeros((len(context), 4), np.int64)
+    many = np.flatnonzero(size > SHORT_LIST)
+    out[many] = sums[np.searchsorted(long, context[many])]
+    few = np.flatnonzero(size <= SHORT_LIST)
+    if len(few):
+        ends = np.cumsum(size[few])
+        at = np.arange(ends[-1]) + np.repeat(start[few] - ends + size[few], size[few])
+        c = seen[at].astype(np.int64)
+        for k, x in enumerate((c, c == 1, c == 2, c >= 3)):
+            out[few, k] = np.add.reduceat(x, ends - size[few], dtype=np.int64)
+    return out[:, 0], out[:, 1:]
+
+
 def _reader(model: Model) -> Reader:
     """One reader per worker and model."""
     held = memory_of(__name__)
@@ -214,6 +286,11 @@ def _reader(model: Model) -> Reader:
     return held[0]
 
 
+def _smallest(values: np.ndarray) -> np.ndarray:
+    """Counts in as few bytes as the largest needs."""
+    return values.astype(np.min_scalar_type(int(values.max()) if len(values) else 0))
+
+
 def _lines(reader: Reader, tokens: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Numbers of all tokens, of the tokens before them, and each text's first place."""
     sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
@@ -273,10 +350,9 @@ def _discounts(n: list[int]) -> tuple[float, float, float]:
     return tuple(float(min(max(d, 0.05 * k), 0.95 * k)) for k, d in zip((1, 2, 3), raw, strict=True))
 
 
-def count_pairs(texts: DataFrame, model: Model) -> None:
-    """Steps 2 and 3 over the column ``text``; sets discounts and continuation totals."""
-    vocabulary = Model(model.folder, model.parts, model.tokens, model.words, model.bases)
-    width = np.uint64(model.words + 1)
+def _gathered_pairs(texts: DataFrame, vocabulary: Model) -> DataFrame:
+    """(part, data): pairs of neighbouring words and how often they occur, partly added up."""
+    width = np.uint64(vocabulary.words + 1)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = _reader(vocabulary)
@@ -301,6 +377,105 @@ def count_pairs(texts: DataFrame, model: Model) -> None:
         if size:
             yield from passed_on()
 
+    return texts.mapInArrow(gather, "part int, data binary")
+
+
+def _counted_triples(texts: DataFrame, vocabulary: Model) -> DataFrame:
+    """Steps 2 and 3: stores the triples; (part, data): pairs and how many words precede them, partly added up."""
+    width = np.uint64(vocabulary.words + 1)
+    # a triple is one number where three words fit into 64 bits, else a pair and a word
+    single = (vocabulary.words + 1) ** 3 < 2**TRIPLE_BITS
+    types = (np.uint64, np.uint32) if single else (np.uint64, np.uint64, np.uint32)
+
+    def summed(columns: list[np.ndarray]) -> list[np.ndarray]:
+        *keys, counts = columns
+        order = np.argsort(keys[0], kind="stable") if single else np.lexsort(keys[::-1])
+        keys = [k[order] for k in keys]
+        fresh = np.zeros(len(order), bool)
+        fresh[:1] = True
+        for k in keys:
+            fresh[1:] |= k[1:] != k[:-1]
+        first = np.flatnonzero(fresh)
+        return [*(k[first] for k in keys), np.add.reduceat(counts[order], first, dtype=np.uint64).astype(np.uint32)]
+
+    def parted(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(v, u, w) of triples."""
+        pair, w = np.divmod(keys[0], width) if single else keys
+        v, u = np.divmod(pair, width)
+        return v.astype(np.int64), u.astype(np.int64), w.astype(np.int64)
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = _reader(vocabulary)
+        held: list[list[np.ndarray]] = []
+        size = 0
+
+        def passed_on() -> Iterator[pa.RecordBatch]:
+            *keys, counts = summed([np.concatenate(c) for c in zip(*held, strict=True)])
+            held.clear()
+            v, u, _ = parted(keys)
+            parts = vocabulary.part_of_pair(v, u, reader.is_hot(v))
+            del v, u
+            yield from _rows(_dealt(parts, vocabulary.parts, *keys, counts))
+
+        for _, raw in steps(batches, "text"):
+            numbers, before, first = _lines(reader, _tokens(raw))
+            earlier = np.concatenate([[0], before[:-1]])
+            earlier[first] = vocabulary.words
+            pair = before.astype(np.uint64) * width + earlier.astype(np.uint64)
+            w = numbers.astype(np.uint64)
+            ones = np.ones(len(w), np.uint32)
+            held.append([pair * width + w, ones] if single else [pair, w, ones])
+            size += len(numbers)
+            if size >= FLUSH_PAIRS:
+                yield from passed_on()
+                size = 0
+        if size:
+            yield from passed_on()
+
+    def store(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        part = key[0].as_py()
+        blobs = [_unpack(raw, *types) for raw in table.column("data").to_pylist()]
+        *keys, counts = summed([np.concatenate(c) for c in zip(*blobs, strict=True)])
+        del blobs
+        v, u, w = parted(keys)
+        del keys
+        new = np.concatenate([[True], (v[1:] != v[:-1]) | (u[1:] != u[:-1])])
+        starts = np.flatnonzero(new)  # of contexts
+        of_middle = np.flatnonzero(np.concatenate([[True], v[starts][1:] != v[starts][:-1]]))
+        sizes = np.diff(np.append(starts, len(v)))
+        long = np.flatnonzero(sizes > SHORT_LIST)
+        sums = np.stack(
+            [np.add.reduceat(x, starts, dtype=np.int64)[long] for x in (counts, counts == 1, counts == 2, counts >= 3)], axis=1
+        )
+        small = _smallest(np.array([vocabulary.words])).dtype
+        for name, array in (
+            ("middle", v[starts[of_middle]].astype(small)),
+            ("middles", _smallest(np.append(of_middle, len(starts)))),
+            ("left", u[starts].astype(small)),
+            ("lefts", _smallest(np.append(starts, len(v)))),
+            ("right", w.astype(small)),
+            ("seen", _smallest(counts)),
+            ("long", _smallest(long)),
+            ("sums", sums),
+            ("times3", np.array([(counts == k).sum() for k in (1, 2, 3, 4)], np.int64)),
+        ):
+            _save(f"{vocabulary.folder}/{name}-{part:05d}.npy", array)
+        pairs, preceded = np.unique(v.astype(np.uint64) * width + w.astype(np.uint64), return_counts=True)
+        del v, u, w
+        before, number = (x.astype(np.int64) for x in np.divmod(pairs, width))
+        parts = vocabulary.part_of_pair(before, number, _reader(vocabulary).is_hot(before))
+        rows = list(_dealt(parts, vocabulary.parts, pairs, preceded.astype(np.uint64)))
+        return pa.table({"part": pa.array([p for p, _ in rows], pa.int32()), "data": pa.array([d for _, d in rows], pa.binary())})
+
+    triples = texts.mapInArrow(gather, "part int, data binary")
+    return triples.groupBy("part").applyInArrow(store, "part int, data binary")
+
+
+def count_pairs(texts: DataFrame, model: Model) -> None:
+    """Steps 2 to 4 over the column ``text``; sets discounts and continuation totals."""
+    vocabulary = Model(model.folder, model.parts, model.tokens, model.words, model.bases, model.order)
+    width = np.uint64(model.words + 1)
+
     def store(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         part = key[0].as_py()
         blobs = [_unpack(raw, np.uint64, np.uint64) for raw in table.column("data").to_pylist()]
@@ -361,7 +536,7 @@ def count_pairs(texts: DataFrame, model: Model) -> None:
             result["counts"] = [[*(int((follows == k).sum()) for k in (1, 2, 3, 4)), int((follows >= 3).sum())]]
         return pa.table(result)
 
-    pairs = texts.mapInArrow(gather, "part int, data binary")
+    pairs = _counted_triples(texts, vocabulary) if model.order == 3 else _gathered_pairs(texts, vocabulary)
     stored = pairs.groupBy("part").applyInArrow(store, "kind string, part int, data binary")
     rows = stored.groupBy("part").applyInArrow(settle, "part bigint, follows bigint, counts array<bigint>").collect()
     words = np.zeros(5, np.int64)
@@ -380,6 +555,16 @@ def count_pairs(texts: DataFrame, model: Model) -> None:
             _fill(model, name, part, np.zeros(0, empty))
         _fill(model, "kinds", part, np.zeros((0, 3), np.uint64))
     _fill(model, "start", 0, np.zeros(4, np.int64))
+    if model.order == 3:
+        times = np.zeros(4, np.int64)
+        for part in range(model.parts):
+            for name in ("middle", "left", "right", "seen", "long"):
+                _fill(model, name, part, np.zeros(0, np.uint64))
+            for name, empty in (("middles", np.zeros(1, np.uint8)), ("lefts", np.zeros(1, np.uint8)), ("sums", np.zeros((0, 4), np.int64))):
+                _fill(model, name, part, empty)
+            _fill(model, "times3", part, np.zeros(4, np.int64))
+            times += np.load(f"{model.folder}/times3-{part:05d}.npy")
+        model.triple_discounts = _discounts(times.tolist())
 
 
 def _fill(model: Model, name: str, part: int, empty: np.ndarray) -> None:
@@ -388,11 +573,13 @@ def _fill(model: Model, name: str, part: int, empty: np.ndarray) -> None:
         _save(path, empty)
 
 
-def fit(texts: DataFrame, parts: int | None = None) -> Model:
+def fit(texts: DataFrame, parts: int | None = None, order: int = 3) -> Model:
     """A model of the whole column ``text``, in ``parts`` files of each kind (default: shuffle partitions)."""
+    if order not in (2, 3):
+        raise ValueError("models have an order of 2 or 3")
     spark = texts.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    model = Model(model_folder(spark), parts)
+    model = Model(model_folder(spark), parts, order=order)
     count_words(texts, model)
     if (model.words + 1) ** 2 >= 2**64:
         raise ValueError("too many distinct words for pairs of 64 bits")
@@ -400,10 +587,12 @@ def fit(texts: DataFrame, parts: int | None = None) -> Model:
     return model
 
 
-def log_probabilities(reader: Reader, numbers: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Training counts of the words, and log10 p(word | word before), for numbers as ``_lines`` gives them.
+def log_probabilities(
+    reader: Reader, numbers: np.ndarray, before: np.ndarray, earlier: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Training counts of the words, and log10 p(word | words before), for numbers as ``_lines`` gives them.
 
-    Each distinct word and pair is looked up once.
+    Each distinct word, pair and triple is looked up once; ``earlier`` is the word before the one before.
     """
     model = reader.model
     n_words = model.words
@@ -427,7 +616,20 @@ def log_probabilities(reader: Reader, numbers: np.ndarray, before: np.ndarray) -
     pairs, pair = np.unique(context * len(words) + word, return_inverse=True)
     c, w = np.divmod(pairs, len(words))
     paired = cut(reader.pair_counts(words[c], words[w]), model.pair_discounts) / whole[c] + spare[c] * single[w]
-    return reader.per_word("count", real)[word], np.log10(paired)[pair]
+    counts = reader.per_word("count", real)[word]
+    if model.order == 2:
+        return counts, np.log10(paired)[pair]
+    # in the order of (word before, word before that, word), as triples are stored
+    place = np.searchsorted(words, earlier)
+    triples, triple = np.unique((context * (len(words) + 1) + place) * len(words) + word, return_inverse=True)
+    rest, w = np.divmod(triples, len(words))
+    c, e = np.divmod(rest, len(words) + 1)
+    often, total, kinds = reader.triples(words[e], words[c], words[w])
+    seen = total > 0
+    whole = np.where(seen, total, 1)
+    spare = np.where(seen, kinds @ np.array(model.triple_discounts) / whole, 1.0)
+    backed = paired[np.searchsorted(pairs, c * len(words) + w)]
+    return counts, np.log10(cut(often, model.triple_discounts) / whole + spare * backed)[triple]
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -441,7 +643,9 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         reader = _reader(model)
         for batch, raw in steps(batches, "text"):
             numbers, before, first = _lines(reader, _tokens(raw))
-            counts, scores = log_probabilities(reader, numbers, before)
+            earlier = np.concatenate([[0], before[:-1]])
+            earlier[first] = model.words
+            counts, scores = log_probabilities(reader, numbers, before, earlier)
             sums = [
                 np.add.reduceat(x, first)
                 for x in (
@@ -468,8 +672,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def train_and_score(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", parts: int | None = None
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", parts: int | None = None, order: int = 3
 ) -> DataFrame:
     """Learns from the rows of ``docs`` that are not held out and scores all of them."""
-    model = fit(docs.where(~held_out(F.col(id_col))).select(F.col(text_col).alias("text")), parts)
+    model = fit(docs.where(~held_out(F.col(id_col))).select(F.col(text_col).alias("text")), parts, order)
     return score(docs, model, id_col, text_col)

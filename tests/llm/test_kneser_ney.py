@@ -8,48 +8,44 @@ from pyspark.sql import functions as F
 from formline.llm import kneser_ney as K
 
 
-def brute(rows):
+def brute(rows, order=3):
     """The model, straight from its definition, over dictionaries."""
 
     def tokens(text):
         return (text or "").encode().lower().split() + [None]
 
     held = {i: i is None or zlib.crc32(str(i).encode()) % 5 == 1 for i, _ in rows}
-    words, pairs = Counter(), Counter()
+    words, grams = Counter(), [None, Counter(), Counter(), Counter()]
     for i, text in rows:
         if not held[i]:
             t = tokens(text)
             words.update(t)
-            pairs.update(zip(["start"] + t, t))
+            padded = ["start"] * (order - 1) + t
+            grams[order].update(zip(*(padded[k:] for k in range(order)), strict=False))
+    for k in range(order - 1, 0, -1):  # how many different words precede
+        grams[k] = Counter(g[1:] for g in grams[k + 1])
     n, v = sum(words.values()), len(words)
-
-    def discounts(counts):
-        k = [sum(c == j for c in counts) for j in (1, 2, 3, 4)]
-        return K._discounts(k)
-
-    d2 = discounts(pairs.values())
-    follows = Counter(w for _, w in pairs)
-    d1 = discounts(follows.values())
-    every = sum(follows.values())
-    spare1 = sum(d1[min(c, 3) - 1] for c in follows.values()) / every if every else 1.0
+    discounts = [None] + [K._discounts([sum(c == j for c in g.values()) for j in (1, 2, 3, 4)]) for g in grams[1:]]
     total, mass = Counter(), defaultdict(float)
-    for (a, _), c in pairs.items():
-        total[a] += c
-        mass[a] += d2[min(c, 3) - 1]
-
-    def p(before, w):
-        c = follows.get(w, 0)
-        one = spare1 / (v + 1) + (max(c - (d1[min(c, 3) - 1] if c else 0), 0) / every if every else 0)
-        if not total[before]:
-            return one
-        c = pairs.get((before, w), 0)
-        return max(c - (d2[min(c, 3) - 1] if c else 0), 0) / total[before] + mass[before] / total[before] * one
+    for k in range(1, order + 1):
+        for g, c in grams[k].items():
+            total[g[:-1]] += c
+            mass[g[:-1]] += discounts[k][min(c, 3) - 1]
+
+    def p(context, w):
+        shorter = p(context[1:], w) if context else 1 / (v + 1)
+        if not total[context]:
+            return shorter
+        k = len(context) + 1
+        c = grams[k].get((*context, w), 0)
+        return max(c - (discounts[k][min(c, 3) - 1] if c else 0), 0) / total[context] + mass[context] / total[context] * shorter
 
     out = []
     for i, text in rows:
         t = tokens(text)
         base = sum(math.log10((words[w] + 0.5) / (n + 0.5 * (v + 1))) for w in t)
-        score = sum(math.log10(p(a, w)) for a, w in zip(["start"] + t, t))
+        padded = ["start"] * (order - 1) + t
+        score = sum(math.log10(p(tuple(padded[k : k + order - 1]), padded[k + order - 1])) for k in range(len(t)))
         out.append((i, held[i], len(t), sum(words[w] > 0 for w in t), n, base, score))
     return out, p, words
 
@@ -62,21 +58,44 @@ def same(got, want):
         assert a[5:7] == pytest.approx(b[5:7], rel=1e-9)
 
 
-def test_equals_brute_force_on_a_whole_table(spark, sf_dir):
+@pytest.mark.parametrize("order", [2, 3])
+def test_equals_brute_force_on_a_whole_table(spark, sf_dir, order):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
-    want, p, words = brute(rows)
-    same(K.train_and_score(docs, parts=3), want)
-    assert sum(p(b"the", w) for w in words) + p(b"the", b"never seen") == pytest.approx(1.0)
+    want, p, words = brute(rows, order)
+    same(K.train_and_score(docs, parts=3, order=order), want)
+    # over all words and an unknown one, after histories seen, half seen and unseen
+    for history in ((b"of", b"the"), (b"never seen", b"the"), (b"the", b"never seen"), ("start", "start")):
+        assert sum(p(history[3 - order :], w) for w in words) + p(history[3 - order :], b"zzz") == pytest.approx(1.0)
     held = [(r[5], r[6]) for r in want if r[1]]
     assert sum(s for _, s in held) > sum(b for b, _ in held)
 
 
-def test_hot_words_are_dealt_by_pairs(make_docs, monkeypatch):
+def test_more_context_predicts_better(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+
+    def perplexity(order):
+        held = K.train_and_score(docs, order=order).where("held_out").agg(F.sum("score"), F.sum("n_tokens")).first()
+        return 10 ** (-held[0] / held[1])
+
+    assert perplexity(3) < perplexity(2) < 2700
+
+
+def test_order_is_two_or_three(make_docs):
+    with pytest.raises(ValueError):
+        K.fit(make_docs([(2, "a")]).select("text"), order=4)
+
+
+@pytest.mark.parametrize("single", [True, False])
+def test_hot_words_are_dealt_by_pairs(make_docs, monkeypatch, single):
     monkeypatch.setattr(K, "FLUSH_PAIRS", 50)
     monkeypatch.setattr(K, "FLUSH_WORDS", 5)
+    monkeypatch.setattr(K, "SHORT_LIST", 2)
+    if not single:
+        monkeypatch.setattr(K, "TRIPLE_BITS", 0)
     rows = [(i, " ".join(f"the W{(i * j) % 23}" for j in range(20))) for i in range(60)]
-    same(K.train_and_score(make_docs(rows), parts=5), brute(rows)[0])
+    for order in (2, 3):
+        same(K.train_and_score(make_docs(rows), parts=5, order=order), brute(rows, order)[0])
 
 
 def test_odd_rows(make_docs):

@@ -2,7 +2,8 @@
 
 The benchmark items are indexed, the training passages are the queries. A text's words are laid into
 blocks of ``STRIDE``; a passage is as many neighbouring blocks as the longest item of the whole benchmark can
-touch, however the benchmark is sliced, and there is one passage per block, so every item that stands in a text stands whole in some passage.
+touch, also if 1 - ``similarity`` of its number of words were put in, however the benchmark is sliced. There is one
+passage per block, so every item that stands in a text, altered as far as that, stands whole in some passage.
 
 * Impacts are BM25 weights divided by what an item's weights must at least add up to. A passage
   that holds ``similarity`` of an item's m shingles lacks at most (1 - similarity) m of its words, so
@@ -25,17 +26,22 @@ repeat an id are reported once; an empty table or benchmark gives an empty resul
 
 from __future__ import annotations
 
+import os
+import pickle
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain, repeat
+from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from formline.llm.common import memory_of
+from formline.session import fresh_path
 
 STRIDE = 32
 SHINGLE = 5
@@ -45,6 +51,10 @@ SLICE_ITEMS = 1024
 SLICE_CHARS = 4_000_000
 MAX_ITEMS = 200_000
 STEP_WORDS = 200_000
+#: Blocks whose bounds are held at a time.
+STEP_BLOCKS = 8_192
+#: Indexes of slices that a worker keeps.
+LOADED = 4
 K1, B = 1.2, 0.75
 _EPS = 1e-4
 words_of = re.compile(r"[^\W_]+").findall
@@ -119,7 +129,29 @@ class Index:
         return np.flatnonzero(score >= 1 - _EPS)
 
     def search(self, texts: list[list[str]]) -> Iterator[tuple[int, Item, float]]:
-        """(text number, item, share of its shingles) for every passage that holds an item."""
+        """(text number, item, share of its shingles) for every passage that holds an item.
+
+        Long texts are searched piece by piece, with the blocks that a piece's last passages reach into.
+        """
+        held: list[tuple[int, int, int, list[str]]] = []  # text, first block, passages, words
+        size = 0
+        for t, words in enumerate(texts):
+            n_blocks = -(-len(words) // STRIDE)
+            # passages that begin with a text's last blocks lie inside an earlier one
+            passages = max(1, n_blocks - self.reach + 1)
+            for first in range(0, passages, STEP_BLOCKS):
+                own = min(STEP_BLOCKS, passages - first)
+                part = words[first * STRIDE : (first + own + self.reach - 1) * STRIDE]
+                if held and size + len(part) > STEP_BLOCKS * STRIDE:
+                    yield from self._search(held)
+                    held, size = [], 0
+                held.append((t, first, own, part))
+                size += len(part)
+        if held:
+            yield from self._search(held)
+
+    def _search(self, pieces: list[tuple[int, int, int, list[str]]]) -> Iterator[tuple[int, Item, float]]:
+        texts = [p[3] for p in pieces]
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         flat = list(chain.from_iterable(texts))
         get = self.terms.get
@@ -135,15 +167,14 @@ class Index:
         if len(at):
             start = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
             bound[at[start]] = np.add.reduceat(self.bounds[term], start, axis=0)
-        text = np.repeat(np.arange(len(texts)), blocks)
+        piece = np.repeat(np.arange(len(texts)), blocks)
         total = bound.copy()
         for k in range(1, self.reach):
-            same = np.flatnonzero(text[k:] == text[:-k]) if k < len(text) else np.zeros(0, np.int64)
+            same = np.flatnonzero(piece[k:] == piece[:-k]) if k < len(piece) else np.zeros(0, np.int64)
             total[same] += bound[same + k]
         for p in np.flatnonzero(total.max(axis=1, initial=0) >= 1 - _EPS).tolist():
-            t = int(text[p])
-            # passages that begin with a text's last blocks lie inside an earlier one
-            if p > first_block[t] and p + self.reach > first_block[t] + blocks[t]:
+            t = int(piece[p])
+            if p - first_block[t] >= pieces[t][2]:
                 continue
             lo = first_word[t] + (p - first_block[t]) * STRIDE
             hi = min(first_word[t] + sizes[t], lo + self.reach * STRIDE)
@@ -153,11 +184,11 @@ class Index:
                 item = self.items[number]
                 share, question, answer = item.overlap(flat[lo:hi])
                 if share >= self.similarity - 1e-9 and question >= 0.5 and answer >= 0.5:
-                    yield t, item, share
+                    yield pieces[t][0], item, share
 
 
-def passage_blocks(benchmark: DataFrame, text_col: str, answer_col: str | None) -> int:
-    """The most blocks that an item of the benchmark can touch."""
+def passage_blocks(benchmark: DataFrame, text_col: str, answer_col: str | None, similarity: float) -> int:
+    """The most blocks that an item of the benchmark can touch, with as many words put in as it may lack."""
     answer = F.col(answer_col) if answer_col else F.lit(None).cast("string")
     rows = benchmark.select(F.col(text_col).alias("text"), answer.alias("answer"))
 
@@ -171,6 +202,7 @@ def passage_blocks(benchmark: DataFrame, text_col: str, answer_col: str | None)
             yield pa.RecordBatch.from_arrays([pa.array([max(sizes, default=0)], pa.int64())], ["n"])
 
     most = rows.mapInArrow(longest, "n bigint").agg(F.max("n")).first()[0] or 1
+    most += int((1 - similarity) * most + 1e-9)
     return (most - 1 + STRIDE - 1) // STRIDE + 1
 
 
@@ -214,6 +246,54 @@ def _in_steps(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[
             yield batch.slice(start, len(held)), held
 
 
+class Slices:
+    """The indexes of a benchmark's slices, for tasks to take one after the other.
+
+    One slice travels with the tasks. Several are stored in the shared folder where that is mounted, or else
+    broadcast one by one; a worker keeps ``LOADED`` of them.
+    """
+
+    def __init__(self, docs: DataFrame, benchmark: DataFrame, item_col: str, text_col: str, answer_col: str | None, similarity: float):
+        spark = docs.sparkSession
+        reach = passage_blocks(benchmark, text_col, answer_col, similarity)
+        self.only: Index | None = None
+        self.stored: list = []
+        folder = urlparse(fresh_path(spark, "benchmark"))
+        for items in load_items(benchmark, item_col, text_col, answer_col):
+            index = Index(items, similarity, reach)
+            if self.only is None and not self.stored:
+                self.only = index
+                continue
+            for further in filter(None, (self.only, index)):
+                raw = pickle.dumps(further)
+                if folder.scheme in ("", "file"):
+                    os.makedirs(folder.path, exist_ok=True)
+                    path = f"{folder.path}/{len(self.stored):05d}"
+                    with open(path, "wb") as f:
+                        f.write(raw)
+                    self.stored.append(path)
+                else:
+                    self.stored.append(spark.sparkContext.broadcast(raw))
+            self.only = None
+
+    def __iter__(self) -> Iterator[Index]:
+        if self.only is not None:
+            yield self.only
+        held = memory_of(__name__)
+        for source in self.stored:
+            key = source if isinstance(source, str) else source.id
+            index = next((i for k, i in held if k == key), None)
+            if index is None:
+                if isinstance(source, str):
+                    with open(source, "rb") as f:
+                        index = pickle.load(f)
+                else:
+                    index = pickle.loads(source.value)
+                held.append((key, index))
+                del held[:-LOADED]
+            yield index
+
+
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -226,38 +306,35 @@ def contaminated(
 ) -> DataFrame:
     """(id, item id, n_passages, similarity): which documents hold which items, and the best share of shingles.
 
-    The index of a slice (bounded by ``SLICE_ITEMS`` and ``SLICE_CHARS``) travels with the tasks; texts stay put.
+    Texts are read once and stay put, whatever the benchmark's size; see :class:`Slices`.
     """
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     id_type = source.schema["id"].dataType.simpleString()
     item_type = benchmark.schema[item_col].dataType
-    fields = f"id {id_type}, item {item_type.simpleString()}, passages bigint, share double"
-    found = docs.sparkSession.createDataFrame([], fields)
-    arrow_item = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[item_type.simpleString()]
-    reach = passage_blocks(benchmark, item_text_col, answer_col)
-    for items in load_items(benchmark, item_col, item_text_col, answer_col):
-        index = Index(items, similarity, reach)
-
-        def tasks(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
-            for batch, texts in _in_steps(batches, "text"):
-                best: dict[tuple[int, int], list] = {}
+    arrow_item = to_arrow_type(item_type)
+    slices = Slices(docs, benchmark, item_col, item_text_col, answer_col, similarity)
+
+    def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in _in_steps(batches, "text"):
+            best: dict[tuple[int, object], list] = {}
+            for index in slices:
                 for t, item, share in index.search(texts):
                     entry = best.setdefault((t, item.id), [0, 0.0])
                     entry[0] += 1
                     entry[1] = max(entry[1], share)
-                if best:
-                    rows = pa.array([t for t, _ in best])
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            batch.column(0).take(rows),
-                            pa.array([i for _, i in best], arrow_item),
-                            pa.array([n for n, _ in best.values()], pa.int64()),
-                            pa.array([s for _, s in best.values()], pa.float64()),
-                        ],
-                        ["id", "item", "passages", "share"],
-                    )
-
-        found = found.unionByName(source.mapInArrow(tasks, fields))
+            if best:
+                rows = pa.array([t for t, _ in best])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).take(rows),
+                        pa.array([i for _, i in best], arrow_item),
+                        pa.array([n for n, _ in best.values()], pa.int64()),
+                        pa.array([s for _, s in best.values()], pa.float64()),
+                    ],
+                    ["id", "item", "passages", "share"],
+                )
+
+    found = source.mapInArrow(tasks, f"id {id_type}, item {item_type.simpleString()}, passages bigint, share double")
     return (
         found.groupBy("id", "item")
         .agg(F.max("passages").alias("n_passages"), F.max("share").alias("similarity"))
@@ -275,16 +352,15 @@ def without_contaminated(
     similarity: float = 0.8,
 ) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, all columns as they are. No row is moved."""
-    reach = passage_blocks(benchmark, item_text_col, answer_col)
-    for items in load_items(benchmark, item_col, item_text_col, answer_col):
-        index = Index(items, similarity, reach)
-
-        def tasks(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
-            for batch, texts in _in_steps(batches, text_col):
-                clean = np.ones(len(texts), bool)
-                for t, _, _ in index.search(texts):
-                    clean[t] = False
-                yield batch.filter(pa.array(clean))
-
-        docs = docs.mapInArrow(tasks, docs.schema)
-    return docs
+    slices = Slices(docs, benchmark, item_col, item_text_col, answer_col, similarity)
+
+    def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in _in_steps(batches, text_col):
+            clean = np.ones(len(texts), bool)
+            for index in slices:
+                left = np.flatnonzero(clean)
+                for t, _, _ in index.search([texts[i] for i in left]):
+                    clean[left[t]] = False
+            yield batch.filter(pa.array(clean))
+
+    return docs.mapInArrow(tasks, docs.schema)

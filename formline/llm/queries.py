@@ -113,7 +113,7 @@ WITH items AS (
         FROM (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM benchmark))
   WHERE n > 0
 ), reach AS (
-  SELECT CAST((max(n) - 1 + 31) // 32 + 1 AS BIGINT) AS r FROM items
+  SELECT CAST((max(n) + max(n) // 5 - 1 + 31) // 32 + 1 AS BIGINT) AS r FROM items
 ), item_shingles AS (
   SELECT item_id, width, p, array_to_string(words[p + 1 : p + width], ' ') AS sh
   FROM (SELECT *, unnest(range(0, n - width + 1)) AS p FROM items)

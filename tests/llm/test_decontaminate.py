@@ -17,7 +17,8 @@ def brute(rows, items, similarity=0.8):
             loaded.append(D.Item(i, words, len(words) - max(1, len(words) // 3)))
     if not loaded:
         return []
-    reach = -(-(max(len(i.words) for i in loaded) - 1) // D.STRIDE) + 1
+    longest = max(len(i.words) for i in loaded)
+    reach = -(-(longest + int((1 - similarity) * longest + 1e-9) - 1) // D.STRIDE) + 1
     out = set()
     for d, text in rows:
         words = D.words_of((text or "").lower())
@@ -119,3 +120,44 @@ def test_empty_tables(spark, make_docs):
     assert D.contaminated(make_docs([]), items_table(spark, [(1, "a b")])).collect() == []
     assert D.contaminated(make_docs([(1, "a b")]), items_table(spark, [])).collect() == []
     assert D.without_contaminated(make_docs([(1, "a b")]), items_table(spark, [])).count() == 1
+
+
+def test_many_items_are_searched_by_one_operator(spark, make_docs, monkeypatch):
+    """Five thousand items in five slices, of which a worker keeps two."""
+    monkeypatch.setattr(D, "LOADED", 2)
+    rnd = random.Random(11)
+    items = [(i, " ".join(f"w{rnd.randrange(3000)}" for _ in range(rnd.choice([4, 8, 15])))) for i in range(5000)]
+    rows = [(d, " ".join(f"w{rnd.randrange(3000)}" for _ in range(80)) + " " + (rnd.choice(items)[1] if d % 3 else "")) for d in range(30)]
+    found = D.contaminated(make_docs(rows), items_table(spark, items))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    assert len(check(found, rows, items)) >= 20
+    clean = D.without_contaminated(make_docs(rows), items_table(spark, items))
+    assert clean._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    bad = {d for d, *_ in brute(rows, items)}
+    assert {r["doc_id"] for r in clean.collect()} == {d for d, _ in rows} - bad
+
+
+def test_long_texts_are_searched_in_pieces(spark, make_docs, monkeypatch):
+    rows, items = altered(5, 60)
+    long = [(1000, " ".join(t for _, t in rows)), (1001, " ".join(t for _, t in rows[::-1]))]
+    monkeypatch.setattr(D, "STEP_BLOCKS", 5)
+    assert len(check(D.contaminated(make_docs(rows + long), items_table(spark, items)), rows + long, items)) > 20
+
+
+def test_copies_with_words_put_in_are_found_wherever_they_stand(spark, make_docs):
+    item = [f"i{k}" for k in range(97)]
+    rows = []
+    for shift in range(40):
+        altered_copy = item[:30] + ["x", "y", "z"] + item[30:60] + ["u", "v"] * 4 + item[60:]
+        rows.append((shift, " ".join([f"f{k}" for k in range(shift)] + altered_copy + ["tail"] * 50)))
+    got = check(D.contaminated(make_docs(rows), items_table(spark, [(1, " ".join(item))])), rows, [(1, " ".join(item))])
+    assert len(got) == 40
+
+
+@pytest.mark.parametrize("kind", ["smallint", "tinyint", "string", "decimal(9,0)", "date", "double"])
+def test_any_type_of_item_id(spark, make_docs, kind):
+    value = "DATE'2020-01-02'" if kind == "date" else f"CAST(7 AS {kind})"
+    bench = spark.sql(f"SELECT {value} AS item_id, 'a b c d e f' AS text")
+    got = D.contaminated(make_docs([(1, "x a b c d e f y")]), bench)
+    assert got.dtypes[1] == ("item_id", kind) and got.first()["item_id"] == bench.first()["item_id"]

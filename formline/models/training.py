@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from formline.functions.columns import quoted
 from formline.models.svr import LinearSVR, LinearSVRModel, fit_together, predict_together
+from formline.models.trees import AbsoluteBoosting, TreeForest
 from formline.models.trials import trial_row
 from formline.operators.assemble import union_all
 from formline.operators.evaluation import regression_metrics, spearman, stage_metrics
@@ -26,6 +27,7 @@ FOREST_SPACE = {
     "min_samples_split": [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0],
     "max_features": [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0],
     "max_samples": [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0],
+    "criterion": ["absolute_error", "friedman_mse"],
 }
 BOOSTING_SPACE = {
     "learning_rate": [0.1, 0.01, 0.001],
@@ -44,14 +46,21 @@ def random_forest(
     max_features: float = 1.0,
     max_samples: float = 1.0,
     min_samples_split: float = 0.0,
+    criterion: str = "squared_error",
     max_depth: int = 5,
     seed: int = 42,
-) -> RandomForestRegressor:
-    """A forest on squared error. A node of the least splittable share has two halves of it.
+) -> Estimator:
+    """A forest by ``criterion``: ``squared_error`` (Spark's own trees), ``friedman_mse`` or ``absolute_error``.
 
-    Spark wants that half below 0.5, so shares from 0.98 up all become 0.49 per child; a search logs
-    the value used as ``min_share_per_child``.
+    A node is split if it holds ``min_samples_split`` of the rows. Spark's trees know a least share per child
+    instead, which becomes half of it; Spark wants that below 0.5, so shares from 0.98 up all become 0.49 per
+    child, and a search logs the value used as ``min_share_per_child``.
     """
+    if criterion != "squared_error":
+        return TreeForest(
+            nTrees=n_estimators, maxFeatures=max_features, share=max_samples, minSplit=min_samples_split,
+            criterion=criterion, maxDepth=max_depth, seed=seed,
+        )
     return RandomForestRegressor(
         numTrees=n_estimators,
         featureSubsetStrategy=str(float(max_features)),
@@ -67,15 +76,24 @@ def boosted_trees(
     learning_rate: float = 0.1,
     subsample: float = 1.0,
     max_depth: int = 3,
+    leaves: str = "medians",
     seed: int = 42,
-) -> GBTRegressor:
-    """Boosted trees on absolute error."""
+) -> Estimator:
+    """Boosted trees on absolute error, whose leaves hold medians of the residuals.
+
+    With ``leaves="means"`` Spark's own, whose leaves hold means of the residuals' signs; its node numbers are kept
+    with the rows and these are checkpointed where the session has a folder for that.
+    """
+    if leaves == "medians":
+        return AbsoluteBoosting(nTrees=n_estimators, rate=learning_rate, share=subsample, maxDepth=max_depth, seed=seed)
     return GBTRegressor(
         lossType="absolute",
         maxIter=n_estimators,
         stepSize=learning_rate,
         subsamplingRate=subsample,
         maxDepth=max_depth,
+        cacheNodeIds=True,
+        checkpointInterval=20,
         seed=seed,
     )
 

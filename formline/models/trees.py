@@ -37,6 +37,8 @@ LABEL_BINS = 64
 LEAF_BINS = 1024
 #: Sums of one pass.
 PASS_NUMBERS = 8_000_000
+#: Binned rows of a partition at least.
+PART_ROWS = 50_000
 #: Rounds of boosting after which predictions so far are stored with the rows.
 STORED_ROUNDS = 50
 CRITERIA = ("friedman_mse", "absolute_error")
@@ -140,7 +142,9 @@ def binned(df: DataFrame, features: str, label: str, bins: int = BINS) -> tuple[
             yield pa.RecordBatch.from_arrays([pa.array(codes, pa.binary()), batch.column("y")], ["codes", "y"])
 
     coded = rows.mapInArrow(tasks, "codes binary, y double").withColumn("row", F.monotonically_increasing_id())
-    return binner, cut_lineage(coded)
+    stored = cut_lineage(coded)
+    # many passes follow, so that few rows are better kept together
+    return binner, stored.coalesce(max(1, -(-stored.count() // PART_ROWS)))
 
 
 def _absolute_cost(hist: np.ndarray, values: np.ndarray) -> np.ndarray:

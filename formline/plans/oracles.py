@@ -596,7 +596,7 @@ WHERE n_nationkey < 5 OR n_nationkey >= 20""",
   CASE WHEN period = 2001 THEN 'test' ELSE 'train' END AS split
 FROM features WHERE period >= 1998""",
     "train_rf": _fit_report(),
-    "train_gbt": _fit_report(),
+    "train_gbt": _fit_report(", TRUE AS never_rises"),
     "train_linear_svr": _fit_report(", TRUE AS converged, TRUE AS near_least"),
     "score_table": FEATURES + """SELECT entity, period, step, label, TRUE AS same
 FROM features WHERE period = 2001""",
@@ -604,7 +604,7 @@ FROM features WHERE period = 2001""",
   'C,epsilon,regressor,tol' AS params, '{_metric_names("converged", "passes")}' AS metrics
 UNION ALL
 SELECT 'forest', 42, 3,
-  'max_features,max_samples,min_samples_split,min_share_per_child,n_estimators,regressor',
+  'criterion,max_features,max_samples,min_samples_split,n_estimators,regressor',
   '{_metric_names()}'""",
     "pipeline_roundtrip": FEATURES + """SELECT entity, period, step, TRUE AS same
 FROM features WHERE period = 2001""",

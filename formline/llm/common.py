@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Iterator
+from urllib.parse import urlparse
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,6 +51,23 @@ def unused(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def mounted_folder(spark: SparkSession, label: str) -> str | None:
+    """A new folder inside the shared one as a path that tasks can open, or None where that is no mounted one."""
+    url = urlparse(fresh_path(spark, label))
+    if url.scheme not in ("", "file"):
+        return None
+    os.makedirs(url.path)
+    return url.path
+
+
+def save_array(path: str, array: np.ndarray) -> None:
+    """Whole or not at all, and the same again if a task is repeated."""
+    part = f"{path}.{uuid.uuid4().hex}"
+    with open(part, "wb") as f:
+        np.save(f, array)
+    os.replace(part, path)
+
+
 _held: dict[str, list] = {}
 
 

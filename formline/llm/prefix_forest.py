@@ -6,8 +6,11 @@ that brings it to the largest norm). A query descends in every tree to its longe
 then all trees ascend together, one bit at a time, until the matching ranges hold ``share`` times the
 shard's rows (a row counts once per tree that holds it). The rows found are scored in double precision on the
 original vectors, and the best of all shards are ranked. Every shard is asked and searched to the same depth, so
-recall does not depend on how many shards there are. Queries come in blocks, so a task holds one
-shard and one block.
+recall does not depend on how many shards there are.
+
+A shard's vectors and sorted arrays are made once and stored in the shared folder; queries come to a shard in
+blocks, and a task maps the shard's files, so the index is never copied for more queries. Only where the
+shared folder is not mounted do a shard's vectors travel to each of its blocks.
 
 Recall against brute force with the defaults is measured in ``tests/llm/test_prefix_forest.py`` (at least
 0.9 is asserted) and stated in the README.
@@ -19,12 +22,15 @@ length than the query's are not its candidates; ties go to the smaller id; an em
 
 from __future__ import annotations
 
+import os
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from formline.llm.common import written
+from formline.llm.common import mounted_folder, save_array, written
 
 BITS = 64
 QUERY_BLOCK = 4096
@@ -60,10 +66,14 @@ def hash_strings(points: np.ndarray, norm: float, trees: int, seed: int) -> np.n
 class Forest:
     """The sorted arrays of one shard."""
 
-    def __init__(self, points: np.ndarray, norm: float, trees: int, seed: int):
+    def __init__(self, strings: np.ndarray, rows: np.ndarray):
+        self.strings, self.rows = strings, rows
+
+    @staticmethod
+    def of(points: np.ndarray, norm: float, trees: int, seed: int) -> Forest:
         strings = hash_strings(points, norm, trees, seed)
-        self.rows = np.argsort(strings, axis=1, kind="stable")
-        self.strings = np.take_along_axis(strings, self.rows, axis=1)
+        rows = np.argsort(strings, axis=1, kind="stable")
+        return Forest(np.take_along_axis(strings, rows, axis=1), rows.astype(np.int32))
 
     def ranges(self, queries: np.ndarray, wanted: int) -> tuple[np.ndarray, np.ndarray]:
         """(trees, queries) range borders at the longest prefix where all trees hold ``wanted`` rows."""
@@ -89,13 +99,13 @@ class Forest:
 
 
 def search_shard(
-    ids: np.ndarray, points: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, norm: float,
-    k: int, trees: int, share: float, seed: int,
+    ids: np.ndarray, points: np.ndarray, forest: Forest, query_ids: np.ndarray, queries: np.ndarray,
+    k: int, share: float, seed: int,
 ) -> list[tuple[int, int, float]]:
     """(query id, id, score) of the best ``k`` candidates that this shard's forest finds for each query."""
     if not len(ids) or not len(query_ids):
         return []
-    forest = Forest(points, norm, trees, seed)
+    trees = len(forest.strings)
     low, high = forest.ranges(hash_strings(queries, 0.0, trees, seed), max(k + 1, int(np.ceil(share * len(ids)))))
     out = []
     for q in range(len(query_ids)):
@@ -139,27 +149,57 @@ def nearest(
     rows = sum(r["rows"] for r in dims)
     shards, blocks = max(1, -(-rows // shard_rows)), max(1, -(-rows // query_step // QUERY_BLOCK))
     dealt = F.xxhash64("id", F.lit(seed))
-    index = points.select(
-        "id", "v", "dim", F.lit(False).alias("asks"), F.pmod(dealt, F.lit(shards)).alias("shard"),
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
-    )
+    placed = points.select("id", "v", "dim", F.pmod(dealt, F.lit(shards)).alias("shard"))
     queries = points.where(F.col("id") % query_step == 0).select(
-        "id", "v", "dim", F.lit(True).alias("asks"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(shards - 1).cast("bigint"))).alias("shard"),
+        "id", "v", "dim", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(shards - 1).cast("bigint"))).alias("shard"),
         F.pmod(dealt, F.lit(blocks)).cast("int").alias("block"),
     )
+    fields = "query_id bigint, vec_id bigint, score double"
+
+    def vectors_of(table: pa.Table, dim: int) -> tuple[np.ndarray, np.ndarray]:
+        values = [c.flatten().to_numpy() for c in table.column("v").chunks] or [np.zeros(0)]
+        return table.column("id").to_numpy(), np.concatenate(values).reshape(-1, dim)
 
-    def search(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        dim = key[0].as_py()
-        ids, asks = table.column("id").to_numpy(), table.column("asks").to_numpy()
-        values = pa.concat_arrays([c.flatten() for c in table.column("v").chunks]).to_numpy().reshape(-1, dim)
-        found = search_shard(ids[~asks], values[~asks], ids[asks], values[asks], norms[dim], k, trees, share, seed)
+    def told(found: list[tuple[int, int, float]]) -> pa.Table:
         columns = list(zip(*found, strict=True)) or [(), (), ()]
         types = (pa.int64(), pa.int64(), pa.float64())
         return pa.table([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["query_id", "vec_id", "score"])
 
-    tasks = index.unionByName(queries).groupBy("dim", "shard", "block")
-    found = tasks.applyInArrow(search, "query_id bigint, vec_id bigint, score double")
+    folder = mounted_folder(vectors.sparkSession, "prefix-forest")
+    if folder is not None:
+
+        def store(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+            dim, shard = key[0].as_py(), key[1].as_py()
+            ids, values = vectors_of(table, dim)
+            forest = Forest.of(values, norms[dim], trees, seed)
+            for name, array in (("ids", ids), ("points", values), ("strings", forest.strings), ("rows", forest.rows)):
+                save_array(f"{folder}/{name}-{dim}-{shard:08d}.npy", array)
+            return pa.table({"rows": [len(ids)]})
+
+        def ask(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+            dim, shard = key[0].as_py(), key[1].as_py()
+            if not os.path.exists(f"{folder}/rows-{dim}-{shard:08d}.npy"):
+                return told([])  # no row of this length was dealt here
+            names = ("ids", "points", "strings", "rows")
+            ids, values, strings, order = (np.load(f"{folder}/{n}-{dim}-{shard:08d}.npy", mmap_mode="r") for n in names)
+            asked = vectors_of(table, dim)
+            return told(search_shard(ids, values, Forest(strings, order), *asked, k, share, seed))
+
+        placed.groupBy("dim", "shard").applyInArrow(store, "rows bigint").agg(F.sum("rows")).collect()
+        found = queries.groupBy("dim", "shard", "block").applyInArrow(ask, fields)
+    else:
+
+        def search(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+            dim = key[0].as_py()
+            (ids, values), asked = (vectors_of(table.filter(pc.equal(table["asks"], a)), dim) for a in (False, True))
+            forest = Forest.of(values, norms[dim], trees, seed)
+            return told(search_shard(ids, values, forest, *asked, k, share, seed))
+
+        every_block = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+        both = placed.select("*", F.lit(False).alias("asks"), every_block.alias("block")).unionByName(
+            queries.withColumn("asks", F.lit(True))
+        )
+        found = both.groupBy("dim", "shard", "block").applyInArrow(search, fields)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

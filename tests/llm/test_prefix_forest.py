@@ -97,3 +97,32 @@ def test_odd_rows(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert P.nearest(df).collect() == []
+
+
+@pytest.mark.parametrize("scale", ["sf0.01", "sf0.1"])
+def test_recall_on_larger_tables(spark, scale):
+    vectors = spark.read.parquet(f"/root/testdata/{scale}/embeddings.parquet")
+    assert recall(by_query(P.nearest(vectors)), brute(rows_of(vectors))) >= 0.9
+
+
+def test_recall_on_skewed_norms(spark):
+    rng = np.random.default_rng(8)
+    points = rng.normal(size=(2000, 24)) * rng.lognormal(0, 1.5, (2000, 1))
+    rows = [(i, p.tolist()) for i, p in enumerate(points)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert recall(by_query(P.nearest(vectors, shard_rows=500)), brute(rows)) >= 0.9
+
+
+def test_the_index_is_stored_once_whatever_is_asked(spark, monkeypatch):
+    """The plan that answers holds queries only; with an unmounted folder results are the same."""
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(400)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    monkeypatch.setattr(P, "QUERY_BLOCK", 7)
+    found = P.nearest(vectors, shard_rows=100)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 1 and "Union" not in plan  # the stored vectors are read for the queries alone
+    assert "(id#" in plan and "% 20" in plan
+    monkeypatch.setattr(P, "mounted_folder", lambda *a: None)
+    again = P.nearest(vectors, shard_rows=100)
+    assert by_query(found) == by_query(again)

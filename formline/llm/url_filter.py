@@ -27,6 +27,8 @@ from formline.llm.common import written
 ALLOW, BLOCK = "allow", "block"
 #: Buckets that last host labels are hashed into for their statistics.
 SUFFIX_BUCKETS = 4096
+#: Parts of the labelled urls; a url learns the share of blocked ones at its suffix from the other parts.
+FOLDS = 5
 MAX_RULES = 1000
 FEATURES = (
     "length", "host_length", "labels", "depth", "digit_ratio", "entropy", "parameters", "query_length",
@@ -105,17 +107,36 @@ def with_features(ruled: DataFrame) -> DataFrame:
     )
 
 
-def _suffix_tables(ruled: DataFrame) -> tuple[dict[int, float], dict[int, float], int, int]:
-    """Per bucket the share of all urls and the (smoothed) share of blocked among labelled ones."""
+def _fold() -> Column:
+    return F.pmod(F.xxhash64("__url", F.lit("fold")), F.lit(FOLDS)).cast("int")
+
+
+def _suffix_counts(ruled: DataFrame) -> list:
+    """Urls, labelled and blocked ones per bucket and fold: ``SUFFIX_BUCKETS * FOLDS`` rows at most."""
     blocked = F.sum((F.col("__ruled") == BLOCK).cast("bigint"))
-    counts = (F.count("*").alias("n"), F.count("__ruled").alias("labelled"), blocked.alias("blocked"))
-    found = ruled.groupBy("__bucket").agg(*counts).collect()
-    total = sum(r["n"] for r in found)
-    labelled = sum(r["labelled"] for r in found)
-    bad = sum(r["blocked"] or 0 for r in found)
+    counts = (F.count("*").alias("n"), F.count("__ruled").alias("labelled"), F.coalesce(blocked, F.lit(0)).alias("blocked"))
+    return ruled.groupBy("__bucket", _fold().alias("__fold")).agg(*counts).collect()
+
+
+def _suffix_tables(counts: list, without: int | None = None) -> tuple[dict[int, float], dict[int, float], int, int]:
+    """Per bucket the share of all urls and the (smoothed) share of blocked among labelled ones.
+
+    ``without`` leaves the labels of one fold out.
+    """
+    total, labelled, bad = sum(r["n"] for r in counts), 0, 0
+    n: dict[int, int] = {}
+    told: dict[int, list[int]] = {}
+    for r in counts:
+        n[r["__bucket"]] = n.get(r["__bucket"], 0) + r["n"]
+        own = told.setdefault(r["__bucket"], [0, 0])
+        if r["__fold"] != without:
+            own[0] += r["labelled"]
+            own[1] += r["blocked"]
+            labelled += r["labelled"]
+            bad += r["blocked"]
     prior = bad / labelled if labelled else 0.0
-    share = {r["__bucket"]: r["n"] / total for r in found}
-    rate = {r["__bucket"]: ((r["blocked"] or 0) + 5 * prior) / (r["labelled"] + 5) for r in found}
+    share = {b: k / total for b, k in n.items()}
+    rate = {b: (blocked + 5 * prior) / (known + 5) for b, (known, blocked) in told.items()}
     return share, rate, labelled, bad
 
 
@@ -124,6 +145,70 @@ def _looked_up(table: dict[int, float]) -> Column:
     return F.element_at(F.lit(values), F.col("__bucket") + 1)
 
 
+def _learning_rows(ruled: DataFrame, counts: list, share: dict[int, float], rows: int, seed: int, spared: int | None) -> DataFrame:
+    """About ``rows`` labelled urls with their features and ``label``; the suffix statistics come from other folds.
+
+    Urls of the fold ``spared`` do not enter, neither as rows nor in statistics.
+    """
+    known = sum(r["labelled"] for r in counts if r["__fold"] != spared)
+    left = [r for r in counts if r["__fold"] != spared]
+    rates = [(fold, b, v) for fold in range(FOLDS) for b, v in _suffix_tables(left, fold)[1].items()]
+    table = F.broadcast(ruled.sparkSession.createDataFrame(rates, "__fold int, __bucket int, suffix_blocked double"))
+    hashed = F.pmod(F.xxhash64("__url", F.lit(seed)), F.lit(1 << 30))
+    drawn = ruled.withColumn("__fold", _fold()).where(
+        F.col("__ruled").isNotNull() & (hashed < int(min(1.0, rows / max(known, 1)) * (1 << 30)))
+    )
+    if spared is not None:
+        drawn = drawn.where(F.col("__fold") != spared)
+    return written(
+        drawn.withColumn("suffix_share", _looked_up(share)).join(table, ["__fold", "__bucket"])
+        .select(*FEATURES, (F.col("__ruled") == BLOCK).cast("double").alias("label")).limit(2 * rows),
+        "url-sample",
+    )
+
+
+def _model(sample: DataFrame, trees: int, depth: int, seed: int) -> tuple[VectorAssembler, object]:
+    assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="__features")
+    booster = GBTClassifier(
+        featuresCol="__features", labelCol="label", predictionCol="__prediction",
+        maxIter=trees, maxDepth=depth, stepSize=0.2, seed=seed,
+    )
+    booster.setProbabilityCol("__probability").setRawPredictionCol("__raw")
+    return assembler, booster.fit(assembler.transform(sample))
+
+
+def held_out_accuracy(
+    pages: DataFrame,
+    rules: Sequence[tuple[str, str]],
+    url_col: str = "url",
+    sample_rows: int = 20_000,
+    trees: int = 20,
+    depth: int = 4,
+    seed: int = 5,
+) -> DataFrame:
+    """(n, blocked, accuracy, base): how often trees that never saw a fifth of the labelled urls judge these as the rules do.
+
+    ``base`` is the share of the commoner verdict among them. Without labelled urls of both kinds there is no row.
+    """
+    slim = pages.select(F.col(url_col).cast("string").alias("__given"))
+    ruled = with_features(with_rule(with_parts(slim, F.col("__given")), rules))
+    counts = _suffix_counts(ruled)
+    share, rate, labelled, bad = _suffix_tables(counts, 0)
+    none = ruled.sparkSession.createDataFrame([], "n bigint, blocked bigint, accuracy double, base double")
+    if not 0 < bad < labelled:
+        return none
+    assembler, model = _model(_learning_rows(ruled, counts, share, sample_rows, seed, 0), trees, depth, seed)
+    asked = ruled.where(F.col("__ruled").isNotNull() & (_fold() == 0)).withColumns(
+        {"suffix_share": _looked_up(share), "suffix_blocked": _looked_up(rate)}
+    )
+    truth = (F.col("__ruled") == BLOCK).cast("double")
+    judged = model.transform(assembler.transform(asked)).agg(
+        F.count("*").alias("n"), F.sum(truth).cast("bigint").alias("blocked"), F.avg((F.col("__prediction") == truth).cast("double")).alias("accuracy"),
+    )
+    part = F.col("blocked") / F.col("n")
+    return judged.where("n > 0").withColumn("base", F.greatest(part, 1 - part))
+
+
 def judge(
     pages: DataFrame,
     rules: Sequence[tuple[str, str]],
@@ -137,27 +222,17 @@ def judge(
     """Per row: id, ``host``, ``path``, ``rule``, ``verdict`` and ``block_score`` (null where a rule decides).
 
     The trees learn from about ``sample_rows`` labelled rows, picked by a hash of the url; suffix
-    statistics cover all rows. Only the statistics' ``SUFFIX_BUCKETS`` rows reach the driver.
+    statistics cover all rows; a labelled row learns the share of blocked urls at its suffix from other rows. Only
+    the statistics' rows, ``SUFFIX_BUCKETS * FOLDS`` at most, reach the driver.
     """
     slim = pages.select(F.col(id_col).alias("__id"), F.col(url_col).cast("string").alias("__given"))
     ruled = with_features(with_rule(with_parts(slim, F.col("__given")), rules))
-    share, rate, labelled, bad = _suffix_tables(ruled)
+    counts = _suffix_counts(ruled)
+    share, rate, labelled, bad = _suffix_tables(counts)
     facts = ruled.withColumns({"suffix_share": _looked_up(share), "suffix_blocked": _looked_up(rate)})
     if 0 < bad < labelled:
-        hashed = F.pmod(F.xxhash64("__url", F.lit(seed)), F.lit(1 << 30))
-        sample = written(
-            facts.where(F.col("__ruled").isNotNull() & (hashed < int(min(1.0, sample_rows / labelled) * (1 << 30))))
-            .select(*FEATURES, (F.col("__ruled") == BLOCK).cast("double").alias("label"))
-            .limit(2 * sample_rows),
-            "url-sample",
-        )
-        assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="__features")
-        booster = GBTClassifier(
-            featuresCol="__features", labelCol="label", predictionCol="__prediction",
-            maxIter=trees, maxDepth=depth, stepSize=0.2, seed=seed,
-        )
-        booster.setProbabilityCol("__probability").setRawPredictionCol("__raw")
-        model = booster.fit(assembler.transform(sample))
+        sample = _learning_rows(ruled, counts, share, sample_rows, seed, None)
+        assembler, model = _model(sample, trees, depth, seed)
         scored = model.transform(assembler.transform(facts)).withColumn("__score", vector_to_array("__probability")[1])
     else:
         scored = facts.withColumn("__score", F.lit(float(bad > 0)))

@@ -80,3 +80,31 @@ def test_one_class_or_none(spark):
     assert U.judge(pages(spark, []), URL_RULES).collect() == []
     with pytest.raises(ValueError):
         U.judge(pages(spark, []), [("block", f"h{i}/") for i in range(2000)])
+
+
+def test_labels_do_not_leak_into_their_own_features(spark):
+    """Where urls are labelled at random, suffixes of one url each must not tell the label."""
+    rnd = random.Random(3)
+    urls, rules = [], []
+    for i in range(400):
+        host = f"h{i}.s{rnd.randrange(10**6)}"
+        urls.append((i, f"http://{host}/page"))
+        rules.append((rnd.choice(["allow", "block"]), f"{host}/"))
+    found = U.held_out_accuracy(pages(spark, urls), rules).first()
+    assert found["n"] > 50 and found["accuracy"] < found["base"] + 0.15
+    sample = U._learning_rows(*_ruled(spark, urls, rules), 20_000, 5, None).toPandas()
+    assert abs(sample[["suffix_blocked", "label"]].corr().iloc[0, 1]) < 0.25
+
+
+def _ruled(spark, urls, rules):
+    slim = pages(spark, urls).select(F.col("url").alias("__given"))
+    ruled = U.with_features(U.with_rule(U.with_parts(slim, F.col("__given")), rules))
+    counts = U._suffix_counts(ruled)
+    return ruled, counts, U._suffix_tables(counts)[0]
+
+
+def test_held_out_urls_are_judged_as_the_rules_do(spark):
+    vectors = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    found = U.held_out_accuracy(vectors, URL_RULES).first()
+    assert found["n"] > 30 and found["accuracy"] >= found["base"] - 0.02
+    assert U.held_out_accuracy(pages(spark, []), URL_RULES).collect() == []

@@ -207,16 +207,17 @@ class Reader:
         out = np.zeros(len(number), np.int64)
         known = np.flatnonzero((before >= 0) & (number >= 0))
         before, number = before[known], number[known]
-        keys = before.astype(np.uint64) * np.uint64(self.model.words + 1) + number.astype(np.uint64)
         for part, rows in self._by_part(self.model.part_of_pair(before, number, self.is_hot(before))):
-            stored = self.array("pair", part)
-            if len(stored):
-                rows = rows[np.argsort(keys[rows])]  # neighbouring searches touch the same pages
-                place = np.minimum(np.searchsorted(stored, keys[rows]), len(stored) - 1)
-                out[known[rows]] = np.where(stored[place] == keys[rows], self.array("times", part)[place], 0)
+            heads, tails, stored, times = (self.array(n, part) for n in ("heads", "tails", "pair", "times"))
+            if len(heads):
+                rows = rows[np.lexsort((number[rows], before[rows]))]  # neighbouring searches touch the same pages
+                place = np.minimum(np.searchsorted(heads, before[rows]), len(heads) - 1)
+                rows, place = (x[heads[place] == before[rows]] for x in (rows, place))
+                found = _within(stored, tails[place], tails[place + 1], number[rows])
+                if len(rows):
+                    out[known[rows]] = np.where(found >= 0, times[np.maximum(found, 0)], 0)
         return out
 
-
     def triples(self, u: np.ndarray, v: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Counts of triples in the order of (v, u, w), the totals of their contexts (u, v), and how many of
         these contexts' successors count one, two, more."""
@@ -288,7 +289,7 @@ def _reader(model: Model) -> Reader:
 
 def _smallest(values: np.ndarray) -> np.ndarray:
     """Counts in as few bytes as the largest needs."""
-    return values.astype(np.min_scalar_type(int(values.max()) if len(values) else 0))
+    return values.astype(np.min_scalar_type(int(values.max()) if values.size else 0))
 
 
 def _lines(reader: Reader, tokens: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -325,7 +326,7 @@ def count_words(texts: DataFrame, model: Model) -> None:
         blobs = [_unpack(raw, np.uint64, np.uint64) for raw in table.column("data").to_pylist()]
         hashes, counts = _summed(*(np.concatenate(c) for c in zip(*blobs, strict=True)))
         _save(f"{model.folder}/word-{part:05d}.npy", hashes)
-        _save(f"{model.folder}/count-{part:05d}.npy", counts)
+        _save(f"{model.folder}/count-{part:05d}.npy", _smallest(counts))
         return pa.table({"part": [part], "words": [len(hashes)], "tokens": [int(counts.sum())]})
 
     schema = "part bigint, words bigint, tokens bigint"
@@ -481,10 +482,17 @@ def count_pairs(texts: DataFrame, model: Model) -> None:
         blobs = [_unpack(raw, np.uint64, np.uint64) for raw in table.column("data").to_pylist()]
         keys, times = _summed(*(np.concatenate(c) for c in zip(*blobs, strict=True)))
         del blobs
-        _save(f"{model.folder}/pair-{part:05d}.npy", keys)
-        _save(f"{model.folder}/times-{part:05d}.npy", times.astype(np.uint32) if times.max() < 2**32 else times)
         before, number = np.divmod(keys, width)
         del keys
+        heads = np.flatnonzero(np.concatenate([[True], before[1:] != before[:-1]]))
+        small = _smallest(np.array([model.words])).dtype
+        for name, array in (
+            ("heads", before[heads].astype(small)),
+            ("tails", _smallest(np.append(heads, len(before)))),
+            ("pair", number.astype(small)),
+            ("times", _smallest(times)),
+        ):
+            _save(f"{model.folder}/{name}-{part:05d}.npy", array)
         kinds = [(times == 1), (times == 2), (times >= 3)]
         context = _summed(before, times.astype(np.uint64), *(k.astype(np.uint64) for k in kinds))
         follows = _summed(number, np.ones(len(number), np.uint64))
@@ -531,7 +539,7 @@ def count_pairs(texts: DataFrame, model: Model) -> None:
             follows = np.zeros(n, np.uint64)
             follows[numbers.astype(np.int64) - base] = precede
             for name, array in (("total", whole), ("kinds", counts), ("follows", follows)):
-                _save(f"{model.folder}/{name}-{part:05d}.npy", array)
+                _save(f"{model.folder}/{name}-{part:05d}.npy", _smallest(array))
             result["follows"] = [int(follows.sum(dtype=np.int64))]
             result["counts"] = [[*(int((follows == k).sum()) for k in (1, 2, 3, 4)), int((follows >= 3).sum())]]
         return pa.table(result)
@@ -551,8 +559,9 @@ def count_pairs(texts: DataFrame, model: Model) -> None:
         kinds = np.array([words[0], words[1], words[4]])
         model.spare = float(kinds @ np.array(model.word_discounts)) / model.continuations
     for part in range(model.parts):  # parts that no row reached
-        for name, empty in (("pair", np.uint64), ("times", np.uint64), ("total", np.uint64), ("follows", np.uint64)):
-            _fill(model, name, part, np.zeros(0, empty))
+        for name in ("heads", "pair", "times", "total", "follows"):
+            _fill(model, name, part, np.zeros(0, np.uint64))
+        _fill(model, "tails", part, np.zeros(1, np.uint8))
         _fill(model, "kinds", part, np.zeros((0, 3), np.uint64))
     _fill(model, "start", 0, np.zeros(4, np.int64))
     if model.order == 3:

@@ -36,7 +36,7 @@ SPACE = "▁"
 SPACE_BYTES = SPACE.encode()
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 #: Distinct chunks whose ids a worker remembers, in each of two generations.
-CACHE_CHUNKS = 200_000
+CACHE_CHUNKS = 300_000
 CACHE_CHARS = 48
 #: Chunks of more symbols are merged with a heap, shorter ones by looking for the least rank.
 SHORT = 48
@@ -156,6 +156,22 @@ def _valid(raw: bytes) -> tuple[bytes, dict[int, int]]:
     return bytes(out), widths
 
 
+class Memory(dict):
+    """Packed ids of the chunks met since the last one was full; others come from that, or are made."""
+
+    def __init__(self, codec: Codec, old: dict[str, bytes]):
+        super().__init__()
+        self.codec, self.old = codec, old
+
+    def __missing__(self, chunk: str) -> bytes:
+        packed = self.old.get(chunk)
+        if packed is None:
+            packed = self.codec.chunk_ids(chunk)
+        if len(chunk) <= CACHE_CHARS:
+            self[chunk] = packed
+        return packed
+
+
 class Codec:
     """Pieces, ranks and rules of one model file.
 
@@ -196,8 +212,7 @@ class Codec:
         else:  # no merge crosses the start of a run of spaces or touches a line break
             chunk = f"\n|{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+"
         self.chunks = re.compile(chunk).findall
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.memory = Memory(self, {})
 
     def _tables(self, names: list[str]) -> None:
         """Per id: what it reads as, and its width in normalised bytes and (each space one) in plain ones."""
@@ -258,7 +273,8 @@ class Codec:
                 heappush(heap, (rank[p], h, p))
         return [p for p in parts if p is not None]
 
-    def _chunk_ids(self, chunk: str) -> bytes:
+    def chunk_ids(self, chunk: str) -> bytes:
+        """Packed ids of a chunk, which no merge leaves."""
         ids: list[int] = []
         known = self.ids
         for part in self.merged(chunk):
@@ -275,7 +291,10 @@ class Codec:
         else:
             data, align = self.rules.normalised(raw)
             norm = data.decode()
-        ids = np.frombuffer(b"".join(self._found(self.chunks(norm))), "<u4").astype(np.int64)
+        if len(self.memory) > CACHE_CHUNKS:
+            self.memory = Memory(self, dict(self.memory))
+        packed = b"".join(map(self.memory.__getitem__, self.chunks(norm)))
+        ids = np.frombuffer(packed, "<u4").astype(np.int64)
         widths = (self.plain_width if align is None else self.width)[ids]
         if align is None and len(ids) and self.rules.dummy_prefix:
             widths[0] -= 1  # the first space is not in the text
@@ -291,27 +310,6 @@ class Codec:
             np.concatenate([[0], ends, [size]]),
         )
 
-    def _found(self, chunks: list[str]) -> list[bytes]:
-        """Packed ids of each chunk, met ones from memory."""
-        new = self.new
-        missing = set(chunks).difference(new)
-        if missing:
-            if len(new) > CACHE_CHUNKS:
-                self.old, self.new = new, {}
-                new, missing = self.new, set(chunks)
-            long = {}
-            for chunk in missing:
-                packed = self.old.get(chunk)
-                if packed is None:
-                    packed = self._chunk_ids(chunk)
-                if len(chunk) <= CACHE_CHARS:
-                    new[chunk] = packed
-                else:
-                    long[chunk] = packed
-            if long:
-                return [new[c] if c in new else long[c] for c in chunks]
-        return list(map(new.__getitem__, chunks))
-
     def _gather_bytes(self, ids: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> None:
         """Gives the span of a character to the last of its byte pieces, an empty one to the others."""
         at = np.flatnonzero(self.byte_of[ids] >= 0)

@@ -10,7 +10,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 from formline.llm.bpe_count import _fields
-from formline.llm.piece_codec import Codec, Normaliser, decode_ids, digests, encode_texts, round_trip, unpacked
+from formline.llm.piece_codec import Codec, Memory, Normaliser, decode_ids, digests, encode_texts, round_trip, unpacked
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 HARD = [
@@ -59,7 +59,7 @@ def test_a_full_memory_forgets_without_changing_results(monkeypatch, codec):
     wanted = [codec.encode(t)[0].tolist() for t in texts]
     monkeypatch.setattr("formline.llm.piece_codec.CACHE_CHUNKS", 5)
     monkeypatch.setattr("formline.llm.piece_codec.CACHE_CHARS", 3)
-    codec.new, codec.old = {}, {}
+    codec.memory = Memory(codec, {})
     assert [codec.encode(t)[0].tolist() for t in texts] == wanted
 
 

@@ -7,7 +7,6 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from decimal import Decimal
 
-import pandas as pd
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.feature import VectorAssembler
@@ -16,7 +15,7 @@ from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -286,7 +285,7 @@ class NumberCategoriesModel(Model, HasInputCols, _Stored):
             known = numbers.where(F.col("column") == i).select(F.col("text").alias(key), F.col("number").alias(number))
             found = df.join(known, F.col(quoted(c)).cast("string") == F.col(key), "left")
             out = f"{c}{self.getOrDefault(self.suffix)}"
-            vector = _one_hot_vector(size)(F.col(number)).alias(out, metadata={"ml_attr": {"num_attrs": size}})
+            vector = _one_hot_vector(F.col(number), size).alias(out, metadata={"ml_attr": {"num_attrs": size}})
             df = found.select(*[F.col(quoted(x)) for x in df.columns], vector)
         return df
 
@@ -298,18 +297,14 @@ class NumberCategoriesModel(Model, HasInputCols, _Stored):
         return _FromTable(cls)
 
 
-def _one_hot_vector(size: int):
-    """A function from numbers to sparse vectors of ``size`` with a one there, or without any."""
+def _one_hot_vector(number: Column, size: int) -> Column:
+    """A sparse vector of ``size`` with a one at ``number``, or without any where that is null.
 
-    @F.pandas_udf(VectorUDT())
-    def vector(numbers: pd.Series) -> pd.DataFrame:
-        present = numbers.notna()
-        at = [[int(n)] if p else [] for n, p in zip(numbers, present, strict=True)]
-        return pd.DataFrame(
-            {"type": 0, "size": size, "indices": at, "values": [[1.0] * len(a) for a in at]}, index=numbers.index
-        )
-
-    return vector
+    SQL has no cast to vectors, but its JSON reader makes them, so rows stay out of Python.
+    """
+    one = F.concat(F.lit('"indices":['), number.cast("string"), F.lit('],"values":[1.0]}}'))
+    body = F.concat(F.lit(f'{{"v":{{"type":0,"size":{size},'), F.coalesce(one, F.lit('"indices":[],"values":[]}}')))
+    return F.from_json(body, T.StructType([T.StructField("v", VectorUDT())]))["v"]
 
 
 class _WithTable(DefaultParamsWriter):

@@ -13,5 +13,5 @@ def test_equals_sql(spark, sf_dir, key):
 
 
 def test_one_query_per_operator():
-    assert [int(k[2:].split("_")[0]) for k in QUERIES] == list(range(1, 11))
+    assert [int(k[2:].split("_")[0]) for k in QUERIES] == list(range(1, 14))
     assert set(ORACLES) <= set(QUERIES)

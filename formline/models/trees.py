@@ -38,9 +38,9 @@ LEAF_BINS = 1024
 #: Sums of one pass.
 PASS_NUMBERS = 8_000_000
 #: Binned rows of a partition at least.
-PART_ROWS = 50_000
+PART_ROWS = 10_000
 #: Rounds of boosting after which predictions so far are stored with the rows.
-STORED_ROUNDS = 50
+STORED_ROUNDS = 20
 CRITERIA = ("friedman_mse", "absolute_error")
 
 

@@ -329,6 +329,17 @@ def vector_encoding(columns: Sequence[str], suffix: str = "_vector") -> list:
     return [NumberCategories(inputCols=list(columns), suffix=suffix)]
 
 
+def vector_entries(name: str) -> tuple[Column, Column]:
+    """(indices, values) of a vector column as arrays: the stored entries of sparse vectors, all of dense ones.
+
+    A sparse vector is never spread out, so that a row costs as much as it holds, however wide it is.
+    """
+    stored = F.unwrap_udt(F.col(quoted(name)))
+    values = stored["values"]
+    every = F.transform(values, lambda _, i: i)
+    return F.coalesce(stored["indices"], every), values
+
+
 def shape_of(ready: DataFrame) -> tuple[int, int, int]:
     """(rows, features, labels) of an assembled table, in one aggregation."""
     labels = int("label" in ready.columns)

@@ -18,6 +18,7 @@ from formline.models.features import (
     ScaleColumns,
     shape_of,
     vector_encoding,
+    vector_entries,
 )
 from formline.operators import assemble as assembly
 from formline.operators import evaluation, rosters, splits, windows
@@ -265,10 +266,10 @@ def one_hot_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer names, far too many for columns, as vectors: where the one stands, and their sum."""
     customers = P.table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     encoded = Pipeline(stages=vector_encoding(["c_name"])).fit(customers).transform(customers)
-    ones = vector_to_array("c_name_vector")
+    indices, ones = vector_entries("c_name_vector")
     return encoded.select(
         "c_custkey",
-        (F.array_position(ones, F.lit(1.0)) - 1).alias("position"),
+        F.coalesce(F.get(indices, F.array_position(ones, F.lit(1.0)) - 1).cast("bigint"), F.lit(-1)).alias("position"),
         F.aggregate(ones, F.lit(0.0), lambda a, x: a + x).alias("total"),
     )
 

@@ -15,7 +15,9 @@ from formline.models.features import (
     ScaleColumns,
     shape_of,
     vector_encoding,
+    vector_entries,
 )
+from formline.plans import queries
 from formline.session import fresh_path
 
 ROLES = FeatureRoles(
@@ -338,3 +340,15 @@ def test_category_numbers_survive_ranges_and_saving(spark, table):
     first, second = (m.transform(df).orderBy("k").select("k", "c_vector", "`d.e_vector`").collect() for m in (model, again))
     assert first == second and first[5][2].indices.size == 0 and first[5][1].indices.tolist() == [(5 * 7919) % 997]
     assert first[0]["c_vector"].size == 997
+
+
+def test_entries_of_wide_vectors_are_read_without_spreading_them(spark):
+    rows = [(0, Vectors.sparse(2_000_000_000, [5, 1_999_999_999], [1.0, 2.5])), (1, Vectors.dense([0.0, 3.0])), (2, Vectors.sparse(4, [], []))]
+    df = spark.createDataFrame(rows, ["k", "v.w"])
+    got = df.select("k", *vector_entries("v.w")).orderBy("k").collect()
+    assert [(list(r[1]), list(r[2])) for r in got] == [([5, 1_999_999_999], [1.0, 2.5]), ([0, 1], [0.0, 3.0]), ([], [])]
+
+
+def test_the_vector_query_spreads_no_vector(spark):
+    plan = queries.one_hot_vector(spark, "/root/testdata/sf0.001")._jdf.queryExecution().analyzed().toString()
+    assert "c_name_vector" in plan and "vector_to_array" not in plan.lower() and "UDF(" not in plan

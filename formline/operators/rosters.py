@@ -14,6 +14,7 @@ from itertools import count, groupby
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from formline.operators.assemble import union_all
 from formline.operators.dominance import PLAYER, Bounds, Finder
@@ -21,6 +22,8 @@ from formline.session import cut_lineage, rows_within
 
 #: Keys that a pool too large for a broadcast is copied to per position where swaps are listed.
 SALTS = 16
+#: Steps of a season that points travel in together.
+STEP_BLOCK = 16
 
 
 @dataclass(frozen=True)
@@ -891,17 +894,7 @@ def weekly_reward(
         )
     else:
         last = max(earned.agg(F.max(step)).first()[0] or 0, 0)
-        kind = facts.schema[step].dataType.simpleString()
-        members = rosters.select(cols.team, cols.name).join(earned, cols.name, "left")
-        by_step = members.groupBy(cols.team, step).agg(F.sum(F.col(cols.points).cast("double")).alias("_points"))
-        # a team's steps are as many as the season has; those without a row, or before the first one, get a zero
-        every = F.sequence(F.lit(1), F.lit(last)) if last else F.array().cast("array<int>")
-        present = F.map_from_entries(F.collect_list(F.when(F.col(step).isNotNull(), F.struct(step, "_points"))))
-        told = by_step.groupBy(cols.team).agg(present.alias("_present"))
-        steps = F.array_union(every.cast(f"array<{kind}>"), F.map_keys("_present"))
-        ledger = told.select(cols.team, "_present", F.explode(steps).alias(step)).select(
-            cols.team, step, F.coalesce(F.try_element_at("_present", F.col(step)), F.lit(0.0)).alias("reward")
-        )
+        return _every_step(rosters.select(cols.team, cols.name), earned, step, last, facts.schema[step].dataType, cols)
     season = Window.partitionBy(cols.team).orderBy(step)
     return ledger.withColumn(
         "running_total",
@@ -909,6 +902,48 @@ def weekly_reward(
     )
 
 
+def _every_step(members: DataFrame, earned: DataFrame, step: str, last: int, kind: DataType, cols: RosterColumns) -> DataFrame:
+    """The ledger of rosters that hold in every step from 1 to ``last``, and in those before that have a row.
+
+    Points travel as blocks of STEP_BLOCK steps in a row, so a member costs its points and little else; steps come apart
+    only when a team's sums and running totals are known, and no row per step is shuffled or sorted.
+    """
+    at = F.col(step).cast("bigint") - 1
+    blocks = F.sequence(F.lit(0), F.lit((last - 1) // STEP_BLOCK)).cast("array<bigint>") if last else F.array().cast("array<bigint>")
+    slots = [f"_{j}" for j in range(STEP_BLOCK)]
+    known = earned.where(F.col(step).isNotNull())
+    placed = known.select(
+        cols.name, F.floor(at / STEP_BLOCK).alias("_block"), F.pmod(at, F.lit(STEP_BLOCK)).alias("_slot"),
+        F.coalesce(F.col(cols.points).cast("double"), F.lit(0.0)).alias("_points"),
+    )
+    # every name has every block, also those without points
+    empty = known.select(cols.name).distinct().select(cols.name, F.explode(blocks).alias("_block"))
+    spread = (
+        placed.unionByName(empty, allowMissingColumns=True)
+        .groupBy(cols.name, "_block")
+        .agg(*[F.max(F.when(F.col("_slot") == j, F.col("_points"))).alias(c) for j, c in enumerate(slots)])
+    )
+    found = members.join(spread, cols.name, "left")
+    unknown = F.when(F.col("_block").isNull(), blocks).otherwise(F.array("_block"))
+    sums = (
+        found.select(cols.team, F.explode(unknown).alias("_block"), *slots)
+        .groupBy(cols.team, "_block")
+        .agg(*[F.sum(c).alias(c) for c in slots])
+    )
+    season = Window.partitionBy(cols.team).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    whole = sum((F.coalesce(F.col(c), F.lit(0.0)) for c in slots[1:]), F.coalesce(F.col(slots[0]), F.lit(0.0)))
+    before = F.coalesce(F.sum(whole).over(season), F.lit(0.0))
+    rows, total = [], F.col("_before")
+    for j, c in enumerate(slots):
+        number = F.col("_block") * STEP_BLOCK + j + 1
+        reward = F.coalesce(F.col(c), F.lit(0.0))
+        total = total + reward
+        listed = F.col(c).isNotNull() | number.between(1, last)
+        rows.append(F.struct(listed.alias("_listed"), number.cast(kind).alias(step), reward.alias("reward"), total.alias("running_total")))
+    told = sums.withColumn("_before", before).select(cols.team, F.inline(F.array(*rows)))
+    return told.where("_listed").drop("_listed")
+
+
 def cheaper_options(
     rosters: DataFrame,
     pool: DataFrame,

@@ -527,3 +527,30 @@ def test_cheapest_team_equals_a_search_of_all(seed):
     team = R.cheapest_team(counts, players, rules)
     assert (sum(m[0] for m in team) if team else None) == (min(costs) if costs else None)
     assert R.cheapest_team({1: 7, 2: 0}, players, rules) is None
+
+
+def test_points_travel_in_blocks_of_steps(spark):
+    """Steps over several blocks, gaps, steps before the first, rows without points or step; no row per step is dealt out."""
+    rng = random.Random(3)
+    facts = [(n, rng.randint(-20, 70), 0, float(rng.randint(-9, 9))) for n in range(6) for _ in range(25)]
+    facts += [(0, 75, 0, 3.0), (1, -40, 0, None), (2, None, 0, 5.0), (9, 80, 0, 2.0)]
+    rosters = [(t, n) for t, names in {1: [0, 1, 2], 2: [3, 77], 3: [77], 4: [2, 2, 5]}.items() for n in names]
+    ledger = R.weekly_reward(
+        spark.createDataFrame(rosters, "team int, name int"),
+        spark.createDataFrame(facts, "name int, step int, fixture int, points double"),
+        "step", mode="sum",
+    )
+    want = {}
+    for team in {t for t, _ in rosters}:
+        names = [n for t, n in rosters if t == team]
+        rows = [(s, p or 0.0, names.count(n)) for n, s, _, p in facts if s is not None and n in names]
+        total = 0.0
+        for step in sorted({*range(1, 81), *(s for s, _, _ in rows)}):
+            reward = sum(p * times for s, p, times in rows if s == step)
+            total += reward
+            want[team, step] = (reward, total)
+    assert {(r["team"], r["step"]): (r["reward"], r["running_total"]) for r in ledger.collect()} == want
+    assert ledger.schema["step"].dataType.simpleString() == "int"
+    plan = ledger._jdf.queryExecution().executedPlan().toString()
+    dealt = [x for x in plan.splitlines() if "hashpartitioning(team" in x]
+    assert dealt and not any("step#" in x for x in dealt)

@@ -39,6 +39,13 @@ LEAF_BINS = 1024
 PASS_NUMBERS = 8_000_000
 #: Binned rows of a partition at least.
 PART_ROWS = 10_000
+#: Binned rows that are stored and read as one.
+BLOCK_ROWS = 16_384
+#: Nodes up to which rows go through a tree node by node, all rows at a time.
+SMALL_TREE = 256
+#: Bins per leaf that a median is looked for in, and rows of a bin that need no finer ones.
+MEDIAN_BINS = 1024
+MEDIAN_ROWS = 20_000
 #: Rounds of boosting after which predictions so far are stored with the rows.
 STORED_ROUNDS = 20
 CRITERIA = ("friedman_mse", "absolute_error")
@@ -70,23 +77,47 @@ class Tree:
         return np.array(self.feature), np.array(self.bin), np.array(self.left)
 
     def leaves(self, codes: np.ndarray) -> np.ndarray:
-        """The leaf of each row of bin numbers."""
+        """The leaf of each row; ``codes`` has a line of bin numbers per feature."""
+        if len(self.feature) <= SMALL_TREE:
+            leaf = np.zeros(codes.shape[1], np.uint8)
+            for node, (f, at, left) in enumerate(zip(self.feature, self.bin, self.left, strict=True)):
+                if f >= 0:  # parents come before their children
+                    np.copyto(leaf, np.uint8(left) + (codes[f] > at).view(np.uint8), where=leaf == node)
+            return leaf.astype(np.int64)
         feature, at, left = self.arrays()
-        node = np.zeros(len(codes), np.int64)
-        rows = np.arange(len(codes))
+        node = np.zeros(codes.shape[1], np.int64)
+        rows = np.arange(codes.shape[1])
         for _ in range(max(self.depth)):
             inner = feature[node] >= 0
             if not inner.any():
                 break
             f = np.maximum(feature[node], 0)
-            node = np.where(inner, left[node] + (codes[rows, f] > at[node]), node)
+            node = np.where(inner, left[node] + (codes[f, rows] > at[node]), node)
         return node
 
 
-def _columns(batch: pa.RecordBatch, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row numbers, bin numbers, labels) of a batch of binned rows."""
-    codes = np.frombuffer(b"".join(batch.column("codes").to_pylist()), np.uint8).reshape(batch.num_rows, width)
-    return batch.column("row").to_numpy(), codes, batch.column("y").to_numpy()
+@dataclass
+class Block:
+    """Binned rows: a line of bin numbers per feature, and numbers, labels and predictions so far of the rows."""
+
+    codes: np.ndarray
+    row: np.ndarray
+    y: np.ndarray
+    done: np.ndarray
+
+    FIELDS = "codes binary, row binary, y binary, done binary"
+
+    def packed(self) -> pa.RecordBatch:
+        columns = {f: pa.array([np.ascontiguousarray(getattr(self, f)).tobytes()], pa.binary()) for f in ("codes", "row", "y", "done")}
+        return pa.RecordBatch.from_pydict(columns)
+
+    @staticmethod
+    def each(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[Block]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                codes, row, y, done = (batch.column(f)[i].as_buffer() for f in ("codes", "row", "y", "done"))
+                at = np.frombuffer(codes, np.uint8).reshape(width, -1)
+                yield Block(at, np.frombuffer(row, np.int64), np.frombuffer(y), np.frombuffer(done))
 
 
 def _uniform(row: np.ndarray, salt: int) -> np.ndarray:
@@ -117,11 +148,12 @@ class Binner:
         self.labels = np.array(labels, float)
 
     def codes(self, x: np.ndarray) -> np.ndarray:
-        return np.stack([np.searchsorted(b, x[:, i]) for i, b in enumerate(self.features)], axis=1).astype(np.uint8)
+        """A line of bin numbers per feature, of rows ``x``."""
+        return np.stack([np.searchsorted(b, x[:, i]) for i, b in enumerate(self.features)]).astype(np.uint8)
 
 
 def binned(df: DataFrame, features: str, label: str, bins: int = BINS) -> tuple[Binner, DataFrame]:
-    """Borders, and the rows as (row, codes, y), computed once."""
+    """Borders, and the rows in blocks, computed once."""
     rows = df.select(vector_to_array(F.col(features)).alias("x"), F.col(label).cast("double").alias("y")).where(
         F.col("y").isNotNull()
     )
@@ -135,16 +167,32 @@ def binned(df: DataFrame, features: str, label: str, bins: int = BINS) -> tuple[
     row = rows.agg(*asked, F.percentile_approx("y", finer, 10 * LEAF_BINS).alias("y")).first()
     binner = Binner([sorted(set(row[f"x{i}"] or [])) for i in range(width)], sorted(set(row["y"])))
 
+    numbered = rows.withColumn("row", F.monotonically_increasing_id())
+
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = batch.column("x").flatten().to_numpy().reshape(batch.num_rows, width)
-            codes = [c.tobytes() for c in binner.codes(x)]
-            yield pa.RecordBatch.from_arrays([pa.array(codes, pa.binary()), batch.column("y")], ["codes", "y"])
+        for batch in _gathered(batches, BLOCK_ROWS):
+            x = batch.column("x").combine_chunks().flatten().to_numpy().reshape(batch.num_rows, width)
+            y, row = (batch.column(c).to_numpy() for c in ("y", "row"))
+            yield Block(binner.codes(x), row, y, np.zeros(len(y))).packed()
 
-    coded = rows.mapInArrow(tasks, "codes binary, y double").withColumn("row", F.monotonically_increasing_id())
-    stored = cut_lineage(coded)
+    stored = cut_lineage(numbered.mapInArrow(tasks, Block.FIELDS))
     # many passes follow, so that few rows are better kept together
-    return binner, stored.coalesce(max(1, -(-stored.count() // PART_ROWS)))
+    n_rows = stored.agg(F.sum(F.octet_length("y") / 8)).first()[0]
+    return binner, stored.coalesce(max(1, -int(-n_rows // PART_ROWS)))
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], n_rows: int) -> Iterator[pa.Table]:
+    """The rows of ``batches`` in tables of ``n_rows``, the last of which may have fewer."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        while sum(b.num_rows for b in held) + batch.num_rows >= n_rows:
+            wanted = n_rows - sum(b.num_rows for b in held)
+            yield pa.Table.from_batches([*held, batch.slice(0, wanted)])
+            held, batch = [], batch.slice(wanted)
+        if batch.num_rows:
+            held.append(batch)
+    if held:
+        yield pa.Table.from_batches(held)
 
 
 def _absolute_cost(hist: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -190,7 +238,7 @@ class Grower:
         self.values = borders if criterion == "absolute_error" else None
 
     def grow(self, n_trees: int, share: float, max_features: float, least_share: float, label=None, first: int = 0) -> list[Tree]:
-        """Trees on samples of the rows; ``label`` turns (codes, y, row) into what is learned, by default y."""
+        """Trees on samples of the rows; ``label`` turns a block into what is learned, by default its labels."""
         trees = [Tree() for _ in range(n_trees)]
         active = [[0] for _ in trees]
         cells = self.width * BINS * (2 if self.values is None else len(self.values))
@@ -232,22 +280,24 @@ class Grower:
 
         def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out = [np.zeros((len(nodes), width, BINS, depth_values)) for nodes in active]
-            for batch in batches:
-                row, codes, y = _columns(batch, width)
-                y = y if label is None else label(codes, y, batch)
+            for block in Block.each(batches, width):
+                y = block.y if label is None else label(block)
                 at_value = None if values is None else np.minimum(np.searchsorted(values, y), len(values) - 1)
                 for tree, number, salt, sums in zip(trees, numbers, salts, out, strict=True):
-                    place = number[tree.leaves(codes)]
-                    weight = drawn(row, share, seed * 1_000_003 + salt) if share < 1 or len(trees) > 1 else np.ones(len(row))
-                    kept = np.flatnonzero((place >= 0) & (weight > 0))
-                    place, weight, n = place[kept], weight[kept], len(sums)
+                    place, n = number[tree.leaves(block.codes)], len(sums)
+                    weight = drawn(block.row, share, seed * 1_000_003 + salt) if share < 1 or len(trees) > 1 else np.ones(len(y))
+                    kept = (place >= 0) & (weight > 0)
+                    # mostly all rows are kept
+                    own = slice(None) if kept.all() else np.flatnonzero(kept)
+                    place, weight = place[own], weight[own]
+                    weighted = weight * y[own] if values is None else None
                     for f in range(width):
-                        at = place * BINS + codes[kept, f]
+                        at = place * BINS + block.codes[f][own]
                         if values is None:
                             sums[:, f, :, 0] += np.bincount(at, weight, n * BINS).reshape(n, BINS)
-                            sums[:, f, :, 1] += np.bincount(at, weight * y[kept], n * BINS).reshape(n, BINS)
+                            sums[:, f, :, 1] += np.bincount(at, weighted, n * BINS).reshape(n, BINS)
                         else:
-                            cell = at * depth_values + at_value[kept]
+                            cell = at * depth_values + at_value[own]
                             sums[:, f] += np.bincount(cell, weight, n * BINS * depth_values).reshape(n, BINS, -1)
             yield _as_batch(np.concatenate([s.ravel() for s in out]))
 
@@ -264,10 +314,10 @@ class Grower:
 
             def add_up(batches: Iterator[pa.RecordBatch], group=group, start=start) -> Iterator[pa.RecordBatch]:
                 out = [np.zeros((len(t.feature), n_values)) for t in group]
-                for batch in batches:
-                    row, codes, y = _columns(batch, width)
+                for block in Block.each(batches, width):
+                    row, y = block.row, block.y
                     for k, (tree, sums) in enumerate(zip(group, out, strict=True)):
-                        leaf = tree.leaves(codes)
+                        leaf = tree.leaves(block.codes)
                         many = share < 1 or len(trees) > 1
                         weight = drawn(row, share, seed * 1_000_003 + start + k) if many else np.ones(len(row))
                         if borders is None:
@@ -289,6 +339,71 @@ class Grower:
                         tree.value[node] = float(borders[(own[node].cumsum() * 2 >= own[node].sum()).argmax()])
 
 
+def _medians(rows: DataFrame, width: int, tree: Tree, left, kept, low: float, high: float) -> tuple[list[float], float, float, float]:
+    """(median of each leaf, mean absolute value, least and greatest value) of what ``left`` makes of blocks.
+
+    Medians are exact, the lower one of two: a pass counts values in MEDIAN_BINS bins per leaf between ``low`` and ``high``,
+    whose ends are open; further ones cut a median's bin again where it holds too many rows. Then the values in the last
+    bins are read, equal ones once. Only rows that are ``kept`` count for medians.
+    """
+    n_leaves = len(tree.feature)
+    lows, steps = np.full(n_leaves, low), np.full(n_leaves, max((high - low) / MEDIAN_BINS, 1e-300))
+    chosen: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # (lows, steps, bin) per leaf, of the passes so far
+    wanted: np.ndarray | None = None
+
+    def bin_of(value: np.ndarray, leaf: np.ndarray, lows: np.ndarray, steps: np.ndarray) -> np.ndarray:
+        return np.clip((value - lows[leaf]) / steps[leaf], 0, MEDIAN_BINS - 1).astype(np.int64)
+
+    def sought(block: Block, chosen: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(values, leaves, all values): those that lie in the chosen bins."""
+        whole, leaf, mask = left(block), tree.leaves(block.codes), kept(block)
+        for lows, steps, at in chosen:
+            mask = mask & (bin_of(whole, leaf, lows, steps) == at[leaf])
+        return whole[mask], leaf[mask], whole
+
+    while True:
+
+        def count(batches: Iterator[pa.RecordBatch], lows=lows, steps=steps, chosen=tuple(chosen)) -> Iterator[pa.RecordBatch]:
+            sums, told = np.zeros(n_leaves * MEDIAN_BINS), np.array([0.0, 0.0])
+            for block in Block.each(batches, width):
+                value, leaf, whole = sought(block, chosen)
+                sums += np.bincount(leaf * MEDIAN_BINS + bin_of(value, leaf, lows, steps), minlength=len(sums))
+                told += [np.abs(whole).sum(), len(whole)]
+            yield _as_batch(np.concatenate([sums, told]))
+
+        sums = _added(rows, count)
+        counts = sums[:-2].reshape(n_leaves, MEDIAN_BINS).astype(np.int64)
+        if wanted is None:
+            # leaves without rows and inner nodes want none
+            error, wanted = float(sums[-2] / sums[-1]), (counts.sum(axis=1) - 1) // 2
+            filled = counts.any(axis=0).nonzero()[0]
+            reach = (low + filled.min() * steps[0] if filled[0] else None, low + (filled.max() + 1) * steps[0] if filled[-1] < MEDIAN_BINS - 1 else None)
+        upto = counts.cumsum(axis=1)
+        at = (upto > wanted[:, None]).argmax(axis=1)
+        own = np.take_along_axis(counts, at[:, None], 1)[:, 0]
+        wanted = wanted - (np.take_along_axis(upto, at[:, None], 1)[:, 0] - own)
+        chosen.append((lows, steps, at))
+        if own.max() <= MEDIAN_ROWS or len(chosen) == 4:
+            break
+        lows, steps = lows + at * steps, np.maximum(steps / MEDIAN_BINS, 1e-300)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [sought(block, chosen)[:2] for block in Block.each(batches, width)]
+        value, leaf = (np.concatenate(part) for part in zip(*found, strict=True)) if found else (np.zeros(0), np.zeros(0, np.int64))
+        for k in np.unique(leaf):
+            each, times = np.unique(value[leaf == k], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(each), k, np.int32)), pa.array(each), pa.array(times)], ["leaf", "value", "times"])
+
+    table = rows.mapInArrow(read, "leaf int, value double, times bigint").toArrow()
+    leaf, value, times = (table.column(c).to_numpy() for c in ("leaf", "value", "times"))
+    medians = [0.0] * n_leaves
+    for k in np.unique(leaf):
+        order = np.argsort(value[leaf == k])
+        upto = times[leaf == k][order].cumsum()
+        medians[k] = float(value[leaf == k][order][(upto > wanted[k]).argmax()])
+    return medians, error, low if reach[0] is None else reach[0], high if reach[1] is None else reach[1]
+
+
 class _TreeParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasSeed):
     nTrees = Param(Params._dummy(), "nTrees", "trees", TypeConverters.toInt)
     maxDepth = Param(Params._dummy(), "maxDepth", "levels of splits", TypeConverters.toInt)
@@ -341,56 +456,42 @@ class AbsoluteBoosting(Estimator, _TreeParams, DefaultParamsReadable, DefaultPar
         get = self.getOrDefault
         n_rounds, share, rate = get(self.nTrees), get(self.share), get(self.rate)
         binner, rows = binned(df, self.getFeaturesCol(), self.getLabelCol())
-        start = float(rows.agg(F.percentile_approx("y", 0.5, 100_000)).first()[0])
-        width = len(binner.features)
+        width, seed = len(binner.features), self.getSeed()
+        # the median of the labels is that of the residuals in a tree of one leaf
+        low, high = float(binner.labels[0]), float(binner.labels[-1])
+        (start,), _, low, high = _medians(rows, width, Tree(), lambda b: b.y, lambda b: np.ones(len(b.y), bool), low, high)
+        low, high = low - start, high - start
         trees: list[Tree] = []
         history: list[float] = []
-        stored = 0  # trees whose share is in the column "done"
-        rows = rows.withColumn("done", F.lit(start))
+        stored = 0  # trees whose share is in "done"
         n_parts = max(1, rows.rdd.getNumPartitions())
 
-        def residual(codes: np.ndarray, y: np.ndarray, batch: pa.RecordBatch, since: list[Tree]) -> np.ndarray:
-            left = y - batch.column("done").to_numpy()
+        def residual(block: Block, since: list[Tree]) -> np.ndarray:
+            left = block.y - start - block.done
             for tree in since:
-                left = left - rate * np.array(tree.value)[tree.leaves(codes)]
+                left = left - (rate * np.array(tree.value))[tree.leaves(block.codes)]
             return left
 
         for turn in range(n_rounds):
             since = trees[stored:]
-            signs = lambda codes, y, batch, since=since: np.sign(residual(codes, y, batch, since))
-            grower = Grower(rows, binner, "friedman_mse", get(self.maxDepth), self.getSeed())
-            (tree,) = grower.grow(1, share, 1.0, 0.0, signs, first=turn)
-            seed = self.getSeed()
-
-            def leaves(batches: Iterator[pa.RecordBatch], tree=tree, since=since, turn=turn) -> Iterator[pa.RecordBatch]:
-                for batch in batches:
-                    row, codes, y = _columns(batch, width)
-                    left = residual(codes, y, batch, since)
-                    kept = drawn(row, share, seed * 1_000_003 + turn) if share < 1 else np.ones(len(row))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(tree.leaves(codes).astype(np.int32)), pa.array(left), pa.array(kept.astype(np.int64))],
-                        ["leaf", "left", "times"],
-                    )
-
-            found = rows.mapInArrow(leaves, "leaf int, left double, times bigint").groupBy("leaf").agg(
-                F.percentile_approx(F.when(F.col("times") > 0, F.col("left")), 0.5, 100_000).alias("middle"),
-                F.sum(F.abs("left")).alias("error"), F.count("*").alias("n"),
-            ).collect()
-            for r in found:
-                tree.value[r["leaf"]] = float(r["middle"] or 0.0)
-            history.append(sum(r["error"] for r in found) / sum(r["n"] for r in found))
+            left = lambda block, since=since: residual(block, since)
+            kept = lambda block, turn=turn: drawn(block.row, share, seed * 1_000_003 + turn) > 0 if share < 1 else np.ones(len(block.y), bool)
+            grower = Grower(rows, binner, "friedman_mse", get(self.maxDepth), seed)
+            (tree,) = grower.grow(1, share, 1.0, 0.0, lambda block, left=left: np.sign(left(block)), first=turn)
+            tree.value, error, low, high = _medians(rows, width, tree, left, kept, low, high)
+            history.append(error)
+            # rounding may carry residuals past these, which does no harm: bins at the ends are open
+            low, high = low - rate * max(tree.value), high - rate * min(tree.value)
             trees.append(tree)
             if len(trees) - stored >= STORED_ROUNDS and turn + 1 < n_rounds:
                 since = trees[stored:]
 
                 def store(batches: Iterator[pa.RecordBatch], since=since) -> Iterator[pa.RecordBatch]:
-                    for batch in batches:
-                        _, codes, y = _columns(batch, width)
-                        done = y - residual(codes, y, batch, since)
-                        columns = [batch.column(c) for c in ("codes", "y", "row")]
-                        yield pa.RecordBatch.from_arrays([*columns, pa.array(done)], ["codes", "y", "row", "done"])
+                    for block in Block.each(batches, width):
+                        block.done = block.y - start - residual(block, since)
+                        yield block.packed()
 
-                rows = cut_lineage(rows.mapInArrow(store, "codes binary, y double, row bigint, done double").coalesce(n_parts))
+                rows = cut_lineage(rows.mapInArrow(store, Block.FIELDS).coalesce(n_parts))
                 stored = len(trees)
         return _model(self, binner, trees, start, [rate] * len(trees), history)
 

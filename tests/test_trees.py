@@ -99,3 +99,38 @@ def test_samples_are_drawn_alike_again():
     one = trees.drawn(row, 0.6, 4)
     assert (one == trees.drawn(row, 0.6, 4)).all() and abs(one.mean() - 0.6) < 0.03 and one.max() < 12
     assert abs((one == 0).mean() - np.exp(-0.6)) < 0.02
+
+
+@pytest.mark.parametrize("bins, rows", [(1024, 20_000), (4, 1)])
+def test_medians_are_exact_however_far_values_lie_apart(spark, monkeypatch, bins, rows):
+    monkeypatch.setattr(trees, "MEDIAN_BINS", bins)
+    monkeypatch.setattr(trees, "MEDIAN_ROWS", rows)
+    monkeypatch.setattr(trees, "BLOCK_ROWS", 64)
+    rng = np.random.default_rng(2)
+    x = rng.integers(0, 4, (500, 1)).astype(float)
+    y = np.concatenate([rng.normal(size=300), np.full(150, 0.25), 1e6 * rng.normal(size=50)])
+    binner, blocks = trees.binned(frame(spark, x, y).repartition(3), "features", "label")
+    tree = trees.Tree()
+    tree.split(0, 0, int(np.searchsorted(binner.features[0], 1.0)))
+    medians, error, low, high = trees._medians(blocks, 1, tree, lambda b: b.y, lambda b: np.ones(len(b.y), bool), y.min(), y.max())
+    for leaf, side in ((1, x[:, 0] <= 1), (2, x[:, 0] > 1)):
+        assert medians[leaf] == np.sort(y[side])[(side.sum() - 1) // 2]
+    assert medians[0] == 0.0 and error == pytest.approx(np.abs(y).mean()) and low <= y.min() and high >= y.max()
+
+
+def test_passes_read_blocks_and_not_rows(spark):
+    """400 rounds read the rows two thousand times: a block of rows has to be one row to Spark."""
+    df = frame(spark, np.zeros((5000, 2)), np.arange(5000.0)).coalesce(2)
+    _, blocks = trees.binned(df, "features", "label")
+    assert blocks.count() <= 3 and sum(len(b["y"]) // 8 for b in blocks.collect()) == 5000
+
+
+def test_large_trees_lead_rows_as_small_ones_do(monkeypatch):
+    rng = np.random.default_rng(8)
+    tree, ends = trees.Tree(), [0]
+    for _ in range(5):
+        ends = [c for node in ends for c in tree.split(node, int(rng.integers(3)), int(rng.integers(32)))]
+    codes = rng.integers(0, 32, (3, 1000)).astype(np.uint8)
+    small = tree.leaves(codes)
+    monkeypatch.setattr(trees, "SMALL_TREE", 1)
+    assert (tree.leaves(codes) == small).all() and len(np.unique(small)) > 4

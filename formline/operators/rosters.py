@@ -536,6 +536,8 @@ def improve_rosters(
     """
     finder = _finder(pool, rules, cols)
     players = _read_once(pool, finder, cols)
+    # legal and other teams are both read from here, so what rosters are made of is computed once
+    rosters = cut_lineage(rosters.select(cols.team, cols.name))
     squads = _squads(rosters, players, rules, cols, F.col("legal")).withColumn("_swaps", F.lit(0))
     if charge is not None:
         squads = squads.withColumn("_first", F.col("_members"))
@@ -543,7 +545,7 @@ def improve_rosters(
     names = F.explode(F.transform("_members", lambda m: m[cols.name])).alias(cols.name)
     flags = [F.lit(True).alias("legal"), F.col("_swaps").alias("n_swaps"), (~F.col("_changed")).alias("settled")]
     reached = _climbed(start, finder, rules, cols, n_steps, charge).select(cols.team, names, *flags)
-    others = rosters.select(cols.team, cols.name).join(start.select(cols.team), cols.team, "left_anti")
+    others = rosters.join(start.select(cols.team), cols.team, "left_anti")
     return reached.unionByName(
         others.select(
             cols.team, cols.name, F.lit(False).alias("legal"), F.lit(0).alias("n_swaps"), F.lit(False).alias("settled")

@@ -554,3 +554,21 @@ def test_points_travel_in_blocks_of_steps(spark):
     plan = ledger._jdf.queryExecution().executedPlan().toString()
     dealt = [x for x in plan.splitlines() if "hashpartitioning(team" in x]
     assert dealt and not any("step#" in x for x in dealt)
+
+
+def test_improving_computes_the_given_rosters_once(spark):
+    path = "/root/testdata/sf0.001"
+    asked = spark.sparkContext.accumulator(0)
+
+    def counted(batches, asked=asked):
+        for batch in batches:
+            asked.add(batch.num_rows)
+            yield batch
+
+    given = P.rosters(spark, path).coalesce(1).cache()
+    n_rows = given.count()
+    rosters = given.mapInArrow(counted, given.schema)
+    improved = R.improve_rosters(rosters, P.supplier_pool(spark, path), P.ROSTER_RULES, n_steps=1)
+    assert len({r["team"] for r in improved.collect()}) == given.select("team").distinct().count()
+    assert asked.value == n_rows
+    given.unpersist()

@@ -352,3 +352,31 @@ def test_entries_of_wide_vectors_are_read_without_spreading_them(spark):
 def test_the_vector_query_spreads_no_vector(spark):
     plan = queries.one_hot_vector(spark, "/root/testdata/sf0.001")._jdf.queryExecution().analyzed().toString()
     assert "c_name_vector" in plan and "vector_to_array" not in plan.lower() and "UDF(" not in plan
+
+
+@pytest.mark.parametrize("rows_per_range", [40, 1_000_000])
+def test_shared_scores_equal_those_of_single_models(spark, rows_per_range):
+    rng = np.random.default_rng(5)
+    data = [("a" if i % 3 else "b", float(rng.integers(0, 9)) if i % 7 else None, Vectors.dense(rng.integers(0, 30, 2) / 4.0)) for i in range(700)]
+    df = spark.createDataFrame(data, ["stage", "label", "features"]).repartition(5)
+    # the second has ties in plenty, the third predicts one value, the fourth is the first again
+    weights = [((0.3, -1.7), 0.5), ((1.0, 0.0), 0.0), ((0.0, 0.0), 2.0), ((0.3, -1.7), 0.5)]
+    models = [svr.LinearSVRModel(coefficients=list(w), intercept=b) for w, b in weights]
+    found = svr.score_together(models, df, rows_per_range=rows_per_range)
+    for model, scores in zip(models, found, strict=True):
+        frames = {s: df.where(F.col("stage") == s) for s in "ab"}
+        wanted = training.metrics_map(training.evaluate(model, frames))
+        assert set(scores) == set(wanted)
+        assert scores == {k: v if v is None else pytest.approx(v) for k, v in wanted.items()}
+    assert svr.score_together(models, df, rank=False)[1] == {k: v for k, v in found[1].items() if "spearman" not in k}
+
+
+def test_settings_that_differ_in_tolerance_share_their_passes(spark, table, monkeypatch):
+    ready = Pipeline(stages=PRESETS["encoded"](ROLES)).fit(table).transform(table).select("features", "label")
+    asked = []
+    plain = svr._partial_sums
+    monkeypatch.setattr(svr, "_partial_sums", lambda w, e: asked.append(len(w)) or plain(w, e))
+    models = svr.fit_together([training.linear_svr(0.5, 1.0, tol, 60) for tol in (1e-1, 1e-3, 1e-5)], ready)
+    assert set(asked) == {1}
+    passes = [len(m.getHistory()) for m in models]
+    assert passes == sorted(passes) and all(m.getHistory() == models[-1].getHistory()[:n] for m, n in zip(models, passes, strict=True))

@@ -26,7 +26,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from formline.session import cut_lineage, table_within
 
@@ -230,6 +230,7 @@ class Blocks:
             for p in pc.unique(players["position"])
             if p.is_valid
         }
+        self.player = pa.struct([(c, players.schema.field(c).type) for c in PLAYER])
 
     def answered(self, batch: pa.RecordBatch, keep: Sequence[str], strict: bool, count: bool) -> Iterator[pa.RecordBatch]:
         """The ``keep`` columns of questions that have an answer, with ``n_options`` and the best one, ``_in``."""
@@ -271,6 +272,8 @@ class Finder:
             with pa.ipc.new_stream(sink, self.local.schema) as writer:
                 writer.write_table(self.local)
             self.small = pool.sparkSession.sparkContext.broadcast(sink.getvalue().to_pybytes())
+        #: What workers remember the prepared pool by, from one asking to the next.
+        self.key = uuid.uuid4().hex
         self.pieces: DataFrame | None = None
         self.n_pieces = 0
 
@@ -288,9 +291,21 @@ class Finder:
             [*(asked.schema[c] for c in keep), StructField("n_options", LongType()), StructField("_in", self.pool.schema)]
         )
         if self.small is not None:
-            return asked.mapInArrow(_from_small(self.small, self.bounds, list(keep), strict, count), schema)
+            return asked.mapInArrow(_from_small(self.small, self.key, self.bounds, list(keep), strict, count), schema)
         return self._from_pieces(asked, list(keep), schema, strict, count)
 
+    def answers_beside(self, rows: DataFrame, asked: str, excluded: str, out: str) -> DataFrame:
+        """``rows`` with the best answers to their questions appended as ``out``, one per question or null.
+
+        ``asked`` is an array of questions (``_position``, ``_least`` (optional), ``_budget``, ``_closed``) and ``excluded``
+        the names that none of a row's questions wants; both columns are left out. Rows stay where they are: only for pools
+        that are small.
+        """
+        kept = [f for f in rows.schema if f.name not in (asked, excluded)]
+        schema = StructType([*kept, StructField(out, ArrayType(self.pool.schema))])
+        ordered = rows.select(*(f.name for f in kept), asked, excluded)
+        return ordered.mapInArrow(_beside(self.small, self.key, self.bounds, out), schema)
+
     def _placed(self) -> tuple[DataFrame, DataFrame]:
         """The pool cut into pieces by position and value, and the least value of each position in each piece."""
         if self.pieces is None:
@@ -323,15 +338,42 @@ class Finder:
         return found.groupBy(*keep).agg(F.sum("n_options").alias("n_options"), F.min_by("_in", order).alias("_in"))
 
 
-def _from_small(held, bounds: Bounds, keep: list[str], strict: bool, count: bool):
-    key = uuid.uuid4().hex
+def _prepared(held, key: str, bounds: Bounds) -> Blocks:
+    """The blocks of a pool that travels; one pool is kept per worker."""
+    if key not in _built:
+        _built.clear()
+        _built[key] = Blocks(pa.ipc.open_stream(held.value).read_all(), bounds)
+    return _built[key]
+
+
+def _from_small(held, key: str, bounds: Bounds, keep: list[str], strict: bool, count: bool):
+    def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks = _prepared(held, key, bounds)
+        for batch in batches:
+            yield from blocks.answered(batch, keep, strict, count)
+
+    return tasks
+
+
+def _beside(held, key: str, bounds: Bounds, out: str):
+    """For batches whose last two columns are arrays of questions and the names excluded from them."""
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if key not in _built:  # one pool per worker
-            _built.clear()
-            _built[key] = Blocks(pa.ipc.open_stream(held.value).read_all(), bounds)
+        blocks = _prepared(held, key, bounds)
         for batch in batches:
-            yield from _built[key].answered(batch, keep, strict, count)
+            *kept, asked, excluded = batch.columns
+            owner, questions = _flat(asked)
+            each = [pa.array(np.arange(len(owner))), excluded.take(pa.array(owner)), *questions.flatten()]
+            names = ["_at", "_excluded", *(f.name for f in questions.type)]
+            found = list(blocks.answered(pa.RecordBatch.from_arrays(each, names), ["_at"], False, False))
+            best = pa.nulls(len(owner), blocks.player)
+            if found:
+                place = np.full(len(owner), -1)
+                at = np.concatenate([b.column("_at").to_numpy() for b in found])
+                place[at] = np.arange(len(at))
+                best = pa.concat_arrays([b.column("_in") for b in found]).take(pa.array(place, mask=place < 0))
+            ends = np.concatenate([[0], np.bincount(owner, minlength=batch.num_rows).cumsum()]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([*kept, pa.ListArray.from_arrays(pa.array(ends), best)], [*batch.schema.names[:-2], out])
 
     return tasks
 

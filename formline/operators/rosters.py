@@ -564,11 +564,17 @@ def _climbed(
 ) -> DataFrame:
     """All ``squads`` (told apart by team and ``keys``) where their best swaps lead, ``_changed`` if cut off.
 
-    Squads without a swap leave the loop; the others are checkpointed between steps.
+    Squads without a swap leave the loop; the others are checkpointed between steps. Where the pool travels to them,
+    they stay where they are from the first step to the last.
     """
     arrived = []
+    if finder.small is not None:
+        squads = squads.repartition(cols.team, *keys)
     for step in count(1) if n_steps is None else range(1, n_steps + 1):
-        squads = _advance(squads, _best_swaps(squads, finder, rules, cols, charge, keys), cols, keys)
+        if finder.small is not None:
+            squads = _moved_on(_with_best_swap(squads, finder, rules, cols, charge), cols)
+        else:
+            squads = _advance(squads, _best_swaps(squads, finder, rules, cols, charge, keys), cols, keys)
         if step == n_steps:
             arrived.append(squads)
             break
@@ -577,12 +583,84 @@ def _climbed(
         squads = squads.where("_changed").drop("_changed")
         if squads.isEmpty():
             break
-        squads = squads.repartition(cols.team, *keys)
+        if finder.small is None:
+            squads = squads.repartition(cols.team, *keys)
     return union_all(arrived or [squads.withColumn("_changed", F.lit(True))])
 
 
+def _with_best_swap(
+    squads: DataFrame, finder: Finder, rules: RosterRules, cols: RosterColumns, charge: TransferCharge | None
+) -> DataFrame:
+    """``squads`` with their best swap as ``_swap``, as :func:`_best_swaps` finds it, for pools that travel.
+
+    All members of a squad are asked for at once, in its own row, so nothing is joined, shuffled or sorted.
+    """
+    carried = squads.columns
+    names = F.transform("_members", lambda m: m[cols.name])
+    ready = squads.withColumns({"_names": names, "_taken": _taken_clubs(rules, cols)})
+    excluded = F.col("_names")
+    if charge is not None:
+        ready = ready.withColumn("_firsts", F.transform("_first", lambda m: m[cols.name]))
+        excluded = F.array_union("_names", "_firsts")
+    questions = F.transform(
+        "_members",
+        lambda m: F.struct(
+            m[cols.position].alias("_position"),
+            m[cols.points].alias("_least"),
+            (F.col("_spare") + m[cols.value]).alias("_budget"),
+            F.filter("_taken", lambda c: ~c.eqNullSafe(m[cols.club])).alias("_closed"),
+        ),
+    )
+    found = finder.answers_beside(ready.withColumns({"_asked": questions, "_excluded": excluded}), "_asked", "_excluded", "_found")
+
+    def swap(out: Column, into: Column, points: Sequence[str], extra: Column | None = None) -> Column:
+        loss = out[cols.points] - into[points[4]]
+        entering = F.struct(*(into[c].alias(n) for c, n in zip(points, cols.player, strict=True)))
+        loss = loss if extra is None else loss + extra
+        return F.struct(loss.alias("loss"), out[cols.name].alias("out"), into[points[0]].alias("in"), entering.alias("_in"))
+
+    def paid(out: Column, joins: int) -> Column | None:
+        if charge is None:
+            return None
+        after = F.col("_moved") - (~F.array_contains("_firsts", out[cols.name])).cast("int") + joins
+        return charge.of(after) - charge.of(F.col("_moved"))
+
+    if charge is not None:
+        found = found.withColumn("_moved", F.size(F.array_except("_names", "_firsts")))
+    pairs = F.filter(F.arrays_zip(F.col("_members").alias("out"), F.col("_found").alias("into")), lambda x: x["into"].isNotNull())
+    options = F.transform(pairs, lambda x: swap(x["out"], x["into"], PLAYER, paid(x["out"], 1)))
+    if charge is not None:
+        gone = F.filter("_first", lambda f: ~F.array_contains("_names", f[cols.name]))
+        returning = F.transform(
+            gone,
+            lambda f: F.transform(
+                F.filter("_members", lambda m: _may_return(f, m, cols)), lambda m: swap(m, f, cols.player, paid(m, 0))
+            ),
+        )
+        options = F.concat(options, F.flatten(returning))
+    better = F.filter(options, lambda o: o["loss"] < 0)
+    # a team without a name is never joined with anything
+    return found.withColumn("_swap", F.when(F.col(cols.team).isNotNull(), F.array_min(better))).select(*carried, "_swap")
+
+
+def _may_return(first: Column, out: Column, cols: RosterColumns) -> Column:
+    """Whether a member of the first roster, who is not in the squad, may replace ``out`` and has more points."""
+    club = first[cols.club]
+    return (
+        (first[cols.position] == out[cols.position])
+        & (first[cols.points] > out[cols.points])
+        & (first[cols.value] <= F.col("_spare") + out[cols.value])
+        & (club.isNull() | (club == out[cols.club]) | ~F.array_contains("_taken", club))
+    )
+
+
 def _advance(squads: DataFrame, swaps: DataFrame, cols: RosterColumns, keys: Sequence[str] = ()) -> DataFrame:
     """Squads after their swap, with whether there was one."""
+    return _moved_on(squads.join(swaps, [cols.team, *keys], "left"), cols)
+
+
+def _moved_on(squads: DataFrame, cols: RosterColumns) -> DataFrame:
+    """Squads after the swap in ``_swap``, if there is one."""
     leaving, entering = F.col("_swap.out"), F.col("_swap._in")
     changed = F.col("_swap").isNotNull()
     given_up = F.element_at(
@@ -591,20 +669,16 @@ def _advance(squads: DataFrame, swaps: DataFrame, cols: RosterColumns, keys: Seq
     replaced = F.transform(
         "_members", lambda m: F.when(m[cols.name] == leaving, entering).otherwise(m)
     )
-    return (
-        squads.join(swaps, [cols.team, *keys], "left")
-        .withColumns(
-            {
-                "_spare": F.when(
-                    changed, F.col("_spare") + given_up - entering[cols.value]
-                ).otherwise(F.col("_spare")),
-                "_members": F.when(changed, replaced).otherwise(F.col("_members")),
-                "_swaps": F.col("_swaps") + changed.cast("int"),
-                "_changed": changed,
-            }
-        )
-        .drop("_swap")
-    )
+    return squads.withColumns(
+        {
+            "_spare": F.when(
+                changed, F.col("_spare") + given_up - entering[cols.value]
+            ).otherwise(F.col("_spare")),
+            "_members": F.when(changed, replaced).otherwise(F.col("_members")),
+            "_swaps": F.col("_swaps") + changed.cast("int"),
+            "_changed": changed,
+        }
+    ).drop("_swap")
 
 
 def restarted_rosters(
@@ -661,6 +735,20 @@ def _kicked(squads: DataFrame, finder: Finder, rules: RosterRules, cols: RosterC
         F.array_intersect(names, first),
         lambda n: F.struct(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("_start"), n).cast("binary")).alias("m"), n.alias("n")),
     )
+    if finder.small is not None:
+        carried = squads.columns
+        ready = squads.withColumns({"_pick": F.array_min(luck)["n"], "_taken": _taken_clubs(rules, cols), "_excluded": F.array_union(names, first)})
+        ready = ready.withColumn("_out", F.get(F.filter("_members", lambda m: m[cols.name] == F.col("_pick")), F.lit(0)))
+        question = F.struct(
+            F.col(f"_out.{cols.position}").alias("_position"),
+            (F.col("_spare") + F.col(f"_out.{cols.value}")).alias("_budget"),
+            F.filter("_taken", lambda c: ~c.eqNullSafe(F.col(f"_out.{cols.club}"))).alias("_closed"),
+        )
+        found = finder.answers_beside(ready.withColumn("_asked", F.array(question)), "_asked", "_excluded", "_found")
+        found = found.withColumn("_in", F.col("_found")[0])
+        swap = F.struct(F.col("_pick").alias("out"), F.col("_in.name").alias("in"), _entering(cols).alias("_in"))
+        known = F.col("_in").isNotNull() & F.col(cols.team).isNotNull()
+        return _moved_on(found.select(*carried, F.when(known, swap).alias("_swap")), cols).drop("_changed")
     outgoing = _outgoing(squads.withColumn("_pick", F.array_min(luck)["n"]), rules, cols, [*keys, "_first", "_pick"])
     asked = outgoing.where(F.col("out") == F.col("_pick")).withColumn("_excluded", F.array_union("_names", first))
     found = finder.answers(asked, [cols.team, *keys, "out"], count=False)

@@ -572,3 +572,21 @@ def test_improving_computes_the_given_rosters_once(spark):
     assert len({r["team"] for r in improved.collect()}) == given.select("team").distinct().count()
     assert asked.value == n_rows
     given.unpersist()
+
+
+def test_squads_stay_where_they_are_while_they_climb(spark):
+    """With a pool that travels, a step neither joins nor shuffles squads."""
+    _, pool = frames(spark, variants())
+    finder = R._finder(pool, R.RULES, R.COLUMNS)
+    members = [dict(zip(("name", "position", "value", "club", "points"), m, strict=True)) for m in legal_team()]
+    squads = spark.createDataFrame(
+        [("t", 5.0, members, members, 0, 1)],
+        f"team string, _spare double, _members array<struct<{PLAYER.replace(' ', ':').replace(',:', ',')}>>, "
+        f"_first array<struct<{PLAYER.replace(' ', ':').replace(',:', ',')}>>, _swaps int, _start int",
+    )
+    step = R._moved_on(R._with_best_swap(squads, finder, R.RULES, R.COLUMNS, R.CHARGE), R.COLUMNS)
+    kicked = R._kicked(squads, finder, R.RULES, R.COLUMNS, 7)
+    for plan in (step, kicked):
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        assert "MapInArrow" in text and "Exchange" not in text and "Join" not in text
+    assert step.drop("_changed").columns == kicked.columns == squads.columns

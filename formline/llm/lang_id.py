@@ -42,7 +42,7 @@ AGAIN = 32
 HELD = 8_000_000
 LOOK = 4_096
 #: Windows read side by side at most.
-ABREAST = 3_072
+ABREAST = 1_024
 UNDETERMINED = "und"
 #: Bytes of a training window that are learned from.
 MOST_BYTES = 144
@@ -156,8 +156,9 @@ class Way:
         self.held = [np.empty((n, hidden), np.float32) for _ in range(6)]
 
     def step(self, codes: np.ndarray) -> None:
-        reset, keep, new, by_reset, by_keep, by_new = self.held
-        state = self.state
+        """One step of the first ``len(codes)`` windows; the states of the others stay."""
+        reset, keep, new, by_reset, by_keep, by_new = (h[: len(codes)] for h in self.held)
+        state = self.state[: len(codes)]
         for table, out in zip(self.tables, (reset, keep, new), strict=True):
             table.take(codes, axis=0, out=out, mode="clip")
         for rec, out in zip(self.rec, (by_reset, by_keep, by_new), strict=True):
@@ -193,16 +194,19 @@ class Windows:
         #: text before and after each window
         self.before = self.number * window
         self.after = sizes[self.text] - self.before - self.length
+        #: windows from the longest on, and their places in that order, by which results are kept
+        self.order = np.argsort(-self.length, kind="stable")
+        self.rank = np.empty(len(self.order), np.int64)
+        self.rank[self.order] = np.arange(len(self.order))
 
     def read(self, way: str) -> np.ndarray:
-        """This direction's share of the logits: (place, language, window)."""
+        """This direction's share of the logits: (place, language, window in ``order``)."""
         n = len(self.first)
         hidden = self.network.weights["rec_f"].shape[0]
         out = np.zeros((int(self.length.max()), len(self.network.langs), n), np.float32)
         entered, left = np.zeros((2, n, hidden), np.float32)
-        order = np.argsort(-self.length, kind="stable")
         for at in range(0, n, ABREAST):
-            self._pass(way, order[at : at + ABREAST], out, entered, left)
+            self._pass(way, at, min(at + ABREAST, n), out, entered, left)
         # the window that is read before each one, in this direction
         turn = 1 if way == "f" else -1
         after = (self.number > 0) if way == "f" else (self.after > 0)
@@ -223,8 +227,9 @@ class Windows:
             apart[following] = np.abs(entered[following] - left[following - turn]).max(axis=1, initial=0.0) > APART
         return out
 
-    def _pass(self, way: str, rows: np.ndarray, out: np.ndarray, entered: np.ndarray, left: np.ndarray) -> None:
-        """Reads the windows ``rows``, longest first, entering them through their margins."""
+    def _pass(self, way: str, since: int, until: int, out: np.ndarray, entered: np.ndarray, left: np.ndarray) -> None:
+        """Reads the windows from ``since`` to ``until`` in ``order``, entering them through their margins."""
+        rows = self.order[since:until]
         run = Way(self.network, way, len(rows))
         room = np.minimum(self.before[rows] if way == "f" else self.after[rows], self.margin)
         lead = int(room.max(initial=0))
@@ -234,7 +239,7 @@ class Windows:
         run.state[room == 0] = 0.0
         entered[rows] = run.state
         found = self._steps(run, way, rows, 0, int(self.length[rows[0]]), left)
-        self._store(way, rows, 0, found, out)
+        self._store(way, rows, slice(since, until), 0, found, out)
 
     def _again(
         self, way: str, rows: np.ndarray, states: np.ndarray, out: np.ndarray, entered: np.ndarray, left: np.ndarray
@@ -252,9 +257,9 @@ class Windows:
             places = np.arange(end - seen, end)[:, None]
             if way == "b":
                 places = self.length[rows[going]] - 1 - places
-            known = out[places, :, rows[going]]
+            known = out[places, :, self.rank[rows[going]]]
             differ = np.abs(known - found[-seen:, :, going].transpose(0, 2, 1)).max(axis=(0, 2), initial=0.0) > APART
-            self._store(way, rows, at, found, out)
+            self._store(way, rows, self.rank[rows], at, found, out)
             rows, states, at = rows[going[differ]], run.state[going[differ]], end
 
     def _codes(self, way: str, rows: np.ndarray, t: int) -> np.ndarray:
@@ -273,27 +278,34 @@ class Windows:
         out = np.empty((end - start, len(share), len(rows)), np.float32)
         ends = np.searchsorted(-length, -np.arange(start, end + 1), side="left")  # windows longer than each step
         for t in range(end - start):
-            run.step(self.flat.take(place, out=codes, mode="clip"))
-            np.matmul(share, run.state.T, out=out[t])
-            if ends[t + 1] < ends[t]:
-                done = slice(ends[t + 1], ends[t])
+            # windows that have ended are not read on; found are zeros there, which nothing looks at
+            on = int(ends[t])
+            run.step(self.flat.take(place[:on], out=codes[:on], mode="clip"))
+            if on == len(rows):
+                np.matmul(share, run.state.T, out=out[t])
+            else:
+                out[t, :, :on] = share @ run.state[:on].T
+                out[t, :, on:] = 0.0
+            if ends[t + 1] < on:
+                done = slice(ends[t + 1], on)
                 left[rows[done]] = run.state[done]
             place += 1 if way == "f" else -1
         return out
 
-    def _store(self, way: str, rows: np.ndarray, start: int, found: np.ndarray, out: np.ndarray) -> None:
-        """Puts logits that :meth:`_steps` found where their places are."""
+    def _store(self, way: str, rows: np.ndarray, at: slice | np.ndarray, start: int, found: np.ndarray, out: np.ndarray) -> None:
+        """Puts logits that :meth:`_steps` found of ``rows``, which are ``at`` these places in ``order``, where they belong."""
         if way == "f":
-            out[start : start + len(found)][:, :, rows] = found
+            out[start : start + len(found)][:, :, at] = found
             return
         length, steps = self.length[rows], np.arange(start, start + len(found))
         whole = len(out)
-        full, part = np.flatnonzero(length == whole), np.flatnonzero(length < whole)
-        out[whole - start - len(found) : whole - start][:, :, rows[full]] = found[::-1, :, full]
-        if len(part):
-            places = length[part] - 1 - steps[:, None]
-            at, which = np.nonzero(places >= 0)
-            out[places[at, which], :, rows[part[which]]] = found[at, :, part[which]]
+        n_full = int(np.count_nonzero(length == whole))  # they come first
+        full = slice(at.start, at.start + n_full) if isinstance(at, slice) else at[:n_full]
+        out[whole - start - len(found) : whole - start][:, :, full] = found[::-1, :, :n_full]
+        if n_full < len(rows):
+            places = length[n_full:] - 1 - steps[:, None]
+            step, which = np.nonzero(places >= 0)
+            out[places[step, which], :, self.rank[rows[n_full:]][which]] = found[step, :, n_full + which]
 
 
 def window_sums(
@@ -316,9 +328,10 @@ def window_sums(
         logits = pieces.read("f")
         logits += pieces.read("b")
         logits += network.weights["bias_out"][None, :, None]
-        which, counts_from, counts_to, begins = (np.array(c)[pieces.text] for c in list(zip(*group, strict=True))[:4])
-        origin = np.maximum(counts_from - pieces.before, 0)
-        until = np.maximum(np.minimum(counts_to - pieces.before, pieces.length), origin)
+        text, before, length = (c[pieces.order] for c in (pieces.text, pieces.before, pieces.length))
+        which, counts_from, counts_to, begins = (np.array(c)[text] for c in list(zip(*group, strict=True))[:4])
+        origin = np.maximum(counts_from - before, 0)
+        until = np.maximum(np.minimum(counts_to - before, length), origin)
         total = np.zeros((len(network.langs), len(which)))
         best = []
         for t, p in enumerate(logits):
@@ -331,7 +344,7 @@ def window_sums(
             total += p
         np.add.at(out, which, total.T)
         if labels is not None:
-            found, places = np.array(best), begins + pieces.before
+            found, places = np.array(best), begins + before
             for row, text in enumerate(which):
                 labels[text][places[row] + origin[row] : places[row] + until[row]] = found[origin[row] : until[row], row]
 

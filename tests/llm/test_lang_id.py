@@ -160,3 +160,15 @@ def test_nothing_to_learn_from(make_docs):
     one = [i for i in range(20) if not held(i)][:3]
     got = L.predictions(make_docs([(i, EN, "en") for i in one])).collect()
     assert {(r["lang_pred"], r["score"]) for r in got} == {("en", 1.0)}
+
+
+def test_windows_that_have_ended_are_not_read_on(monkeypatch):
+    read = []
+    plain = L.Way.step
+    monkeypatch.setattr(L.Way, "step", lambda self, codes: read.append(len(codes)) or plain(self, codes))
+    network = L.Network.start(["a", "b"], 4, 1)
+    texts = [b"x" * 300, *[b"yz"] * 50]
+    sums = L.window_sums(network, texts)
+    assert sum(read) == 2 * sum(map(len, texts))
+    whole = [network.positions(*L.padded([t])).sum(axis=(0, 1)) for t in texts]
+    assert np.allclose(sums, whole, atol=1e-3)

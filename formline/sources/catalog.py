@@ -268,7 +268,11 @@ def read_weekly(
     """
     renames = {"name": name, "element": ident} if renames is None else renames
     if store is None:
-        raw = _raw_rows(spark, root, step_pattern, season_pattern, encoding)
+        # the headers are looked at before the rows: records are put together once and read from there
+        records = _raw_rows(spark, root, step_pattern, season_pattern, encoding)
+        path = fresh_path(spark, "weekly-records")
+        records.write.parquet(path)
+        raw = spark.read.schema(records.schema).parquet(path)
     else:
         raw = weekly_store(spark, root, store, step_pattern, season_pattern, encoding)
     headers = [r["header"] for r in raw.select("header").distinct().limit(MAX_HEADERS + 1).collect()]

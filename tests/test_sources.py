@@ -276,3 +276,12 @@ def test_union_fills_absent_columns(spark, rows):
     assert rows(A.union_all([a, b])) == [(1, "x", None), (2, None, 5)]
     with pytest.raises(ValueError):
         A.union_all([])
+
+
+def test_records_are_put_together_once(spark, tmp_path):
+    """Looking at the headers and reading the rows afterwards share what was put together."""
+    put(tmp_path / "2018-19" / "gws" / "gw1.csv", 'name,minutes,note\nAnn_Lee_1,90,"a\nb"\nJo_Li_2,80,c\n')
+    got = catalog.read_weekly(spark, str(tmp_path), TYPES)
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in text and "Exchange" not in text
+    assert sorted((r["player_id"], r["note"]) for r in got.collect()) == [("1", "a\nb"), ("2", "c")]

@@ -29,14 +29,13 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import chain
 from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,8 +48,6 @@ END = b" "
 #: Pairs, and distinct words, that a task gathers before it passes them on.
 FLUSH_PAIRS = 3_000_000
 FLUSH_WORDS = 500_000
-#: Words whose numbers a worker remembers before it starts afresh.
-CACHE_WORDS = 300_000
 HOT_SHARE = 8
 #: Bits of a number that holds a triple.
 TRIPLE_BITS = 64
@@ -102,14 +99,28 @@ def _summed(keys: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
     return [keys[first], *(np.add.reduceat(v[order], first, dtype=v.dtype) if len(keys) else v for v in values)]
 
 
-def _dealt(parts: np.ndarray, n_parts: int, *columns: np.ndarray) -> Iterator[tuple[int, bytes]]:
+def _divided(keys: np.ndarray, by: np.uint64) -> tuple[np.ndarray, np.ndarray]:
+    """``divmod`` with a division by a constant, which numpy turns into a multiplication."""
+    whole = keys // by
+    return whole, keys - whole * by
+
+
+def _by_part(parts: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each part that occurs and its rows, in their order."""
+    if not len(parts):
+        return
+    # numbers of two bytes are sorted by digits
+    small = parts.astype(np.uint16) if parts.max() < 1 << 16 else parts
+    order = np.argsort(small, kind="stable")
+    dealt = parts[order]
+    first = np.flatnonzero(np.concatenate([[True], dealt[1:] != dealt[:-1]]))
+    yield from zip(dealt[first].tolist(), np.split(order, first[1:]), strict=True)
+
+
+def _dealt(parts: np.ndarray, *columns: np.ndarray) -> Iterator[tuple[int, bytes]]:
     """The packed columns of each part; ``columns`` stay in their order inside a part."""
-    order = np.argsort(parts, kind="stable")
-    borders = np.searchsorted(parts[order], np.arange(n_parts + 1))
-    for p in range(n_parts):
-        rows = order[borders[p] : borders[p + 1]]
-        if len(rows):
-            yield p, _pack(*(c[rows] for c in columns))
+    for p, rows in _by_part(parts):
+        yield p, _pack(*(c[rows] for c in columns))
 
 
 def _rows(parts: Iterator[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
@@ -117,8 +128,60 @@ def _rows(parts: Iterator[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([raw], pa.binary())], ["part", "data"])
 
 
-def _tokens(texts: list[bytes]) -> list[list[bytes]]:
-    return [[*t.lower().split(), END] for t in texts]
+def _tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct tokens as bytes, the place of every token among them, and each text's first token.
+
+    Arrow's ASCII functions work byte by byte, as those of ``bytes`` do, and split at the same white space.
+    """
+    split = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(texts, pa.binary()).view(pa.string())))
+    words = split.flatten()
+    whole = np.asarray(pc.binary_length(words)) > 0  # white space at an end of a text leaves an empty word there
+    sizes = np.add.reduceat(whole, np.asarray(split.offsets)[:-1], dtype=np.int64) + 1
+    coded = words.filter(pa.array(whole)).dictionary_encode()
+    distinct = np.empty(len(coded.dictionary) + 1, object)
+    distinct[:-1] = coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False)
+    distinct[-1] = END
+    ends = np.cumsum(sizes) - 1
+    codes = np.full(ends[-1] + 1, len(distinct) - 1, np.int64)
+    inside = np.ones(len(codes), bool)
+    inside[ends] = False
+    codes[inside] = np.asarray(coded.indices)
+    return distinct, codes, ends + 1 - sizes
+
+
+def _hashes(words: np.ndarray) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+
+
+def _after(values: np.ndarray, first: np.ndarray, start: int) -> np.ndarray:
+    """For every token the value of the token before it, ``start`` where a text begins."""
+    out = np.empty_like(values)
+    out[1:] = values[:-1]
+    out[first] = start
+    return out
+
+
+def _ranked(high: np.ndarray, low: np.ndarray, n_low: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs (high, low) in order, as two columns, and the place of every row among them.
+
+    ``low`` is below ``n_low``. Where pair and row fit into one number, numbers are sorted, which is several times as fast
+    as sorting places.
+    """
+    keys = high * n_low + low
+    bits = len(keys).bit_length()
+    if (int(keys.max()) + 1) << bits < 1 << 63:
+        packed = (keys << bits) | np.arange(len(keys))
+        packed.sort()
+        order, keys = packed & ((1 << bits) - 1), packed >> bits
+    else:
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+    fresh = np.concatenate([[True], keys[1:] != keys[:-1]])
+    place = np.empty(len(keys), np.int64)
+    place[order] = np.cumsum(fresh) - 1
+    keys = keys[fresh]
+    first = keys // n_low
+    return first, keys - first * n_low, place
 
 
 @dataclass
@@ -151,125 +214,141 @@ class Model:
 
 
 class Reader:
-    """The mapped arrays of a model, and a memory of word numbers."""
+    """The mapped arrays of a model."""
 
     def __init__(self, model: Model):
         self.model = model
-        self.numbers: dict[bytes, int] = {}
         self.open: dict[str, np.ndarray] = {}
 
     def array(self, name: str, part: int) -> np.ndarray:
         key = f"{name}-{part:05d}.npy"
         if key not in self.open:
-            self.open[key] = np.load(f"{self.model.folder}/{key}", mmap_mode="r")
+            # still mapped, but read without the checks of numpy's own class for maps
+            self.open[key] = np.load(f"{self.model.folder}/{key}", mmap_mode="r").view(np.ndarray)
         return self.open[key]
 
-    def words(self, tokens: list[bytes]) -> np.ndarray:
-        """Numbers of tokens; -1 for those that training never met."""
-        if len(self.numbers) > CACHE_WORDS:
-            self.numbers = {}
-        new = list(set(tokens).difference(self.numbers))
-        if new:
-            hashes = np.fromiter(map(xxhash.xxh64_intdigest, new), np.uint64, len(new))
-            found = np.full(len(new), -1, np.int64)
-            for part, rows in self._by_part(self.model.part_of_hash(hashes)):
-                known = self.array("word", part)
-                if len(known):
-                    place = np.minimum(np.searchsorted(known, hashes[rows]), len(known) - 1)
-                    found[rows] = np.where(known[place] == hashes[rows], place + self.model.bases[part], -1)
-            self.numbers.update(zip(new, found.tolist(), strict=True))
-        return np.fromiter(map(self.numbers.__getitem__, tokens), np.int64, len(tokens))
-
-    @staticmethod
-    def _by_part(parts: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        if not len(parts):
-            return
-        order = np.argsort(parts, kind="stable")
-        found, first = np.unique(parts[order], return_index=True)
-        for part, rows in zip(found.tolist(), np.split(order, first[1:]), strict=True):
-            yield part, rows
+    def words(self, words: np.ndarray) -> np.ndarray:
+        """Numbers of words; -1 for those that training never met."""
+        hashes = _hashes(words)
+        found = np.full(len(words), -1, np.int64)
+        order = np.argsort(hashes)
+        hashes = hashes[order]  # as they are stored, so that searches go from place to place
+        for part, rows in _by_part(self.model.part_of_hash(hashes)):
+            known = self.array("word", part)
+            if len(known):
+                place = np.minimum(np.searchsorted(known, hashes[rows]), len(known) - 1)
+                found[order[rows]] = np.where(known[place] == hashes[rows], place + self.model.bases[part], -1)
+        return found
 
     def per_word(self, name: str, numbers: np.ndarray, shape: int = 0) -> np.ndarray:
         """Values of an array that has one row per word; 0 for number -1."""
         out = np.zeros((len(numbers), shape) if shape else len(numbers), np.int64)
         valid = np.flatnonzero(numbers >= 0)
-        for part, rows in self._by_part(self.model.part_of_number(numbers[valid])):
+        for part, rows in _by_part(self.model.part_of_number(numbers[valid])):
             out[valid[rows]] = self.array(name, part)[numbers[valid[rows]] - self.model.bases[part]]
         return out
 
     def is_hot(self, before: np.ndarray) -> np.ndarray:
-        """Whether pairs after a word are dealt by the pair; those after the start always are."""
-        start = before == self.model.words
-        counts = self.per_word("count", np.where(start, -1, before))
-        return start | (counts * self.model.parts * HOT_SHARE > self.model.tokens)
-
-    def pair_counts(self, before: np.ndarray, number: np.ndarray) -> np.ndarray:
+        """Whether pairs after a word are dealt by the pair, from distinct or sorted words; those after the start always are."""
+        fresh = np.flatnonzero(np.concatenate([[True], before[1:] != before[:-1]])[: len(before)])
+        words = before[fresh]
+        start = words == self.model.words
+        counts = self.per_word("count", np.where(start, -1, words))
+        hot = start | (counts * self.model.parts * HOT_SHARE > self.model.tokens)
+        return np.repeat(hot, np.diff(np.append(fresh, len(before))))
+
+    def pair_counts(self, before: np.ndarray, number: np.ndarray, hot: np.ndarray) -> np.ndarray:
+        """Counts of pairs; ``hot`` tells of each whether ``before`` is. Best in order, so that neighbours touch the same pages."""
         out = np.zeros(len(number), np.int64)
         known = np.flatnonzero((before >= 0) & (number >= 0))
-        before, number = before[known], number[known]
-        for part, rows in self._by_part(self.model.part_of_pair(before, number, self.is_hot(before))):
+        for part, rows in _by_part(self.model.part_of_pair(before[known], number[known], hot[known])):
             heads, tails, stored, times = (self.array(n, part) for n in ("heads", "tails", "pair", "times"))
             if len(heads):
-                rows = rows[np.lexsort((number[rows], before[rows]))]  # neighbouring searches touch the same pages
-                place = np.minimum(np.searchsorted(heads, before[rows]), len(heads) - 1)
-                rows, place = (x[heads[place] == before[rows]] for x in (rows, place))
-                found = _within(stored, tails[place], tails[place + 1], number[rows])
-                if len(rows):
-                    out[known[rows]] = np.where(found >= 0, times[np.maximum(found, 0)], 0)
+                rows, at = _listed(heads, before, known[rows])
+                found = _within(stored, tails[at], tails[at + 1], number[rows])
+                out[rows[found >= 0]] = times[found[found >= 0]]
         return out
 
-    def triples(self, u: np.ndarray, v: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Counts of triples in the order of (v, u, w), the totals of their contexts (u, v), and how many of
-        these contexts' successors count one, two, more."""
-        counts, totals = np.zeros(len(w), np.int64), np.zeros(len(w), np.int64)
-        kinds = np.zeros((len(w), 3), np.int64)
+    def triples(
+        self, u: np.ndarray, v: np.ndarray, hot: np.ndarray, each: np.ndarray, w: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Counts of triples, the totals of their contexts (u, v), and how many of a context's successors count one, two, more.
+
+        Contexts are distinct and in the order of (v, u), ``each`` is how many of the words ``w`` follow it, and ``hot`` tells of
+        each whether v is.
+        """
+        counts, totals = np.zeros(len(w), np.int64), np.zeros(len(u), np.int64)
+        kinds = np.zeros((len(u), 3), np.int64)
+        begins = np.cumsum(each) - each
         known = np.flatnonzero((u >= 0) & (v >= 0))
-        for part, rows in self._by_part(self.model.part_of_pair(v[known], u[known], self.is_hot(v[known]))):
-            rows = known[rows]
+        for part, rows in _by_part(self.model.part_of_pair(v[known], u[known], hot[known])):
             arrays = [self.array(name, part) for name in ("middle", "middles", "left", "lefts", "right", "seen", "long", "sums")]
             middle, middles, left, lefts, right, seen, long, sums = arrays
             if not len(middle):
                 continue
-            place = np.minimum(np.searchsorted(middle, v[rows]), len(middle) - 1)
-            rows, place = (x[middle[place] == v[rows]] for x in (rows, place))
-            context = _within(left, middles[place], middles[place + 1], u[rows])
+            rows, at = _listed(middle, v, known[rows])
+            context = _within(left, middles[at], middles[at + 1], u[rows])
             rows, context = rows[context >= 0], context[context >= 0]
             if not len(rows):
                 continue
-            found = _within(right, lefts[context], lefts[context + 1], w[rows])
-            counts[rows] = np.where(found >= 0, seen[np.maximum(found, 0)], 0)
-            # what neighbours share is summed up once
-            first = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
-            each = np.diff(np.append(first, len(rows)))
-            t, k = _context_sums(context[first], lefts, seen, long, sums)
-            totals[rows], kinds[rows] = np.repeat(t, each), np.repeat(k, each, axis=0)
+            totals[rows], kinds[rows] = _context_sums(context, lefts, seen, long, sums)
+            size = each[rows]
+            places = np.arange(size.sum()) + np.repeat(begins[rows] - np.cumsum(size) + size, size)
+            context = np.repeat(context, size)
+            real = w[places] >= 0
+            places, context = places[real], context[real]
+            found = _within(right, lefts[context], lefts[context + 1], w[places])
+            counts[places[found >= 0]] = seen[found[found >= 0]]
         return counts, totals, kinds
 
 
+def _listed(stored: np.ndarray, wanted: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Those of ``rows`` whose number among ``wanted`` is in sorted ``stored``, and its place there."""
+    # of one type, else the whole stored array would be converted
+    numbers = wanted[rows].astype(stored.dtype)
+    place = np.minimum(np.searchsorted(stored, numbers), len(stored) - 1)
+    there = stored[place] == numbers
+    return rows[there], place[there]
+
+
 def _within(values: np.ndarray, low: np.ndarray, high: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Place of each wanted number in its stretch of sorted ``values``, -1 where it is not there."""
-    low, high = low.astype(np.int64), high.astype(np.int64)
-    end, active = high.copy(), np.flatnonzero(low < high)
+    """Place of each wanted number (none below 0) in its stretch of sorted ``values``, -1 where it is not there."""
+    place = low.astype(np.int64)
+    size = high.astype(np.int64) - place
+    wanted = wanted.astype(values.dtype)
+    out = np.full(len(place), -1, np.int64)
+    active = np.flatnonzero(size > 0)
+    place, size, wanted = place[active], size[active], wanted[active]
     while len(active):
-        middle = (low[active] + high[active]) >> 1
-        less = values[middle] < wanted[active]
-        low[active] = np.where(less, middle + 1, low[active])
-        high[active] = np.where(less, high[active], middle)
-        active = active[low[active] < high[active]]
-    there = low < end
-    there[there] = values[low[there]] == wanted[there]
-    return np.where(there, low, -1)
+        # halves of stretches are left out until one number is left
+        longer = size > 1
+        if 2 * np.count_nonzero(longer) < len(active):
+            one = ~longer
+            met = values[place[one]] == wanted[one]
+            out[active[one][met]] = place[one][met]
+            active, place, size, wanted = (x[longer] for x in (active, place, size, wanted))
+            continue
+        half = size >> 1
+        place += half * (values[place + half] <= wanted)
+        size -= half
+    return out
 
 
 def _context_sums(
     context: np.ndarray, lefts: np.ndarray, seen: np.ndarray, long: np.ndarray, sums: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray]:
     """Total, and successors that count one, two, more, of the contexts of one part."""
-    start, size = lefts[context].astype(np.int64), np.diff(np.stack([lefts[context], lefts[context + 1]]).astype(np.int64), axis=0)[0]
+    start = lefts[context].astype(np.int64)
+    size = lefts[context + 1].astype(np.int64) - start
     out = np.zeros((len(context), 4), np.int64)
     many = np.flatnonzero(size > SHORT_LIST)
-    out[many] = sums[np.searchsorted(long, context[many])]
-    few = np.flatnonzero(size <= SHORT_LIST)
+    out[many] = sums[np.searchsorted(long, context[many].astype(long.dtype))]
+    # a context of one successor is counted by it
+    one = np.flatnonzero(size == 1)
+    c = seen[start[one]].astype(np.int64)
+    out[one, 0] = c
+    out[one, np.minimum(c, 3)] = 1
+    few = np.flatnonzero((size > 1) & (size <= SHORT_LIST))
     if len(few):
         ends = np.cumsum(size[few])
         at = np.arange(ends[-1]) + np.repeat(start[few] - ends + size[few], size[few])
@@ -292,34 +371,38 @@ def _smallest(values: np.ndarray) -> np.ndarray:
     return values.astype(np.min_scalar_type(int(values.max()) if values.size else 0))
 
 
-def _lines(reader: Reader, tokens: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _lines(reader: Reader, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Numbers of all tokens, of the tokens before them, and each text's first place."""
-    sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
-    numbers = reader.words(list(chain.from_iterable(tokens)))
-    first = np.cumsum(sizes) - sizes
-    before = np.concatenate([[0], numbers[:-1]])
-    before[first] = reader.model.words
-    return numbers, before, first
+    distinct, codes, first = _tokens(texts)
+    numbers = reader.words(distinct)[codes]
+    return numbers, _after(numbers, first, reader.model.words), first
 
 
 def count_words(texts: DataFrame, model: Model) -> None:
     """Step 1 over the column ``text``; sets the model's totals."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
+        held: list[list[np.ndarray]] = []
+        size = 0
 
-        def passed_on() -> Iterator[pa.RecordBatch]:
-            hashes = np.fromiter(map(xxhash.xxh64_intdigest, seen), np.uint64, len(seen))
-            counts = np.fromiter(seen.values(), np.uint64, len(seen))
-            hashes, counts = _summed(hashes, counts)
-            yield from _rows(_dealt(model.part_of_hash(hashes), model.parts, hashes, counts))
-            seen.clear()
+        def passed_on(hashes: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+            yield from _rows(_dealt(model.part_of_hash(hashes), hashes, counts))
+
+        def added_up() -> list[np.ndarray]:
+            return _summed(*(np.concatenate(c) for c in zip(*held, strict=True)))
 
         for _, raw in steps(batches, "text"):
-            seen.update(chain.from_iterable(_tokens(raw)))
-            if len(seen) > FLUSH_WORDS:
-                yield from passed_on()
-        yield from passed_on()
+            distinct, codes, _ = _tokens(raw)
+            held.append([_hashes(distinct), np.bincount(codes, minlength=len(distinct)).astype(np.uint64)])
+            size += len(distinct)
+            if size > 2 * FLUSH_WORDS:
+                held = [added_up()]
+                size = len(held[0][0])
+                if size > FLUSH_WORDS:
+                    yield from passed_on(*held[0])
+                    held, size = [], 0
+        if held:
+            yield from passed_on(*added_up())
 
     def store(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         part = key[0].as_py()
@@ -363,13 +446,13 @@ def _gathered_pairs(texts: DataFrame, vocabulary: Model) -> DataFrame:
         def passed_on() -> Iterator[pa.RecordBatch]:
             keys, counts = np.unique(np.concatenate(held), return_counts=True)
             held.clear()
-            before, number = (x.astype(np.int64) for x in np.divmod(keys, width))
+            before, number = (x.astype(np.int64) for x in _divided(keys, width))
             parts = vocabulary.part_of_pair(before, number, reader.is_hot(before))
             del before, number
-            yield from _rows(_dealt(parts, vocabulary.parts, keys, counts.astype(np.uint64)))
+            yield from _rows(_dealt(parts, keys, counts.astype(np.uint64)))
 
         for _, raw in steps(batches, "text"):
-            numbers, before, _ = _lines(reader, _tokens(raw))
+            numbers, before, _ = _lines(reader, raw)
             held.append(before.astype(np.uint64) * width + numbers.astype(np.uint64))
             size += len(numbers)
             if size >= FLUSH_PAIRS:
@@ -401,8 +484,8 @@ def _counted_triples(texts: DataFrame, vocabulary: Model) -> DataFrame:
 
     def parted(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(v, u, w) of triples."""
-        pair, w = np.divmod(keys[0], width) if single else keys
-        v, u = np.divmod(pair, width)
+        pair, w = _divided(keys[0], width) if single else keys
+        v, u = _divided(pair, width)
         return v.astype(np.int64), u.astype(np.int64), w.astype(np.int64)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -411,21 +494,26 @@ def _counted_triples(texts: DataFrame, vocabulary: Model) -> DataFrame:
         size = 0
 
         def passed_on() -> Iterator[pa.RecordBatch]:
-            *keys, counts = summed([np.concatenate(c) for c in zip(*held, strict=True)])
+            columns = [np.concatenate(c) for c in zip(*held, strict=True)]
             held.clear()
+            if single:  # numbers are sorted faster than places
+                columns[0].sort()
+                first = np.flatnonzero(np.concatenate([[True], columns[0][1:] != columns[0][:-1]]))
+                keys, counts = [columns[0][first]], np.diff(np.append(first, len(columns[0]))).astype(np.uint32)
+            else:
+                *keys, counts = summed([*columns, np.ones(len(columns[0]), np.uint32)])
+            del columns
             v, u, _ = parted(keys)
             parts = vocabulary.part_of_pair(v, u, reader.is_hot(v))
             del v, u
-            yield from _rows(_dealt(parts, vocabulary.parts, *keys, counts))
+            yield from _rows(_dealt(parts, *keys, counts))
 
         for _, raw in steps(batches, "text"):
-            numbers, before, first = _lines(reader, _tokens(raw))
-            earlier = np.concatenate([[0], before[:-1]])
-            earlier[first] = vocabulary.words
+            numbers, before, first = _lines(reader, raw)
+            earlier = _after(before, first, vocabulary.words)
             pair = before.astype(np.uint64) * width + earlier.astype(np.uint64)
             w = numbers.astype(np.uint64)
-            ones = np.ones(len(w), np.uint32)
-            held.append([pair * width + w, ones] if single else [pair, w, ones])
+            held.append([pair * width + w] if single else [pair, w])
             size += len(numbers)
             if size >= FLUSH_PAIRS:
                 yield from passed_on()
@@ -463,9 +551,9 @@ def _counted_triples(texts: DataFrame, vocabulary: Model) -> DataFrame:
             _save(f"{vocabulary.folder}/{name}-{part:05d}.npy", array)
         pairs, preceded = np.unique(v.astype(np.uint64) * width + w.astype(np.uint64), return_counts=True)
         del v, u, w
-        before, number = (x.astype(np.int64) for x in np.divmod(pairs, width))
+        before, number = (x.astype(np.int64) for x in _divided(pairs, width))
         parts = vocabulary.part_of_pair(before, number, _reader(vocabulary).is_hot(before))
-        rows = list(_dealt(parts, vocabulary.parts, pairs, preceded.astype(np.uint64)))
+        rows = list(_dealt(parts, pairs, preceded.astype(np.uint64)))
         return pa.table({"part": pa.array([p for p, _ in rows], pa.int32()), "data": pa.array([d for _, d in rows], pa.binary())})
 
     triples = texts.mapInArrow(gather, "part int, data binary")
@@ -482,7 +570,7 @@ def count_pairs(texts: DataFrame, model: Model) -> None:
         blobs = [_unpack(raw, np.uint64, np.uint64) for raw in table.column("data").to_pylist()]
         keys, times = _summed(*(np.concatenate(c) for c in zip(*blobs, strict=True)))
         del blobs
-        before, number = np.divmod(keys, width)
+        before, number = _divided(keys, width)
         del keys
         heads = np.flatnonzero(np.concatenate([[True], before[1:] != before[:-1]]))
         small = _smallest(np.array([model.words])).dtype
@@ -501,7 +589,7 @@ def count_pairs(texts: DataFrame, model: Model) -> None:
             start = columns[0] == width - np.uint64(1)  # the start has no row of its own among words
             place = np.where(start, np.int64(-1), columns[0].astype(np.int64))
             parts = np.where(start, model.parts, vocabulary.part_of_number(place))
-            out += [(kind, p, raw) for p, raw in _dealt(parts, model.parts + 1, *columns)]
+            out += [(kind, p, raw) for p, raw in _dealt(parts, *columns)]
         counted = [int((times == k).sum()) for k in (1, 2, 3, 4)]
         out.append(("counts", -1, np.array(counted, np.int64).tobytes()))
         return pa.table(
@@ -597,48 +685,52 @@ def fit(texts: DataFrame, parts: int | None = None, order: int = 3) -> Model:
 
 
 def log_probabilities(
-    reader: Reader, numbers: np.ndarray, before: np.ndarray, earlier: np.ndarray | None = None
-) -> tuple[np.ndarray, np.ndarray]:
-    """Training counts of the words, and log10 p(word | words before), for numbers as ``_lines`` gives them.
+    reader: Reader, numbers: np.ndarray, codes: np.ndarray, first: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log10 p(word | words before) of every token, the training counts of distinct words, and each token's place among these.
 
-    Each distinct word, pair and triple is looked up once; ``earlier`` is the word before the one before.
+    ``numbers`` are those of distinct words, ``codes`` the place of every token among them, ``first`` each text's first
+    token. Each distinct word, pair, context and triple is looked up once.
     """
     model = reader.model
-    n_words = model.words
 
     def cut(counts: np.ndarray, discounts: tuple[float, float, float]) -> np.ndarray:
         return np.maximum(counts - np.array([0.0, *discounts])[np.minimum(counts, 3)], 0.0)
 
-    # words in order: -1 (unknown) first where it occurs, the start last
-    words, word = np.unique(np.concatenate([numbers, before]), return_inverse=True)
-    word, context = word[: len(numbers)], word[len(numbers) :]
-    real = np.where(words == n_words, -1, words)
-    single = np.full(len(words), model.spare / (n_words + 1))
+    # words in order: -1 (unknown) first where it occurs; the start comes behind the last
+    words, rank = np.unique(numbers, return_inverse=True)
+    start = len(words)
+    word = rank[codes]
+    counts = reader.per_word("count", words)
+    single = np.full(start, model.spare / (model.words + 1))
     if model.continuations:
-        single += cut(reader.per_word("follows", real), model.word_discounts) / model.continuations
-    total, kinds = reader.per_word("total", real), reader.per_word("kinds", real, 3)
-    first = reader.array("start", 0)
-    total[words == n_words], kinds[words == n_words] = first[0], first[1:]
-    seen = total > 0
-    whole = np.where(seen, total, 1)
-    spare = np.where(seen, kinds @ np.array(model.pair_discounts) / whole, 1.0)
-    pairs, pair = np.unique(context * len(words) + word, return_inverse=True)
-    c, w = np.divmod(pairs, len(words))
-    paired = cut(reader.pair_counts(words[c], words[w]), model.pair_discounts) / whole[c] + spare[c] * single[w]
-    counts = reader.per_word("count", real)[word]
+        single += cut(reader.per_word("follows", words), model.word_discounts) / model.continuations
+    of_start = reader.array("start", 0)
+    total = np.append(reader.per_word("total", words), of_start[0])
+    kinds = np.concatenate([reader.per_word("kinds", words, 3), of_start[None, 1:]])
+    whole = np.maximum(total, 1)
+    spare = np.where(total > 0, kinds @ np.array(model.pair_discounts) / whole, 1.0)
+    hot = np.append(counts * model.parts * HOT_SHARE > model.tokens, True)
+    numbered = np.append(words, model.words)
+    # pairs in the order of (word, word before): as contexts these are in the order in which triples are stored
+    w, c, pair = _ranked(word, _after(word, first, start), start + 1)
+    by_before, by_word, place = _ranked(c, w, start)
+    often = reader.pair_counts(numbered[by_before], numbered[by_word], hot[by_before])[place]
+    paired = cut(often, model.pair_discounts) / whole[c] + spare[c] * single[w]
     if model.order == 2:
-        return counts, np.log10(paired)[pair]
-    # in the order of (word before, word before that, word), as triples are stored
-    place = np.searchsorted(words, earlier)
-    triples, triple = np.unique((context * (len(words) + 1) + place) * len(words) + word, return_inverse=True)
-    rest, w = np.divmod(triples, len(words))
-    c, e = np.divmod(rest, len(words) + 1)
-    often, total, kinds = reader.triples(words[e], words[c], words[w])
-    seen = total > 0
-    whole = np.where(seen, total, 1)
-    spare = np.where(seen, kinds @ np.array(model.triple_discounts) / whole, 1.0)
-    backed = paired[np.searchsorted(pairs, c * len(words) + w)]
-    return counts, np.log10(cut(often, model.triple_discounts) / whole + spare * backed)[triple]
+        return np.log10(paired)[pair], counts, word
+    # a text's first word has the context (start, start), which comes behind all pairs
+    x, last, triple = _ranked(_after(pair, first, len(w)), word, start)
+    backed = np.empty(len(x))
+    backed[triple] = paired[pair]
+    heads = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]]))
+    each = np.diff(np.append(heads, len(x)))
+    v, u = (np.append(ranks, start)[x[heads]] for ranks in (w, c))
+    often, total, kinds = reader.triples(numbered[u], numbered[v], hot[v], each, words[last])
+    whole = np.maximum(total, 1)
+    spare = np.where(total > 0, kinds @ np.array(model.triple_discounts) / whole, 1.0)
+    found = cut(often, model.triple_discounts) / np.repeat(whole, each) + np.repeat(spare, each) * backed
+    return np.log10(found)[triple], counts, word
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -651,18 +743,13 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = _reader(model)
         for batch, raw in steps(batches, "text"):
-            numbers, before, first = _lines(reader, _tokens(raw))
-            earlier = np.concatenate([[0], before[:-1]])
-            earlier[first] = model.words
-            counts, scores = log_probabilities(reader, numbers, before, earlier)
+            distinct, codes, first = _tokens(raw)
+            scores, counts, word = log_probabilities(reader, reader.words(distinct), codes, first)
             sums = [
-                np.add.reduceat(x, first)
-                for x in (
-                    np.ones(len(numbers), np.int64),
-                    (counts > 0).astype(np.int64),
-                    np.log10(counts + 0.5) - floor,
-                    scores,
-                )
+                np.diff(np.append(first, len(codes))),
+                np.add.reduceat((counts > 0).astype(np.int64)[word], first),
+                np.add.reduceat((np.log10(counts + 0.5) - floor)[word], first),
+                np.add.reduceat(scores, first),
             ]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), *(pa.array(s) for s in sums)],

@@ -2,6 +2,7 @@ import math
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -110,3 +111,36 @@ def test_empty_and_untrained(make_docs):
     assert K.train_and_score(make_docs([])).collect() == []
     r = K.train_and_score(make_docs([(None, "a b")])).first()
     assert (r["train_tokens"], r["n_known"], r["base_score"], r["score"]) == (0, 0, 0.0, 0.0)
+
+
+def test_tokens_are_those_of_bytes():
+    texts = [b"", b" \t\n", b"A a\x0bB ", "\u00c9 \u00e9\u2003x\u0085y \x1cZ\x1dz".encode(), b"\xff\xc3 Q\xa0q\x0c\r\rA", b"a " * 50]
+    distinct, codes, first = K._tokens(texts)
+    assert len(set(distinct)) == len(distinct)
+    want = [[*t.lower().split(), K.END] for t in texts]
+    assert [list(x) for x in np.split(distinct[codes], first[1:])] == want
+
+
+@pytest.mark.parametrize("far", [1, 2**38])
+def test_ranks_with_and_without_room_for_places(far):
+    rng = np.random.default_rng(1)
+    high, low = rng.integers(0, 9, 500) * far, rng.integers(0, 2**20, 500) % 7
+    first, second, place = K._ranked(high, low, 2**20)
+    assert list(zip(first.tolist(), second.tolist(), strict=True)) == sorted(set(zip(high.tolist(), low.tolist(), strict=True)))
+    assert (first[place] == high).all() and (second[place] == low).all()
+
+
+def test_contexts_are_looked_up_once(make_docs, monkeypatch):
+    """Not once for every word that follows them; and no whole stored array is converted for a search."""
+    texts = [f"a b word{i}" for i in range(300)]
+    model = K.fit(make_docs([(2, t) for t in texts]).select("text"), parts=1)
+    reader, asked, searched = K.Reader(model), [], []
+    within, search = K._within, np.searchsorted
+    monkeypatch.setattr(K, "_within", lambda *a: asked.append((a[0], len(a[3]))) or within(*a))
+    monkeypatch.setattr(np, "searchsorted", lambda a, v, **k: searched.append((a, v)) or search(a, v, **k))
+    distinct, codes, first = K._tokens([t.encode() for t in texts])
+    K.log_probabilities(reader, reader.words(distinct), codes, first)
+    # (start, start), (start, a), (a, b) and (b, word) for each of the words
+    assert [n for stored, n in asked if stored is reader.array("left", 0)] == [303]
+    of_model = [(a, v) for a, v in searched if any(a is x for x in reader.open.values())]
+    assert of_model and all(a.dtype == v.dtype for a, v in of_model)

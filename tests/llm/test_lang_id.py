@@ -172,3 +172,27 @@ def test_windows_that_have_ended_are_not_read_on(monkeypatch):
     assert sum(read) == 2 * sum(map(len, texts))
     whole = [network.positions(*L.padded([t])).sum(axis=(0, 1)) for t in texts]
     assert np.allclose(sums, whole, atol=1e-3)
+
+
+def test_reading_looks_gates_up(network, monkeypatch):
+    """Only new states' tangents are computed, and gates are those that training meets, also far from zero."""
+    text = (EN + DE + FR).encode()[: L.WINDOW]
+    whole = in_one_go(network, text).mean(axis=0)
+    steep = {k: v * 30 if k.startswith("rec") else v for k, v in network.weights.items()}
+    run, largest = L.Way(L.Network(network.langs, steep), "f", 1), 0.0
+    for code in np.frombuffer(text, np.uint8):
+        state = run.state[0].copy()
+        x = (steep["in_f"][code] + steep["bias_f"]).reshape(3, -1)
+        h = (state @ steep["rec_f"]).reshape(3, -1)
+        reset, update = 0.5 * np.tanh(0.5 * (x[:2] + h[:2])) + 0.5
+        wanted = update * state + (1 - update) * np.tanh(x[2] + reset * h[2])
+        run.step(np.array([code]))
+        # a gate is off by 0.0001 at most, which weighs as much as what it lets through
+        assert (np.abs(run.state[0] - wanted) < 0.0003 + 0.0001 * np.abs(h[2])).all()
+        largest = max(largest, np.abs(x[:2] + h[:2]).max())
+    assert largest > 16  # beyond the tables
+
+    computed, tanh = [], np.tanh
+    monkeypatch.setattr(np, "tanh", lambda x, **k: computed.append(x.size) or tanh(x, **k))
+    assert L.pooled(network, [text])[0] == pytest.approx(whole, abs=0.001)
+    assert sum(computed) == 2 * len(text) * L.HIDDEN

@@ -7,14 +7,16 @@ depends on nodes, features and bins, reach the driver; trees that would need mor
 are grown in several passes. Splits are exact where features and labels have no more values than bins.
 
 Boosting on absolute error fits each round's tree to the signs of the residuals and gives every leaf the median of
-the residuals in it, so that with all rows in every round the mean absolute error never rises.
+the residuals in it, so that with all rows in every round the mean absolute error never rises. Rounds follow one another,
+and a pass of few rows costs Spark more than it computes: rows of up to ``HELD_BYTES`` are held by one task, which
+goes through all rounds by itself. More rows stay where they are and take five passes a round.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from collections.abc import Iterable, Iterator
+from dataclasses import asdict, dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -48,6 +50,13 @@ MEDIAN_BINS = 1024
 MEDIAN_ROWS = 20_000
 #: Rounds of boosting after which predictions so far are stored with the rows.
 STORED_ROUNDS = 20
+#: Bytes of rows up to which one task boosts (about as much again while medians are found), and the rows it takes at a time.
+HELD_BYTES = 384_000_000
+STEP_ROWS = 65_536
+#: Cells of features that are counted as one.
+GROUP_CELLS = 1024
+#: Weights are counted in these units above sums of signs; both are exact below half as many rows.
+UNIT = 2.0**27
 CRITERIA = ("friedman_mse", "absolute_error")
 
 
@@ -140,6 +149,58 @@ def drawn(row: np.ndarray, share: float, salt: int) -> np.ndarray:
     return out
 
 
+class Groups:
+    """Features that are counted as one, their bin numbers combined, where that makes few cells."""
+
+    def __init__(self, binner: Binner):
+        self.sizes = [len(b) + 1 for b in binner.features]
+        self.members: list[list[int]] = []
+        for f, size in enumerate(self.sizes):
+            if self.members and self.cells(self.members[-1]) * size <= GROUP_CELLS:
+                self.members[-1].append(f)
+            else:
+                self.members.append([f])
+
+    def cells(self, members: list[int]) -> int:
+        return int(np.prod([self.sizes[f] for f in members]))
+
+    def code(self, cells: np.ndarray, f: int) -> np.ndarray:
+        """The bin numbers of feature ``f`` from the cells of its group."""
+        members = self.members[self.group_of(f)]
+        below = self.cells(members[members.index(f) + 1 :])
+        return cells // np.uint16(below) % np.uint16(self.sizes[f])
+
+    def group_of(self, f: int) -> int:
+        return next(g for g, members in enumerate(self.members) if f in members)
+
+    def combined(self, codes: np.ndarray) -> Iterator[np.ndarray]:
+        """Per group the cells of the rows."""
+        for members in self.members:
+            cell = codes[members[0]].astype(np.uint16)
+            for f in members[1:]:
+                cell = cell * np.uint16(self.sizes[f]) + codes[f]
+            yield cell
+
+    def sums(self, cells: Iterable[np.ndarray], place: np.ndarray, weight: np.ndarray, n: int) -> Iterator[np.ndarray]:
+        """Per group the weights added up by ``place`` (of ``n``) and cell."""
+        for members, cell in zip(self.members, cells, strict=True):
+            size = self.cells(members)
+            yield np.bincount(place * size + cell, weight, n * size)
+
+    def apart(self, group: int, sums: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
+        """(feature, sums by place and bin) of a group's sums."""
+        members = self.members[group]
+        cube = sums.reshape(n, *(self.sizes[f] for f in members))
+        for k, f in enumerate(members):
+            yield f, cube.sum(axis=tuple(a for a in range(1, cube.ndim) if a != k + 1))
+
+
+def _told_apart(sums: np.ndarray) -> np.ndarray:
+    """Weights and sums of signs, in a last axis, from sums of both in one number."""
+    weights = np.rint(sums / UNIT)
+    return np.stack([weights, sums - weights * UNIT], axis=-1)
+
+
 class Binner:
     """Quantile borders of features and labels; a value has the number of the first border at or above it."""
 
@@ -176,9 +237,13 @@ def binned(df: DataFrame, features: str, label: str, bins: int = BINS) -> tuple[
             yield Block(binner.codes(x), row, y, np.zeros(len(y))).packed()
 
     stored = cut_lineage(numbered.mapInArrow(tasks, Block.FIELDS))
-    # many passes follow, so that few rows are better kept together
-    n_rows = stored.agg(F.sum(F.octet_length("y") / 8)).first()[0]
-    return binner, stored.coalesce(max(1, -int(-n_rows // PART_ROWS)))
+    # many passes follow, so that few rows are better kept together, and a task is worth its start
+    most = 2 * rows.sparkSession.sparkContext.defaultParallelism
+    return binner, stored.coalesce(max(1, min(most, -(-_n_rows(stored) // PART_ROWS))))
+
+
+def _n_rows(blocks: DataFrame) -> int:
+    return int(blocks.agg(F.sum(F.octet_length("y") / 8)).first()[0])
 
 
 def _absolute_cost(hist: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -222,9 +287,10 @@ class Grower:
         if len(borders) > LABEL_BINS:
             borders = borders[np.linspace(0, len(borders) - 1, LABEL_BINS).round().astype(int)]
         self.values = borders if criterion == "absolute_error" else None
+        self.groups = Groups(binner)
 
     def grow(self, n_trees: int, share: float, max_features: float, least_share: float, label=None, first: int = 0) -> list[Tree]:
-        """Trees on samples of the rows; ``label`` turns a block into what is learned, by default its labels."""
+        """Trees on samples of the rows; ``label`` turns a block into signs that are learned instead of its labels."""
         trees = [Tree() for _ in range(n_trees)]
         active = [[0] for _ in trees]
         cells = self.width * BINS * (2 if self.values is None else len(self.values))
@@ -236,7 +302,7 @@ class Grower:
                 while going and (not group or size + len(active[going[0]]) * cells <= PASS_NUMBERS):
                     size += len(active[going[0]]) * cells
                     group.append(going.pop(0))
-                sums = _added(self.rows, self._sums([trees[t] for t in group], [active[t] for t in group], [first + t for t in group], share, label))
+                sums = self._totals([trees[t] for t in group], [active[t] for t in group], [first + t for t in group], share, label)
                 at = 0
                 for t in group:
                     found = sums[at : at + len(active[t]) * cells].reshape(len(active[t]), self.width, BINS, -1)
@@ -255,8 +321,11 @@ class Grower:
                     active[t] = children
         return trees
 
+    def _totals(self, trees: list[Tree], active: list[list[int]], salts: list[int], share: float, label) -> np.ndarray:
+        return _added(self.rows, self._sums(trees, active, salts, share, label))
+
     def _sums(self, trees: list[Tree], active: list[list[int]], salts: list[int], share: float, label):
-        width, values, seed = self.width, self.values, self.seed
+        width, values, seed, groups = self.width, self.values, self.seed, self.groups
         numbers = []
         for tree, nodes in zip(trees, active, strict=True):
             number = np.full(len(tree.feature), -1)
@@ -276,15 +345,18 @@ class Grower:
                     # mostly all rows are kept
                     own = slice(None) if kept.all() else np.flatnonzero(kept)
                     place, weight = place[own], weight[own]
-                    weighted = weight * y[own] if values is None else None
+                    if values is None:
+                        cells = list(groups.combined(block.codes[:, own]))
+                        told = [weight * (UNIT + y[own])] if label else [weight, weight * y[own]]
+                        for g, found in enumerate(zip(*(groups.sums(cells, place, w, n) for w in told), strict=True)):
+                            both = _told_apart(found[0]) if label else np.stack(found, axis=-1)
+                            for k in range(2):
+                                for f, by_bin in groups.apart(g, both[:, k], n):
+                                    sums[:, f, : by_bin.shape[1], k] += by_bin
+                        continue
                     for f in range(width):
-                        at = place * BINS + block.codes[f][own]
-                        if values is None:
-                            sums[:, f, :, 0] += np.bincount(at, weight, n * BINS).reshape(n, BINS)
-                            sums[:, f, :, 1] += np.bincount(at, weighted, n * BINS).reshape(n, BINS)
-                        else:
-                            cell = at * depth_values + at_value[own]
-                            sums[:, f] += np.bincount(cell, weight, n * BINS * depth_values).reshape(n, BINS, -1)
+                        cell = (place * BINS + block.codes[f][own]) * depth_values + at_value[own]
+                        sums[:, f] += np.bincount(cell, weight, n * BINS * depth_values).reshape(n, BINS, -1)
             yield _as_batch(np.concatenate([s.ravel() for s in out]))
 
         return add_up
@@ -325,6 +397,112 @@ class Grower:
                         tree.value[node] = float(borders[(own[node].cumsum() * 2 >= own[node].sum()).argmax()])
 
 
+class Held(Grower):
+    """Boosting by a task that holds all rows: the cells of their groups of features, what is left to learn, and their nodes."""
+
+    def __init__(self, blocks: Iterator[Block], n_rows: int, binner: Binner, max_depth: int, seed: int, share: float):
+        super().__init__(None, binner, "friedman_mse", max_depth, seed)
+        self.share, self.left = share, np.empty(n_rows)
+        self.row = np.empty(n_rows if share < 1 else 0, np.int64)
+        self.weight = np.empty(len(self.row), np.uint8)
+        self.cells = [np.empty(n_rows, np.uint16) for _ in self.groups.members]
+        # a tree has fewer nodes than 2 ** (levels + 1), which the type of node numbers has to hold
+        self.node = np.zeros(n_rows, np.min_scalar_type(2 ** (max_depth + 1)))
+        at = 0
+        for block in blocks:
+            own = slice(at, at + len(block.y))
+            self.left[own] = block.y
+            self.row[own] = block.row[: len(self.row[own])]
+            for held, cell in zip(self.cells, self.groups.combined(block.codes), strict=True):
+                held[own] = cell
+            at += len(block.y)
+
+    @staticmethod
+    def bytes_of(n_rows: int, binner: Binner) -> int:
+        return n_rows * (2 * len(Groups(binner).members) + 18)
+
+    def _steps(self) -> Iterator[slice]:
+        for at in range(0, len(self.left), STEP_ROWS):
+            yield slice(at, at + STEP_ROWS)
+
+    def _lead(self, tree: Tree, start: int, end: int) -> None:
+        """Takes rows from the nodes numbered from ``start`` to before ``end`` to their children."""
+        kind = self.node.dtype.type
+        for node in range(start, end):
+            if (f := tree.feature[node]) >= 0:
+                cells = self.cells[self.groups.group_of(f)]
+                for own in self._steps():
+                    goes = (self.groups.code(cells[own], f) > tree.bin[node]).astype(kind)
+                    np.copyto(self.node[own], kind(tree.left[node]) + goes, where=self.node[own] == node)
+
+    def _totals(self, trees: list[Tree], active: list[list[int]], salts: list[int], share: float, label) -> np.ndarray:
+        (tree,), (nodes,) = trees, active
+        # nodes are numbered level by level, and all before the active ones have their children by now
+        self._lead(tree, self.led, nodes[0])
+        self.led = nodes[0]
+        number, n = np.full(len(tree.feature), -1), len(nodes)
+        number[nodes] = np.arange(n)
+        out = [0.0] * len(self.cells)
+        for own in self._steps():
+            place = number[self.node[own]]
+            told = UNIT + np.sign(self.left[own])
+            if self.share < 1:
+                told *= self.weight[own]
+            kept = place >= 0
+            picked = slice(None) if kept.all() else np.flatnonzero(kept)
+            found = self.groups.sums((c[own][picked] for c in self.cells), place[picked], told[picked], n)
+            out = [sofar + more for sofar, more in zip(out, found, strict=True)]
+        sums = np.zeros((n, self.width, BINS, 2))
+        for g, both in enumerate(map(_told_apart, out)):
+            for k in range(2):
+                for f, by_bin in self.groups.apart(g, both[:, k], n):
+                    sums[:, f, : by_bin.shape[1], k] = by_bin
+        return sums.ravel()
+
+    def boost(self, n_rounds: int, rate: float) -> tuple[float, list[Tree], list[float]]:
+        """(median of the labels, trees, mean absolute error before each round)."""
+        start = _lower_median(self.left)
+        self.left -= start
+        trees, history = [], []
+        for turn in range(n_rounds):
+            if self.share < 1:
+                for own in self._steps():
+                    self.weight[own] = drawn(self.row[own], self.share, self.seed * 1_000_003 + turn)
+            self.node[:], self.led = 0, 0
+            (tree,) = self.grow(1, self.share, 1.0, 0.0, first=turn)
+            self._lead(tree, self.led, len(tree.feature))
+            history.append(sum(float(np.abs(self.left[own]).sum()) for own in self._steps()) / len(self.left))
+            for node in range(len(tree.feature)):
+                if tree.feature[node] < 0:
+                    inside = self.node == node
+                    tree.value[node] = _lower_median(self.left[inside & (self.weight > 0) if self.share < 1 else inside])
+            for own in self._steps():
+                self.left[own] -= (rate * np.array(tree.value))[self.node[own]]
+            trees.append(tree)
+        return start, trees, history
+
+
+def _lower_median(values: np.ndarray) -> float:
+    """The lower one of two; 0 without values."""
+    if not len(values):
+        return 0.0
+    middle = (len(values) - 1) // 2
+    return float(np.partition(values, middle)[middle])
+
+
+def _boosted_by_one(rows: DataFrame, binner: Binner, n_rows: int, max_depth: int, seed: int, n_rounds: int, share: float, rate: float) -> tuple[float, list[Tree], list[float]]:
+    """What :meth:`Held.boost` gives, by a task that reads all blocks."""
+    width = len(binner.features)
+
+    def boost(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        start, trees, history = Held(Block.each(batches, width), n_rows, binner, max_depth, seed, share).boost(n_rounds, rate)
+        told = json.dumps({"start": start, "trees": [asdict(t) for t in trees], "history": history})
+        yield pa.RecordBatch.from_arrays([pa.array([told])], ["told"])
+
+    told = json.loads(rows.coalesce(1).mapInArrow(boost, "told string").first()[0])
+    return told["start"], [Tree(**t) for t in told["trees"]], told["history"]
+
+
 def _medians(rows: DataFrame, width: int, tree: Tree, left, kept, low: float, high: float) -> tuple[list[float], float, float, float]:
     """(median of each leaf, mean absolute value, least and greatest value) of what ``left`` makes of blocks.
 
@@ -443,12 +621,15 @@ class AbsoluteBoosting(Estimator, _TreeParams, DefaultParamsReadable, DefaultPar
         n_rounds, share, rate = get(self.nTrees), get(self.share), get(self.rate)
         binner, rows = binned(df, self.getFeaturesCol(), self.getLabelCol())
         width, seed = len(binner.features), self.getSeed()
+        n_rows = _n_rows(rows)
+        if Held.bytes_of(n_rows, binner) <= HELD_BYTES:
+            start, trees, history = _boosted_by_one(rows, binner, n_rows, get(self.maxDepth), seed, n_rounds, share, rate)
+            return _model(self, binner, trees, start, [rate] * len(trees), history)
         # the median of the labels is that of the residuals in a tree of one leaf
         low, high = float(binner.labels[0]), float(binner.labels[-1])
         (start,), _, low, high = _medians(rows, width, Tree(), lambda b: b.y, lambda b: np.ones(len(b.y), bool), low, high)
         low, high = low - start, high - start
-        trees: list[Tree] = []
-        history: list[float] = []
+        trees, history = [], []
         stored = 0  # trees whose share is in "done"
         n_parts = max(1, rows.rdd.getNumPartitions())
 

@@ -134,3 +134,38 @@ def test_large_trees_lead_rows_as_small_ones_do(monkeypatch):
     small = tree.leaves(codes)
     monkeypatch.setattr(trees, "SMALL_TREE", 1)
     assert (tree.leaves(codes) == small).all() and len(np.unique(small)) > 4
+
+
+@pytest.mark.parametrize("share", [1.0, 0.5])
+def test_one_task_boosts_few_rows_as_passes_over_many_do(spark, data, monkeypatch, share):
+    """400 rounds of five passes are two thousand Spark jobs, which cost more than what they compute."""
+    x, y, df = data
+    jobs = []
+    plain = trees._added
+    monkeypatch.setattr(trees, "_added", lambda *a: jobs.append(1) or plain(*a))
+    monkeypatch.setattr(trees, "STEP_ROWS", 150)
+    monkeypatch.setattr(trees, "GROUP_CELLS", 200)
+    boosting = trees.AbsoluteBoosting(nTrees=9, rate=0.3, maxDepth=3, share=share)
+    held = boosting.fit(df)
+    assert not jobs
+    monkeypatch.setattr(trees, "HELD_BYTES", 0)
+    passed = boosting.fit(df)
+    assert len(jobs) >= 9 * 4
+    assert held.getHistory() == pytest.approx(passed.getHistory())
+    each = zip(*(m.transform(df).orderBy("k").collect() for m in (held, passed)), strict=True)
+    assert all(a["prediction"] == pytest.approx(b["prediction"]) for a, b in each)
+
+
+def test_grouped_features_are_counted_as_each_by_itself():
+    rng = np.random.default_rng(3)
+    binner = trees.Binner([list(range(n)) for n in (31, 25, 1, 1, 2, 30)], [0.0])
+    groups = trees.Groups(binner)
+    assert sorted(sum(groups.members, [])) == list(range(6)) and len(groups.members) == 2
+    codes = np.stack([rng.integers(0, n, 500) for n in groups.sizes]).astype(np.uint8)
+    place, weight = rng.integers(0, 3, 500), rng.integers(1, 4, 500) * (trees.UNIT + rng.integers(-1, 2, 500))
+    for g, sums in enumerate(groups.sums(groups.combined(codes), place, weight, 3)):
+        for f, by_bin in groups.apart(g, sums, 3):
+            assert (groups.code(list(groups.combined(codes))[g], f) == codes[f]).all()
+            assert (by_bin == np.bincount(place * groups.sizes[f] + codes[f], weight, 3 * groups.sizes[f]).reshape(3, -1)).all()
+    told = trees._told_apart(np.array([3 * trees.UNIT - 2, trees.UNIT + 1, 0.0]))
+    assert told.tolist() == [[3, -2], [1, 1], [0, 0]]

@@ -20,6 +20,7 @@ import uuid
 from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -28,12 +29,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from formline.session import cut_lineage, table_within
+from formline import session
+from formline.session import cut_lineage
 
 #: Pool rows per block where the pool is too large to travel.
 BLOCK_ROWS = 65_536
 #: Questions answered in one vectorised step.
 STEP_ROWS = 20_000
+#: Rows of a pool that travels at most; prepared without counts, so many take a worker some 100 MB.
+TRAVEL_ROWS = 500_000
+
+
+def table_within(pool: DataFrame) -> pa.Table | None:
+    """The rows of a pool that is small enough to travel, else None."""
+    return session.table_within(pool, TRAVEL_ROWS)
 
 
 @dataclass(frozen=True)
@@ -152,12 +161,18 @@ class Block:
         n = len(self.values)
         self.first_equal = np.searchsorted(self.values, self.values)
         club_keys = self.club * (n + 1) + self.first_equal
-        by_club = np.argsort(club_keys, kind="stable")
-        self.club_keys = club_keys[by_club]
-        self.counts = MergeCounts(self.rank, len(self.points))
-        self.club_counts = MergeCounts(self.rank[by_club], len(self.points))
+        self.by_club = np.argsort(club_keys, kind="stable")
+        self.club_keys = club_keys[self.by_club]
         self.version, self.frontier = frontiers(place[order], self.club, bounds)
 
+    @cached_property
+    def counts(self) -> MergeCounts:
+        return MergeCounts(self.rank, len(self.points))
+
+    @cached_property
+    def club_counts(self) -> MergeCounts:
+        return MergeCounts(self.rank[self.by_club], len(self.points))
+
     def answers(
         self, least: pa.Array | None, budget: pa.Array, closed: pa.ListArray, excluded: pa.ListArray, strict: bool, count: bool
     ) -> tuple[np.ndarray, np.ndarray]:

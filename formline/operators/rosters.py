@@ -14,9 +14,10 @@ from itertools import count, groupby
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
+from pyspark.sql.types import DataType, DoubleType, IntegerType, StructField, StructType
 
 from formline.operators.assemble import union_all
+from formline.operators.climbs import Climb, ends_of, rows_tell_players
 from formline.operators.dominance import PLAYER, Bounds, Finder
 from formline.session import cut_lineage, rows_within
 
@@ -699,11 +700,30 @@ def restarted_rosters(
     member stays. All starts climb together until none has a swap left, kicks counting as swaps and, under a
     ``charge``, as transfers. The start that ends with most points net of the charge is kept, of
     equal ones the first, so no team ends below its plain climb.
+    Where the pool travels, a team's starts climb inside one task and only their best end leaves it.
     """
     keys = ["_start"]
     finder = _finder(pool, rules, cols)
     players = _read_once(pool, finder, cols)
-    legal = _squads(rosters, players, rules, cols, F.col("legal")).withColumns({"_swaps": F.lit(0), "_first": F.col("_members")})
+    legal = _squads(rosters, players, rules, cols, F.col("legal"))
+    if finder.local is not None and rows_tell_players(finder.local) and rosters.schema[cols.name].dataType == pool.schema[cols.name].dataType:
+        climb = Climb(n_restarts, n_kicks, seed, rules.max_per_club, None if charge is None else (charge.n_free, charge.penalty))
+        names = F.transform("_members", lambda m: m[cols.name])
+        n_parts = int(legal.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        squads = legal.select(F.col(cols.team).alias("team"), F.col("_spare").alias("spare"), names.alias("names")).repartition(n_parts, "team")
+        told = StructType(
+            [squads.schema["team"], squads.schema["names"]]
+            + [StructField("start", IntegerType()), StructField("swaps", IntegerType()), StructField("net", DoubleType())]
+        )
+        ends = squads.mapInArrow(ends_of(finder.small, finder.key, finder.bounds, climb), told)
+        return ends.select(
+            F.col("team").alias(cols.team),
+            F.explode("names").alias(cols.name),
+            "start",
+            F.col("swaps").alias("n_swaps"),
+            F.col("net").alias("net_points"),
+        )
+    legal = legal.withColumns({"_swaps": F.lit(0), "_first": F.col("_members")})
     starts = F.explode(F.sequence(F.lit(0), F.lit(n_restarts)))
     squads = cut_lineage(legal).withColumn("_start", starts)
     kicked = squads.where("_start > 0")

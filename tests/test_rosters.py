@@ -5,7 +5,9 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
+from formline.operators import climbs
 from formline.operators import dominance as D
 from formline.operators import rosters as R
 from formline.plans import proxies as P
@@ -448,6 +450,52 @@ def test_restarted_climbs_equal_plain_ones(spark, pool_side, charge):
     assert got == want
 
 
+def rough_league(seed, numbered):
+    """Ties, players without points, value or club, members who come twice, and a team without a name."""
+    rng = random.Random(seed)
+    name = (lambda i: i * 7 - 60) if numbered else (lambda i: f"p{i}")
+    pool = [
+        (name(i), 1 + i % 3, None if i == 5 else float(rng.randint(1, 6)), rng.choice([None, "a", "b", "c", "d", "e"]),
+         None if i % 11 == 0 else float(rng.randint(0, 9)))
+        for i in range(60)
+    ]
+    teams = []
+    for t in range(150):
+        members = [rng.choice(pool[k::3]) for k in (0, 1, 1, 2, 2)]
+        members = [m[0] for m in (members if t % 5 == 0 else {m[0]: m for m in members}.values())]
+        members += [rng.choice(pool)[0] for _ in range(RULES.size - len(members))]
+        teams += [(None if t == 7 else f"t{t}", m) for m in members]
+    return teams, pool
+
+
+@pytest.mark.parametrize("numbered", [True, False])
+@pytest.mark.parametrize("charge", [None, R.TransferCharge(1, 2.0)])
+def test_climbs_inside_a_task_equal_those_by_steps(spark, rows, monkeypatch, numbered, charge):
+    """Each step of eleven starts per team was stored and read again; now only the best ends leave a task."""
+    teams, pool = rough_league(5, numbered)
+    kind = "bigint" if numbered else "string"
+    frames = (
+        spark.createDataFrame(teams, f"team string, name {kind}"),
+        spark.createDataFrame(pool, f"name {kind}, position int, value double, club string, points double"),
+    )
+    monkeypatch.setattr(climbs, "ABREAST", 50)
+    with monkeypatch.context() as patch:
+        patch.setattr(R, "cut_lineage", None)  # nothing is stored on the way
+        df = R.restarted_rosters(*frames, RULES, n_restarts=4, charge=charge)
+        got = rows(df)
+    monkeypatch.setattr(R, "rows_tell_players", lambda players: False)
+    by_steps = R.restarted_rosters(*frames, RULES, n_restarts=4, charge=charge)
+    assert got == rows(by_steps) and df.schema == by_steps.schema
+    assert len({r[0] for r in got}) > 20 and any(r[2] > 0 for r in got) and any(r[0] is None for r in got)
+
+
+def test_pools_of_hundred_thousands_travel(spark):
+    n = 150_000
+    pool = spark.range(n).select(F.col("id").alias("name"), F.lit(1).alias("position"), (F.col("id") % 9).alias("value"), F.lit(1).alias("club"), F.col("id").alias("points"))
+    finder = D.Finder(pool, D.Bounds(2, 2, 1))
+    assert finder.small is not None and finder.local.num_rows == n
+
+
 def plain_repair(pool, members):
     """The members after the swaps of the rule, or where it gets stuck."""
     swaps = 0

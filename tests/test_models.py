@@ -380,3 +380,45 @@ def test_settings_that_differ_in_tolerance_share_their_passes(spark, table, monk
     assert set(asked) == {1}
     passes = [len(m.getHistory()) for m in models]
     assert passes == sorted(passes) and all(m.getHistory() == models[-1].getHistory()[:n] for m, n in zip(models, passes, strict=True))
+
+
+def test_forests_of_a_grid_share_their_trees_and_score_as_single_ones(spark, table, monkeypatch):
+    """Ten thousand settings are a search only if no tree is grown twice."""
+    frames = [table.where(f"k % 3 = {i}") for i in range(3)]
+    space = {
+        "n_estimators": [2, 5], "min_samples_split": [0.1, 0.4], "max_features": [0.5], "max_samples": [0.6, 1.0],
+        "criterion": ["absolute_error", "friedman_mse"],
+    }
+    args = (*frames, PRESETS["encoded"](ROLES), "random_forest", space, "forest")
+    fitted = []
+    plain = training.TreeForest._fit
+    monkeypatch.setattr(training.TreeForest, "_fit", lambda *a: fitted.append(1) or plain(*a))
+    shared = training.search(*args)
+    assert not fitted and len(shared) == 16
+    monkeypatch.setattr(training, "scored_together", lambda *a: None)
+    single = training.search(*args)
+    assert len(fitted) == 16
+    for a, b in zip(shared, single, strict=True):
+        assert a.params == b.params and a.metrics.keys() == b.metrics.keys() and a.seed == b.seed
+        for m in a.metrics:
+            if a.metrics[m] is None or b.metrics[m] is None:
+                # a forest that predicts one value: single fits add up rounded parts of it
+                assert m.endswith("spearman")
+            else:
+                assert a.metrics[m] == pytest.approx(b.metrics[m], rel=1e-6, abs=0.02 if m.endswith("spearman") else 1e-9), (a.params, m)
+    assert len({r.metrics["val_mse"] for r in shared}) > 8
+
+
+def test_the_trial_table_leaves_no_setting_out(monkeypatch):
+    """The query searched 3 of 10,000 forests and 100 of 270 linear regressors."""
+    from formline.plans import queries
+
+    asked = {}
+    monkeypatch.setattr(queries, "_frames", lambda spark, sf_dir: (None, None, None))
+    monkeypatch.setattr(queries, "fresh_path", lambda spark, label: "")
+    monkeypatch.setattr(queries.training, "search", lambda *a, **k: asked.update({a[6]: training.search_points(a[5], k.get("n_trials"), 42)}) or [])
+    monkeypatch.setattr(queries.trials, "append_trials", lambda *a: None)
+    monkeypatch.setattr(queries.trials, "read_trials", lambda *a: (_ for _ in ()).throw(KeyError("read")))
+    with pytest.raises(KeyError):
+        queries.QUERIES["trial_table"](None, "")
+    assert {k: len(v) for k, v in asked.items()} == {"svr": 270, "forest": 10_000}

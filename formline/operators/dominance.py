@@ -36,13 +36,14 @@ from formline.session import cut_lineage
 BLOCK_ROWS = 65_536
 #: Questions answered in one vectorised step.
 STEP_ROWS = 20_000
-#: Rows of a pool that travels at most; prepared without counts, so many take a worker some 100 MB.
+#: Rows and bytes of a pool that travels at most; as many rows of numbers need not be counted before they are read.
 TRAVEL_ROWS = 500_000
+TRAVEL_BYTES = 48_000_000
 
 
 def table_within(pool: DataFrame) -> pa.Table | None:
     """The rows of a pool that is small enough to travel, else None."""
-    return session.table_within(pool, TRAVEL_ROWS)
+    return session.table_within(pool, TRAVEL_ROWS, TRAVEL_BYTES)
 
 
 @dataclass(frozen=True)

@@ -709,8 +709,7 @@ def restarted_rosters(
     if finder.local is not None and rows_tell_players(finder.local) and rosters.schema[cols.name].dataType == pool.schema[cols.name].dataType:
         climb = Climb(n_restarts, n_kicks, seed, rules.max_per_club, None if charge is None else (charge.n_free, charge.penalty))
         names = F.transform("_members", lambda m: m[cols.name])
-        n_parts = int(legal.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        squads = legal.select(F.col(cols.team).alias("team"), F.col("_spare").alias("spare"), names.alias("names")).repartition(n_parts, "team")
+        squads = legal.select(F.col(cols.team).alias("team"), F.col("_spare").alias("spare"), names.alias("names"))
         told = StructType(
             [squads.schema["team"], squads.schema["names"]]
             + [StructField("start", IntegerType()), StructField("swaps", IntegerType()), StructField("net", DoubleType())]
